@@ -1,0 +1,66 @@
+"""The tagging pipeline: taxonomy -> rule -> rules -> source -> compute -> merge -> save.
+
+``run_model`` returns the next store snapshot as a DataFrame (and writes it
+when a store root is given).  Plan shape: the level-4 rule is parsed by a
+Spark expression and only its small option map reaches the driver; the
+level-5 rules are a filtered taxonomy frame broadcast into the match; the
+source scan reads only the rule's fields; the merge with the store is one
+full outer join on ``userId``; the write is fully parallel.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tagloom.operators.merge import merge_tags, upsert_tags
+from tagloom.operators.taxonomy import children, level4_meta
+from tagloom.plans.models import TagModel
+from tagloom.sources.store import read_store, write_snapshot
+from tagloom.sources.widerow import Reader, read_source
+
+
+@dataclass
+class ModelRun:
+    new: DataFrame      # (userId, tagsId) computed by the model
+    merged: DataFrame   # new ⟕ stored, merged lists (users of this run only)
+    store: DataFrame    # next store snapshot (all users)
+    path: str | None = None
+
+
+def model_inputs(spark: SparkSession, model: TagModel, taxonomy: DataFrame, readers: dict[str, Reader] | None = None):
+    meta = level4_meta(taxonomy, model.tag_id)
+    rules = children(taxonomy, model.tag_id).select("id", "rule")
+    source = read_source(spark, meta, readers)
+    return meta, rules, source
+
+
+def run_model(
+    spark: SparkSession,
+    model: TagModel,
+    taxonomy: DataFrame,
+    store: DataFrame | None = None,
+    store_root: str | None = None,
+    readers: dict[str, Reader] | None = None,
+    write: bool = False,
+) -> ModelRun:
+    """Run one tag model end to end.
+
+    ``store`` (a frame) wins over ``store_root`` (newest snapshot there).
+    ``write=True`` writes the next snapshot under ``store_root``.
+    """
+    _, rules, source = model_inputs(spark, model, taxonomy, readers)
+    new = model.compute(rules, source)
+    old = store if store is not None else (read_store(spark, store_root) if store_root else None)
+    if old is None:
+        old = spark.createDataFrame([], "userId string, tagsId string")
+    merged = merge_tags(new, old)
+    nxt = upsert_tags(old, new, mode=model.mode)
+    path = None
+    if write:
+        if not store_root:
+            raise ValueError("write=True needs store_root")
+        path = write_snapshot(nxt, store_root)
+        nxt = spark.read.parquet(path)
+    return ModelRun(new=new, merged=merged, store=nxt, path=path)
