@@ -39,12 +39,13 @@ def rule_entries(rule: Column | str) -> Column:
         return F.struct(kv.getItem(0).alias("key"), value.cast("string").alias("value"))
 
     entries = F.transform(parts, to_entry)
-    # keep an entry only if no later entry has the same key
-    return F.filter(
+    # last wins: fold left, each entry replacing an earlier one with its key
+    # (``entries`` is evaluated once; the fold only touches the accumulator)
+    empty = F.array().cast("array<struct<key:string,value:string>>")
+    return F.aggregate(
         entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.size(entries)), lambda o: o["key"] == e["key"]
-        ),
+        empty,
+        lambda acc, e: F.concat(F.filter(acc, lambda x: x["key"] != e["key"]), F.array(e)),
     )
 
 

@@ -29,11 +29,30 @@ def java_split(s: Column | str, pattern: str) -> Column:
     ``[]``); inner and leading empties are kept; the empty string gives
     ``[""]`` because nothing matched.  Spark's own ``split`` keeps the
     trailing empties, hence this wrapper.  Null in -> null out.
+
+    For a one-character separator the trailing run is stripped with one
+    regex before a single split (cheap on wide lines); for longer
+    separators the trailing empties are trimmed from the split array, since
+    stripping a repeated multi-character separator from the end is not the
+    same (``"a###"`` split on ``##`` keeps ``"#"``).
     """
     s = _c(s)
+    single = len(pattern) == 1 or (len(pattern) == 2 and pattern[0] == "\\")
+    if single:
+        sep = pattern if len(pattern) == 2 else _re_escape(pattern)
+        stripped = F.regexp_replace(s, f"(?:{sep})+$", "")
+        body = F.when(stripped == F.lit(""), F.array().cast("array<string>")).otherwise(
+            F.split(stripped, pattern, -1)
+        )
+    else:
+        body = drop_trailing_empty(F.split(s, pattern, -1))
     return F.when(s.isNull(), F.lit(None).cast("array<string>")).when(
         s == F.lit(""), F.array(F.lit(""))
-    ).otherwise(drop_trailing_empty(F.split(s, pattern, -1)))
+    ).otherwise(body)
+
+
+def _re_escape(ch: str) -> str:
+    return "\\" + ch if ch in ".[]{}()\\*+?^$|-" else ch
 
 
 # Java's definition of white space (Character.isWhitespace), as the blank test uses.

@@ -21,6 +21,13 @@ _ROW_BITS = 33
 
 def assign_dense_ids(df: DataFrame, order_cols: list[str], start: int, id_col: str = "id", partitions: int | None = None) -> DataFrame:
     """``df`` plus ``id_col`` = ``start + 1, start + 2, …`` in ``order_cols`` order."""
+    return assign_dense_ids_counted(df, order_cols, start, id_col, partitions)[0]
+
+
+def assign_dense_ids_counted(
+    df: DataFrame, order_cols: list[str], start: int, id_col: str = "id", partitions: int | None = None
+) -> tuple[DataFrame, int]:
+    """As ``assign_dense_ids``, also returning the row count (the ids used)."""
     spark = df.sparkSession
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     parted = (
@@ -39,9 +46,10 @@ def assign_dense_ids(df: DataFrame, order_cols: list[str], start: int, id_col: s
         offsets[int(r["__p"])] = run
         run += int(r["__n"])
     if not offsets:
-        return parted.drop("__p", "__m").withColumn(id_col, F.lit(None).cast("bigint"))
+        return parted.drop("__p", "__m").withColumn(id_col, F.lit(None).cast("bigint")), 0
     offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("bigint"))])
     local = F.col("__m") - F.shiftleft(F.col("__p").cast("bigint"), _ROW_BITS)
-    return parted.withColumn(
+    out = parted.withColumn(
         id_col, (F.lit(start).cast("bigint") + offset_map[F.col("__p")] + local + F.lit(1)).cast("bigint")
     ).drop("__p", "__m")
+    return out, run

@@ -11,12 +11,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tagloom.functions.rules import SourceMeta, rule_to_map
 from tagloom.operators.broadcast import maybe_broadcast
-from tagloom.operators.ids import assign_dense_ids
+from tagloom.operators.ids import assign_dense_ids_counted
 
 ROOT_PID = -1
+# New tags per level up to this count get ids from one ordered window;
+# above it, from the distributed range-partitioned ranking.
+SMALL_LEVEL = 200_000
 
 
 def tag_by_id(taxonomy: DataFrame, tag_id: int) -> DataFrame:
@@ -79,21 +83,28 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
     taxonomy.  Null or empty names end a path.
     """
     tax = taxonomy
-    # distinct first: many source rows share a path (partial aggregation map-side)
+    # distinct first: many source rows share a path (partial aggregation
+    # map-side); materialised once so the source is scanned once, not per level
     cur = (
         paths.select(*[F.col(c).cast("string").alias(c) for c in cols])
         .distinct()
         .withColumn("__pid", F.lit(ROOT_PID).cast("bigint"))
+        .checkpoint(eager=True)
     )
+    top = int(tax.agg(F.max("id")).first()[0] or 0)
     for depth, c in enumerate(cols, start=1):
         cur = cur.where(F.col(c).isNotNull() & (F.col(c) != ""))
         cand = cur.select(F.col(c).alias("name"), F.col("__pid").alias("pid")).distinct()
         level_tags = by_level(tax, depth).select("id", "name", F.col("pid").cast("bigint").alias("pid"))
         new = cand.join(level_tags, on=["name", "pid"], how="left_anti")
-        top = tax.agg(F.max("id")).first()[0] or 0
-        new = assign_dense_ids(new, ["pid", "name"], int(top))
+        added = new.count()
+        if added <= SMALL_LEVEL:
+            # proven small by the count: one ordered window over the new tags only
+            new = new.withColumn("id", F.lit(top) + F.row_number().over(Window.orderBy("pid", "name")))
+        else:
+            new, added = assign_dense_ids_counted(new, ["pid", "name"], top)
+        top += added
         now = F.current_timestamp()
-        tax_cols = tax.columns
         new_rows = new.select(
             F.col("id").cast("bigint").alias("id"),
             F.col("name"),
@@ -102,13 +113,16 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
             F.col("pid"),
             now.alias("ctime"),
             now.alias("utime"),
-        ).select(*tax_cols)
-        # new ids come from a checkpointed frame, so re-evaluating this union is
-        # cheap and gives the same ids every time
-        tax = tax.unionByName(new_rows)
+        ).select(*tax.columns)
+        # materialised per level: the next level reads it several times, and a
+        # re-evaluated lineage would repeat every earlier level's work
+        tax = tax.unionByName(new_rows).checkpoint(eager=True)
         resolved = by_level(tax, depth).select(
             F.col("id").alias("__nid"), F.col("name").alias(c), F.col("pid").cast("bigint").alias("__pid")
         )
-        resolved, _ = maybe_broadcast(resolved)
+        # both sides are intermediate results: AQE sees their real sizes after
+        # the shuffle map stage and turns the join into a broadcast when small
         cur = cur.join(resolved, on=[c, "__pid"], how="inner").drop("__pid").withColumnRenamed("__nid", "__pid")
+        if depth < len(cols):
+            cur = cur.checkpoint(eager=True)
     return tax

@@ -20,7 +20,7 @@ from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel,
 from tagloom.plans.pipeline import model_inputs, run_model
 from tagloom.schemas import LOGS_COLUMNS, ORDERS_COLUMNS
 from tagloom.session import scratch_path
-from tagloom.sources.extracts import parse_lines, write_sorted_by_key
+from tagloom.sources.extracts import read_extract, write_sorted_by_key
 
 
 class Ctx:
@@ -230,14 +230,27 @@ def logs_lines(events: DataFrame, arity_cases: bool = False) -> DataFrame:
     return events.select(line.alias("value"))
 
 
+def write_extract(spark: SparkSession, lines: DataFrame, name: str) -> str:
+    """Publish derived lines as a text extract in the shared scratch folder.
+
+    The ingest queries then read it back with ``spark.read.text`` — the
+    real scan path, split into parallel file ranges — instead of parsing an
+    in-memory expression that the optimizer would inline into every field.
+    """
+    path = scratch_path(spark, f"extract-{name}")
+    lines.write.text(path)
+    return path
+
+
 def ingest_logs(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("events",))
-    return parse_lines(logs_lines(t["events"]), LOGS_COLUMNS)
+    return read_extract(spark, write_extract(spark, logs_lines(t["events"]), "logs"), LOGS_COLUMNS)
 
 
 def ingest_arity(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("events",))
-    return parse_lines(logs_lines(t["events"], arity_cases=True), LOGS_COLUMNS)
+    path = write_extract(spark, logs_lines(t["events"], arity_cases=True), "logs-arity")
+    return read_extract(spark, path, LOGS_COLUMNS)
 
 
 def orders_lines(orders: DataFrame) -> DataFrame:
@@ -261,7 +274,7 @@ def orders_lines(orders: DataFrame) -> DataFrame:
 
 def ingest_orders(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("orders",))
-    rows = parse_lines(orders_lines(t["orders"]), ORDERS_COLUMNS)
+    rows = read_extract(spark, write_extract(spark, orders_lines(t["orders"]), "orders"), "orders")
     return rows.select("id", "memberid", "orderstatus", "orderamount", "finishtime", "remark", "modified")
 
 

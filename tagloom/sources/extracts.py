@@ -13,19 +13,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.functions.strings import java_split
+from tagloom.functions.strings import _re_escape, java_split
 from tagloom.schemas import EXTRACT_COLUMNS, EXTRACT_SEP
 
 
 def parse_lines(lines: DataFrame, columns: list[str], line_col: str = "value", sep: str = EXTRACT_SEP) -> DataFrame:
-    """Lines -> keyed rows of ``columns`` (all strings); bad widths dropped."""
+    """Lines -> keyed rows of ``columns`` (all strings); bad widths dropped.
+
+    Each output field is one O(1) element access into the split array; the
+    one-short case reads its missing last field as ``""`` instead of
+    rebuilding the array (a rebuilt array would be inlined into every field
+    by the optimizer and copied once per column).
+    """
     n = len(columns)
-    fields = java_split(F.col(line_col), sep)
-    parsed = lines.select(fields.alias("__f")).where(F.size("__f").isin(n - 1, n))
-    fixed = F.when(F.size("__f") == n - 1, F.concat(F.col("__f"), F.array(F.lit("")))).otherwise(F.col("__f"))
-    return parsed.select(fixed.alias("__f")).select(
-        *[F.col("__f").getItem(i).alias(name) for i, name in enumerate(columns)]
-    )
+    line = F.col(line_col)
+    if len(sep) == 1:
+        # arity without splitting: separators left after stripping the trailing run, + 1
+        stripped = F.regexp_replace(line, "(?:" + _re_escape(sep) + ")+$", "")
+        width = (
+            F.when(line == F.lit(""), F.lit(1))
+            .when(stripped == F.lit(""), F.lit(0))
+            .otherwise(F.length(stripped) - F.length(F.replace(stripped, F.lit(sep), F.lit(""))) + F.lit(1))
+        )
+        kept = lines.where(width.isin(n - 1, n))
+        parsed = kept.select(java_split(line, sep).alias("__f"))
+    else:
+        parsed = lines.select(java_split(line, sep).alias("__f")).where(F.size("__f").isin(n - 1, n))
+    f = F.col("__f")
+    out = [f.getItem(i).alias(name) for i, name in enumerate(columns[:-1])]
+    out.append(F.coalesce(F.try_element_at(f, F.lit(n)), F.lit("")).alias(columns[-1]))
+    return parsed.select(*out)
 
 
 def read_extract(spark: SparkSession, path: str, kind_or_columns) -> DataFrame:
