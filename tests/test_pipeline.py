@@ -49,3 +49,19 @@ def test_source_missing_field_is_null(spark):
     assert df.columns == ["id", "job", "nope"]
     assert [tuple(r) for r in df.collect()] == [("1", "x", None)]
     assert all(f.dataType.simpleString() == "string" for f in df.schema.fields)
+
+
+def test_job_runner(spark, tmp_path):
+    from tagloom.plans.jobs import main
+    from tagloom.sources import read_store
+
+    tax_path = str(tmp_path / "tax")
+    taxonomy_frame(spark, TAX).write.parquet(tax_path)
+    users = str(tmp_path / "users")
+    spark.createDataFrame([("1", "1"), ("2", "2")], "id string, gender string").write.parquet(users)
+    root = str(tmp_path / "store")
+    path = main(["--model", "exact", "--tag-id", "4", "--mode", "replace", "--key-field", "id", "--value-field", "gender",
+                 "--taxonomy-format", "parquet", "--taxonomy-option", f"path={tax_path}",
+                 "--register", f"t_users={users}", "--store-root", root])
+    assert path.startswith(root)
+    assert dict(rows(read_store(spark, root))) == {"1": "5", "2": "6"}
