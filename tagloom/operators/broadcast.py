@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,13 +23,18 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 class SideSize:
     rows: int
     bytes: int
+    invalid: int = 0
 
     def fits(self, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
         return self.rows <= max_rows and self.bytes <= max_bytes
 
 
-def measure(df: DataFrame) -> SideSize:
-    """Exact row count and an upper bound on the in-memory bytes of ``df``."""
+def measure(df: DataFrame, invalid: Column | None = None) -> SideSize:
+    """Exact row count and an upper bound on the in-memory bytes of ``df``.
+
+    ``invalid``: optional boolean Column; rows where it holds are counted in
+    the same pass (used to validate parsed rules without a second job).
+    """
     fixed = 0
     var_cols = []
     for f in df.schema.fields:
@@ -39,6 +44,8 @@ def measure(df: DataFrame) -> SideSize:
         else:
             fixed += 8  # numeric, date and timestamp columns: at most 8 bytes
     aggs = [F.count(F.lit(1)).alias("n")]
+    if invalid is not None:
+        aggs.append(F.count_if(invalid).alias("bad"))
     if var_cols:
         total = var_cols[0]
         for c in var_cols[1:]:
@@ -48,7 +55,8 @@ def measure(df: DataFrame) -> SideSize:
     n = int(row["n"] or 0)
     v = int(row["v"] or 0) if var_cols else 0
     # strings are UTF-8 in Tungsten; length() counts chars, so allow 4 bytes each
-    return SideSize(rows=n, bytes=n * (fixed + 16) + 4 * v)
+    bad = int(row["bad"] or 0) if invalid is not None else 0
+    return SideSize(rows=n, bytes=n * (fixed + 16) + 4 * v, invalid=bad)
 
 
 def maybe_broadcast(

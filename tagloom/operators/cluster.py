@@ -33,6 +33,10 @@ def cluster_rfe(measures: DataFrame, k: int = 4, seed: int = 7, max_iter: int =
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
         KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster"),
     ])
+    from pyspark import StorageLevel
+
+    # k-means passes over the data once per iteration: keep the features
+    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     model = pipe.fit(feats)
     centers = model.stages[-1].clusterCenters()  # k small vectors, standardised space
     # activity score: -R + F + E in standard units; higher = more active

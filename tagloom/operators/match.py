@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.broadcast import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, maybe_broadcast
+from tagloom.operators.broadcast import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, maybe_broadcast, measure
 
 UNMATCHED_POLICIES = ("error", "null", "drop")
 
@@ -82,13 +82,21 @@ def range_match(
     end_col: str = "end",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    require_bounds: bool = True,
 ) -> DataFrame:
     """Inner range join: every (value row, rule) with ``start <= value <= end``.
 
     Overlapping rules give several rows; a value in no rule (or null) gives
     none.  Output: all ``values`` columns, then all ``rules`` columns.
+    ``require_bounds``: a rule with a null bound (a malformed rule text) is
+    an error, found in the same pass that measures the rule frame.
     """
-    side, small = maybe_broadcast(rules, max_broadcast_rows, max_broadcast_bytes)
+    invalid = (F.col(start_col).isNull() | F.col(end_col).isNull()) if require_bounds else None
+    size = measure(rules, invalid)
+    if size.invalid:
+        raise ValueError(f"{size.invalid} malformed range rule(s) (expected 'start-end')")
+    small = size.fits(max_broadcast_rows, max_broadcast_bytes)
+    side = F.broadcast(rules) if small else rules
     if small:
         cond = F.col(value_col).between(side[start_col], side[end_col])
         return values.join(side, cond, "inner")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.dates import age_years, shifted_days_since
 from tagloom.functions.rules import range_rules
 from tagloom.operators.aggregate import last_per_key, rfe_measures
+from tagloom.operators.broadcast import maybe_broadcast
 from tagloom.operators.match import exact_match, range_match
 
 
@@ -65,7 +66,8 @@ class RecencyRangeModel(TagModel):
         )
 
     def compute_detail(self, rules: DataFrame, source: DataFrame) -> DataFrame:
-        ranges = range_rules(rules)
+        # validated inside range_match's measuring pass (one small job, not two)
+        ranges = range_rules(rules, validate=False)
         m = range_match(self.days(source), ranges, "days")
         return m.select("userId", "days", F.col("tagsId").cast("string").alias("tagsId"), "start", "end")
 
@@ -87,7 +89,7 @@ class AgeRangeModel(TagModel):
             F.col(self.key_field).cast("string").alias("userId"),
             age_years(F.col(self.birthday_field), self.as_of).alias("age"),
         )
-        m = range_match(ages, range_rules(rules), "age")
+        m = range_match(ages, range_rules(rules, validate=False), "age")
         return m.select("userId", "age", F.col("tagsId").cast("string").alias("tagsId"))
 
     def compute(self, rules: DataFrame, source: DataFrame) -> DataFrame:
@@ -122,4 +124,5 @@ class ActivityModel(TagModel):
         ranked_rules = rules.select(
             F.col("id").cast("string").alias("tagsId"), F.col("rule").cast("int").alias("rank")
         )
-        return clustered.join(F.broadcast(ranked_rules), "rank", "left").select("userId", "tagsId")
+        ranked_rules, _ = maybe_broadcast(ranked_rules)
+        return clustered.join(ranked_rules, "rank", "left").select("userId", "tagsId")

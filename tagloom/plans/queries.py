@@ -178,7 +178,7 @@ def taxonomy_children(spark, sf_dir):
     """Children of the root tag named ECONOMY (found by name, level and parent)."""
     cat = Ctx(spark, sf_dir).catalog()
     parent = find(cat, "ECONOMY", 1, -1).select(F.col("id").alias("pid"))
-    return cat.join(F.broadcast(parent), "pid", "left_semi").select("id", "name", "level", "pid")
+    return cat.join(parent, "pid", "left_semi").select("id", "name", "level", "pid")
 
 
 def tag_model_join(spark, sf_dir):

@@ -141,12 +141,21 @@ def register_sources(spark: SparkSession, t: dict[str, DataFrame]) -> None:
 # --- taxonomy, models, store -----------------------------------------------------------
 
 def job_tags(customer: DataFrame) -> DataFrame:
-    """Level-5 job values: one per distinct market segment, ids ``700 + rank``."""
+    """Level-5 job values: one per distinct market segment, ids ``700 + rank``.
+
+    The ids come from one ordered window only after a count proves the
+    distinct set small; otherwise from the distributed dense ranking.
+    """
+    from tagloom.operators.ids import assign_dense_ids
+    from tagloom.operators.taxonomy import SMALL_LEVEL
+
     seg = customer.select(F.col("c_mktsegment").alias("name")).where(F.col("name").isNotNull()).distinct()
-    # the distinct set is bounded by the segment domain; the window orders only it
-    w = Window.orderBy("name")
-    return seg.select(
-        (F.lit(JOB_TAG_BASE) + F.row_number().over(w)).cast("bigint").alias("id"),
+    if seg.count() <= SMALL_LEVEL:
+        ranked = seg.withColumn("id", F.lit(JOB_TAG_BASE) + F.row_number().over(Window.orderBy("name")))
+    else:
+        ranked = assign_dense_ids(seg, ["name"], JOB_TAG_BASE)
+    return ranked.select(
+        F.col("id").cast("bigint").alias("id"),
         F.col("name"),
         F.col("name").alias("rule"),
         F.lit(5).alias("level"),
