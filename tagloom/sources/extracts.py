@@ -57,16 +57,30 @@ def to_lines(df: DataFrame, columns: list[str], sep: str = EXTRACT_SEP) -> DataF
     return df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).alias("value"))
 
 
-def write_sorted_by_key(df: DataFrame, path: str, key: str | None = None, partitions: int | None = None) -> str:
-    """Range-partition on the key, sort inside each partition, write parquet.
-
-    Partition i holds keys below partition i+1, so the output is in total
-    key order across files; Spark's commit protocol publishes the folder
-    only when the job succeeds.
+def sorted_by_key(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Range-partition on the key and sort inside each partition.
+
+    Partition i holds keys at or below partition i+1's, so the files are in
+    total key order.  The range bounds are sampled on ``(key, tie)`` where
+    ``tie`` is a hash of the whole row: a hot key (one key holding a third
+    of all rows) is spread over several partitions instead of one task, and
+    the hash is deterministic, so a retried task rebuilds the same split.
     """
     key = key or df.columns[0]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    df.repartitionByRange(n, F.col(key)).sortWithinPartitions(key).write.parquet(path)
+    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie")
+    return (
+        df.select("*", tie)
+        .repartitionByRange(n, F.col(key), F.col("__tie"))
+        .sortWithinPartitions(key, "__tie")
+        .drop("__tie")
+    )
+
+
+def write_sorted_by_key(df: DataFrame, path: str, key: str | None = None, partitions: int | None = None) -> str:
+    """Publish ``sorted_by_key(df)`` as parquet; Spark's commit protocol
+    publishes the folder only when the job succeeds."""
+    sorted_by_key(df, key, partitions).write.parquet(path)
     return path
 
 

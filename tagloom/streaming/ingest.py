@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tagloom.schemas import EXTRACT_COLUMNS
 from tagloom.session import checkpoint_root
-from tagloom.sources.extracts import parse_lines
+from tagloom.sources.extracts import parse_lines, sorted_by_key
 
 
 def start_extract_stream(
@@ -46,9 +46,7 @@ def start_extract_stream(
     key = columns[0]
 
     def publish(batch, batch_id: int) -> None:
-        n = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-        (batch.repartitionByRange(n, key).sortWithinPartitions(key)
-         .write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}"))
+        sorted_by_key(batch, key).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
     writer = rows.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     if available_now:

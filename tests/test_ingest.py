@@ -51,3 +51,17 @@ def test_file_round_trip_sorted(spark, tmp_path):
     firsts = [spark.read.parquet(str(f)).select("id").collect() for f in files]
     flat = [r["id"] for chunk in firsts for r in chunk]
     assert flat == sorted(flat)
+
+
+def test_hot_key_is_split_and_order_kept(spark):
+    from tagloom.sources.extracts import sorted_by_key
+
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("k0500")).otherwise(F.lpad((F.col("id") % 1000).cast("string"), 4, "0")).alias("id"),
+        F.col("id").cast("string").alias("v"),
+    )
+    out = sorted_by_key(df, "id", partitions=6)
+    per_part = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("id") == "k0500").alias("hot")).collect()
+    assert sum(1 for r in per_part if r["hot"] > 0) >= 2      # the hot key spans partitions
+    keys = [r["id"] for r in out.collect()]                   # collect keeps partition order
+    assert keys == sorted(keys) and len(keys) == 6000
