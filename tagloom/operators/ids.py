@@ -36,10 +36,9 @@ def assign_dense_ids_counted(
         .withColumn("__p", F.spark_partition_id())
         .withColumn("__m", F.monotonically_increasing_id())
     )
-    from tagloom.session import checkpoint_root
+    from tagloom.session import materialize
 
-    checkpoint_root(spark)
-    parted = parted.checkpoint(eager=True)
+    parted = materialize(parted)
     counts = parted.groupBy("__p").agg(F.count(F.lit(1)).alias("__n")).collect()
     offsets, run = {}, 0
     for r in sorted(counts, key=lambda r: r["__p"]):

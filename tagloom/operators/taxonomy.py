@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from tagloom.functions.rules import SourceMeta, rule_to_map
 from tagloom.operators.broadcast import maybe_broadcast
 from tagloom.operators.ids import assign_dense_ids_counted
+from tagloom.session import materialize
 
 ROOT_PID = -1
 # New tags per level up to this count get ids from one ordered window;
@@ -85,18 +86,19 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
     tax = taxonomy
     # distinct first: many source rows share a path (partial aggregation
     # map-side); materialised once so the source is scanned once, not per level
-    cur = (
+    cur = materialize(
         paths.select(*[F.col(c).cast("string").alias(c) for c in cols])
         .distinct()
         .withColumn("__pid", F.lit(ROOT_PID).cast("bigint"))
-        .checkpoint(eager=True)
     )
     top = int(tax.agg(F.max("id")).first()[0] or 0)
     for depth, c in enumerate(cols, start=1):
         cur = cur.where(F.col(c).isNotNull() & (F.col(c) != ""))
         cand = cur.select(F.col(c).alias("name"), F.col("__pid").alias("pid")).distinct()
         level_tags = by_level(tax, depth).select("id", "name", F.col("pid").cast("bigint").alias("pid"))
-        new = cand.join(level_tags, on=["name", "pid"], how="left_anti")
+        # materialise this level's new tags once: the count, the ids and the
+        # next level all read it
+        new = materialize(cand.join(level_tags, on=["name", "pid"], how="left_anti"))
         added = new.count()
         if added <= SMALL_LEVEL:
             # proven small by the count: one ordered window over the new tags only
@@ -114,9 +116,9 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
             now.alias("ctime"),
             now.alias("utime"),
         ).select(*tax.columns)
-        # materialised per level: the next level reads it several times, and a
-        # re-evaluated lineage would repeat every earlier level's work
-        tax = tax.unionByName(new_rows).checkpoint(eager=True)
+        # each added piece is a cheap window over checkpointed rows, so the
+        # union's lineage stays flat
+        tax = tax.unionByName(new_rows)
         resolved = by_level(tax, depth).select(
             F.col("id").alias("__nid"), F.col("name").alias(c), F.col("pid").cast("bigint").alias("__pid")
         )
@@ -124,5 +126,5 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
         # the shuffle map stage and turns the join into a broadcast when small
         cur = cur.join(resolved, on=[c, "__pid"], how="inner").drop("__pid").withColumnRenamed("__nid", "__pid")
         if depth < len(cols):
-            cur = cur.checkpoint(eager=True)
+            cur = materialize(cur)
     return tax

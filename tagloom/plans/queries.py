@@ -19,7 +19,7 @@ from tagloom.plans import scenario as S
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel
 from tagloom.plans.pipeline import model_inputs, run_model
 from tagloom.schemas import LOGS_COLUMNS, ORDERS_COLUMNS
-from tagloom.session import scratch_path
+from tagloom.session import materialize, scratch_path
 from tagloom.sources.extracts import read_extract, write_sorted_by_key
 
 
@@ -29,17 +29,19 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = S.load_tables(spark, sf_dir)
-        S.register_sources(spark, self.t)
-        self.tax = S.base_taxonomy(spark, self.t["customer"])
+        self.readers = S.source_readers(self.t)
+        # the taxonomy is read by several steps (rule, children, names):
+        # materialised once per run, as a job reading it over JDBC would
+        self.tax = materialize(S.base_taxonomy(spark, self.t["customer"]))
 
     def inputs(self, model):
-        return model_inputs(self.spark, model, self.tax)
+        return model_inputs(self.spark, model, self.tax, self.readers)
 
     def stored(self) -> DataFrame:
-        return S.stored_tags(self.t["customer"])
+        return S.stored_tags(self.t["customer"], self.tax)
 
     def catalog(self) -> DataFrame:
-        return S.catalog_taxonomy(self.spark, self.t["customer"], self.t["part"])
+        return S.catalog_taxonomy(self.spark, self.tax, self.t["part"])
 
 
 def cycle_model() -> RecencyRangeModel:
@@ -143,12 +145,12 @@ def upsert_store(spark, sf_dir):
 
 def pipeline_cycle_merge(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    return run_model(spark, cycle_model(), c.tax, store=c.stored()).store
+    return run_model(spark, cycle_model(), c.tax, store=c.stored(), readers=c.readers).store
 
 
 def tag_coverage_q(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    store = run_model(spark, cycle_model(), c.tax, store=c.stored()).store
+    store = run_model(spark, cycle_model(), c.tax, store=c.stored(), readers=c.readers).store
     return tag_coverage(store, c.tax)
 
 

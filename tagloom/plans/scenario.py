@@ -84,8 +84,26 @@ HEAD_MODELS = [
 ]
 
 
+class Tables(dict):
+    """Parquet tables of one sf dir, each read on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names=TABLES):
+        super().__init__()
+        self._spark, self._dir, self._names = spark, sf_dir.rstrip("/"), tuple(names)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        df = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        self[name] = df
+        return df
+
+    def __contains__(self, name) -> bool:
+        return name in self._names
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    return Tables(spark, sf_dir, names)
 
 
 # --- wide-row sources (all strings) -------------------------------------------------
@@ -129,13 +147,33 @@ def logs_source(events: DataFrame) -> DataFrame:
     )
 
 
+SOURCES = {
+    "tbl_users": ("customer", users_source),
+    "tbl_orders": ("orders", orders_source),
+    "tbl_logs": ("events", logs_source),
+    "tbl_goods": ("lineitem", goods_source),
+}
+
+
+def source_readers(t: dict[str, DataFrame]) -> dict:
+    """Readers for ``inType=table``: the table a rule names, built on demand
+    from the test tables (only the one a model reads is ever scanned)."""
+    from tagloom.functions.rules import SourceMeta
+
+    def table(spark: SparkSession, meta: SourceMeta) -> DataFrame:
+        if meta.hbaseTable in SOURCES:
+            base, build = SOURCES[meta.hbaseTable]
+            return build(t[base])
+        return spark.table(meta.hbaseTable)
+
+    return {"table": table, "view": table}
+
+
 def register_sources(spark: SparkSession, t: dict[str, DataFrame]) -> None:
-    """Expose the sources as the tables the taxonomy rules name."""
-    users_source(t["customer"]).createOrReplaceTempView("tbl_users")
-    orders_source(t["orders"]).createOrReplaceTempView("tbl_orders")
-    logs_source(t["events"]).createOrReplaceTempView("tbl_logs")
-    if "lineitem" in t:
-        goods_source(t["lineitem"]).createOrReplaceTempView("tbl_goods")
+    """Expose every source as a temp view named as in the rules."""
+    for name, (base, build) in SOURCES.items():
+        if base in t:
+            build(t[base]).createOrReplaceTempView(name)
 
 
 # --- taxonomy, models, store -----------------------------------------------------------
@@ -199,10 +237,10 @@ def brand_rule(name: F.Column, pid: F.Column) -> F.Column:
     )
 
 
-def catalog_taxonomy(spark: SparkSession, customer: DataFrame, part: DataFrame) -> DataFrame:
+def catalog_taxonomy(spark: SparkSession, base: DataFrame, part: DataFrame) -> DataFrame:
+    """The base taxonomy plus the classification paths found in ``part``."""
     from tagloom.operators.taxonomy import load_paths
 
-    base = base_taxonomy(spark, customer)
     tax = load_paths(base, catalog_paths(part), cols=("l1", "l2", "l3", "l4"))
     # every head level-4 tag has a rule; the loaded level-4 tags are the brands
     is_brand = (F.col("level") == 4) & F.col("rule").isNull()
@@ -227,7 +265,7 @@ def models_registry(spark: SparkSession, taxonomy: DataFrame) -> DataFrame:
     return head.unionByName(brand.select(*[F.col(c).cast(head.schema[c].dataType) for c in head.columns]))
 
 
-def stored_tags(customer: DataFrame) -> DataFrame:
+def stored_tags(customer: DataFrame, taxonomy: DataFrame | None = None) -> DataFrame:
     """Yesterday's store: customers with a non-negative balance, lists by nation band.
 
     nation 0-4: ``job,gender``; 5-9: ``job,job,,`` (repeat, trailing empties);
@@ -236,7 +274,8 @@ def stored_tags(customer: DataFrame) -> DataFrame:
     """
     k = F.col("c_custkey")
     gender_tag = F.when(k % 2 == 0, F.lit("5")).otherwise(F.lit("6"))
-    ranks = job_tags(customer).select(F.col("name").alias("c_mktsegment"), F.col("id").cast("string").alias("__job"))
+    jobs = job_tags(customer) if taxonomy is None else taxonomy.where(F.col("pid") == 7)
+    ranks = jobs.select(F.col("name").alias("c_mktsegment"), F.col("id").cast("string").alias("__job"))
     from tagloom.operators.broadcast import maybe_broadcast
 
     ranks, _ = maybe_broadcast(ranks)

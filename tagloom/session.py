@@ -77,3 +77,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared folder, computed once.
+
+    A reliable checkpoint writes by re-running the plan unless it is
+    persisted, so the rows are persisted for the write and released after.
+    The result reads the checkpoint files: executor loss after this point
+    does not recompute the lineage.
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_root(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
