@@ -57,18 +57,20 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--taxonomy-option", action="append", default=[], help="k=v, repeatable")
     p.add_argument("--register", action="append", default=[], help="table=parquet_path, repeatable")
     p.add_argument("--store-root", required=True)
+    p.add_argument("--store-buckets", type=int, help="bucket the store on userId (also sets shuffle partitions)")
     return p.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> str:
     a = parse_args(sys.argv[1:] if argv is None else argv)
-    spark = get_session(app=f"tagloom-{a.model}-{a.tag_id}")
+    spark = get_session(app=f"tagloom-{a.model}-{a.tag_id}",
+                        shuffle_partitions=a.store_buckets if a.store_buckets else None)
     for reg in a.register:
         name, path = reg.split("=", 1)
         spark.read.parquet(path).createOrReplaceTempView(name)
     opts = dict(kv.split("=", 1) for kv in a.taxonomy_option)
     taxonomy = read_taxonomy(spark, a.taxonomy_format, **opts)
-    run = run_model(spark, build_model(a), taxonomy, store_root=a.store_root, write=True)
+    run = run_model(spark, build_model(a), taxonomy, store_root=a.store_root, write=True, buckets=a.store_buckets)
     print(run.path)
     return run.path
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.operators.merge import merge_tags, upsert_tags
 from tagloom.operators.taxonomy import children, level4_meta
 from tagloom.plans.models import TagModel
-from tagloom.sources.store import read_store, write_snapshot
+from tagloom.sources.store import read_snapshot, read_store, write_snapshot
 from tagloom.sources.widerow import Reader, read_source
 
 
@@ -44,11 +44,13 @@ def run_model(
     store_root: str | None = None,
     readers: dict[str, Reader] | None = None,
     write: bool = False,
+    buckets: int | None = None,
 ) -> ModelRun:
     """Run one tag model end to end.
 
     ``store`` (a frame) wins over ``store_root`` (newest snapshot there).
-    ``write=True`` writes the next snapshot under ``store_root``.
+    ``write=True`` writes the next snapshot under ``store_root``, bucketed
+    on ``userId`` into ``buckets`` when given (see ``sources.store``).
     """
     _, rules, source = model_inputs(spark, model, taxonomy, readers)
     new = model.compute(rules, source)
@@ -61,6 +63,6 @@ def run_model(
     if write:
         if not store_root:
             raise ValueError("write=True needs store_root")
-        path = write_snapshot(nxt, store_root)
-        nxt = spark.read.parquet(path)
+        path = write_snapshot(nxt, store_root, buckets)
+        nxt = read_snapshot(spark, path)
     return ModelRun(new=new, merged=merged, store=nxt, path=path)

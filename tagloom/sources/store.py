@@ -6,11 +6,21 @@ snapshot folder under the store root; readers take the newest committed one
 ``userId`` by the upsert's join, and published by Spark's commit protocol.
 Paths go through the Hadoop FileSystem API, so the root may be on any
 shared file system.
+
+Bucketed snapshots (``buckets=N``) are written with ``bucketBy(N, userId)``
+and registered as external catalog tables: the next run's upsert then scans
+the store already hash-partitioned on ``userId`` and only the new tags are
+shuffled — the store, the largest input of every run, never is.  Run with
+``spark.sql.shuffle.partitions = N`` so the new side's aggregate lands in the
+same partitioning.  The bucket count is part of the folder name, so a new
+session can re-register the table from the files alone.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +37,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _bucket_count(path: str) -> int | None:
+    m = re.search(r"-b(\d+)$", path.rstrip("/"))
+    return int(m.group(1)) if m else None
+
+
+def _table_name(path: str) -> str:
+    return "tagloom_store_" + hashlib.sha1(path.rstrip("/").encode()).hexdigest()[:16]
+
+
 def snapshots(spark: SparkSession, root: str) -> list[str]:
     """Committed snapshot folders under ``root``, oldest first."""
     fs, p = _fs(spark, root)
@@ -42,17 +61,40 @@ def snapshots(spark: SparkSession, root: str) -> list[str]:
     return sorted(out)
 
 
+def _register_bucketed(spark: SparkSession, path: str, buckets: int) -> str:
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        loc = path.replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {name} (userId STRING, tagsId STRING) USING parquet "
+            f"CLUSTERED BY (userId) SORTED BY (userId) INTO {buckets} BUCKETS LOCATION '{loc}'"
+        )
+    return name
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    buckets = _bucket_count(path)
+    if buckets:
+        return spark.table(_register_bucketed(spark, path, buckets))
+    return spark.read.schema(STORE_SCHEMA).parquet(path)
+
+
 def read_store(spark: SparkSession, root: str) -> DataFrame:
     """Newest snapshot, or an empty store if there is none."""
     snaps = snapshots(spark, root)
     if not snaps:
         return spark.createDataFrame([], STORE_SCHEMA)
-    return spark.read.schema(STORE_SCHEMA).parquet(snaps[-1])
+    return read_snapshot(spark, snaps[-1])
 
 
-def write_snapshot(df: DataFrame, root: str) -> str:
-    """Write ``df`` as a new snapshot; returns its path."""
+def write_snapshot(df: DataFrame, root: str, buckets: int | None = None) -> str:
+    """Write ``df`` as a new snapshot (bucketed on ``userId`` if ``buckets``); returns its path."""
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    path = f"{root.rstrip('/')}/{_PREFIX}{stamp}-{uuid.uuid4().hex[:8]}"
-    df.select(F.col("userId").cast("string"), F.col("tagsId").cast("string")).write.parquet(path)
+    path = f"{root.rstrip('/')}/{_PREFIX}{stamp}-{uuid.uuid4().hex[:8]}" + (f"-b{buckets}" if buckets else "")
+    out = df.select(F.col("userId").cast("string"), F.col("tagsId").cast("string"))
+    if buckets:
+        (out.write.bucketBy(buckets, "userId").sortBy("userId")
+         .option("path", path).format("parquet").saveAsTable(_table_name(path)))
+    else:
+        out.write.parquet(path)
     return path

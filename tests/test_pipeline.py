@@ -65,3 +65,26 @@ def test_job_runner(spark, tmp_path):
                  "--register", f"t_users={users}", "--store-root", root])
     assert path.startswith(root)
     assert dict(rows(read_store(spark, root))) == {"1": "5", "2": "6"}
+
+
+def test_bucketed_store_upsert_shuffles_only_new(spark, tmp_path):
+    from tagloom.operators import upsert_tags
+    from tagloom.sources import read_store, write_snapshot
+
+    root = str(tmp_path / "bstore")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store = spark.range(0, 2000).select(F.col("id").cast("string").alias("userId"), F.lit("1").alias("tagsId"))
+    write_snapshot(store, root, buckets=n)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s = read_store(spark, root)
+        new = spark.range(1500, 2500).select(F.col("id").cast("string").alias("userId"), F.lit("2").alias("tagsId"))
+        out = upsert_tags(s, new)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning") == 1   # the new side only
+        got = dict(rows(out))
+        assert len(got) == 2500 and got["0"] == "1" and got["1600"] == "2,1" and got["2400"] == "2"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
