@@ -24,16 +24,18 @@ class SideSize:
     rows: int
     bytes: int
     invalid: int = 0
+    extra: dict | None = None
 
     def fits(self, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
         return self.rows <= max_rows and self.bytes <= max_bytes
 
 
-def measure(df: DataFrame, invalid: Column | None = None) -> SideSize:
+def measure(df: DataFrame, invalid: Column | None = None, extra: dict | None = None) -> SideSize:
     """Exact row count and an upper bound on the in-memory bytes of ``df``.
 
     ``invalid``: optional boolean Column; rows where it holds are counted in
     the same pass (used to validate parsed rules without a second job).
+    ``extra``: name -> aggregate Column, computed in the same pass too.
     """
     fixed = 0
     var_cols = []
@@ -46,6 +48,8 @@ def measure(df: DataFrame, invalid: Column | None = None) -> SideSize:
     aggs = [F.count(F.lit(1)).alias("n")]
     if invalid is not None:
         aggs.append(F.count_if(invalid).alias("bad"))
+    for name, agg in (extra or {}).items():
+        aggs.append(agg.alias(f"x_{name}"))
     if var_cols:
         total = var_cols[0]
         for c in var_cols[1:]:
@@ -56,7 +60,8 @@ def measure(df: DataFrame, invalid: Column | None = None) -> SideSize:
     v = int(row["v"] or 0) if var_cols else 0
     # strings are UTF-8 in Tungsten; length() counts chars, so allow 4 bytes each
     bad = int(row["bad"] or 0) if invalid is not None else 0
-    return SideSize(rows=n, bytes=n * (fixed + 16) + 4 * v, invalid=bad)
+    ext = {name: row[f"x_{name}"] for name in (extra or {})}
+    return SideSize(rows=n, bytes=n * (fixed + 16) + 4 * v, invalid=bad, extra=ext)
 
 
 def maybe_broadcast(

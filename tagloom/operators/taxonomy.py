@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.functions.rules import SourceMeta, rule_to_map
-from tagloom.operators.broadcast import maybe_broadcast
+from tagloom.operators.broadcast import maybe_broadcast, measure
 from tagloom.operators.ids import assign_dense_ids_counted
 from tagloom.session import materialize
 
@@ -78,53 +78,85 @@ def tags_with_models(taxonomy: DataFrame, models: DataFrame, pid=None) -> DataFr
 def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -> DataFrame:
     """Insert-if-absent of many classification paths (levels 1..len(cols)).
 
-    Per level: the path's parent id is resolved, names absent under that
-    parent at that level get new ids (``max(id)`` + dense rank by
-    ``(pid, name)``), and found tags are reused.  Returns the whole new
-    taxonomy.  Null or empty names end a path.
+    Semantics, level by level: a path's parent id is resolved, names absent
+    under that parent at that level get new ids (``max(id)`` + dense rank by
+    ``(pid, name)``, continuing across levels), found tags are reused, and
+    a null or empty name ends a path.  Returns the whole new taxonomy.
+
+    Plan: the distinct paths are resolved against the existing tags in one
+    materialised pass (one join per level with the small tag frame); one
+    aggregate then counts the new tags per level, which fixes every level's
+    id offset; the ids themselves are lazy windows over the (small, counted)
+    new-tag sets, each level joining the previous level's new ids for
+    parents that are new themselves.
     """
+    depth_n = len(cols)
+    names = [F.col(c).cast("string") for c in cols]
+    # a path ends at its first null/empty name
+    valid = [F.lit(True)]
+    for i, c in enumerate(names):
+        valid.append(valid[-1] & c.isNotNull() & (c != ""))
+    distinct_paths = paths.select(
+        *[F.when(valid[i + 1], names[i]).alias(cols[i]) for i in range(depth_n)]
+    ).distinct()
+
+    existing = taxonomy.select(F.col("id").cast("bigint").alias("id"), "name", "level", F.col("pid").cast("bigint").alias("pid"))
+    size = measure(existing, extra={"top": F.max("id")})
+    top = int(size.extra["top"] or 0)
+    existing = F.broadcast(existing) if size.fits() else existing
+    # e<d>: id of the existing tag for the prefix l1..ld (null if absent)
+    res = distinct_paths
+    parent = F.lit(ROOT_PID).cast("bigint")
+    for d, c in enumerate(cols, start=1):
+        lvl = existing.where(F.col("level") == d).select(
+            F.col("id").alias(f"e{d}"), F.col("name").alias(f"__n{d}"), F.col("pid").alias(f"__p{d}")
+        )
+        res = res.join(lvl, (res[c] == lvl[f"__n{d}"]) & (parent == lvl[f"__p{d}"]), "left").drop(f"__n{d}", f"__p{d}")
+        parent = F.col(f"e{d}")
+    res = materialize(res)
+
+    # new tags per level: prefixes that exist in the paths but not in the taxonomy
+    def new_at(d: int) -> DataFrame:
+        pe = F.lit(ROOT_PID).cast("bigint") if d == 1 else F.col(f"e{d - 1}")
+        return res.where(F.col(cols[d - 1]).isNotNull() & F.col(f"e{d}").isNull()).select(
+            *[F.col(c) for c in cols[:d]], pe.alias("__pe")
+        ).distinct()
+
+    counts = {d: 0 for d in range(1, depth_n + 1)}
+    per_level = None
+    for d in range(1, depth_n + 1):
+        part = new_at(d).select(F.lit(d).alias("__lvl"))
+        per_level = part if per_level is None else per_level.unionByName(part)
+    for r in per_level.groupBy("__lvl").count().collect():
+        counts[int(r["__lvl"])] = int(r["count"])
+
+    now = F.current_timestamp()
     tax = taxonomy
-    # distinct first: many source rows share a path (partial aggregation
-    # map-side); materialised once so the source is scanned once, not per level
-    cur = materialize(
-        paths.select(*[F.col(c).cast("string").alias(c) for c in cols])
-        .distinct()
-        .withColumn("__pid", F.lit(ROOT_PID).cast("bigint"))
-    )
-    top = int(tax.agg(F.max("id")).first()[0] or 0)
-    for depth, c in enumerate(cols, start=1):
-        cur = cur.where(F.col(c).isNotNull() & (F.col(c) != ""))
-        cand = cur.select(F.col(c).alias("name"), F.col("__pid").alias("pid")).distinct()
-        level_tags = by_level(tax, depth).select("id", "name", F.col("pid").cast("bigint").alias("pid"))
-        # materialise this level's new tags once: the count, the ids and the
-        # next level all read it
-        new = materialize(cand.join(level_tags, on=["name", "pid"], how="left_anti"))
-        added = new.count()
-        if added <= SMALL_LEVEL:
-            # proven small by the count: one ordered window over the new tags only
-            new = new.withColumn("id", F.lit(top) + F.row_number().over(Window.orderBy("pid", "name")))
+    prev_ids = None  # (l1..l_{d-1}, __nid) of the previous level's new tags
+    for d in range(1, depth_n + 1):
+        cur = new_at(d)
+        if prev_ids is not None:
+            cur = cur.join(prev_ids, on=list(cols[: d - 1]), how="left")
+            pid = F.coalesce(F.col("__pe"), F.col("__nid"))
         else:
-            new, added = assign_dense_ids_counted(new, ["pid", "name"], top)
-        top += added
-        now = F.current_timestamp()
-        new_rows = new.select(
+            pid = F.col("__pe")
+        cur = cur.select(*[F.col(c) for c in cols[:d]], pid.alias("pid"), F.col(cols[d - 1]).alias("name"))
+        if counts[d] <= SMALL_LEVEL:
+            # proven small by the count: one ordered window over this level's new tags
+            ided = cur.withColumn("id", F.lit(top) + F.row_number().over(Window.orderBy("pid", "name")))
+        else:
+            ided, _ = assign_dense_ids_counted(cur, ["pid", "name"], top)
+        top += counts[d]
+        # materialised: the next level and the union both read it
+        ided = materialize(ided) if d < depth_n else ided
+        tax = tax.unionByName(ided.select(
             F.col("id").cast("bigint").alias("id"),
             F.col("name"),
             F.lit(None).cast("string").alias("rule"),
-            F.lit(depth).cast("int").alias("level"),
-            F.col("pid"),
+            F.lit(d).cast("int").alias("level"),
+            F.col("pid").cast("bigint").alias("pid"),
             now.alias("ctime"),
             now.alias("utime"),
-        ).select(*tax.columns)
-        # each added piece is a cheap window over checkpointed rows, so the
-        # union's lineage stays flat
-        tax = tax.unionByName(new_rows)
-        resolved = by_level(tax, depth).select(
-            F.col("id").alias("__nid"), F.col("name").alias(c), F.col("pid").cast("bigint").alias("__pid")
-        )
-        # both sides are intermediate results: AQE sees their real sizes after
-        # the shuffle map stage and turns the join into a broadcast when small
-        cur = cur.join(resolved, on=[c, "__pid"], how="inner").drop("__pid").withColumnRenamed("__nid", "__pid")
-        if depth < len(cols):
-            cur = materialize(cur)
+        ).select(*taxonomy.columns))
+        prev_ids = ided.select(*[F.col(c) for c in cols[:d]], F.col("id").alias("__nid"))
     return tax
