@@ -53,6 +53,8 @@ def level4_meta(taxonomy: DataFrame, tag_id: int) -> SourceMeta:
     row = tag_by_id(taxonomy, tag_id).select(rule_to_map(F.col("rule")).alias("m")).head()
     if row is None:
         raise LookupError(f"no tag with id {tag_id} in the taxonomy")
+    if not row["m"]:
+        raise ValueError(f"tag {tag_id} has no rule naming its source")
     return SourceMeta.from_map(row["m"])
 
 
