@@ -1 +1 @@
-"""Composite plans: tag models, the tagging pipeline, the scenario over the test tables, queries."""
+"""Composite plans: tag models, the model runner, the scenario over the test tables, queries."""

@@ -19,7 +19,7 @@ import argparse
 import sys
 
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel, TagModel
-from tagloom.plans.pipeline import run_model
+from tagloom.plans.runner import run_model
 from tagloom.session import get_session
 from tagloom.sources.taxonomy import read_taxonomy
 

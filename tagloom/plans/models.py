@@ -1,7 +1,7 @@
 """Tag models: each turns (level-5 rules, source rows) into ``(userId, tagsId)``.
 
-A model names its level-4 tag id and how to compute; the pipeline
-(``tagloom.plans.pipeline``) supplies the rules and the source the tag's
+A model names its level-4 tag id and how to compute; the runner
+(``tagloom.plans.runner``) supplies the rules and the source the tag's
 rule points at, then merges or replaces the result in the store.
 
 User-defined models subclass ``TagModel`` and implement ``compute``.

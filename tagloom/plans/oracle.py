@@ -204,7 +204,7 @@ n AS (SELECT userId, CASE WHEN len(l) = 0 THEN NULL ELSE array_to_string(l, ',')
 SELECT coalesce(n.userId, s.userId) AS userId,
        coalesce(CASE WHEN n.userId IS NOT NULL THEN {_merge('n.tagsId', 's.tagsId')} END, s.tagsId) AS tagsId
 FROM n FULL OUTER JOIN stored s ON n.userId = s.userId"""),
-        "pipeline_cycle_merge": _with(cycle_merged_store + "\nSELECT userId, tagsId FROM m"),
+        "model_run_cycle_merge": _with(cycle_merged_store + "\nSELECT userId, tagsId FROM m"),
         "tag_coverage": _with(cycle_merged_store + """,
 ex AS (SELECT userId, unnest(list_distinct(list_filter(string_split(tagsId, ','), lambda x: NOT regexp_matches(x, '^\\s*$')))) AS tag
        FROM m WHERE NOT (tagsId IS NULL OR regexp_matches(tagsId, '^\\s*$')))

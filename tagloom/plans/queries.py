@@ -17,7 +17,7 @@ from tagloom.operators.merge import merge_tags, upsert_tags
 from tagloom.operators.taxonomy import by_level, children, find, rule_options, tags_with_models
 from tagloom.plans import scenario as S
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel
-from tagloom.plans.pipeline import model_inputs, run_model
+from tagloom.plans.runner import model_inputs, run_model
 from tagloom.schemas import LOGS_COLUMNS, ORDERS_COLUMNS
 from tagloom.session import materialize, scratch_path
 from tagloom.sources.extracts import read_extract, write_sorted_by_key
@@ -120,7 +120,7 @@ def distinct_user_tags(spark, sf_dir):
     return status_tags_drop(spark, sf_dir).distinct()
 
 
-# --- merge, replace, upsert, pipeline (C1 C4 D2 F9–F15 H1 H7 A4 A5) -------------------
+# --- merge, replace, upsert, model run (C1 C4 D2 F9–F15 H1 H7 A4 A5) -------------------
 
 def merge_tags_q(spark, sf_dir):
     c = Ctx(spark, sf_dir)
@@ -143,7 +143,7 @@ def upsert_store(spark, sf_dir):
     return upsert_tags(c.stored(), m.compute(rules, src), mode="merge")
 
 
-def pipeline_cycle_merge(spark, sf_dir):
+def model_run_cycle_merge(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     return run_model(spark, cycle_model(), c.tax, store=c.stored(), readers=c.readers).store
 
@@ -327,7 +327,7 @@ QUERIES = {
     "merge_tags": merge_tags_q,
     "replace_tags": replace_tags,
     "upsert_store": upsert_store,
-    "pipeline_cycle_merge": pipeline_cycle_merge,
+    "model_run_cycle_merge": model_run_cycle_merge,
     "tag_coverage": tag_coverage_q,
     "source_select": source_select,
     "rule_map": rule_map,

@@ -1,4 +1,4 @@
-"""The tagging pipeline: taxonomy -> rule -> rules -> source -> compute -> merge -> save.
+"""The tagging run: taxonomy -> rule -> rules -> source -> compute -> merge -> save.
 
 ``run_model`` returns the next store snapshot as a DataFrame (and writes it
 when a store root is given).  Plan shape: the level-4 rule is parsed by a

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import tag_coverage
 from tagloom.plans.models import ExactMatchModel, RecencyRangeModel
-from tagloom.plans.pipeline import run_model
+from tagloom.plans.runner import run_model
 from tagloom.sources import read_store, snapshots, taxonomy_frame
 from tests.conftest import rows
 
