@@ -187,6 +187,9 @@ m AS (SELECT coalesce(n.userId, s.userId) AS userId,
         "gender_tags": exact(4, "gender"),
         "job_tags": exact(7, "job"),
         "job_tags_sql": exact(7, "job"),
+        "job_tags_sql_fn": exact(7, "job"),
+        "merge_tags_sql": _with(f"""SELECT n.userId, {_merge('n.tagsId', 's.tagsId')} AS tagsId
+FROM cycle n LEFT JOIN stored s ON n.userId = s.userId"""),
         "status_tags_null": status("LEFT JOIN"),
         "status_tags_drop": status("JOIN"),
         "distinct_user_tags": _with("""st AS (SELECT CAST(max(id) AS VARCHAR) AS tag, rule FROM tax WHERE pid = 30 GROUP BY rule)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.functions.sql import register_sql_functions
 from tagloom.operators.aggregate import last_per_key, rfe_measures, tag_coverage
 from tagloom.operators.broadcast import maybe_broadcast
 from tagloom.operators.match import exact_rules
@@ -104,6 +105,29 @@ def job_tags_sql(spark, sf_dir):
     )
 
 
+def job_tags_sql_fn(spark, sf_dir):
+    """The job lookup as the reference's SQL surface: a function call in SQL text."""
+    c = Ctx(spark, sf_dir)
+    register_sql_functions(spark, c.tax)
+    _, _, src = c.inputs(ExactMatchModel(7))
+    src.createOrReplaceTempView("t_users_sql")
+    return spark.sql("SELECT id AS userId, CAST(tag_of(7, job) AS STRING) AS tagsId FROM t_users_sql")
+
+
+def merge_tags_sql(spark, sf_dir):
+    """The tag merge in SQL text (new ⟕ stored) with the registered ``tag_merge``."""
+    c = Ctx(spark, sf_dir)
+    register_sql_functions(spark)
+    m = cycle_model()
+    _, rules, src = c.inputs(m)
+    m.compute(rules, src).createOrReplaceTempView("t_new_tags")
+    c.stored().createOrReplaceTempView("t_stored_tags")
+    return spark.sql(
+        """SELECT n.userId, tag_merge(n.tagsId, o.tagsId) AS tagsId
+           FROM t_new_tags n LEFT JOIN t_stored_tags o ON n.userId = o.userId"""
+    )
+
+
 def status_model(policy: str) -> ExactMatchModel:
     return ExactMatchModel(30, key_field="memberId", value_field="orderstatus", on_unmatched=policy)
 
@@ -321,6 +345,8 @@ QUERIES = {
     "gender_tags": gender_tags,
     "job_tags": job_tags,
     "job_tags_sql": job_tags_sql,
+    "job_tags_sql_fn": job_tags_sql_fn,
+    "merge_tags_sql": merge_tags_sql,
     "status_tags_null": status_tags_null,
     "status_tags_drop": status_tags_drop,
     "distinct_user_tags": distinct_user_tags,

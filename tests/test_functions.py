@@ -106,3 +106,18 @@ def test_shifted_days(spark):
 @pytest.mark.parametrize("b,age", [("2000-08-01", 1), ("2000-08-02", 0), ("1960-02-29", 41), ("2001-08-01", 0)])
 def test_age_years(spark, b, age):
     assert one(spark, age_years(F.col("s"), "2001-08-01"), b) == age
+
+
+def test_sql_functions(spark):
+    from tagloom.functions.sql import register_sql_functions
+    from tagloom.sources import taxonomy_frame
+
+    tax = taxonomy_frame(spark, [(4, "gender", None, 4, 3), (5, "male", "1", 5, 4), (6, "female", "2", 5, 4), (9, "f2", "2", 5, 4)])
+    register_sql_functions(spark, tax)
+    for new, old, merged in MERGE_CASES:
+        got = spark.sql("SELECT tag_merge(:n, :o) AS m", args={"n": new, "o": old}).first()["m"]
+        assert got == merged, (new, old)
+    r = spark.sql("SELECT tag_of(4, '1') a, tag_of(4, '2') b, tag_of(4, '3') c, tag_canonical('10,9,,9,2') d").first()
+    assert (r["a"], r["b"], r["c"], r["d"]) == (5, 9, None, "2,9,10")
+    plan = spark.sql("SELECT tag_merge(s, s) FROM VALUES ('1') AS t(s)")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
