@@ -98,3 +98,34 @@ def write_snapshot(df: DataFrame, root: str, buckets: int | None = None) -> str:
     else:
         out.write.parquet(path)
     return path
+
+
+def prune_snapshots(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Retention for a frequently scheduled store: keep the newest ``keep``
+    committed snapshots; remove older ones and any uncommitted folder (a run
+    that died before its commit) older than the newest committed snapshot.
+    Returns the removed paths.  Readers only ever open committed snapshots,
+    so removal never races with a correct reader of the newest one.
+    """
+    if keep < 1:
+        raise ValueError("keep must be >= 1")
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    committed = snapshots(spark, root)
+    if not committed:
+        return []
+    newest = committed[-1]
+    doomed = committed[:-keep] if len(committed) > keep else []
+    for st in fs.listStatus(p):
+        path = st.getPath().toString()
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(_PREFIX) and path not in committed and path < newest:
+            doomed.append(path)
+    jvm = spark.sparkContext._jvm
+    for path in doomed:
+        table = _table_name(path)
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")  # external table: files removed below
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+    return sorted(doomed)

@@ -88,3 +88,20 @@ def test_bucketed_store_upsert_shuffles_only_new(spark, tmp_path):
         assert len(got) == 2500 and got["0"] == "1" and got["1600"] == "2,1" and got["2400"] == "2"
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_snapshot_retention_and_reregistration(spark, tmp_path):
+    import os
+
+    from tagloom.sources import prune_snapshots, read_store, snapshots, write_snapshot
+    from tagloom.sources.store import _table_name
+
+    root = str(tmp_path / "rstore")
+    for i in range(4):
+        write_snapshot(spark.createDataFrame([(str(i), "1")], "userId string, tagsId string"), root, buckets=2)
+    os.makedirs(tmp_path / "rstore" / "snapshot-00000000T000000000000-dead")  # a run that died before commit
+    removed = prune_snapshots(spark, root, keep=2)
+    assert len(removed) == 3 and len(snapshots(spark, root)) == 2
+    newest = snapshots(spark, root)[-1]
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(newest)}")  # as in a new session's catalog
+    assert [tuple(r) for r in read_store(spark, root).collect()] == [("3", "1")]
