@@ -60,7 +60,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     from the session conf; only if both are unset (local runs, tests) a
     fresh local temp folder is made and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — a Spark Connect session has no SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

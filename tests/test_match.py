@@ -62,3 +62,12 @@ def test_range_bucketed_fallback_equals_broadcast(spark):
     a = rows(range_match(vals, rules, "days"), "userId", "tagsId")
     b = rows(range_match(vals, rules, "days", max_broadcast_rows=0), "userId", "tagsId")
     assert a == b and len(a) > 3000
+
+
+def test_range_fallback_with_overlapping_wide_rules(spark):
+    vals = spark.range(0, 500).select(F.col("id").cast("string").alias("userId"), (F.col("id") * 7 % 3200 - 100).cast("int").alias("days"))
+    wide = [(i, 0, 3000) for i in range(60)] + [(100 + i, 10 * i, 10 * i + 5) for i in range(60)]
+    rules = spark.createDataFrame(wide, "tagsId long, start int, end int")
+    a = rows(range_match(vals, rules, "days"), "userId", "tagsId")
+    b = rows(range_match(vals, rules, "days", max_broadcast_rows=0), "userId", "tagsId")
+    assert a == b and len(a) > 60 * 400
