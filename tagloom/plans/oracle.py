@@ -159,6 +159,23 @@ SELECT {cols}
 FROM split WHERE len(f) IN ({n - 1}, {n})"""
 
 
+def _ingest_users() -> str:
+    return """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS username,
+       CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '2' END AS gender,
+       strftime(DATE '1940-01-01' + CAST((c_custkey * 7919) % 21915 AS INTEGER), '%Y-%m-%d') AS birthday,
+       c_mktsegment AS job, CAST(c_nationkey AS VARCHAR) AS nationality,
+       CAST(c_acctbal AS VARCHAR) AS money, '\\N' AS is_blacklist
+FROM customer"""
+
+
+def _ingest_goods() -> str:
+    return """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
+       CAST(l_orderkey AS VARCHAR) AS orderid, CAST(l_partkey AS VARCHAR) AS productid,
+       CAST(l_extendedprice AS VARCHAR) AS price, CAST(l_quantity AS VARCHAR) AS number,
+       l_linestatus AS status, '\\N' AS ogcolor
+FROM lineitem"""
+
+
 def _ingest_orders() -> str:
     return """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS memberid,
        o_orderstatus AS orderstatus, CAST(o_totalprice AS VARCHAR) AS orderamount,
@@ -238,6 +255,8 @@ FROM cat c LEFT JOIN models m ON m.tag_id = c.id WHERE c.level = 4"""),
         "ingest_logs": _parse_logs(False),
         "ingest_arity": _parse_logs(True),
         "ingest_orders": _ingest_orders(),
+        "ingest_users": _ingest_users(),
+        "ingest_goods": _ingest_goods(),
         "bulk_sorted_by_key": _parse_logs(False),
         "activity_rfe": f"""WITH l AS (SELECT CAST(user_id AS VARCHAR) AS userId, event_type AS act,
                   CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS t FROM events),

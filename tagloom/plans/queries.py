@@ -19,7 +19,7 @@ from tagloom.operators.taxonomy import by_level, children, find, rule_options, t
 from tagloom.plans import scenario as S
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel
 from tagloom.plans.runner import model_inputs, run_model
-from tagloom.schemas import LOGS_COLUMNS, ORDERS_COLUMNS
+from tagloom.schemas import GOODS_COLUMNS, LOGS_COLUMNS, ORDERS_COLUMNS, USERS_COLUMNS
 from tagloom.session import materialize, scratch_path
 from tagloom.sources.extracts import read_extract, write_sorted_by_key
 
@@ -304,6 +304,50 @@ def ingest_orders(spark, sf_dir):
     return rows.select("id", "memberid", "orderstatus", "orderamount", "finishtime", "remark", "modified")
 
 
+def users_lines(customer: DataFrame) -> DataFrame:
+    """Lines in the 38-field users extract layout (unmapped fields ``\\N``)."""
+    key = F.col("c_custkey")
+    mapped = {
+        "id": key.cast("string"),
+        "username": F.col("c_name"),
+        "gender": F.when(key % 2 == 0, F.lit("1")).otherwise(F.lit("2")),
+        "job": F.col("c_mktsegment"),
+        "birthday": F.date_format(
+            F.date_add(F.lit("1940-01-01").cast("date"), ((key * F.lit(7919)) % F.lit(21915)).cast("int")), "yyyy-MM-dd"
+        ),
+        "money": F.col("c_acctbal").cast("string"),
+        "nationality": F.col("c_nationkey").cast("string"),
+    }
+    fields = [mapped.get(c, F.lit("\\N")) for c in USERS_COLUMNS]
+    return customer.select(F.concat_ws("\x01", *fields).alias("value"))
+
+
+def ingest_users(spark, sf_dir):
+    t = S.load_tables(spark, sf_dir, ("customer",))
+    rows = read_extract(spark, write_extract(spark, users_lines(t["customer"]), "users"), "users")
+    return rows.select("id", "username", "gender", "birthday", "job", "nationality", "money", "is_blacklist")
+
+
+def goods_lines(lineitem: DataFrame) -> DataFrame:
+    """Lines in the 97-field goods extract layout (unmapped fields ``\\N``)."""
+    mapped = {
+        "id": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
+        "orderid": F.col("l_orderkey").cast("string"),
+        "productid": F.col("l_partkey").cast("string"),
+        "price": F.col("l_extendedprice").cast("string"),
+        "number": F.col("l_quantity").cast("string"),
+        "status": F.col("l_linestatus"),
+    }
+    fields = [mapped.get(c, F.lit("\\N")) for c in GOODS_COLUMNS]
+    return lineitem.select(F.concat_ws("\x01", *fields).alias("value"))
+
+
+def ingest_goods(spark, sf_dir):
+    t = S.load_tables(spark, sf_dir, ("lineitem",))
+    rows = read_extract(spark, write_extract(spark, goods_lines(t["lineitem"]), "goods"), "goods")
+    return rows.select("id", "orderid", "productid", "price", "number", "status", "ogcolor")
+
+
 def bulk_sorted_by_key(spark, sf_dir):
     """Ingest and publish sorted by key into the shared scratch folder; read back."""
     path = scratch_path(spark, "bulk-logs")
@@ -364,6 +408,8 @@ QUERIES = {
     "ingest_logs": ingest_logs,
     "ingest_arity": ingest_arity,
     "ingest_orders": ingest_orders,
+    "ingest_users": ingest_users,
+    "ingest_goods": ingest_goods,
     "bulk_sorted_by_key": bulk_sorted_by_key,
     "activity_rfe": activity_rfe,
     "age_band_tags": age_band_tags,
