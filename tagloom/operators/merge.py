@@ -63,10 +63,16 @@ def upsert_tags(
 
     ``merge``: a new user's list is merged into the stored one;
     ``replace``: a new user's list replaces the stored one.  A null result
-    cell keeps the stored cell.  One full outer join, both sides keyed.
+    cell keeps the stored cell.  Rows without a key are not stored.  One
+    full outer join, both sides keyed.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    # a store row needs a key: keyless new rows are dropped before the
+    # aggregate (they would never match in the join, and a null-key group is
+    # a classic hot key), and keyless stored rows are not carried forward
+    new = new.where(F.col(key).isNotNull())
+    store = store.where(F.col(key).isNotNull())
     n = collapse_new_tags(new, key, tags).select(F.col(key), F.col(tags).alias("__new"), F.lit(True).alias("__in_new"))
     o = store.select(F.col(key).cast("string").alias(key), F.col(tags).cast("string").alias("__old"))
     j = n.join(o, on=key, how="full_outer")

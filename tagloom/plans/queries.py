@@ -25,7 +25,7 @@ from tagloom.sources.extracts import read_extract, write_sorted_by_key
 
 
 class Ctx:
-    """Tables, registered source views and the base taxonomy for one sf dir."""
+    """Tables, source readers and the base taxonomy for one sf dir."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark

@@ -75,3 +75,11 @@ def test_merge_properties(spark, data):
         assert new_tags <= merged  # every new tag is added
     keys = {r["userId"] for r in upsert_tags(old, new).collect()}
     assert keys == {u for u, _, _ in data}
+
+
+def test_upsert_drops_keyless_rows(spark):
+    s = spark.createDataFrame([("u1", "1"), (None, "2")], "userId string, tagsId string")
+    n = spark.createDataFrame([(None, "3"), ("u1", "4"), (None, "5")], "userId string, tagsId string")
+    once = upsert_tags(s, n)
+    assert rows(once) == [("u1", "4,1")]
+    assert rows(upsert_tags(once, n)) == [("u1", "4,1")]  # stable across runs
