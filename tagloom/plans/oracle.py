@@ -248,7 +248,7 @@ WHERE pid IN (SELECT id FROM cat WHERE name = 'ECONOMY' AND level = 1 AND pid =
 models AS (SELECT CAST(id AS BIGINT) AS id, CAST(tag_id AS BIGINT) AS tag_id, model_name, CAST(state AS INTEGER) AS state
            FROM {_MODELS}
            UNION ALL
-           SELECT id + 100000, id, 'BrandModel_' || CAST(id AS VARCHAR), 1 FROM cat
+           SELECT id + 100000, id, 'brand_' || CAST(id AS VARCHAR), 1 FROM cat
            WHERE level = 4 AND starts_with(name, 'Brand#1'))
 SELECT c.id, c.name, m.id AS model_id, m.model_name, m.state
 FROM cat c LEFT JOIN models m ON m.tag_id = c.id WHERE c.level = 4"""),

@@ -75,12 +75,12 @@ JOB_TAG_BASE = 700
 # Model registry rows of the head models.
 # (id, tag_id, model_name, state, model_main, sche_time)
 HEAD_MODELS = [
-    (1, 4, "GenderModel", 3, "tagloom.GenderModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
-    (2, 7, "JobModel", 3, "tagloom.JobModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
-    (3, 14, "AgeModel", 1, "tagloom.AgeModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
-    (4, 23, "CycleModel", 3, "tagloom.CycleModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
-    (5, 30, "OrderStatusModel", 3, "tagloom.OrderStatusModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
-    (6, 45, "ActivityModel", 2, "tagloom.ActivityModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
+    (1, 4, "gender", 3, "tagloom.plans.models.ExactMatchModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
+    (2, 7, "job", 3, "tagloom.plans.models.ExactMatchModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
+    (3, 14, "age", 1, "tagloom.plans.models.AgeRangeModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
+    (4, 23, "purchase_cycle", 3, "tagloom.plans.models.RecencyRangeModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
+    (5, 30, "order_status", 3, "tagloom.plans.models.ExactMatchModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
+    (6, 45, "activity", 2, "tagloom.plans.models.ActivityModel", "1,2019-12-01 00:00,2029-12-01 00:00"),
 ]
 
 
@@ -253,10 +253,10 @@ def models_registry(spark: SparkSession, taxonomy: DataFrame) -> DataFrame:
     brand = taxonomy.where((F.col("level") == 4) & F.col("name").startswith("Brand#1")).select(
         (F.col("id") + F.lit(100000)).cast("bigint").alias("id"),
         F.col("id").cast("bigint").alias("tag_id"),
-        F.concat(F.lit("BrandModel_"), F.col("id").cast("string")).alias("model_name"),
+        F.concat(F.lit("brand_"), F.col("id").cast("string")).alias("model_name"),
         F.lit(1).alias("state"),
         F.lit(None).cast("string").alias("model_path"),
-        F.lit("tagloom.BrandModel").alias("model_main"),
+        F.lit("tagloom.plans.models.ExactMatchModel").alias("model_main"),
         F.lit("1,2019-12-01 00:00,2029-12-01 00:00").alias("sche_time"),
         F.lit(None).cast("string").alias("args"),
         F.lit("2019-12-01 00:00:00").cast("timestamp").alias("ctime"),

@@ -38,9 +38,9 @@ def test_level4_meta(spark, tax):
 
 
 def test_tags_with_models(spark, tax):
-    models = models_frame(spark, [(1, 4, "GenderModel", 3, "m.Gender", "1,2019-12-01 00:00,2029-12-01 00:00")])
+    models = models_frame(spark, [(1, 4, "gender", 3, "tagloom.plans.models.ExactMatchModel", "1,2019-12-01 00:00,2029-12-01 00:00")])
     got = rows(tags_with_models(tax, models, pid=3).select("id", "model_name"))
-    assert got == [(4, "GenderModel")]
+    assert got == [(4, "gender")]
     got = rows(tags_with_models(tax, models, pid=4).select("id", "model_name"))
     assert got == [(5, None), (6, None)]
 
