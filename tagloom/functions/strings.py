@@ -30,8 +30,9 @@ def java_split(s: Column | str, pattern: str) -> Column:
     ``[""]`` because nothing matched.  Spark's own ``split`` keeps the
     trailing empties, hence this wrapper.  Null in -> null out.
 
-    For a one-character separator the trailing run is stripped with one
-    regex before a single split (cheap on wide lines); for longer
+    For a one-character separator the trailing run is stripped (``rtrim``
+    with that character, no regex) before a single split — cheap on wide
+    lines; for longer
     separators the trailing empties are trimmed from the split array, since
     stripping a repeated multi-character separator from the end is not the
     same (``"a###"`` split on ``##`` keeps ``"#"``).
@@ -39,8 +40,7 @@ def java_split(s: Column | str, pattern: str) -> Column:
     s = _c(s)
     single = len(pattern) == 1 or (len(pattern) == 2 and pattern[0] == "\\")
     if single:
-        sep = pattern if len(pattern) == 2 else _re_escape(pattern)
-        stripped = F.regexp_replace(s, f"(?:{sep})+$", "")
+        stripped = strip_trailing(s, pattern[-1])
         body = F.when(stripped == F.lit(""), F.array().cast("array<string>")).otherwise(
             F.split(stripped, pattern, -1)
         )
@@ -51,8 +51,9 @@ def java_split(s: Column | str, pattern: str) -> Column:
     ).otherwise(body)
 
 
-def _re_escape(ch: str) -> str:
-    return "\\" + ch if ch in ".[]{}()\\*+?^$|-" else ch
+def strip_trailing(s: Column, ch: str) -> Column:
+    """Remove the run of ``ch`` at the end of ``s`` (no regex: SQL rtrim with a trim set)."""
+    return F.call_function("rtrim", F.lit(ch), s)
 
 
 # Java's definition of white space (Character.isWhitespace), as the blank test uses.

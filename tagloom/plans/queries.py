@@ -268,14 +268,22 @@ def write_extract(spark: SparkSession, lines: DataFrame, name: str) -> str:
     return path
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A warehouse export arrives as many files; a small test table can be a
+    single split.  Spread such a source over the cores before building its
+    extract lines (a no-op for a source already split at least that far)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ingest_logs(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("events",))
-    return read_extract(spark, write_extract(spark, logs_lines(t["events"]), "logs"), LOGS_COLUMNS)
+    return read_extract(spark, write_extract(spark, logs_lines(spread(t["events"])), "logs"), LOGS_COLUMNS)
 
 
 def ingest_arity(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("events",))
-    path = write_extract(spark, logs_lines(t["events"], arity_cases=True), "logs-arity")
+    path = write_extract(spark, logs_lines(spread(t["events"]), arity_cases=True), "logs-arity")
     return read_extract(spark, path, LOGS_COLUMNS)
 
 
@@ -300,7 +308,7 @@ def orders_lines(orders: DataFrame) -> DataFrame:
 
 def ingest_orders(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("orders",))
-    rows = read_extract(spark, write_extract(spark, orders_lines(t["orders"]), "orders"), "orders")
+    rows = read_extract(spark, write_extract(spark, orders_lines(spread(t["orders"])), "orders"), "orders")
     return rows.select("id", "memberid", "orderstatus", "orderamount", "finishtime", "remark", "modified")
 
 
@@ -324,7 +332,7 @@ def users_lines(customer: DataFrame) -> DataFrame:
 
 def ingest_users(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("customer",))
-    rows = read_extract(spark, write_extract(spark, users_lines(t["customer"]), "users"), "users")
+    rows = read_extract(spark, write_extract(spark, users_lines(spread(t["customer"])), "users"), "users")
     return rows.select("id", "username", "gender", "birthday", "job", "nationality", "money", "is_blacklist")
 
 
@@ -344,7 +352,7 @@ def goods_lines(lineitem: DataFrame) -> DataFrame:
 
 def ingest_goods(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("lineitem",))
-    rows = read_extract(spark, write_extract(spark, goods_lines(t["lineitem"]), "goods"), "goods")
+    rows = read_extract(spark, write_extract(spark, goods_lines(spread(t["lineitem"])), "goods"), "goods")
     return rows.select("id", "orderid", "productid", "price", "number", "status", "ogcolor")
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.functions.strings import _re_escape, java_split
+from tagloom.functions.strings import java_split, strip_trailing
 from tagloom.schemas import EXTRACT_COLUMNS, EXTRACT_SEP
 
 
@@ -29,7 +29,7 @@ def parse_lines(lines: DataFrame, columns: list[str], line_col: str = "value", s
     line = F.col(line_col)
     if len(sep) == 1:
         # arity without splitting: separators left after stripping the trailing run, + 1
-        stripped = F.regexp_replace(line, "(?:" + _re_escape(sep) + ")+$", "")
+        stripped = strip_trailing(line, sep)
         width = (
             F.when(line == F.lit(""), F.lit(1))
             .when(stripped == F.lit(""), F.lit(0))
