@@ -85,18 +85,26 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
     ``(pid, name)``, continuing across levels), found tags are reused, and
     a null or empty name ends a path.  Returns the whole new taxonomy.
 
-    Plan: the distinct paths are resolved against the existing tags in one
-    materialised pass (one join per level with the small tag frame); one
-    aggregate then counts the new tags per level, which fixes every level's
-    id offset; the ids themselves are lazy windows over the (small, counted)
-    new-tag sets, each level joining the previous level's new ids for
-    parents that are new themselves.
+    Plan (no per-level passes):
+
+    1. The distinct paths are resolved against the existing tags — one join
+       per level with the small tag frame — and materialised once.
+    2. Every missing prefix is a new tag.  Its place in the level-by-level
+       ``(pid, name)`` order is fixed by its own row: a new tag's deepest
+       existing ancestor at depth ``a`` (the root counts as depth 0) and
+       that ancestor's id, then the new names below it.  Parents that
+       exist sort before parents that are new (whose ids are all higher),
+       and new parents sort by the same key one level up — so the order is
+       ``(a descending, anchor id, names below the anchor)``.
+    3. One aggregate counts the new tags per level (each level's id
+       offset); ids are one window per level over that small counted set;
+       a new tag under a new parent takes its parent's id by one self-join
+       on the path.
     """
     depth_n = len(cols)
     names = [F.col(c).cast("string") for c in cols]
-    # a path ends at its first null/empty name
     valid = [F.lit(True)]
-    for i, c in enumerate(names):
+    for c in names:
         valid.append(valid[-1] & c.isNotNull() & (c != ""))
     distinct_paths = paths.select(
         *[F.when(valid[i + 1], names[i]).alias(cols[i]) for i in range(depth_n)]
@@ -106,7 +114,8 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
     size = measure(existing, extra={"top": F.max("id")})
     top = int(size.extra["top"] or 0)
     existing = F.broadcast(existing) if size.fits() else existing
-    # e<d>: id of the existing tag for the prefix l1..ld (null if absent)
+    # e<d>: id of the existing tag for the prefix l1..ld (null if absent);
+    # absence is prefix-closed: below a missing tag nothing can exist
     res = distinct_paths
     parent = F.lit(ROOT_PID).cast("bigint")
     for d, c in enumerate(cols, start=1):
@@ -117,48 +126,58 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
         parent = F.col(f"e{d}")
     res = materialize(res)
 
-    # new tags per level: prefixes that exist in the paths but not in the taxonomy
-    def new_at(d: int) -> DataFrame:
-        pe = F.lit(ROOT_PID).cast("bigint") if d == 1 else F.col(f"e{d - 1}")
-        return res.where(F.col(cols[d - 1]).isNotNull() & F.col(f"e{d}").isNull()).select(
-            *[F.col(c) for c in cols[:d]], pe.alias("__pe")
-        ).distinct()
-
-    counts = {d: 0 for d in range(1, depth_n + 1)}
-    per_level = None
+    # one row per new tag: level, its path, anchor depth a and anchor id
+    parts = []
     for d in range(1, depth_n + 1):
-        part = new_at(d).select(F.lit(d).alias("__lvl"))
-        per_level = part if per_level is None else per_level.unionByName(part)
-    for r in per_level.groupBy("__lvl").count().collect():
-        counts[int(r["__lvl"])] = int(r["count"])
-
-    now = F.current_timestamp()
-    tax = taxonomy
-    prev_ids = None  # (l1..l_{d-1}, __nid) of the previous level's new tags
+        e = [F.col(f"e{k}") for k in range(1, d)]
+        a = sum((F.when(x.isNotNull(), 1).otherwise(0) for x in e), F.lit(0))
+        anchor = F.coalesce(*reversed(e), F.lit(ROOT_PID).cast("bigint")) if e else F.lit(ROOT_PID).cast("bigint")
+        parts.append(res.where(F.col(cols[d - 1]).isNotNull() & F.col(f"e{d}").isNull()).select(
+            F.lit(d).alias("level"),
+            F.array(*[F.col(c) for c in cols[:d]]).alias("path"),
+            a.alias("a"),
+            anchor.cast("bigint").alias("anchor"),
+        ))
+    new = parts[0]
+    for p in parts[1:]:
+        new = new.unionByName(p)
+    new = materialize(new.distinct())
+
+    counts = {int(r["level"]): int(r["count"]) for r in new.groupBy("level").count().collect()}
+    offsets, run = {}, top
     for d in range(1, depth_n + 1):
-        cur = new_at(d)
-        if prev_ids is not None:
-            cur = cur.join(prev_ids, on=list(cols[: d - 1]), how="left")
-            pid = F.coalesce(F.col("__pe"), F.col("__nid"))
-        else:
-            pid = F.col("__pe")
-        cur = cur.select(*[F.col(c) for c in cols[:d]], pid.alias("pid"), F.col(cols[d - 1]).alias("name"))
-        if counts[d] <= SMALL_LEVEL:
-            # proven small by the count: one ordered window over this level's new tags
-            ided = cur.withColumn("id", F.lit(top) + F.row_number().over(Window.orderBy("pid", "name")))
-        else:
-            ided, _ = assign_dense_ids_counted(cur, ["pid", "name"], top)
-        top += counts[d]
-        # materialised: the next level and the union both read it
-        ided = materialize(ided) if d < depth_n else ided
-        tax = tax.unionByName(ided.select(
-            F.col("id").cast("bigint").alias("id"),
-            F.col("name"),
-            F.lit(None).cast("string").alias("rule"),
-            F.lit(d).cast("int").alias("level"),
-            F.col("pid").cast("bigint").alias("pid"),
-            now.alias("ctime"),
-            now.alias("utime"),
-        ).select(*taxonomy.columns))
-        prev_ids = ided.select(*[F.col(c) for c in cols[:d]], F.col("id").alias("__nid"))
-    return tax
+        offsets[d] = run
+        run += counts.get(d, 0)
+    below = F.slice(F.col("path"), F.col("a") + 1, F.col("level") - F.col("a"))
+    keyed = new.withColumn("__na", -F.col("a")).withColumn("__below", below)
+    if max(counts.values(), default=0) <= SMALL_LEVEL:
+        # proven small by the counts: one ordered window per level
+        rank = F.row_number().over(Window.partitionBy("level").orderBy("__na", "anchor", "__below"))
+        offset = F.create_map(*[x for d, o in offsets.items() for x in (F.lit(d), F.lit(o).cast("bigint"))])
+        ided = keyed.withColumn("id", offset[F.col("level")] + rank)
+    else:
+        pieces = []
+        for d in range(1, depth_n + 1):
+            piece, _ = assign_dense_ids_counted(keyed.where(F.col("level") == d), ["__na", "anchor", "__below"], offsets[d])
+            pieces.append(piece)
+        ided = pieces[0]
+        for p in pieces[1:]:
+            ided = ided.unionByName(p)
+    ided = materialize(ided.drop("__na", "__below"))
+
+    # parent id: the anchor when the parent exists, else the new parent's id
+    parents = ided.select(F.col("path").alias("__ppath"), F.col("id").alias("__pnew"))
+    child_parent = F.slice(F.col("path"), 1, F.col("level") - 1)
+    linked = ided.join(parents, child_parent == F.col("__ppath"), "left")
+    pid = F.when(F.col("a") == F.col("level") - 1, F.col("anchor")).otherwise(F.col("__pnew"))
+    now = F.current_timestamp()
+    added = linked.select(
+        F.col("id").cast("bigint").alias("id"),
+        F.element_at(F.col("path"), F.col("level")).alias("name"),
+        F.lit(None).cast("string").alias("rule"),
+        F.col("level").cast("int").alias("level"),
+        pid.cast("bigint").alias("pid"),
+        now.alias("ctime"),
+        now.alias("utime"),
+    )
+    return taxonomy.unionByName(added.select(*taxonomy.columns))
