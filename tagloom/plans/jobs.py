@@ -11,6 +11,14 @@ The level-4 rule of ``--tag-id`` names the source (``inType`` +
 ``hbaseTable``/``path``); ``--register name=path`` exposes parquet folders
 as the tables the rules name.  The next store snapshot is written under
 ``--store-root``.  Connection settings come only from the options.
+
+Ingest of a ``\\x01`` extract (one of ``logs users orders goods``)::
+
+    spark-submit tagloom/plans/jobs.py ingest --kind logs --src s3a://in/logs/ --dest s3a://out/logs-sorted/
+    spark-submit tagloom/plans/jobs.py ingest --kind logs --src s3a://in/logs/ --dest s3a://out/logs/ --stream
+
+The batch form publishes the rows sorted by key; ``--stream`` runs the
+incremental form (only files not seen before, ``availableNow``).
 """
 
 from __future__ import annotations
@@ -61,8 +69,34 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
+def ingest_main(argv: list[str]) -> str:
+    from tagloom.schemas import EXTRACT_COLUMNS
+    from tagloom.sources.extracts import ingest
+    from tagloom.streaming import start_extract_stream
+
+    p = argparse.ArgumentParser(prog="tagloom-ingest")
+    p.add_argument("--kind", required=True, choices=sorted(EXTRACT_COLUMNS))
+    p.add_argument("--src", required=True)
+    p.add_argument("--dest", required=True)
+    p.add_argument("--partitions", type=int)
+    p.add_argument("--stream", action="store_true")
+    a = p.parse_args(argv)
+    spark = get_session(app=f"tagloom-ingest-{a.kind}")
+    if a.stream:
+        start_extract_stream(spark, a.src, a.kind, a.dest).awaitTermination()
+    else:
+        ingest(spark, a.src, a.kind, a.dest, partitions=a.partitions)
+    print(a.dest)
+    return a.dest
+
+
 def main(argv: list[str] | None = None) -> str:
-    a = parse_args(sys.argv[1:] if argv is None else argv)
+    argv = sys.argv[1:] if argv is None else list(argv)
+    if argv and argv[0] == "ingest":
+        return ingest_main(argv[1:])
+    if argv and argv[0] == "model":
+        argv = argv[1:]
+    a = parse_args(argv)
     spark = get_session(app=f"tagloom-{a.model}-{a.tag_id}",
                         shuffle_partitions=a.store_buckets if a.store_buckets else None)
     for reg in a.register:

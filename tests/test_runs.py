@@ -105,3 +105,16 @@ def test_snapshot_retention_and_reregistration(spark, tmp_path):
     newest = snapshots(spark, root)[-1]
     spark.sql(f"DROP TABLE IF EXISTS {_table_name(newest)}")  # as in a new session's catalog
     assert [tuple(r) for r in read_store(spark, root).collect()] == [("3", "1")]
+
+
+def test_ingest_cli(spark, tmp_path):
+    from tagloom.plans.jobs import main
+    from tagloom.schemas import LOGS_COLUMNS
+
+    src = tmp_path / "logs"
+    src.mkdir()
+    lines = ["\x01".join([str(k)] + [f"f{i}" for i in range(1, len(LOGS_COLUMNS))]) for k in (3, 1, 2)]
+    (src / "part-0.txt").write_text("\n".join(lines + ["bad\x01line"]) + "\n")
+    dest = str(tmp_path / "out")
+    main(["ingest", "--kind", "logs", "--src", str(src), "--dest", dest, "--partitions", "2"])
+    assert [r["id"] for r in spark.read.parquet(dest).collect()] == ["1", "2", "3"]
