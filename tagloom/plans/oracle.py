@@ -225,6 +225,15 @@ SELECT coalesce(n.userId, s.userId) AS userId,
        coalesce(CASE WHEN n.userId IS NOT NULL THEN {_merge('n.tagsId', 's.tagsId')} END, s.tagsId) AS tagsId
 FROM n FULL OUTER JOIN stored s ON n.userId = s.userId"""),
         "model_run_cycle_merge": _with(cycle_merged_store + "\nSELECT userId, tagsId FROM m"),
+        "model_run_multi": _with("""st AS (SELECT CAST(max(id) AS VARCHAR) AS tag, rule FROM tax WHERE pid = 30 GROUP BY rule),
+toks AS (SELECT userId, tagsId AS t FROM cycle
+         UNION ALL SELECT o.memberId, st.tag FROM osrc o JOIN st ON o.orderstatus = st.rule
+         UNION ALL SELECT userId, unnest(string_split(tagsId, ',')) FROM stored WHERE tagsId IS NOT NULL),
+keys AS (SELECT userId FROM cycle UNION SELECT o.memberId FROM osrc o JOIN st ON o.orderstatus = st.rule
+         UNION SELECT userId FROM stored),
+ids AS (SELECT userId, CAST(trim(t) AS BIGINT) AS id FROM toks WHERE trim(t) <> '')
+SELECT k.userId, (SELECT array_to_string(list_sort(list_distinct(list(i.id))), ',') FROM ids i WHERE i.userId = k.userId) AS tagsId
+FROM keys k"""),
         "tag_coverage": _with(cycle_merged_store + """,
 ex AS (SELECT userId, unnest(list_distinct(list_filter(string_split(tagsId, ','), lambda x: NOT regexp_matches(x, '^\\s*$')))) AS tag
        FROM m WHERE NOT (tagsId IS NULL OR regexp_matches(tagsId, '^\\s*$')))

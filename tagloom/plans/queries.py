@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.sql import register_sql_functions
+from tagloom.functions.tags import canonical_tags
 from tagloom.operators.aggregate import last_per_key, rfe_measures, tag_coverage
 from tagloom.operators.broadcast import maybe_broadcast
 from tagloom.operators.match import exact_rules
@@ -18,7 +19,7 @@ from tagloom.operators.merge import merge_tags, upsert_tags
 from tagloom.operators.taxonomy import by_level, children, find, rule_options, tags_with_models
 from tagloom.plans import scenario as S
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel
-from tagloom.plans.runner import model_inputs, run_model
+from tagloom.plans.runner import model_inputs, run_model, run_models
 from tagloom.schemas import GOODS_COLUMNS, LOGS_COLUMNS, ORDERS_COLUMNS, USERS_COLUMNS
 from tagloom.session import materialize, scratch_path
 from tagloom.sources.extracts import read_extract, write_sorted_by_key
@@ -172,6 +173,15 @@ def model_run_cycle_merge(spark, sf_dir):
     return run_model(spark, cycle_model(), c.tax, store=c.stored(), readers=c.readers).store
 
 
+def model_run_multi(spark, sf_dir):
+    """Purchase-cycle and order-status models in one slot: one store upsert.
+    Lists in canonical form (the combined run orders tags differently from
+    one-by-one runs; the sets are equal)."""
+    c = Ctx(spark, sf_dir)
+    run = run_models(spark, [cycle_model(), status_model("drop")], c.tax, store=c.stored(), readers=c.readers)
+    return run.store.select("userId", canonical_tags("tagsId").alias("tagsId"))
+
+
 def tag_coverage_q(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     store = run_model(spark, cycle_model(), c.tax, store=c.stored(), readers=c.readers).store
@@ -406,6 +416,7 @@ QUERIES = {
     "replace_tags": replace_tags,
     "upsert_store": upsert_store,
     "model_run_cycle_merge": model_run_cycle_merge,
+    "model_run_multi": model_run_multi,
     "tag_coverage": tag_coverage_q,
     "source_select": source_select,
     "rule_map": rule_map,

@@ -66,3 +66,45 @@ def run_model(
         path = write_snapshot(nxt, store_root, buckets)
         nxt = read_snapshot(spark, path)
     return ModelRun(new=new, merged=merged, store=nxt, path=path)
+
+
+def run_models(
+    spark: SparkSession,
+    models: list[TagModel],
+    taxonomy: DataFrame,
+    store: DataFrame | None = None,
+    store_root: str | None = None,
+    readers: dict[str, Reader] | None = None,
+    write: bool = False,
+    buckets: int | None = None,
+) -> ModelRun:
+    """Several merge-mode models of one schedule slot as one job.
+
+    Each model's new tags are computed as in ``run_model``; they are unioned
+    and merged into the store by a single upsert, so the store — the largest
+    input — is read, shuffled and written once per slot instead of once per
+    model.  The result equals running the models one after another up to
+    the order of tags inside a list (same ``canonical_tags``).  Replace-mode
+    models overwrite whole cells, so their order matters: run them alone.
+    """
+    if any(m.mode != "merge" for m in models):
+        raise ValueError("run_models combines merge-mode models only; run replace-mode models with run_model")
+    news = []
+    for m in models:
+        _, rules, source = model_inputs(spark, m, taxonomy, readers)
+        news.append(m.compute(rules, source).select("userId", "tagsId"))
+    new = news[0]
+    for n in news[1:]:
+        new = new.unionByName(n)
+    old = store if store is not None else (read_store(spark, store_root) if store_root else None)
+    if old is None:
+        old = spark.createDataFrame([], "userId string, tagsId string")
+    merged = merge_tags(new, old)
+    nxt = upsert_tags(old, new, mode="merge")
+    path = None
+    if write:
+        if not store_root:
+            raise ValueError("write=True needs store_root")
+        path = write_snapshot(nxt, store_root, buckets)
+        nxt = read_snapshot(spark, path)
+    return ModelRun(new=new, merged=merged, store=nxt, path=path)

@@ -118,3 +118,20 @@ def test_ingest_cli(spark, tmp_path):
     dest = str(tmp_path / "out")
     main(["ingest", "--kind", "logs", "--src", str(src), "--dest", dest, "--partitions", "2"])
     assert [r["id"] for r in spark.read.parquet(dest).collect()] == ["1", "2", "3"]
+
+
+def test_run_models_equals_sequential_runs(spark):
+    from tagloom.functions import canonical_tags
+    from tagloom.plans.runner import run_models
+    from tagloom.plans import scenario as S
+    from tagloom.plans.queries import Ctx, cycle_model, status_model
+
+    c = Ctx(spark, "/root/testdata/sf0.001")
+    store = c.stored()
+    m1, m2 = cycle_model(), status_model("drop")
+    seq = run_model(spark, m2, c.tax, store=run_model(spark, m1, c.tax, store=store, readers=c.readers).store,
+                    readers=c.readers).store
+    one = run_models(spark, [m1, m2], c.tax, store=store, readers=c.readers).store
+    canon = lambda df: sorted(tuple(r) for r in df.select("userId", canonical_tags("tagsId").alias("t")).collect())
+    assert canon(seq) == canon(one)
+    assert len(canon(one)) > 0
