@@ -110,9 +110,13 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
         *[F.when(valid[i + 1], names[i]).alias(cols[i]) for i in range(depth_n)]
     ).distinct()
 
-    existing = taxonomy.select(F.col("id").cast("bigint").alias("id"), "name", "level", F.col("pid").cast("bigint").alias("pid"))
-    size = measure(existing, extra={"top": F.max("id")})
+    raw = taxonomy.select(F.col("id").cast("bigint").alias("id"), "name", "level", F.col("pid").cast("bigint").alias("pid"))
+    # one pass: the exact size (a bound for the de-duplicated frame) and max(id)
+    size = measure(raw, extra={"top": F.max("id")})
     top = int(size.extra["top"] or 0)
+    # one tag per (name, level, pid); should a taxonomy hold repeats, the
+    # lowest id is the one found (a lookup must not fan a path out)
+    existing = raw.groupBy("name", "level", "pid").agg(F.min("id").alias("id"))
     existing = F.broadcast(existing) if size.fits() else existing
     # e<d>: id of the existing tag for the prefix l1..ld (null if absent);
     # absence is prefix-closed: below a missing tag nothing can exist

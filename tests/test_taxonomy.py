@@ -66,3 +66,10 @@ def test_dense_ids_distributed(spark):
     got = rows(assign_dense_ids(df, ["k"], 100, partitions=7).select("k", "id"))
     want = rows(df.select("k", (F.lit(100) + F.row_number().over(Window.orderBy("k"))).alias("id")))
     assert got == want
+
+
+def test_load_paths_with_repeated_tags(spark):
+    tax = taxonomy_frame(spark, HEAD + [(9, "mall", None, 2, 1)])  # a repeat of (mall, 2, 1)
+    paths = spark.createDataFrame([("commerce", "mall", "new")], "l1 string, l2 string, l3 string")
+    out = load_paths(tax, paths)
+    assert rows(out.where("id > 9").select("id", "name", "level", "pid")) == [(10, "new", 3, 2)]
