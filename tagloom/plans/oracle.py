@@ -32,9 +32,9 @@ HEAD = f"""
 head AS (SELECT CAST(id AS BIGINT) AS id, CAST(name AS VARCHAR) AS name, CAST(rule AS VARCHAR) AS rule,
                 CAST(level AS INTEGER) AS level, CAST(pid AS BIGINT) AS pid
          FROM {_values(S.HEAD_TAGS, ['id', 'name', 'rule', 'level', 'pid'])}),
-jobs AS (SELECT CAST({S.JOB_TAG_BASE} + row_number() OVER (ORDER BY c_mktsegment) AS BIGINT) AS id,
+jobs AS (SELECT CAST({S.JOB_TAG_BASE} + min(c_custkey) AS BIGINT) AS id,
                 c_mktsegment AS name, c_mktsegment AS rule, 5 AS level, CAST(7 AS BIGINT) AS pid
-         FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL)),
+         FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment),
 tax AS (SELECT * FROM head UNION ALL SELECT * FROM jobs),
 users AS (SELECT CAST(c_custkey AS VARCHAR) AS id,
                  CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '2' END AS gender,

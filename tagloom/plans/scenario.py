@@ -14,7 +14,7 @@ Mapping of the warehouse extracts onto the test tables:
 
 The tag taxonomy is a fixed classification head (ids below 100) plus the job
 values, which are the distinct market segments found in ``customer`` (ids
-``700 + rank``).  The catalog taxonomy adds classification paths from
+``1,000,000 + the segment's smallest customer key``).  The catalog taxonomy adds classification paths from
 ``part`` (type / adjective / noun / brand).  The stored tags ("yesterday's
 store") are derived from ``customer`` with a mix of clean and messy lists.
 Every piece is a lazy DataFrame over the parquet tables.
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tagloom.functions.dates import timestamp_to_epoch
 from tagloom.schemas import TAXONOMY_SCHEMA
@@ -70,7 +69,7 @@ HEAD_TAGS = [
     (48, "quiet", "2", 5, 45),
     (49, "dormant", "3", 5, 45),
 ]
-JOB_TAG_BASE = 700
+JOB_TAG_BASE = 1_000_000
 
 # Model registry rows of the head models.
 # (id, tag_id, model_name, state, model_main, sche_time)
@@ -179,25 +178,23 @@ def register_sources(spark: SparkSession, t: dict[str, DataFrame]) -> None:
 # --- taxonomy, models, store -----------------------------------------------------------
 
 def job_tags(customer: DataFrame) -> DataFrame:
-    """Level-5 job values: one per distinct market segment, ids ``700 + rank``.
+    """Level-5 job values: one per distinct market segment.
 
-    The ids come from one ordered window only after a count proves the
-    distinct set small; otherwise from the distributed dense ranking.
+    Id = ``JOB_TAG_BASE`` + the smallest customer key of the segment: unique
+    per segment, deterministic, and one partial + final aggregate — no
+    ordering of the distinct set is needed.
     """
-    from tagloom.operators.ids import assign_dense_ids
-    from tagloom.operators.taxonomy import SMALL_LEVEL
-
-    seg = customer.select(F.col("c_mktsegment").alias("name")).where(F.col("name").isNotNull()).distinct()
-    if seg.count() <= SMALL_LEVEL:
-        ranked = seg.withColumn("id", F.lit(JOB_TAG_BASE) + F.row_number().over(Window.orderBy("name")))
-    else:
-        ranked = assign_dense_ids(seg, ["name"], JOB_TAG_BASE)
-    return ranked.select(
-        F.col("id").cast("bigint").alias("id"),
-        F.col("name"),
-        F.col("name").alias("rule"),
-        F.lit(5).alias("level"),
-        F.lit(7).cast("bigint").alias("pid"),
+    return (
+        customer.where(F.col("c_mktsegment").isNotNull())
+        .groupBy(F.col("c_mktsegment").alias("name"))
+        .agg(F.min("c_custkey").alias("__k"))
+        .select(
+            (F.lit(JOB_TAG_BASE) + F.col("__k")).cast("bigint").alias("id"),
+            F.col("name"),
+            F.col("name").alias("rule"),
+            F.lit(5).alias("level"),
+            F.lit(7).cast("bigint").alias("pid"),
+        )
     )
 
 
