@@ -51,7 +51,11 @@ def exact_match(
     if on_unmatched not in UNMATCHED_POLICIES:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED_POLICIES}")
     dedup = exact_rules(rules, id_col, rule_col)
-    side, _ = maybe_broadcast(dedup, max_broadcast_rows, max_broadcast_bytes)
+    # the raw rule frame bounds the de-duplicated one, and measuring it needs
+    # no shuffle
+    raw = rules.select(F.col(id_col).cast("bigint"), F.col(rule_col).cast("string")).where(F.col(rule_col).isNotNull())
+    small = measure(raw).fits(max_broadcast_rows, max_broadcast_bytes)
+    side = F.broadcast(dedup) if small else dedup
     src = source.select(
         F.col(key_col).cast("string").alias("__key"), F.col(value_col).cast("string").alias("__val")
     )
