@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.broadcast import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, maybe_broadcast, measure
+from tagloom.operators.broadcast import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, measure
 
 UNMATCHED_POLICIES = ("error", "null", "drop")
 

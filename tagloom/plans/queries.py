@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.sql import register_sql_functions
 from tagloom.functions.tags import canonical_tags
-from tagloom.operators.aggregate import last_per_key, rfe_measures, tag_coverage
+from tagloom.operators.aggregate import last_per_key, tag_coverage
 from tagloom.operators.broadcast import maybe_broadcast
 from tagloom.operators.match import exact_rules
 from tagloom.operators.merge import merge_tags, upsert_tags
-from tagloom.operators.taxonomy import by_level, children, find, rule_options, tags_with_models
+from tagloom.operators.taxonomy import by_level, find, rule_options, tags_with_models
 from tagloom.plans import scenario as S
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel
 from tagloom.plans.runner import model_inputs, run_model, run_models
