@@ -36,6 +36,10 @@ def _path_or_table(meta: SourceMeta) -> str:
 READERS: dict[str, Reader] = {
     "parquet": lambda s, m: s.read.parquet(_path_or_table(m)),
     "orc": lambda s, m: s.read.orc(_path_or_table(m)),
+    # text formats: no inference — every field stays a string, as a wide row's cells are
+    "csv": lambda s, m: s.read.option("header", m.option("header", "true")).option("inferSchema", "false")
+    .option("sep", m.option("sep", ",")).csv(_path_or_table(m)),
+    "json": lambda s, m: s.read.option("primitivesAsString", "true").json(_path_or_table(m)),
     "table": lambda s, m: s.table(m.hbaseTable),
     "view": lambda s, m: s.table(m.hbaseTable),
     "jdbc": lambda s, m: s.read.format("jdbc").options(

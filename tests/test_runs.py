@@ -1,4 +1,5 @@
 """End-to-end tagging runs against a snapshot store; coverage."""
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -135,3 +136,17 @@ def test_run_models_equals_sequential_runs(spark):
     canon = lambda df: sorted(tuple(r) for r in df.select("userId", canonical_tags("tagsId").alias("t")).collect())
     assert canon(seq) == canon(one)
     assert len(canon(one)) > 0
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_rule_named_file_sources(spark, tmp_path, fmt):
+    from tagloom.functions.rules import SourceMeta
+    from tagloom.sources import read_source
+
+    path = str(tmp_path / fmt)
+    df = spark.createDataFrame([(1, 2.5, "x")], "id long, amount double, job string")
+    getattr(df.write.option("header", "true") if fmt == "csv" else df.write, fmt)(path)
+    meta = SourceMeta.from_map({"inType": fmt, "path": path, "selectFields": "id,amount,missing"})
+    got = read_source(spark, meta)
+    assert [tuple(r) for r in got.collect()] == [("1", "2.5", None)]
+    assert all(f.dataType.simpleString() == "string" for f in got.schema.fields)
