@@ -1,6 +1,6 @@
 """End-to-end tagging runs against a snapshot store; coverage."""
-import pytest
 
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators import tag_coverage
