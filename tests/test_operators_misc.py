@@ -40,3 +40,17 @@ def test_tag_without_rule(spark):
     tax = taxonomy_frame(spark, [(3, "classification", None, 3, 2)])
     with pytest.raises(ValueError, match="no rule"):
         level4_meta(tax, 3)
+
+
+def test_cluster_ranks_most_active_first(spark):
+    from tagloom.operators.cluster import cluster_rfe
+
+    groups = [(1, 40, 3.0), (10, 15, 1.0), (20, 5, 0.5), (29, 1, None)]  # R, F, E: most active first
+    data = [(f"u{g}_{i}", r + (i % 2), f + (i % 3), e) for g, (r, f, e) in enumerate(groups) for i in range(12)]
+    m = spark.createDataFrame(data, "userId string, recency int, frequency long, engagement double")
+    out = cluster_rfe(m, k=4, seed=3)
+    by_group = {}
+    for r in out.collect():
+        by_group.setdefault(r["userId"].split("_")[0], set()).add(r["rank"])
+    assert all(len(v) == 1 for v in by_group.values())              # each group one cluster
+    assert [by_group[f"u{g}"].pop() for g in range(4)] == [0, 1, 2, 3]  # ranked by activity
