@@ -24,8 +24,12 @@ incremental form (only files not seen before, ``availableNow``).
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
+if __package__ in (None, ""):  # run as a script (spark-submit path/to/jobs.py): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel, TagModel
 from tagloom.plans.runner import run_model
 from tagloom.session import get_session
