@@ -22,6 +22,8 @@ _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of dropped DataFrames are removed from the shared folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
