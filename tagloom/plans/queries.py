@@ -26,18 +26,33 @@ from tagloom.sources.extracts import read_extract, write_sorted_by_key
 
 
 class Ctx:
-    """Tables, source readers and the base taxonomy for one sf dir."""
+    """Tables, source readers and the taxonomy for one sf dir.
+
+    The fixed classification head is a literal frame.  The full taxonomy adds
+    the data-derived job values; it scans ``customer``, so it is built only
+    when a step needs it (the job model, stored tags, coverage names) and
+    is then materialised once, as a job reading it over JDBC would.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = S.load_tables(spark, sf_dir)
         self.readers = S.source_readers(self.t)
-        # the taxonomy is read by several steps (rule, children, names):
-        # materialised once per run, as a job reading it over JDBC would
-        self.tax = materialize(S.base_taxonomy(spark, self.t["customer"]))
+        self.head = S.head_taxonomy(spark)
+        self._tax = None
+
+    @property
+    def tax(self) -> DataFrame:
+        if self._tax is None:
+            self._tax = materialize(S.base_taxonomy(self.spark, self.t["customer"]))
+        return self._tax
+
+    def taxonomy_for(self, model) -> DataFrame:
+        """The head alone serves every model whose values are not data-derived."""
+        return self.tax if model.tag_id in S.DATA_DERIVED_TAGS else self.head
 
     def inputs(self, model):
-        return model_inputs(self.spark, model, self.tax, self.readers)
+        return model_inputs(self.spark, model, self.taxonomy_for(model), self.readers)
 
     def stored(self) -> DataFrame:
         return S.stored_tags(self.t["customer"], self.tax)
@@ -170,7 +185,8 @@ def upsert_store(spark, sf_dir):
 
 def model_run_cycle_merge(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    return run_model(spark, cycle_model(), c.tax, store=c.stored(), readers=c.readers).store
+    m = cycle_model()
+    return run_model(spark, m, c.taxonomy_for(m), store=c.stored(), readers=c.readers).store
 
 
 def model_run_multi(spark, sf_dir):
@@ -178,13 +194,14 @@ def model_run_multi(spark, sf_dir):
     Lists in canonical form (the combined run orders tags differently from
     one-by-one runs; the sets are equal)."""
     c = Ctx(spark, sf_dir)
-    run = run_models(spark, [cycle_model(), status_model("drop")], c.tax, store=c.stored(), readers=c.readers)
+    run = run_models(spark, [cycle_model(), status_model("drop")], c.head, store=c.stored(), readers=c.readers)
     return run.store.select("userId", canonical_tags("tagsId").alias("tagsId"))
 
 
 def tag_coverage_q(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    store = run_model(spark, cycle_model(), c.tax, store=c.stored(), readers=c.readers).store
+    m = cycle_model()
+    store = run_model(spark, m, c.taxonomy_for(m), store=c.stored(), readers=c.readers).store
     return tag_coverage(store, c.tax)
 
 

@@ -70,6 +70,8 @@ HEAD_TAGS = [
     (49, "dormant", "3", 5, 45),
 ]
 JOB_TAG_BASE = 1_000_000
+# level-4 tags whose level-5 values are derived from the data (the rest are in HEAD_TAGS)
+DATA_DERIVED_TAGS = frozenset({7})
 
 # Model registry rows of the head models.
 # (id, tag_id, model_name, state, model_main, sche_time)
@@ -198,8 +200,13 @@ def job_tags(customer: DataFrame) -> DataFrame:
     )
 
 
+def head_taxonomy(spark: SparkSession) -> DataFrame:
+    """The fixed classification head with its fixed level-5 values."""
+    return taxonomy_frame(spark, HEAD_TAGS)
+
+
 def base_taxonomy(spark: SparkSession, customer: DataFrame) -> DataFrame:
-    head = taxonomy_frame(spark, HEAD_TAGS)
+    head = head_taxonomy(spark)
     jobs = job_tags(customer).select(
         *[F.col(c) for c in ("id", "name", "rule", "level", "pid")],
         F.lit("2019-12-01 00:00:00").cast("timestamp").alias("ctime"),
