@@ -110,3 +110,24 @@ def test_width_repair_matches(spark):
         if len(f) == len(cols):
             want.append(tuple(f))
     assert got == sorted(want)
+
+
+def test_sql_functions_match_column_functions(spark):
+    from tagloom.functions import canonical_tags
+    from tagloom.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    r = random.Random(13)
+    vals = rand_strings("12,, \t", 60, 6, seed=9)
+    pairs = [(r.choice(vals), r.choice(vals)) for _ in range(2000)]
+    df = spark.createDataFrame(pairs, "n string, o string")
+    df.createOrReplaceTempView("t_pairs")
+    sql = spark.sql("SELECT n, o, tag_merge(n, o) AS m FROM t_pairs")
+    col = df.select("n", "o", merge_tag_strings("n", "o").alias("m"))
+    assert sorted(map(tuple, sql.collect()), key=str) == sorted(map(tuple, col.collect()), key=str)
+    nums = [x for x in rand_strings("123,,", 400, 8, seed=21) if x is None or x.replace(",", "").isdigit() or x.strip(",") == ""]
+    nf = spark.createDataFrame([(x,) for x in nums], "s string")
+    nf.createOrReplaceTempView("t_nums")
+    a = [r["c"] for r in spark.sql("SELECT tag_canonical(s) AS c FROM t_nums").collect()]
+    b = [r["c"] for r in nf.select(canonical_tags("s").alias("c")).collect()]
+    assert a == b
