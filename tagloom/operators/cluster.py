@@ -44,7 +44,13 @@ def cluster_rfe(measures: DataFrame, k: int = 4, seed: int = 7, max_iter: int =
     order = sorted(score, key=lambda i: (-score[i], i))
     rank_of = {cid: r for r, cid in enumerate(order)}
     rank_map = F.create_map(*[x for cid, r in rank_of.items() for x in (F.lit(cid), F.lit(r))])
-    out = model.transform(feats)
-    return out.select(
+    out = model.transform(feats).select(
         "userId", "recency", "frequency", "engagement", "cluster", rank_map[F.col("cluster")].alias("rank")
     )
+    # written once to the shared checkpoint folder, then the cached features
+    # are released (a long-running scheduler would otherwise accumulate them)
+    from tagloom.session import materialize
+
+    out = materialize(out)
+    feats.unpersist()
+    return out
