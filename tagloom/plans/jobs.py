@@ -19,6 +19,12 @@ Ingest of a ``\\x01`` extract (one of ``logs users orders goods``)::
 
 The batch form publishes the rows sorted by key; ``--stream`` runs the
 incremental form (only files not seen before, ``availableNow``).
+
+A schedule slot — several merge-mode models, one store upsert::
+
+    spark-submit tagloom/plans/jobs.py slot --model recency:23:as_of=2024-01-31 \
+        --model exact:30:key_field=memberId,value_field=orderstatus,on_unmatched=drop \
+        --taxonomy-format parquet --taxonomy-option path=... --store-root ...
 """
 
 from __future__ import annotations
@@ -94,10 +100,51 @@ def ingest_main(argv: list[str]) -> str:
     return a.dest
 
 
+_KINDS = {"exact": ExactMatchModel, "recency": RecencyRangeModel, "age": AgeRangeModel, "activity": ActivityModel}
+_INT_FIELDS = {"shift_days", "lookback_days", "k", "seed"}
+
+
+def parse_model_spec(spec: str) -> TagModel:
+    """``kind:tag_id[:field=value,field=value]`` -> a model (fields as in ``plans.models``)."""
+    parts = spec.split(":", 2)
+    if len(parts) < 2 or parts[0] not in _KINDS:
+        raise ValueError(f"model spec '{spec}': expected kind:tag_id[:field=value,...] with kind in {sorted(_KINDS)}")
+    fields = {}
+    if len(parts) == 3 and parts[2]:
+        for kv in parts[2].split(","):
+            k, v = kv.split("=", 1)
+            fields[k] = int(v) if k in _INT_FIELDS else v
+    return _KINDS[parts[0]](int(parts[1]), **fields)
+
+
+def slot_main(argv: list[str]) -> str:
+    from tagloom.plans.runner import run_models
+
+    p = argparse.ArgumentParser(prog="tagloom-slot")
+    p.add_argument("--model", action="append", required=True, help="kind:tag_id[:field=value,...], repeatable")
+    p.add_argument("--taxonomy-format", default="parquet")
+    p.add_argument("--taxonomy-option", action="append", default=[])
+    p.add_argument("--register", action="append", default=[])
+    p.add_argument("--store-root", required=True)
+    p.add_argument("--store-buckets", type=int)
+    a = p.parse_args(argv)
+    spark = get_session(app="tagloom-slot", shuffle_partitions=a.store_buckets if a.store_buckets else None)
+    for reg in a.register:
+        name, path = reg.split("=", 1)
+        spark.read.parquet(path).createOrReplaceTempView(name)
+    taxonomy = read_taxonomy(spark, a.taxonomy_format, **dict(kv.split("=", 1) for kv in a.taxonomy_option))
+    models = [parse_model_spec(m) for m in a.model]
+    run = run_models(spark, models, taxonomy, store_root=a.store_root, write=True, buckets=a.store_buckets)
+    print(run.path)
+    return run.path
+
+
 def main(argv: list[str] | None = None) -> str:
     argv = sys.argv[1:] if argv is None else list(argv)
     if argv and argv[0] == "ingest":
         return ingest_main(argv[1:])
+    if argv and argv[0] == "slot":
+        return slot_main(argv[1:])
     if argv and argv[0] == "model":
         argv = argv[1:]
     a = parse_args(argv)

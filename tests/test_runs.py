@@ -150,3 +150,23 @@ def test_rule_named_file_sources(spark, tmp_path, fmt):
     got = read_source(spark, meta)
     assert [tuple(r) for r in got.collect()] == [("1", "2.5", None)]
     assert all(f.dataType.simpleString() == "string" for f in got.schema.fields)
+
+
+def test_slot_cli(spark, tmp_path):
+    from tagloom.plans.jobs import main, parse_model_spec
+    from tagloom.sources import read_store
+
+    m = parse_model_spec("exact:30:key_field=memberId,value_field=orderstatus,on_unmatched=drop")
+    assert (m.tag_id, m.key_field, m.on_unmatched) == (30, "memberId", "drop")
+    tax_path = str(tmp_path / "tax")
+    taxonomy_frame(spark, TAX + [(30, "status", "inType=table##hbaseTable=t_ord##selectFields=memberId,orderstatus", 4, 3),
+                                 (31, "finished", "F", 5, 30)]).write.parquet(tax_path)
+    users, orders = str(tmp_path / "users"), str(tmp_path / "orders")
+    spark.createDataFrame([("1", "1"), ("2", "2")], "id string, gender string").write.parquet(users)
+    spark.createDataFrame([("1", "F"), ("2", "O")], "memberId string, orderstatus string").write.parquet(orders)
+    root = str(tmp_path / "store")
+    main(["slot", "--model", "exact:4:key_field=id,value_field=gender",
+          "--model", "exact:30:key_field=memberId,value_field=orderstatus,on_unmatched=drop",
+          "--taxonomy-format", "parquet", "--taxonomy-option", f"path={tax_path}",
+          "--register", f"t_users={users}", "--register", f"t_ord={orders}", "--store-root", root])
+    assert dict(rows(read_store(spark, root))) == {"1": "5,31", "2": "6"}  # new tags in id order
