@@ -41,14 +41,14 @@ WITH p AS (
   FROM pages
 ),
 d AS (
-  SELECT *, list_transform(range(0, 8), g -> list_reduce(
-      list_transform(range(1, 6), i -> strpos('0123456789abcdef', substr(sha, CAST(5 * g + i AS BIGINT), 1)) - 1),
-      (a, b) -> a * 16 + b)) AS groups
+  SELECT *, list_transform(range(0, 8), lambda g: list_reduce(
+      list_transform(range(1, 6), lambda i: strpos('0123456789abcdef', substr(sha, CAST(5 * g + i AS BIGINT), 1)) - 1),
+      lambda a, b: a * 16 + b)) AS groups
   FROM p
 )
 SELECT page_id, octet_length(payload) AS payload_bytes,
-       array_to_string(list_transform(groups, n -> array_to_string(list_transform([n // 32768, n // 1024 % 32, n // 32 % 32, n % 32],
-           x -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(x + 1 AS BIGINT), 1)), '')), '') AS payload_digest,
+       array_to_string(list_transform(groups, lambda n: array_to_string(list_transform([n // 32768, n // 1024 % 32, n // 32 % 32, n % 32],
+           lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(x + 1 AS BIGINT), 1)), '')), '') AS payload_digest,
        CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN k > 1 THEN top END AS refers_to
 FROM d
@@ -56,4 +56,5 @@ FROM d
 
 ORACLE = {
     "op8_warc": OP8,
-    "op3_decontamination": OP3}
+    "op3_decontamination": OP3,
+}
