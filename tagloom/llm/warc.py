@@ -295,7 +295,8 @@ def read_records(index: DataFrame, payload: bool = True) -> DataFrame:
 
     Rows of one bundle go to one task (a bundle is bounded in size), so each
     frame is decompressed once.  Any subset of an index works: only the
-    frames it names are read.
+    frames it names are read.  There are as many tasks as bundles: index rows
+    are small, what they name is not, so their bytes must not decide.
     """
 
     def make():
@@ -312,7 +313,7 @@ def read_records(index: DataFrame, payload: bool = True) -> DataFrame:
 
     ordered = (
         index.select("bundle", "frame", "offset", "length")
-        .repartition("bundle")
+        .repartition(max(1, index.select("bundle").distinct().count()), "bundle")
         .sortWithinPartitions("bundle", "frame", "offset")
     )
     return map_batches(ordered, make, READ_SCHEMA)
