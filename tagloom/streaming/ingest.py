@@ -16,7 +16,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tagloom.schemas import EXTRACT_COLUMNS
-from tagloom.session import checkpoint_root
 from tagloom.sources.extracts import parse_lines, sorted_by_key
 
 
@@ -32,8 +31,10 @@ def start_extract_stream(
 ) -> StreamingQuery:
     """Start the stream; ``available_now`` processes the backlog and stops.
 
-    ``checkpoint`` defaults to a folder under the shared checkpoint root,
-    named after the sink so restarts resume where they left off.
+    ``checkpoint`` defaults to ``_checkpoint`` inside the sink (readers of the
+    sink skip names that begin with ``_``).  It belongs to the sink, not to the
+    application, so the next scheduled application resumes where the last one
+    stopped and never starts again at batch 0.
     """
     columns = EXTRACT_COLUMNS[kind_or_columns] if isinstance(kind_or_columns, str) else list(kind_or_columns)
     reader = spark.readStream.format("text")
@@ -42,7 +43,7 @@ def start_extract_stream(
     lines = reader.load(src_dir)
     rows = parse_lines(lines, columns)
     if checkpoint is None:
-        checkpoint = f"{checkpoint_root(spark).rstrip('/')}/stream-{sink_dir.rstrip('/').replace('/', '_').replace(':', '')}"
+        checkpoint = f"{sink_dir.rstrip('/')}/_checkpoint"
     key = columns[0]
 
     def publish(batch, batch_id: int) -> None:
