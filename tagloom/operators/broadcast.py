@@ -43,6 +43,10 @@ def measure(df: DataFrame, invalid: Column | None = None, extra: dict | None = N
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             var_cols.append(F.coalesce(F.length(F.col(f.name)), F.lit(0)).cast("bigint"))
             fixed += 8
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # the text form holds every element; 8 bytes of offset per character bound the rest
+            var_cols.append(F.lit(2) * F.coalesce(F.length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)).cast("bigint"))
+            fixed += 8
         else:
             fixed += 8  # numeric, date and timestamp columns: at most 8 bytes
     aggs = [F.count(F.lit(1)).alias("n")]

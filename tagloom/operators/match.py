@@ -3,9 +3,9 @@
 Both are joins of a large source (one row per user or event) with a small
 rule frame.  The rule frame is broadcast after its size is measured, so the
 large side is never shuffled and a hot value (say half of all users share
-one gender code) costs nothing extra.  Above the size bound the exact match
-falls back to a shuffled equi-join (AQE splits skewed partitions) and the
-range match to an equi-join on value buckets instead of a nested loop.
+one gender code) costs nothing extra.  Above the size bound the rule frame is
+shuffled instead (AQE splits skewed partitions).  A range match is an
+equi-join on value buckets for every number of rules, never a nested loop.
 """
 
 from __future__ import annotations
@@ -75,11 +75,14 @@ def exact_match(
 
 def _bucket_width(mean_len: float | None) -> int:
     """Bucket width = mean rule length: a rule of length L spans at most
-    L / width + 2 buckets, so all rules together fill at most ~3 × their count
+    L / width + 2 buckets, so all rules together fill at most 3 × their count
     whatever their overlap."""
     return max(1, math.ceil(mean_len or 1))
 
 
+BUCKET_ROWS_PER_RULE = 3
+
+
 def range_match(
     values: DataFrame,
     rules: DataFrame,
@@ -93,39 +96,34 @@ def range_match(
     """Inner range join: every (value row, rule) with ``start <= value <= end``.
 
     Overlapping rules give several rows; a value in no rule (or null) gives
-    none.  Output: all ``values`` columns, then all ``rules`` columns.
-    ``require_bounds``: a rule with a null bound (a malformed rule text) is
-    an error, found in the same pass that measures the rule frame.
+    none, nor does a rule whose start is after its end.  Output: all
+    ``values`` columns, then all ``rules`` columns.  ``require_bounds``: a rule
+    with a null bound (a malformed rule text) is an error, found in the same
+    pass that measures the rule frame.
+
+    One plan for every number of rules: each rule is copied into the value
+    buckets it spans and a value meets only the rules of its own bucket, by a
+    hash join.  The bucketed rules are broadcast when their measured bound
+    fits; otherwise both sides are shuffled on the bucket, where AQE splits a
+    bucket that holds a third of all values.
     """
-    invalid = (F.col(start_col).isNull() | F.col(end_col).isNull()) if require_bounds else None
-    size = measure(rules, invalid)
+    start, end = F.col(start_col), F.col(end_col)
+    invalid = (start.isNull() | end.isNull()) if require_bounds else None
+    length = end.cast("double") - start.cast("double") + F.lit(1.0)
+    size = measure(rules, invalid, extra={"mean_len": F.avg(F.when(end >= start, length))})
     if size.invalid:
         raise ValueError(f"{size.invalid} malformed range rule(s) (expected 'start-end')")
-    small = size.fits(max_broadcast_rows, max_broadcast_bytes)
-    side = F.broadcast(rules) if small else rules
-    if small:
-        cond = F.col(value_col).between(side[start_col], side[end_col])
-        return values.join(side, cond, "inner")
-    # Many rules: equi-join on value buckets.  Each rule is copied into the
-    # buckets it spans; a value meets only the rules of its own bucket.  A
-    # bucket holding a third of all values is split by AQE's skew-join
-    # handling (inner join), the rule side being replicated per split.
-    st = rules.agg(
-        F.avg(F.col(end_col).cast("double") - F.col(start_col).cast("double") + F.lit(1.0)).alias("mean_len"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    width = _bucket_width(st["mean_len"])
-    w = F.lit(width).cast("bigint")
-    bucketed_rules = rules.withColumn(
-        "__b",
-        F.explode(F.sequence(F.floor(F.col(start_col) / w).cast("bigint"),
-                             F.floor(F.col(end_col) / w).cast("bigint"))),
-    )
-    bucketed_vals = values.withColumn("__vb", F.floor(F.col(value_col) / w).cast("bigint"))
-    joined = bucketed_vals.join(
-        bucketed_rules,
-        (bucketed_vals["__vb"] == bucketed_rules["__b"])
-        & F.col(value_col).between(bucketed_rules[start_col], bucketed_rules[end_col]),
-        "inner",
+    w = F.lit(_bucket_width(size.extra["mean_len"])).cast("bigint")
+
+    def bucket(c: Column) -> Column:
+        return F.floor(c / w).cast("bigint")
+
+    side = rules.where(start <= end).withColumn("__b", F.explode(F.sequence(bucket(start), bucket(end))))
+    k = BUCKET_ROWS_PER_RULE
+    if k * size.rows <= max_broadcast_rows and k * (size.bytes + 8 * size.rows) <= max_broadcast_bytes:
+        side = F.broadcast(side)
+    valued = values.withColumn("__vb", bucket(F.col(value_col)))
+    joined = valued.join(
+        side, (valued["__vb"] == side["__b"]) & F.col(value_col).between(side[start_col], side[end_col]), "inner"
     )
     return joined.drop("__vb", "__b")

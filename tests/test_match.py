@@ -71,3 +71,35 @@ def test_range_fallback_with_overlapping_wide_rules(spark):
     a = rows(range_match(vals, rules, "days"), "userId", "tagsId")
     b = rows(range_match(vals, rules, "days", max_broadcast_rows=0), "userId", "tagsId")
     assert a == b and len(a) > 60 * 400
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 0])
+def test_many_overlapping_rules(spark, max_rows):
+    rules = spark.range(100_000).select(
+        F.col("id").alias("tagsId"),
+        (F.col("id") * 3 % 50_000).cast("int").alias("start"),
+        (F.col("id") * 3 % 50_000 + F.when(F.col("id") % 1000 == 0, 5_000).otherwise(F.col("id") % 7)).cast("int").alias("end"),
+    )
+    vals = spark.range(0, 300).select(F.col("id").cast("string").alias("userId"), (F.col("id") * 181 - 100).cast("int").alias("days"))
+    out = range_match(vals, rules, "days", max_broadcast_rows=max_rows)
+    got = out.groupBy("userId").count().collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    want = {}
+    spans = [(i * 3 % 50_000, i * 3 % 50_000 + (5_000 if i % 1000 == 0 else i % 7)) for i in range(100_000)]
+    import numpy as np
+
+    a, b = np.array(spans).T
+    for i in range(300):
+        n = int(((a <= i * 181 - 100) & (i * 181 - 100 <= b)).sum())
+        if n:
+            want[str(i)] = n
+    assert {r["userId"]: r["count"] for r in got} == want
+
+
+def test_inverted_and_missing_rules(spark):
+    vals = spark.createDataFrame([("a", 5)], "userId string, days int")
+    none = spark.createDataFrame([], "tagsId long, start int, end int")
+    assert range_match(vals, none, "days").count() == 0
+    rules = spark.createDataFrame([(1, 9, 2), (2, 5, 5)], "tagsId long, start int, end int")
+    assert rows(range_match(vals, rules, "days"), "tagsId") == [(2,)]
