@@ -6,49 +6,38 @@ bounds, so partitions are balanced), the partition is materialised by a
 reliable checkpoint (both passes below then read identical partitions),
 each row gets its index inside its partition from
 ``monotonically_increasing_id`` (partition id in the upper bits, row index
-in the lower 33), and a per-partition offset — one number per partition,
-so bounded by the partition count, not the data — turns it into a global
-rank.
+in the lower 33), and a per-partition offset — one row per partition,
+joined as a broadcast frame — turns it into a global rank.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_ROW_BITS = 33
-
+from tagloom.session import materialize
 
-def assign_dense_ids(df: DataFrame, order_cols: list[str], start: int, id_col: str = "id", partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``id_col`` = ``start + 1, start + 2, …`` in ``order_cols`` order."""
-    return assign_dense_ids_counted(df, order_cols, start, id_col, partitions)[0]
+_ROW_BITS = 33
 
 
-def assign_dense_ids_counted(
+def assign_dense_ids(
     df: DataFrame, order_cols: list[str], start: int, id_col: str = "id", partitions: int | None = None
-) -> tuple[DataFrame, int]:
-    """As ``assign_dense_ids``, also returning the row count (the ids used)."""
+) -> DataFrame:
+    """``df`` plus ``id_col`` = ``start + 1, start + 2, …`` in ``order_cols`` order."""
     spark = df.sparkSession
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    parted = (
+    parted = materialize(
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("__p", F.spark_partition_id())
         .withColumn("__m", F.monotonically_increasing_id())
     )
-    from tagloom.session import materialize
-
-    parted = materialize(parted)
-    counts = parted.groupBy("__p").agg(F.count(F.lit(1)).alias("__n")).collect()
-    offsets, run = {}, 0
-    for r in sorted(counts, key=lambda r: r["__p"]):
-        offsets[int(r["__p"])] = run
-        run += int(r["__n"])
-    if not offsets:
-        return parted.drop("__p", "__m").withColumn(id_col, F.lit(None).cast("bigint")), 0
-    offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("bigint"))])
+    counts = sorted((r["__p"], r["count"]) for r in parted.groupBy("__p").count().collect())  # one row per partition
+    before = accumulate((c for _, c in counts), initial=start)
+    rows = [(p, b) for (p, _), b in zip(counts, before, strict=False)]
+    offsets = spark.createDataFrame(rows, "__p int, __before bigint")
     local = F.col("__m") - F.shiftleft(F.col("__p").cast("bigint"), _ROW_BITS)
-    out = parted.withColumn(
-        id_col, (F.lit(start).cast("bigint") + offset_map[F.col("__p")] + local + F.lit(1)).cast("bigint")
-    ).drop("__p", "__m")
-    return out, run
+    out = parted.join(F.broadcast(offsets), "__p")
+    return out.withColumn(id_col, F.col("__before") + local + F.lit(1)).drop("__p", "__m", "__before")

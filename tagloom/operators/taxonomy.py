@@ -11,17 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tagloom.functions.rules import SourceMeta, rule_to_map
 from tagloom.operators.broadcast import maybe_broadcast, measure
-from tagloom.operators.ids import assign_dense_ids_counted
-from tagloom.session import materialize
+from tagloom.operators.ids import assign_dense_ids
 
 ROOT_PID = -1
-# New tags per level up to this count get ids from one ordered window;
-# above it, from the distributed range-partitioned ranking.
-SMALL_LEVEL = 200_000
 
 
 def tag_by_id(taxonomy: DataFrame, tag_id: int) -> DataFrame:
@@ -88,7 +83,7 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
     Plan (no per-level passes):
 
     1. The distinct paths are resolved against the existing tags — one join
-       per level with the small tag frame — and materialised once.
+       per level with the small tag frame.
     2. Every missing prefix is a new tag.  Its place in the level-by-level
        ``(pid, name)`` order is fixed by its own row: a new tag's deepest
        existing ancestor at depth ``a`` (the root counts as depth 0) and
@@ -96,10 +91,11 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
        exist sort before parents that are new (whose ids are all higher),
        and new parents sort by the same key one level up — so the order is
        ``(a descending, anchor id, names below the anchor)``.
-    3. One aggregate counts the new tags per level (each level's id
-       offset); ids are one window per level over that small counted set;
-       a new tag under a new parent takes its parent's id by one self-join
-       on the path.
+    3. Ids run through the levels without a gap, so one distributed ranking
+       over ``(level, a descending, anchor id, names below the anchor)`` that
+       starts at ``max(id)`` gives all of them; it is the only materialised
+       step.  A new tag under a new parent takes its parent's id by one
+       self-join on the path.
     """
     depth_n = len(cols)
     names = [F.col(c).cast("string") for c in cols]
@@ -128,46 +124,24 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
         )
         res = res.join(lvl, (res[c] == lvl[f"__n{d}"]) & (parent == lvl[f"__p{d}"]), "left").drop(f"__n{d}", f"__p{d}")
         parent = F.col(f"e{d}")
-    res = materialize(res)
 
     # one row per new tag: level, its path, anchor depth a and anchor id
-    parts = []
+    missing = []
     for d in range(1, depth_n + 1):
         e = [F.col(f"e{k}") for k in range(1, d)]
         a = sum((F.when(x.isNotNull(), 1).otherwise(0) for x in e), F.lit(0))
         anchor = F.coalesce(*reversed(e), F.lit(ROOT_PID).cast("bigint")) if e else F.lit(ROOT_PID).cast("bigint")
-        parts.append(res.where(F.col(cols[d - 1]).isNotNull() & F.col(f"e{d}").isNull()).select(
+        tag = F.struct(
             F.lit(d).alias("level"),
             F.array(*[F.col(c) for c in cols[:d]]).alias("path"),
             a.alias("a"),
             anchor.cast("bigint").alias("anchor"),
-        ))
-    new = parts[0]
-    for p in parts[1:]:
-        new = new.unionByName(p)
-    new = materialize(new.distinct())
-
-    counts = {int(r["level"]): int(r["count"]) for r in new.groupBy("level").count().collect()}
-    offsets, run = {}, top
-    for d in range(1, depth_n + 1):
-        offsets[d] = run
-        run += counts.get(d, 0)
+        )
+        missing.append(F.when(F.col(cols[d - 1]).isNotNull() & F.col(f"e{d}").isNull(), tag))
+    new = res.select(F.explode(F.array_compact(F.array(*missing))).alias("t")).select("t.*").distinct()
     below = F.slice(F.col("path"), F.col("a") + 1, F.col("level") - F.col("a"))
     keyed = new.withColumn("__na", -F.col("a")).withColumn("__below", below)
-    if max(counts.values(), default=0) <= SMALL_LEVEL:
-        # proven small by the counts: one ordered window per level
-        rank = F.row_number().over(Window.partitionBy("level").orderBy("__na", "anchor", "__below"))
-        offset = F.create_map(*[x for d, o in offsets.items() for x in (F.lit(d), F.lit(o).cast("bigint"))])
-        ided = keyed.withColumn("id", offset[F.col("level")] + rank)
-    else:
-        pieces = []
-        for d in range(1, depth_n + 1):
-            piece, _ = assign_dense_ids_counted(keyed.where(F.col("level") == d), ["__na", "anchor", "__below"], offsets[d])
-            pieces.append(piece)
-        ided = pieces[0]
-        for p in pieces[1:]:
-            ided = ided.unionByName(p)
-    ided = materialize(ided.drop("__na", "__below"))
+    ided = assign_dense_ids(keyed, ["level", "__na", "anchor", "__below"], top).drop("__na", "__below")
 
     # parent id: the anchor when the parent exists, else the new parent's id
     parents = ided.select(F.col("path").alias("__ppath"), F.col("id").alias("__pnew"))
