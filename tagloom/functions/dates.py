@@ -27,8 +27,14 @@ def epoch_to_long(s: Column | str) -> Column:
     return _c(s).try_cast("bigint")
 
 
+# Epoch seconds of 0001-01-01 and 9999-12-31, the range of dates.
+MIN_EPOCH, MAX_EPOCH = -62_135_596_800, 253_402_300_799
+
+
 def epoch_to_date(seconds: Column | str) -> Column:
-    return F.to_date(F.timestamp_seconds(_c(seconds)))
+    """Date of epoch seconds; null outside the years 1 to 9999."""
+    s = _c(seconds)
+    return F.to_date(F.timestamp_seconds(F.when(s.between(MIN_EPOCH, MAX_EPOCH), s)))
 
 
 def timestamp_to_epoch(ts: Column | str) -> Column:
@@ -45,9 +51,9 @@ def age_years(birthday: Column | str, as_of) -> Column:
     """Completed years between a birthday (date or 'yyyy-MM-dd' string) and ``as_of``.
 
     Year difference, minus one while the birthday's (month, day) is still
-    ahead in the ``as_of`` year.
+    ahead in the ``as_of`` year.  Text that is no date (``\\N``) has no age.
     """
-    b = F.to_date(_c(birthday))
+    b = _c(birthday).try_cast("date")
     a = as_of_lit(as_of)
     before = (F.month(a) < F.month(b)) | ((F.month(a) == F.month(b)) & (F.dayofmonth(a) < F.dayofmonth(b)))
     return (F.year(a) - F.year(b) - F.when(before, 1).otherwise(0)).cast("int")

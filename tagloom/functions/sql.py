@@ -11,7 +11,9 @@ taxonomy view, which Catalyst rewrites into a left outer join with the
 rules aggregated to one row per rule text (highest id wins).  AQE then
 broadcasts the small rule side.  The DataFrame path
 (``operators.match.exact_match``) measures the rule side before planning
-and so never shuffles the source; prefer it for the largest sources.
+and so never shuffles the source; prefer it for the largest sources.  A value
+without a rule is null; ``tag_required(pid, value)`` raises instead, as the
+DataFrame path does by default.
 """
 
 from __future__ import annotations
@@ -34,14 +36,18 @@ _FUNCTIONS = [
                    ELSE array_join(array_distinct(concat(tag_split(new_tags), tag_split(old_tags))), ',') END""",
     """CREATE OR REPLACE TEMPORARY FUNCTION tag_canonical(s STRING) RETURNS STRING
        RETURN CASE WHEN tag_is_blank(s) THEN NULL
-                   ELSE array_join(CAST(array_sort(array_distinct(transform(
-                        filter(split(s, ',', -1), x -> trim(x) <> ''), x -> CAST(x AS BIGINT)))) AS ARRAY<STRING>), ',') END""",
+                   ELSE array_join(CAST(array_sort(array_distinct(filter(transform(
+                        split(s, ',', -1), x -> try_cast(trim(x) AS BIGINT)), x -> x IS NOT NULL))) AS ARRAY<STRING>), ',') END""",
 ]
 
 _LOOKUP = f"""CREATE OR REPLACE TEMPORARY FUNCTION tag_of(p BIGINT, v STRING) RETURNS BIGINT
     RETURN (SELECT max(t.id) FROM {TAXONOMY_VIEW} t WHERE t.pid = p AND t.rule = v)"""
 
 
+_REQUIRED = """CREATE OR REPLACE TEMPORARY FUNCTION tag_required(p BIGINT, v STRING) RETURNS BIGINT
+    RETURN coalesce(tag_of(p, v), CAST(raise_error(concat('no rule matches value ', coalesce(v, 'null'))) AS BIGINT))"""
+
+
 def register_sql_functions(spark: SparkSession, taxonomy: DataFrame | None = None) -> None:
     """Register the tag functions; with a taxonomy also ``tag_of`` over it."""
     for ddl in _FUNCTIONS:
@@ -49,3 +55,4 @@ def register_sql_functions(spark: SparkSession, taxonomy: DataFrame | None = Non
     if taxonomy is not None:
         taxonomy.select("id", "rule", "pid", "level").createOrReplaceTempView(TAXONOMY_VIEW)
         spark.sql(_LOOKUP)
+        spark.sql(_REQUIRED)

@@ -43,14 +43,17 @@ def merge_tag_strings(new: Column | str, old: Column | str) -> Column:
 def canonical_tags(s: Column | str) -> Column:
     """Deterministic form of a tag list: distinct non-empty ids in numeric order.
 
-    Tag ids are taxonomy ids (longs), so the numeric order is well defined.
-    A null or blank list stays null.
+    Tag ids are taxonomy ids (longs), so the numeric order is well defined;
+    ``05`` and `` 5`` are the tag 5 and text that is no number is no tag.  A
+    null or blank list stays null.
     """
     s = _c(s)
-    ids = F.transform(
-        F.filter(F.split(s, TAG_SEP, -1), lambda x: F.trim(x) != F.lit("")),
-        lambda x: x.cast("bigint"),
-    )
     return F.when(is_blank(s), F.lit(None).cast("string")).otherwise(
-        F.array_join(F.array_sort(F.array_distinct(ids)).cast("array<string>"), TAG_SEP)
+        F.array_join(F.array_sort(tag_ids(s)).cast("array<string>"), TAG_SEP)
     )
+
+
+def tag_ids(s: Column | str) -> Column:
+    """The distinct tag ids of a list as longs; cells that are no number are left out."""
+    cells = F.transform(F.split(_c(s), TAG_SEP, -1), lambda x: F.trim(x).try_cast("bigint"))
+    return F.array_distinct(F.array_compact(cells))

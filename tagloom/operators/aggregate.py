@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.dates import as_of_lit, epoch_to_long
-from tagloom.functions.tags import TAG_SEP
-from tagloom.functions.strings import is_blank
+from tagloom.functions.tags import tag_ids
 from tagloom.operators.broadcast import maybe_broadcast
 
 
@@ -44,15 +43,16 @@ def rfe_measures(
     R = days from the last visit before ``as_of`` to ``as_of``;
     F = visits in the ``lookback_days`` before ``as_of``;
     E = views / clicks in that period, rounded to 6 digits (null without clicks).
-    Visits on or after ``as_of`` are not seen.
+    Visits on or after ``as_of``, and those whose time is no timestamp
+    (``\\N``), are not seen.
     """
     a = as_of_lit(as_of)
-    ts = F.col(ts_col).cast("timestamp_ntz")
+    ts = F.col(ts_col).try_cast("timestamp_ntz")
     upto = events.where(ts < a.cast("timestamp_ntz"))
-    recent = F.col(ts_col).cast("timestamp_ntz") >= F.date_sub(a, lookback_days).cast("timestamp_ntz")
+    recent = ts >= F.date_sub(a, lookback_days).cast("timestamp_ntz")
     act = F.col(action_col)
     agg = upto.groupBy(F.col(user_col).cast("string").alias("userId")).agg(
-        F.max(F.col(ts_col).cast("timestamp_ntz")).alias("__last"),
+        F.max(ts).alias("__last"),
         F.count_if(recent).alias("frequency"),
         F.count_if(recent & (act == F.lit(view_value))).alias("__views"),
         F.count_if(recent & (act == F.lit(click_value))).alias("__clicks"),
@@ -66,20 +66,15 @@ def rfe_measures(
 
 
 def explode_tags(store: DataFrame, key: str = "userId", tags: str = "tagsId") -> DataFrame:
-    """``(userId, tagsId)`` pairs: one per distinct non-empty tag of each stored list."""
-    arr = F.array_distinct(
-        F.filter(F.split(F.col(tags), TAG_SEP, -1), lambda x: ~is_blank(x))
-    )
-    return store.where(~is_blank(F.col(tags))).select(
-        F.col(key), F.explode(arr).alias(tags)
-    )
+    """``(userId, tagsId)`` pairs: one per distinct tag id of each stored list (``05`` and ``5`` are one)."""
+    return store.select(F.col(key), F.explode(tag_ids(F.col(tags))).alias(tags))
 
 
 def tag_coverage(store: DataFrame, taxonomy: DataFrame | None = None, key: str = "userId", tags: str = "tagsId") -> DataFrame:
-    """Users per tag.  The store is keyed (one row per user) and tags are
+    """Users per tag.  The store is keyed (one row per user) and tag ids are
     de-duplicated per row, so ``count`` equals the distinct-user count and no
     distinct aggregation (Expand + second shuffle) is needed."""
-    cov = explode_tags(store, key, tags).groupBy(F.col(tags).cast("bigint").alias(tags)).agg(
+    cov = explode_tags(store, key, tags).groupBy(tags).agg(
         F.count(F.lit(1)).alias("users")
     )
     if taxonomy is None:

@@ -47,10 +47,5 @@ def cluster_rfe(measures: DataFrame, k: int = 4, seed: int = 7, max_iter: int =
     out = model.transform(feats).select(
         "userId", "recency", "frequency", "engagement", "cluster", rank_map[F.col("cluster")].alias("rank")
     )
-    # written once to the shared checkpoint folder, then the cached features
-    # are released (a long-running scheduler would otherwise accumulate them)
-    from tagloom.session import materialize
-
-    out = materialize(out)
-    feats.unpersist()
+    feats.unpersist()  # the result is lazy: it assigns from the measures, one pass
     return out

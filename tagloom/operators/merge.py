@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.tags import merge_tag_strings
+from tagloom.functions.strings import is_blank
+from tagloom.functions.tags import join_tags, merge_tag_strings, split_tags
 
 MODES = ("merge", "replace")
 
@@ -29,16 +30,22 @@ def _by_length_then_text(a, b):
 
 
 def collapse_new_tags(new: DataFrame, key: str = "userId", tags: str = "tagsId") -> DataFrame:
-    """One row per user.  A user's single distinct list is kept as it is;
-    several distinct lists are joined with ``,`` in id order; only nulls -> null."""
+    """One row per user: the set union of the user's lists.
+
+    Blank lists do not count (only blank ones: the first of them stays; only
+    nulls: null).  A single distinct list is kept as it is; the tags of several
+    are united in the order of the lists (shorter first, then by text), each
+    tag once.
+    """
     per_user = new.groupBy(F.col(key).cast("string").alias(key)).agg(
         F.collect_set(F.col(tags).cast("string")).alias("__s")
     )
     s = F.col("__s")
+    lists = F.array_sort(F.filter(s, lambda x: ~is_blank(x)), _by_length_then_text)
     collapsed = (
-        F.when(F.size(s) == 0, F.lit(None).cast("string"))
-        .when(F.size(s) == 1, s.getItem(0))
-        .otherwise(F.array_join(F.array_sort(s, _by_length_then_text), ","))
+        F.when(F.size(lists) == 0, F.get(F.array_sort(s), F.lit(0)))
+        .when(F.size(lists) == 1, F.get(lists, F.lit(0)))
+        .otherwise(join_tags(F.array_distinct(F.flatten(F.transform(lists, split_tags)))))
     )
     return per_user.select(F.col(key), collapsed.alias(tags))
 

@@ -83,3 +83,20 @@ def test_upsert_drops_keyless_rows(spark):
     once = upsert_tags(s, n)
     assert rows(once) == [("u1", "4,1")]
     assert rows(upsert_tags(once, n)) == [("u1", "4,1")]  # stable across runs
+
+
+def test_collapse_is_a_set_union(spark):
+    n = spark.createDataFrame(
+        [("u", "5,6"), ("u", "6,8"), ("v", " "), ("v", "7"), ("w", " "), ("w", None), ("x", "2,2,"), ("y", "3,,"), ("y", "3")],
+        "userId string, tagsId string",
+    )
+    assert dict(rows(collapse_new_tags(n))) == {"u": "5,6,8", "v": "7", "w": " ", "x": "2,2,", "y": "3"}
+
+
+def test_canonical_ids_in_any_spelling(spark):
+    from tagloom.operators import tag_coverage
+
+    s = spark.createDataFrame([("u", "5,05, 5"), ("v", "5"), ("w", "x9,\\N,,"), ("z", None)], "userId string, tagsId string")
+    got = dict(rows(s.select("userId", canonical_tags("tagsId").alias("c"))))
+    assert got == {"u": "5", "v": "5", "w": "", "z": None}
+    assert rows(tag_coverage(s)) == [(5, 2)]
