@@ -3,13 +3,14 @@
 Cluster jobs must not write to a machine-local temp folder: lineage is cut
 and intermediate tables are written under the shared folder that the
 cluster names in ``spark.checkpoint.dir``.  We read that setting from the
-session and only set our own (a local temp folder) where it is unset, as in
-tests and local runs.
+session and only set our own (a local temp folder) where it is unset and the
+master is local, as in tests; on a cluster an unset folder is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -59,13 +60,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     Order: the SparkContext's checkpoint dir, then ``spark.checkpoint.dir``
-    from the session conf; only if both are unset (local runs, tests) a
-    fresh local temp folder is made and registered.
+    from the session conf; only if both are unset and the master is local
+    (tests) a fresh local temp folder is made and registered.
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 — a Spark Connect session has no SparkContext
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    except Exception as e:  # noqa: BLE001 — a Spark Connect session has no SparkContext
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from e
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -73,6 +77,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        # local[...] runs in one process; local-cluster has executors of its own
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tagloom-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -81,7 +88,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders made so far in this process; returns their number.
+
+    For the end of a job: frames that still read them must not be used again.
+    """
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def materialize(df):
