@@ -18,7 +18,9 @@ Ingest of a ``\\x01`` extract (one of ``logs users orders goods``)::
     spark-submit tagloom/plans/jobs.py ingest --kind logs --src s3a://in/logs/ --dest s3a://out/logs/ --stream
 
 The batch form publishes the rows sorted by key; ``--stream`` runs the
-incremental form (only files not seen before, ``availableNow``).
+incremental form (only files not seen before, ``availableNow``); what was seen
+is kept in ``--checkpoint``, by default a folder inside ``--dest``, and so is
+known to the next application.
 
 A schedule slot — several merge-mode models, one store upsert::
 
@@ -39,6 +41,7 @@ if __package__ in (None, ""):  # run as a script (spark-submit path/to/jobs.py):
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel, TagModel
 from tagloom.plans.runner import run_model
 from tagloom.session import get_session
+from tagloom.sources.store import prune_snapshots
 from tagloom.sources.taxonomy import read_taxonomy
 
 
@@ -76,6 +79,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--register", action="append", default=[], help="table=parquet_path, repeatable")
     p.add_argument("--store-root", required=True)
     p.add_argument("--store-buckets", type=int, help="bucket the store on userId (also sets shuffle partitions)")
+    p.add_argument("--keep", type=int, help="full snapshots to keep after the run (default: all)")
     return p.parse_args(argv)
 
 
@@ -90,10 +94,11 @@ def ingest_main(argv: list[str]) -> str:
     p.add_argument("--dest", required=True)
     p.add_argument("--partitions", type=int)
     p.add_argument("--stream", action="store_true")
+    p.add_argument("--checkpoint", help="stream checkpoint (default: _checkpoint inside --dest)")
     a = p.parse_args(argv)
     spark = get_session(app=f"tagloom-ingest-{a.kind}")
     if a.stream:
-        start_extract_stream(spark, a.src, a.kind, a.dest).awaitTermination()
+        start_extract_stream(spark, a.src, a.kind, a.dest, checkpoint=a.checkpoint).awaitTermination()
     else:
         ingest(spark, a.src, a.kind, a.dest, partitions=a.partitions)
     print(a.dest)
@@ -127,6 +132,7 @@ def slot_main(argv: list[str]) -> str:
     p.add_argument("--register", action="append", default=[])
     p.add_argument("--store-root", required=True)
     p.add_argument("--store-buckets", type=int)
+    p.add_argument("--keep", type=int)
     a = p.parse_args(argv)
     spark = get_session(app="tagloom-slot", shuffle_partitions=a.store_buckets if a.store_buckets else None)
     for reg in a.register:
@@ -135,6 +141,8 @@ def slot_main(argv: list[str]) -> str:
     taxonomy = read_taxonomy(spark, a.taxonomy_format, **dict(kv.split("=", 1) for kv in a.taxonomy_option))
     models = [parse_model_spec(m) for m in a.model]
     run = run_models(spark, models, taxonomy, store_root=a.store_root, write=True, buckets=a.store_buckets)
+    if a.keep:
+        prune_snapshots(spark, a.store_root, a.keep)
     print(run.path)
     return run.path
 
@@ -156,6 +164,8 @@ def main(argv: list[str] | None = None) -> str:
     opts = dict(kv.split("=", 1) for kv in a.taxonomy_option)
     taxonomy = read_taxonomy(spark, a.taxonomy_format, **opts)
     run = run_model(spark, build_model(a), taxonomy, store_root=a.store_root, write=True, buckets=a.store_buckets)
+    if a.keep:
+        prune_snapshots(spark, a.store_root, a.keep)
     print(run.path)
     return run.path
 

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.dates import age_years, shifted_days_since
+from tagloom.functions.dates import age_years, epoch_to_long, shifted_days_since
 from tagloom.functions.rules import range_rules
 from tagloom.operators.aggregate import last_per_key, rfe_measures
 from tagloom.operators.broadcast import maybe_broadcast
@@ -31,6 +31,14 @@ class TagModel:
     def compute(self, rules: DataFrame, source: DataFrame) -> DataFrame:  # pragma: no cover
         raise NotImplementedError
 
+    def per_key(self) -> Column | None:
+        """What the model needs of all rows of a key, as one aggregate; None if it needs the rows."""
+        return None
+
+    def compute_per_key(self, rules: DataFrame, values: DataFrame) -> DataFrame:
+        """New tags from ``(userId, __value)``, the aggregate of ``per_key`` (for models that have one)."""
+        raise TypeError(f"{type(self).__name__} has no aggregate")
+
 
 @dataclass
 class ExactMatchModel(TagModel):
@@ -43,6 +51,14 @@ class ExactMatchModel(TagModel):
     def compute(self, rules: DataFrame, source: DataFrame) -> DataFrame:
         return exact_match(source, rules, self.value_field, self.key_field, self.on_unmatched)
 
+    def per_key(self) -> Column | None:
+        # the distinct values of a key; only where a null value changes nothing
+        return F.collect_set(F.col(self.value_field).cast("string")) if self.on_unmatched == "drop" else None
+
+    def compute_per_key(self, rules: DataFrame, values: DataFrame) -> DataFrame:
+        each = values.select("userId", F.explode("__value").alias("__v"))
+        return exact_match(each, rules, "__v", "userId", self.on_unmatched)
+
 
 @dataclass
 class RecencyRangeModel(TagModel):
@@ -60,17 +76,28 @@ class RecencyRangeModel(TagModel):
     as_of: str | None = None
 
     def days(self, source: DataFrame) -> DataFrame:
-        last = last_per_key(source, self.key_field, self.time_field)
+        return self._days(last_per_key(source, self.key_field, self.time_field))
+
+    def _days(self, last: DataFrame) -> DataFrame:
         return last.select(
             "userId", shifted_days_since(F.col("maxFinishTime"), self.as_of, self.shift_days).cast("int").alias("days")
         )
 
     def compute_detail(self, rules: DataFrame, source: DataFrame) -> DataFrame:
+        return self._match(rules, self.days(source))
+
+    def _match(self, rules: DataFrame, days: DataFrame) -> DataFrame:
         # validated inside range_match's measuring pass (one small job, not two)
-        ranges = range_rules(rules, validate=False)
-        m = range_match(self.days(source), ranges, "days")
+        m = range_match(days, range_rules(rules, validate=False), "days")
         return m.select("userId", "days", F.col("tagsId").cast("string").alias("tagsId"), "start", "end")
 
+    def per_key(self) -> Column | None:
+        return F.max(epoch_to_long(F.col(self.time_field)))
+
+    def compute_per_key(self, rules: DataFrame, values: DataFrame) -> DataFrame:
+        last = values.withColumnRenamed("__value", "maxFinishTime")
+        return self._match(rules, self._days(last)).select("userId", "tagsId")
+
     def compute(self, rules: DataFrame, source: DataFrame) -> DataFrame:
         return self.compute_detail(rules, source).select("userId", "tagsId")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from tagloom.plans import scenario as S
-from tagloom.schemas import LOGS_COLUMNS
+from tagloom.schemas import GOODS_COLUMNS, LOGS_COLUMNS, ORDERS_COLUMNS, USERS_COLUMNS
 
 
 def _lit(v) -> str:
@@ -39,17 +39,20 @@ tax AS (SELECT * FROM head UNION ALL SELECT * FROM jobs),
 users AS (SELECT CAST(c_custkey AS VARCHAR) AS id,
                  CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '2' END AS gender,
                  c_mktsegment AS job,
-                 strftime(DATE '1940-01-01' + CAST((c_custkey * 7919) % 21915 AS INTEGER), '%Y-%m-%d') AS birthday
+                 CASE WHEN c_custkey % 13 = 0 THEN '\\N'
+                      ELSE strftime(DATE '1940-01-01' + CAST((c_custkey * 7919) % 21915 AS INTEGER), '%Y-%m-%d') END AS birthday
           FROM customer),
 osrc AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS memberId,
                 CAST(CAST(epoch_ms(o_orderdate) // 1000 AS BIGINT) AS VARCHAR) AS finishTime,
                 o_orderstatus AS orderstatus
          FROM orders),
 logs AS (SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS global_user_id,
-                event_type AS loc_url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS log_time
+                event_type AS loc_url,
+                CASE WHEN event_id % 17 = 0 THEN '\\N' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS log_time
          FROM events),
 stored AS (SELECT CAST(c.c_custkey AS VARCHAR) AS userId,
-                  CASE WHEN c.c_nationkey < 5 THEN concat_ws(',', CAST(j.id AS VARCHAR), g.t)
+                  CASE WHEN c.c_nationkey < 3 THEN concat_ws(',', CAST(j.id AS VARCHAR), g.t)
+                       WHEN c.c_nationkey < 5 THEN '0' || g.t || ', ' || g.t || ',' || CAST(j.id AS VARCHAR) || ',x9'
                        WHEN c.c_nationkey < 10 THEN CAST(j.id AS VARCHAR) || ',' || CAST(j.id AS VARCHAR) || ',,'
                        WHEN c.c_nationkey < 15 THEN ' '
                        WHEN c.c_nationkey < 20 THEN NULL
@@ -61,6 +64,8 @@ stored AS (SELECT CAST(c.c_custkey AS VARCHAR) AS userId,
 bands AS (SELECT id AS tagsId, CAST(split_part(rule, '-', 1) AS INTEGER) AS start_,
                  CAST(split_part(rule, '-', 2) AS INTEGER) AS end_, pid
           FROM tax WHERE pid IN (14, 23)),
+lists AS (SELECT CAST(c_custkey AS VARCHAR) AS userId, t AS tagsId
+          FROM customer, (VALUES ('31,5'), ('5,32,,'), (' '), (NULL)) AS l(t) WHERE c_custkey % 2 = 0),
 lastp AS (SELECT memberId AS userId, max(CAST(finishTime AS BIGINT)) AS maxFinishTime FROM osrc GROUP BY memberId),
 days AS (SELECT userId, CAST(date_diff('day', CAST(epoch_ms(maxFinishTime * 1000) AS DATE), DATE '{_SHIFTED}') AS INTEGER) AS days
          FROM lastp),
@@ -68,6 +73,22 @@ cycle AS (SELECT d.userId, d.days, CAST(b.tagsId AS VARCHAR) AS tagsId, b.start_
           FROM days d JOIN bands b ON b.pid = 23 AND d.days BETWEEN b.start_ AND b.end_)
 """
 
+# The union of a user's new lists: blank ones left out, shorter lists first, each tag once.
+def _collapse(rows: str) -> str:
+    union = f"list_filter(cat, lambda x, i: list_position(cat, x) = i)"
+    return f"""(SELECT userId, CASE WHEN len(ls) = 0 THEN lo WHEN len(ls) = 1 THEN ls[1] ELSE array_to_string({union}, ',') END AS tagsId
+  FROM (SELECT userId, lo, ls, flatten(list_transform(ls, lambda y: {_jsplit('y')})) AS cat
+        FROM (SELECT userId, min(tagsId) AS lo,
+                     list(DISTINCT tagsId ORDER BY length(tagsId), tagsId) FILTER (WHERE NOT {_blank('tagsId')}) AS l0, coalesce(l0, []) AS ls
+              FROM {rows} GROUP BY userId)))"""
+
+
+def _upsert(new: str, store: str, merge: bool) -> str:
+    cell = f"CASE WHEN n.userId IS NOT NULL THEN {_merge('n.tagsId', 's.tagsId')} END" if merge else "n.tagsId"
+    return f"""(SELECT coalesce(n.userId, s.userId) AS userId, coalesce({cell}, s.tagsId) AS tagsId
+  FROM {new} n FULL OUTER JOIN {store} s ON n.userId = s.userId)"""
+
+
 # Java-style split of a comma list: trailing empties dropped, '' -> [''].
 def _jsplit(x: str) -> str:
     return (f"(CASE WHEN {x} = '' THEN [''] WHEN regexp_replace({x}, ',+$', '') = '' THEN []::VARCHAR[] "
@@ -159,33 +180,56 @@ SELECT {cols}
 FROM split WHERE len(f) IN ({n - 1}, {n})"""
 
 
-def _ingest_users() -> str:
-    return """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS username,
-       CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '2' END AS gender,
-       strftime(DATE '1940-01-01' + CAST((c_custkey * 7919) % 21915 AS INTEGER), '%Y-%m-%d') AS birthday,
-       c_mktsegment AS job, CAST(c_nationkey AS VARCHAR) AS nationality,
-       CAST(c_acctbal AS VARCHAR) AS money, '\\N' AS is_blacklist
-FROM customer"""
-
-
-def _ingest_goods() -> str:
-    return """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
-       CAST(l_orderkey AS VARCHAR) AS orderid, CAST(l_partkey AS VARCHAR) AS productid,
-       CAST(l_extendedprice AS VARCHAR) AS price, CAST(l_quantity AS VARCHAR) AS number,
-       l_linestatus AS status, '\\N' AS ogcolor
-FROM lineitem"""
-
-
-def _ingest_orders() -> str:
-    return """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS memberid,
-       o_orderstatus AS orderstatus, CAST(o_totalprice AS VARCHAR) AS orderamount,
-       CAST(CAST(epoch_ms(o_orderdate) // 1000 AS BIGINT) AS VARCHAR) AS finishtime,
-       o_orderpriority AS remark, '\\N' AS modified
-FROM orders"""
+def _extract(columns, mapped, table) -> str:
+    """All columns of an extract: mapped ones, and the rest from their name and the row key."""
+    key = mapped[columns[0]]
+    cell = lambda c: mapped.get(c) or ("'\\N'" if len(c) % 3 == 0 else f"'{c}:' || {key}")
+    return "SELECT " + ", ".join(f'{cell(c)} AS "{c}"' for c in columns) + f" FROM {table}"
+
+
+_USERS_MAPPED = {
+    "id": "CAST(c_custkey AS VARCHAR)",
+    "username": "c_name",
+    "gender": "CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '2' END",
+    "birthday": "CASE WHEN c_custkey % 13 = 0 THEN '\\N' ELSE "
+    "strftime(DATE '1940-01-01' + CAST((c_custkey * 7919) % 21915 AS INTEGER), '%Y-%m-%d') END",
+    "job": "c_mktsegment",
+    "nationality": "CAST(c_nationkey AS VARCHAR)",
+    "money": "CAST(c_acctbal AS VARCHAR)",
+}
+_GOODS_MAPPED = {
+    "id": "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)",
+    "orderid": "CAST(l_orderkey AS VARCHAR)",
+    "productid": "CAST(l_partkey AS VARCHAR)",
+    "price": "CAST(l_extendedprice AS VARCHAR)",
+    "number": "CAST(l_quantity AS VARCHAR)",
+    "status": "l_linestatus",
+}
+_ORDERS_MAPPED = {
+    "id": "CAST(o_orderkey AS VARCHAR)",
+    "memberid": "CAST(o_custkey AS VARCHAR)",
+    "orderstatus": "o_orderstatus",
+    "orderamount": "CAST(o_totalprice AS VARCHAR)",
+    "finishtime": "CAST(CAST(epoch_ms(o_orderdate) // 1000 AS BIGINT) AS VARCHAR)",
+    "remark": "o_orderpriority",
+}
+
+
+def _typed_users() -> str:
+    kinds = {"id": "BIGINT", "birthday": "DATE", "money": "DOUBLE", "nationality": "INTEGER"}
+    cells = []
+    for c in USERS_COLUMNS:
+        v = f"nullif(\"{c}\", '\\N')"
+        cells.append(f'TRY_CAST({v} AS {kinds[c]}) AS "{c}"' if c in kinds else f'{v} AS "{c}"')
+    return f"SELECT {', '.join(cells)} FROM ({_extract(USERS_COLUMNS, _USERS_MAPPED, 'customer')})"
+
+
+def _position(key: str, table: str) -> str:
+    return f"SELECT id, row_number() OVER (ORDER BY id) AS position FROM (SELECT {key} AS id FROM {table})"
 
 
 _AS_OF_EV = S.AS_OF_EVENTS
-_RECENT_FROM = (_dt.date.fromisoformat(S.AS_OF_EVENTS) - _dt.timedelta(days=30)).isoformat()
+_RECENT_FROM = (_dt.date.fromisoformat(S.AS_OF_EVENTS) - _dt.timedelta(days=S.LOOKBACK_DAYS)).isoformat()
 
 
 def oracle_sql() -> dict[str, str]:
@@ -218,12 +262,17 @@ n AS (SELECT u.id AS userId, r.tag AS tagsId FROM users u LEFT JOIN r ON u.gende
 SELECT coalesce(n.userId, s.userId) AS userId, coalesce(n.tagsId, s.tagsId) AS tagsId
 FROM n FULL OUTER JOIN stored s ON n.userId = s.userId"""),
         "upsert_store": _with(f"""st AS (SELECT CAST(max(id) AS VARCHAR) AS tag, rule FROM tax WHERE pid = 30 GROUP BY rule),
-per AS (SELECT o.memberId AS userId, list_sort(list_distinct(list(st.tag))) AS l
-        FROM osrc o JOIN st ON o.orderstatus = st.rule GROUP BY o.memberId),
-n AS (SELECT userId, CASE WHEN len(l) = 0 THEN NULL ELSE array_to_string(l, ',') END AS tagsId FROM per)
-SELECT coalesce(n.userId, s.userId) AS userId,
-       coalesce(CASE WHEN n.userId IS NOT NULL THEN {_merge('n.tagsId', 's.tagsId')} END, s.tagsId) AS tagsId
-FROM n FULL OUTER JOIN stored s ON n.userId = s.userId"""),
+new AS (SELECT o.memberId AS userId, st.tag AS tagsId FROM osrc o JOIN st ON o.orderstatus = st.rule
+        UNION ALL SELECT * FROM lists)
+SELECT * FROM {_upsert(_collapse('new'), 'stored', True)}"""),
+        "store_round_trip": _with(f"""st AS (SELECT CAST(max(id) AS VARCHAR) AS tag, rule FROM tax WHERE pid = 30 GROUP BY rule),
+status AS (SELECT o.memberId AS userId, st.tag AS tagsId FROM osrc o JOIN st ON o.orderstatus = st.rule),
+one AS (SELECT * FROM {_upsert(_collapse('status'), 'stored', True)}),
+two AS (SELECT * FROM {_upsert(_collapse('lists'), 'one', False)})
+SELECT * FROM {_upsert(_collapse('lists'), 'two', True)}"""),
+        "model_run_job_merge": _with(f"""r AS (SELECT CAST(max(id) AS VARCHAR) AS tag, rule FROM tax WHERE pid = 7 GROUP BY rule),
+new AS (SELECT u.id AS userId, r.tag AS tagsId FROM users u LEFT JOIN r ON u.job = r.rule)
+SELECT * FROM {_upsert('new', 'stored', True)}"""),
         "model_run_cycle_merge": _with(cycle_merged_store + "\nSELECT userId, tagsId FROM m"),
         "model_run_multi": _with("""st AS (SELECT CAST(max(id) AS VARCHAR) AS tag, rule FROM tax WHERE pid = 30 GROUP BY rule),
 toks AS (SELECT userId, tagsId AS t FROM cycle
@@ -231,15 +280,15 @@ toks AS (SELECT userId, tagsId AS t FROM cycle
          UNION ALL SELECT userId, unnest(string_split(tagsId, ',')) FROM stored WHERE tagsId IS NOT NULL),
 keys AS (SELECT userId FROM cycle UNION SELECT o.memberId FROM osrc o JOIN st ON o.orderstatus = st.rule
          UNION SELECT userId FROM stored),
-ids AS (SELECT userId, CAST(trim(t) AS BIGINT) AS id FROM toks WHERE trim(t) <> '')
+ids AS (SELECT userId, TRY_CAST(trim(t) AS BIGINT) AS id FROM toks WHERE TRY_CAST(trim(t) AS BIGINT) IS NOT NULL)
 SELECT k.userId, (SELECT array_to_string(list_sort(list_distinct(list(i.id))), ',') FROM ids i WHERE i.userId = k.userId) AS tagsId
 FROM keys k"""),
         "tag_coverage": _with(cycle_merged_store + """,
-ex AS (SELECT userId, unnest(list_distinct(list_filter(string_split(tagsId, ','), lambda x: NOT regexp_matches(x, '^\\s*$')))) AS tag
-       FROM m WHERE NOT (tagsId IS NULL OR regexp_matches(tagsId, '^\\s*$')))
-SELECT CAST(ex.tag AS BIGINT) AS tagsId, t.name, count(*) AS users
-FROM ex LEFT JOIN tax t ON t.id = CAST(ex.tag AS BIGINT)
-GROUP BY CAST(ex.tag AS BIGINT), t.name"""),
+ex AS (SELECT DISTINCT userId, TRY_CAST(trim(t) AS BIGINT) AS tag
+       FROM (SELECT userId, unnest(string_split(tagsId, ',')) AS t FROM m WHERE tagsId IS NOT NULL))
+SELECT ex.tag AS tagsId, t.name, count(*) AS users
+FROM ex LEFT JOIN tax t ON t.id = ex.tag WHERE ex.tag IS NOT NULL
+GROUP BY ex.tag, t.name"""),
         "source_select": _with("SELECT id, job FROM users"),
         "rule_map": _with(_catalog_ctes() + """,
 parts AS (SELECT id, unnest(string_split(rule, '##')) AS part, unnest(generate_series(1, len(string_split(rule, '##')))) AS pos
@@ -263,12 +312,17 @@ SELECT c.id, c.name, m.id AS model_id, m.model_name, m.state
 FROM cat c LEFT JOIN models m ON m.tag_id = c.id WHERE c.level = 4"""),
         "ingest_logs": _parse_logs(False),
         "ingest_arity": _parse_logs(True),
-        "ingest_orders": _ingest_orders(),
-        "ingest_users": _ingest_users(),
-        "ingest_goods": _ingest_goods(),
+        "ingest_orders": _extract(ORDERS_COLUMNS, _ORDERS_MAPPED, "orders"),
+        "ingest_users": _extract(USERS_COLUMNS, _USERS_MAPPED, "customer"),
+        "ingest_goods": _extract(GOODS_COLUMNS, _GOODS_MAPPED, "lineitem"),
+        "typed_users": _typed_users(),
+        "publish_logs": _position("CAST(event_id AS VARCHAR)", "events"),
+        "publish_users": _position(_USERS_MAPPED["id"], "customer"),
+        "publish_orders": _position(_ORDERS_MAPPED["id"], "orders"),
+        "publish_goods": _position(_GOODS_MAPPED["id"], "lineitem"),
         "bulk_sorted_by_key": _parse_logs(False),
         "activity_rfe": f"""WITH l AS (SELECT CAST(user_id AS VARCHAR) AS userId, event_type AS act,
-                  CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS t FROM events),
+                  CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS t FROM events WHERE event_id % 17 <> 0),
 u AS (SELECT * FROM l WHERE t < TIMESTAMP '{_AS_OF_EV} 00:00:00'),
 a AS (SELECT userId, max(t) AS last_t,
              count(*) FILTER (WHERE t >= TIMESTAMP '{_RECENT_FROM} 00:00:00') AS frequency,
@@ -279,7 +333,10 @@ SELECT userId, CAST(date_diff('day', CAST(last_t AS DATE), DATE '{_AS_OF_EV}') A
        CAST(frequency AS BIGINT) AS frequency,
        round(CAST(views AS DOUBLE) / nullif(clicks, 0), 6) AS engagement
 FROM a""",
-        "age_band_tags": _with(f"""ag AS (SELECT id AS userId, CAST(birthday AS DATE) AS b FROM users),
+        "activity_clusters": f"""SELECT DISTINCT CAST(user_id AS VARCHAR) AS userId, CAST(1 AS BIGINT) AS n_tags,
+       TRUE AS ranked, TRUE AS ranks_ordered
+FROM events WHERE event_id % 17 <> 0 AND ts < TIMESTAMP '{_AS_OF_EV} 00:00:00'""",
+        "age_band_tags": _with(f"""ag AS (SELECT id AS userId, TRY_CAST(birthday AS DATE) AS b FROM users),
 age AS (SELECT userId, CAST(year(DATE '{S.AS_OF_ORDERS}') - year(b)
           - CASE WHEN month(DATE '{S.AS_OF_ORDERS}') < month(b)
                    OR (month(DATE '{S.AS_OF_ORDERS}') = month(b) AND day(DATE '{S.AS_OF_ORDERS}') < day(b))

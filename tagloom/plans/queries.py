@@ -16,13 +16,15 @@ from tagloom.operators.aggregate import last_per_key, tag_coverage
 from tagloom.operators.broadcast import maybe_broadcast
 from tagloom.operators.match import exact_rules
 from tagloom.operators.merge import merge_tags, upsert_tags
-from tagloom.operators.taxonomy import by_level, find, rule_options, tags_with_models
+from tagloom.operators.taxonomy import by_level, rule_options, tags_with_models
 from tagloom.plans import scenario as S
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel
 from tagloom.plans.runner import model_inputs, run_model, run_models
-from tagloom.schemas import GOODS_COLUMNS, LOGS_COLUMNS, ORDERS_COLUMNS, USERS_COLUMNS
+from tagloom.schemas import EXTRACT_SEP, GOODS_COLUMNS, LOGS_COLUMNS, ORDERS_COLUMNS, USERS_COLUMNS
 from tagloom.session import materialize, scratch_path
-from tagloom.sources.extracts import read_extract, write_sorted_by_key
+from tagloom.sources.extracts import NULL_MARK, published_positions, read_extract, typed_view, write_sorted_by_key
+from tagloom.sources.store import append_delta, compact, read_store, version, write_snapshot
+from tagloom.sources.taxonomy import read_models, read_taxonomy
 
 
 class Ctx:
@@ -180,7 +182,35 @@ def upsert_store(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     m = status_model("drop")
     _, rules, src = c.inputs(m)
-    return upsert_tags(c.stored(), m.compute(rules, src), mode="merge")
+    new = m.compute(rules, src).unionByName(S.status_lists(c.t["customer"]))
+    return upsert_tags(c.stored(), new, mode="merge")
+
+
+def store_round_trip(spark, sf_dir):
+    """Snapshot written, read, upserted as a delta and as the next snapshot, compacted and read again."""
+    c = Ctx(spark, sf_dir)
+    root = scratch_path(spark, "store")
+    write_snapshot(c.stored(), root)
+    m = status_model("drop")
+    _, rules, src = c.inputs(m)
+    append_delta(m.compute(rules, src), root, "merge", expected=version(spark, root))
+    at = version(spark, root)
+    new = S.status_lists(c.t["customer"])
+    write_snapshot(upsert_tags(read_store(spark, root), new, mode="replace"), root, expected=at)
+    append_delta(new, root, "merge")
+    compact(spark, root)
+    return read_store(spark, root)
+
+
+def model_run_job_merge(spark, sf_dir):
+    """The job model end to end: taxonomy read as a table, stored tags read, merged, saved, read back."""
+    c = Ctx(spark, sf_dir)
+    path, root = scratch_path(spark, "taxonomy"), scratch_path(spark, "store")
+    c.tax.write.parquet(path)
+    write_snapshot(c.stored(), root)
+    model = ExactMatchModel(7, key_field="id", value_field="job")
+    run = run_model(spark, model, read_taxonomy(spark, "parquet", path=path), store_root=root, readers=c.readers, write=True)
+    return run.store
 
 
 def model_run_cycle_merge(spark, sf_dir):
@@ -228,21 +258,29 @@ def taxonomy_by_level(spark, sf_dir):
 
 
 def taxonomy_children(spark, sf_dir):
-    """Children of the root tag named ECONOMY (found by name, level and parent)."""
+    """Children of the root tag named ECONOMY, found by a predicate given as SQL text."""
     cat = Ctx(spark, sf_dir).catalog()
-    parent = find(cat, "ECONOMY", 1, -1).select(F.col("id").alias("pid"))
+    parent = cat.where("name = 'ECONOMY' AND level = 1 AND pid = -1").select(F.col("id").alias("pid"))
     return cat.join(parent, "pid", "left_semi").select("id", "name", "level", "pid")
 
 
 def tag_model_join(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     cat = c.catalog()
-    models = S.models_registry(spark, cat)
+    path = scratch_path(spark, "models")
+    S.models_registry(spark, cat).write.parquet(path)
+    models = read_models(spark, "parquet", path=path)
     return tags_with_models(by_level(cat, 4), models).select("id", "name", "model_id", "model_name", "state")
 
 
 # --- ingest (A6–A9 E1 H8) ----------------------------------------------------------------
 
+def unmapped(column: str, key: F.Column) -> F.Column:
+    """Value of a field without a source column: made from its name and the row key, so that a
+    field that lands in another column shows; every third column is the warehouse's null."""
+    return F.lit(NULL_MARK) if len(column) % 3 == 0 else F.concat(F.lit(f"{column}:"), key)
+
+
 def logs_lines(events: DataFrame, arity_cases: bool = False) -> DataFrame:
     """``\\x01`` lines in the logs extract layout, one per event.
 
@@ -250,33 +288,29 @@ def logs_lines(events: DataFrame, arity_cases: bool = False) -> DataFrame:
     chosen by ``event_id mod 8`` — every event is kept as a line; the
     parser decides which lines survive.
     """
-    sep = "\x01"
-    f = [
-        F.col("event_id").cast("string"),                       # id
-        F.col("event_id").cast("string"),                       # log_id
-        F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")),  # remote_ip
-        F.lit(""),                                              # site_global_ticket
-        F.lit(""),                                              # site_global_session
-        F.col("user_id").cast("string"),                        # global_user_id
-        F.coalesce(F.col("props"), F.lit("")),                  # cookie_text
-        F.lit(""),                                              # user_agent
-        F.lit(""),                                              # ref_url
-        F.col("event_type"),                                    # loc_url
-        F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"),      # log_time
-    ]
+    sep = EXTRACT_SEP
+    mapped = {
+        "id": F.col("event_id").cast("string"),
+        "log_id": F.col("event_id").cast("string"),
+        "remote_ip": F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")),
+        "global_user_id": F.col("user_id").cast("string"),
+        "cookie_text": F.coalesce(F.col("props"), F.lit("")),
+        "loc_url": F.col("event_type"),
+        "log_time": F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"),
+    }
+    f = [mapped.get(c, F.lit("")) for c in LOGS_COLUMNS]
     full = F.concat_ws(sep, *f)
     if not arity_cases:
         return events.select(full.alias("value"))
-    head10 = F.concat_ws(sep, *f[:10])
-    head9 = F.concat_ws(sep, *f[:9])
+    short, shorter = F.concat_ws(sep, *f[:-1]), F.concat_ws(sep, *f[:-2])
     case = F.col("event_id") % 8
     line = (
         F.when(case == 0, full)
-        .when(case == 1, head10)                                          # n-1: one field short
-        .when(case == 2, F.concat(head10, F.lit(sep)))                    # n, last field empty
-        .when(case == 3, F.concat(head9, F.lit(sep + sep)))               # last two empty
-        .when(case == 4, head9)                                           # n-2
-        .when(case == 5, F.concat(full, F.lit(sep + "extra")))            # n+1
+        .when(case == 1, short)                                           # one field short
+        .when(case == 2, F.concat(short, F.lit(sep)))                     # last field empty
+        .when(case == 3, F.concat(shorter, F.lit(sep + sep)))             # last two empty
+        .when(case == 4, shorter)                                         # two fields short
+        .when(case == 5, F.concat(full, F.lit(sep + "extra")))            # one field more
         .when(case == 6, F.concat(full, F.lit(sep + sep)))                # extra trailing empties
         .otherwise(F.lit(""))                                             # empty line
     )
@@ -295,105 +329,126 @@ def write_extract(spark: SparkSession, lines: DataFrame, name: str) -> str:
     return path
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A warehouse export arrives as many files; a small test table can be a
-    single split.  Spread such a source over the cores before building its
-    extract lines (a no-op for a source already split at least that far)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def ingest_logs(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("events",))
-    return read_extract(spark, write_extract(spark, logs_lines(spread(t["events"])), "logs"), LOGS_COLUMNS)
+    return read_extract(spark, write_extract(spark, logs_lines(t["events"]), "logs"), LOGS_COLUMNS)
 
 
 def ingest_arity(spark, sf_dir):
     t = S.load_tables(spark, sf_dir, ("events",))
-    path = write_extract(spark, logs_lines(spread(t["events"]), arity_cases=True), "logs-arity")
+    path = write_extract(spark, logs_lines(t["events"], arity_cases=True), "logs-arity")
     return read_extract(spark, path, LOGS_COLUMNS)
 
 
-def orders_lines(orders: DataFrame) -> DataFrame:
-    """Lines in the 112-field orders extract layout.
+def extract_lines(df: DataFrame, columns: list[str], mapped: dict) -> DataFrame:
+    """Lines in an extract layout.  The last field is never empty: a trailing run of empty
+    fields would be dropped by the split and the line would fail the width test."""
+    key = mapped[columns[0]]
+    fields = [F.coalesce(mapped[c], F.lit("")) if c in mapped else unmapped(c, key) for c in columns]
+    return df.select(F.concat_ws(EXTRACT_SEP, *fields).alias("value"))
 
-    Unmapped fields carry the warehouse null marker ``\\N`` (as a text
-    export writes them); were they empty, the trailing run of empty fields
-    would be dropped by the split and the line would fail the width test.
-    """
-    mapped = {
+
+def orders_lines(orders: DataFrame) -> DataFrame:
+    """Lines in the 112-field orders extract layout."""
+    return extract_lines(orders, ORDERS_COLUMNS, {
         "id": F.col("o_orderkey").cast("string"),
         "memberid": F.col("o_custkey").cast("string"),
         "orderstatus": F.col("o_orderstatus"),
         "orderamount": F.col("o_totalprice").cast("string"),
         "finishtime": F.unix_seconds(F.col("o_orderdate").cast("timestamp")).cast("string"),
         "remark": F.col("o_orderpriority"),
-    }
-    fields = [mapped.get(c, F.lit("\\N")) for c in ORDERS_COLUMNS]
-    return orders.select(F.concat_ws("\x01", *fields).alias("value"))
-
-
-def ingest_orders(spark, sf_dir):
-    t = S.load_tables(spark, sf_dir, ("orders",))
-    rows = read_extract(spark, write_extract(spark, orders_lines(spread(t["orders"])), "orders"), "orders")
-    return rows.select("id", "memberid", "orderstatus", "orderamount", "finishtime", "remark", "modified")
+    })
 
 
 def users_lines(customer: DataFrame) -> DataFrame:
-    """Lines in the 38-field users extract layout (unmapped fields ``\\N``)."""
+    """Lines in the 38-field users extract layout."""
     key = F.col("c_custkey")
-    mapped = {
+    return extract_lines(customer, USERS_COLUMNS, {
         "id": key.cast("string"),
         "username": F.col("c_name"),
         "gender": F.when(key % 2 == 0, F.lit("1")).otherwise(F.lit("2")),
         "job": F.col("c_mktsegment"),
-        "birthday": F.date_format(
+        "birthday": F.when(key % 13 == 0, F.lit(NULL_MARK)).otherwise(F.date_format(
             F.date_add(F.lit("1940-01-01").cast("date"), ((key * F.lit(7919)) % F.lit(21915)).cast("int")), "yyyy-MM-dd"
-        ),
+        )),
         "money": F.col("c_acctbal").cast("string"),
         "nationality": F.col("c_nationkey").cast("string"),
-    }
-    fields = [mapped.get(c, F.lit("\\N")) for c in USERS_COLUMNS]
-    return customer.select(F.concat_ws("\x01", *fields).alias("value"))
-
-
-def ingest_users(spark, sf_dir):
-    t = S.load_tables(spark, sf_dir, ("customer",))
-    rows = read_extract(spark, write_extract(spark, users_lines(spread(t["customer"])), "users"), "users")
-    return rows.select("id", "username", "gender", "birthday", "job", "nationality", "money", "is_blacklist")
+    })
 
 
 def goods_lines(lineitem: DataFrame) -> DataFrame:
-    """Lines in the 97-field goods extract layout (unmapped fields ``\\N``)."""
-    mapped = {
+    """Lines in the 97-field goods extract layout."""
+    return extract_lines(lineitem, GOODS_COLUMNS, {
         "id": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
         "orderid": F.col("l_orderkey").cast("string"),
         "productid": F.col("l_partkey").cast("string"),
         "price": F.col("l_extendedprice").cast("string"),
         "number": F.col("l_quantity").cast("string"),
         "status": F.col("l_linestatus"),
-    }
-    fields = [mapped.get(c, F.lit("\\N")) for c in GOODS_COLUMNS]
-    return lineitem.select(F.concat_ws("\x01", *fields).alias("value"))
+    })
+
+
+EXTRACTS = {
+    "logs": ("events", logs_lines),
+    "users": ("customer", users_lines),
+    "orders": ("orders", orders_lines),
+    "goods": ("lineitem", goods_lines),
+}
+
+
+def extract_rows(spark, sf_dir, kind: str) -> DataFrame:
+    """All columns of one extract, written as text lines and read back."""
+    table, lines = EXTRACTS[kind]
+    t = S.load_tables(spark, sf_dir, (table,))
+    return read_extract(spark, write_extract(spark, lines(t[table]), kind), kind)
+
+
+def ingest_orders(spark, sf_dir):
+    return extract_rows(spark, sf_dir, "orders")
+
+
+def ingest_users(spark, sf_dir):
+    return extract_rows(spark, sf_dir, "users")
 
 
 def ingest_goods(spark, sf_dir):
-    t = S.load_tables(spark, sf_dir, ("lineitem",))
-    rows = read_extract(spark, write_extract(spark, goods_lines(spread(t["lineitem"])), "goods"), "goods")
-    return rows.select("id", "orderid", "productid", "price", "number", "status", "ogcolor")
+    return extract_rows(spark, sf_dir, "goods")
+
+
+def typed_users(spark, sf_dir):
+    """The users extract with nulls for the warehouse's null marker and cast columns."""
+    rows = extract_rows(spark, sf_dir, "users")
+    return typed_view(rows, {"id": "bigint", "birthday": "date", "money": "double", "nationality": "int"})
+
+
+def _published(spark, sf_dir, kind: str) -> tuple[str, str]:
+    path = scratch_path(spark, f"bulk-{kind}")
+    rows = extract_rows(spark, sf_dir, kind)
+    write_sorted_by_key(rows, path)
+    return path, rows.columns[0]
 
 
 def bulk_sorted_by_key(spark, sf_dir):
-    """Ingest and publish sorted by key into the shared scratch folder; read back."""
-    path = scratch_path(spark, "bulk-logs")
-    write_sorted_by_key(ingest_logs(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    """The logs extract published sorted by key into the shared scratch folder; read back."""
+    return spark.read.parquet(_published(spark, sf_dir, "logs")[0])
+
+
+def _positions(kind: str):
+    def query(spark, sf_dir):
+        return published_positions(spark, *_published(spark, sf_dir, kind))
+
+    query.__name__ = f"publish_{kind}"
+    query.__doc__ = f"Key and file-order position of every row of the published {kind} extract."
+    return query
+
+
+publish_logs, publish_users, publish_orders, publish_goods = map(_positions, ("logs", "users", "orders", "goods"))
 
 
 # --- activity and age (D5–D7 H5 H6) ----------------------------------------------------
 
 def activity_model() -> ActivityModel:
-    return ActivityModel(45, key_field="global_user_id", time_field="log_time", action_field="loc_url", as_of=S.AS_OF_EVENTS)
+    return ActivityModel(45, key_field="global_user_id", time_field="log_time", action_field="loc_url", as_of=S.AS_OF_EVENTS, lookback_days=S.LOOKBACK_DAYS)
 
 
 def activity_rfe(spark, sf_dir):
@@ -404,10 +459,26 @@ def activity_rfe(spark, sf_dir):
 
 
 def activity_clusters(spark, sf_dir):
+    """What SQL can state of the clusters of all users: each measured user has one of the ranked
+    tags, and a more active rank has the higher mean activity score (in standard units)."""
     c = Ctx(spark, sf_dir)
     m = activity_model()
     _, rules, src = c.inputs(m)
-    return m.compute(rules, src)
+    tags = m.compute(rules, src).groupBy("userId").agg(F.count("tagsId").alias("n_tags"), F.max("tagsId").alias("tag"))
+    rank = F.col("tag").cast("bigint") - F.lit(m.tag_id + 1)
+    zero = {"engagement": 0.0}
+    scored = m.measures(src).na.fill(zero).join(tags, "userId", "left").withColumn("rank", rank)
+    stats = scored.agg(*[f(x).alias(f"{n}_{x}") for x in ("recency", "frequency", "engagement") for n, f in (("m", F.avg), ("s", F.stddev))])
+
+    def z(x):
+        return (F.col(x) - F.col(f"m_{x}")) / F.when(F.col(f"s_{x}") > 0, F.col(f"s_{x}")).otherwise(F.lit(1.0))
+
+    means = scored.join(F.broadcast(stats)).groupBy("rank").agg(F.avg(z("frequency") + z("engagement") - z("recency")).alias("score"))
+    by_rank = means.agg(F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("r"))  # one row per rank
+    ordered = F.size(F.filter(F.col("r"), lambda x, i: (i > 0) & (x["score"] > F.col("r")[F.greatest(i - 1, F.lit(0))]["score"]))) == 0
+    return scored.join(F.broadcast(by_rank.select(ordered.alias("ranks_ordered")))).select(
+        "userId", F.coalesce("n_tags", F.lit(0)).cast("bigint").alias("n_tags"), F.col("rank").between(0, m.k - 1).alias("ranked"), "ranks_ordered"
+    )
 
 
 def age_band_tags(spark, sf_dir):
@@ -432,6 +503,8 @@ QUERIES = {
     "merge_tags": merge_tags_q,
     "replace_tags": replace_tags,
     "upsert_store": upsert_store,
+    "store_round_trip": store_round_trip,
+    "model_run_job_merge": model_run_job_merge,
     "model_run_cycle_merge": model_run_cycle_merge,
     "model_run_multi": model_run_multi,
     "tag_coverage": tag_coverage_q,
@@ -446,7 +519,12 @@ QUERIES = {
     "ingest_orders": ingest_orders,
     "ingest_users": ingest_users,
     "ingest_goods": ingest_goods,
+    "typed_users": typed_users,
     "bulk_sorted_by_key": bulk_sorted_by_key,
+    "publish_logs": publish_logs,
+    "publish_users": publish_users,
+    "publish_orders": publish_orders,
+    "publish_goods": publish_goods,
     "activity_rfe": activity_rfe,
     "age_band_tags": age_band_tags,
     "activity_clusters": activity_clusters,

@@ -10,14 +10,16 @@ full outer join on ``userId``; the write is fully parallel.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.operators.merge import merge_tags, upsert_tags
 from tagloom.operators.taxonomy import children, level4_meta
 from tagloom.plans.models import TagModel
-from tagloom.sources.store import read_snapshot, read_store, write_snapshot
+from tagloom.session import materialize
+from tagloom.sources.store import read_snapshot, read_store, version, write_snapshot
 from tagloom.sources.widerow import Reader, read_source
 
 
@@ -54,16 +56,22 @@ def run_model(
     """
     _, rules, source = model_inputs(spark, model, taxonomy, readers)
     new = model.compute(rules, source)
+    return _save(spark, new, model.mode, store, store_root, write, buckets)
+
+
+def _save(spark, new, mode, store, store_root, write, buckets) -> ModelRun:
+    """Merge ``new`` into the store (a frame, or the newest of ``store_root``) and write it if asked."""
+    at = version(spark, store_root) if store_root else None
     old = store if store is not None else (read_store(spark, store_root) if store_root else None)
     if old is None:
         old = spark.createDataFrame([], "userId string, tagsId string")
     merged = merge_tags(new, old)
-    nxt = upsert_tags(old, new, mode=model.mode)
+    nxt = upsert_tags(old, new, mode=mode)
     path = None
     if write:
         if not store_root:
             raise ValueError("write=True needs store_root")
-        path = write_snapshot(nxt, store_root, buckets)
+        path = write_snapshot(nxt, store_root, buckets, expected=at)
         nxt = read_snapshot(spark, path)
     return ModelRun(new=new, merged=merged, store=nxt, path=path)
 
@@ -83,28 +91,44 @@ def run_models(
     Each model's new tags are computed as in ``run_model``; they are unioned
     and merged into the store by a single upsert, so the store — the largest
     input — is read, shuffled and written once per slot instead of once per
-    model.  The result equals running the models one after another up to
+    model.  Models that read one source by one key share a scan and an
+    aggregate.  The result equals running the models one after another up to
     the order of tags inside a list (same ``canonical_tags``).  Replace-mode
     models overwrite whole cells, so their order matters: run them alone.
     """
     if any(m.mode != "merge" for m in models):
         raise ValueError("run_models combines merge-mode models only; run replace-mode models with run_model")
     news = []
-    for m in models:
-        _, rules, source = model_inputs(spark, m, taxonomy, readers)
-        news.append(m.compute(rules, source).select("userId", "tagsId"))
-    new = news[0]
+    for source, group in _by_source(spark, models, taxonomy, readers):
+        news += _shared(source, group) if len(group) > 1 else [group[0][0].compute(group[0][1], source)]
+    new = news[0].select("userId", "tagsId")
     for n in news[1:]:
-        new = new.unionByName(n)
-    old = store if store is not None else (read_store(spark, store_root) if store_root else None)
-    if old is None:
-        old = spark.createDataFrame([], "userId string, tagsId string")
-    merged = merge_tags(new, old)
-    nxt = upsert_tags(old, new, mode="merge")
-    path = None
-    if write:
-        if not store_root:
-            raise ValueError("write=True needs store_root")
-        path = write_snapshot(nxt, store_root, buckets)
-        nxt = read_snapshot(spark, path)
-    return ModelRun(new=new, merged=merged, store=nxt, path=path)
+        new = new.unionByName(n.select("userId", "tagsId"))
+    return _save(spark, new, "merge", store, store_root, write, buckets)
+
+
+def _by_source(spark, models, taxonomy, readers):
+    """(source, [(model, rules), ...]): models that can share one scan and one aggregate are together."""
+    groups: dict[tuple, list] = {}
+    for i, m in enumerate(models):
+        meta = level4_meta(taxonomy, m.tag_id)
+        rules = children(taxonomy, m.tag_id).select("id", "rule")
+        where = (meta.inType, meta.hbaseTable, meta.family, tuple(sorted(meta.extra.items())), getattr(m, "key_field", None))
+        groups.setdefault((i,) if m.per_key() is None else where, []).append((m, rules, meta))
+    for group in groups.values():
+        fields = list(dict.fromkeys(f for _, _, meta in group for f in meta.fields))
+        meta = replace(group[0][2], selectFields=",".join(fields))
+        yield read_source(spark, meta, readers), [(m, rules) for m, rules, _ in group]
+
+
+def _shared(source: DataFrame, group: list) -> list[DataFrame]:
+    """New tags of several models from one aggregate per key over one scan.
+
+    Written once: the models read narrow rows, one per key.
+    """
+    key = group[0][0].key_field
+    aggs = [agg.alias(f"__m{i}") for i, (m, _) in enumerate(group) for agg in [m.per_key()]]
+    per = materialize(source.groupBy(F.col(key).cast("string").alias("userId")).agg(*aggs))
+    return [
+        m.compute_per_key(rules, per.select("userId", F.col(f"__m{i}").alias("__value"))) for i, (m, rules) in enumerate(group)
+    ]

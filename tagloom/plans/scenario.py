@@ -4,13 +4,15 @@ Mapping of the warehouse extracts onto the test tables:
 
 * users  <- ``customer``: ``id = c_custkey``, ``job = c_mktsegment``,
   ``gender = '1'`` for even keys else ``'2'``, ``birthday`` = 1940-01-01
-  plus ``(c_custkey * 7919) mod 21915`` days (a fixed spread over 60 years).
+  plus ``(c_custkey * 7919) mod 21915`` days (a fixed spread over 60 years),
+  and the null marker ``\\N`` for every 13th key.
 * orders <- ``orders``: ``memberId = o_custkey``, ``finishTime`` = epoch
   seconds (UTC) of ``o_orderdate``, ``orderstatus = o_orderstatus``,
   ``orderamount = o_totalprice``.
 * goods  <- ``lineitem``: ``orderid``, ``productid``, ``price``.
 * logs   <- ``events``: ``id = event_id``, ``global_user_id = user_id``,
-  ``loc_url = event_type``, ``log_time = ts`` to the second.
+  ``loc_url = event_type``, ``log_time = ts`` to the second, and the null
+  marker ``\\N`` for every 17th event.
 
 The tag taxonomy is a fixed classification head (ids below 100) plus the job
 values, which are the distinct market segments found in ``customer`` (ids
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.dates import timestamp_to_epoch
 from tagloom.schemas import TAXONOMY_SCHEMA
+from tagloom.sources.extracts import NULL_MARK
 from tagloom.sources.taxonomy import models_frame, taxonomy_frame
 
 AS_OF_ORDERS = "2001-08-01"
 AS_OF_EVENTS = "2024-01-20"
+LOOKBACK_DAYS = 7  # begins after the first event, so the lookback removes some
 TABLES = ("customer", "orders", "lineitem", "events", "part")
 
 # The classification head of the tag taxonomy and the
@@ -116,7 +120,7 @@ def users_source(customer: DataFrame) -> DataFrame:
         k.cast("string").alias("id"),
         F.when(k % 2 == 0, F.lit("1")).otherwise(F.lit("2")).alias("gender"),
         F.col("c_mktsegment").cast("string").alias("job"),
-        F.date_format(birthday, "yyyy-MM-dd").alias("birthday"),
+        F.when(k % 13 == 0, F.lit(NULL_MARK)).otherwise(F.date_format(birthday, "yyyy-MM-dd")).alias("birthday"),
     )
 
 
@@ -144,7 +148,9 @@ def logs_source(events: DataFrame) -> DataFrame:
         F.col("event_id").cast("string").alias("id"),
         F.col("user_id").cast("string").alias("global_user_id"),
         F.col("event_type").cast("string").alias("loc_url"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("log_time"),
+        F.when(F.col("event_id") % 17 == 0, F.lit(NULL_MARK))
+        .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"))
+        .alias("log_time"),
     )
 
 
@@ -170,13 +176,6 @@ def source_readers(t: dict[str, DataFrame]) -> dict:
     return {"table": table, "view": table}
 
 
-def register_sources(spark: SparkSession, t: dict[str, DataFrame]) -> None:
-    """Expose every source as a temp view named as in the rules."""
-    for name, (base, build) in SOURCES.items():
-        if base in t:
-            build(t[base]).createOrReplaceTempView(name)
-
-
 # --- taxonomy, models, store -----------------------------------------------------------
 
 def job_tags(customer: DataFrame) -> DataFrame:
@@ -272,9 +271,10 @@ def models_registry(spark: SparkSession, taxonomy: DataFrame) -> DataFrame:
 def stored_tags(customer: DataFrame, taxonomy: DataFrame | None = None) -> DataFrame:
     """Yesterday's store: customers with a non-negative balance, lists by nation band.
 
-    nation 0-4: ``job,gender``; 5-9: ``job,job,,`` (repeat, trailing empties);
-    10-14: one space (blank); 15-19: null; 20-24: ``,gender,,job,`` (leading,
-    inner and trailing empties).
+    nation 0-2: ``job,gender``; 3-4: ``0gender, gender,job,x9`` (one tag written
+    in two ways, and text that is no tag); 5-9: ``job,job,,`` (repeat, trailing
+    empties); 10-14: one space (blank); 15-19: null; 20-24: ``,gender,,job,``
+    (leading, inner and trailing empties).
     """
     k = F.col("c_custkey")
     gender_tag = F.when(k % 2 == 0, F.lit("5")).otherwise(F.lit("6"))
@@ -287,10 +287,18 @@ def stored_tags(customer: DataFrame, taxonomy: DataFrame | None = None) -> DataF
     n = F.col("c_nationkey")
     job = F.col("__job")
     tags = (
-        F.when(n < 5, F.concat_ws(",", job, gender_tag))
+        F.when(n < 3, F.concat_ws(",", job, gender_tag))
+        .when(n < 5, F.concat(F.lit("0"), gender_tag, F.lit(", "), gender_tag, F.lit(","), job, F.lit(",x9")))
         .when(n < 10, F.concat(job, F.lit(","), job, F.lit(",,")))
         .when(n < 15, F.lit(" "))
         .when(n < 20, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit(","), gender_tag, F.lit(",,"), job, F.lit(",")))
     )
     return c.select(k.cast("string").alias("userId"), tags.alias("tagsId"))
+
+
+def status_lists(customer: DataFrame) -> DataFrame:
+    """New tag lists that overlap each other and the order-status tags: two rows per even customer."""
+    even = customer.where(F.col("c_custkey") % 2 == 0).select(F.col("c_custkey").cast("string").alias("userId"))
+    lists = F.explode(F.array(F.lit("31,5"), F.lit("5,32,,"), F.lit(" "), F.lit(None).cast("string")))
+    return even.select("userId", lists.alias("tagsId"))

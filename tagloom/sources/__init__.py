@@ -1,12 +1,12 @@
 """Sources and sinks: taxonomy / model registry, wide-row sources, tag store, extracts."""
 
-from tagloom.sources.extracts import ingest, parse_lines, read_extract, to_lines, write_sorted_by_key
+from tagloom.sources.extracts import ingest, parse_lines, published_positions, read_extract, typed_view, write_sorted_by_key
 from tagloom.sources.store import prune_snapshots, read_snapshot, read_store, snapshots, write_snapshot
 from tagloom.sources.taxonomy import conform, models_frame, read_models, read_table, read_taxonomy, taxonomy_frame
 from tagloom.sources.widerow import READERS, read_source, select_fields
 
 __all__ = [
-    "READERS", "conform", "ingest", "models_frame", "parse_lines", "prune_snapshots", "read_extract", "read_models",
+    "READERS", "conform", "ingest", "models_frame", "parse_lines", "prune_snapshots", "published_positions", "read_extract", "read_models",
     "read_snapshot", "read_source", "read_store", "read_table", "read_taxonomy", "select_fields", "snapshots",
-    "taxonomy_frame", "to_lines", "write_snapshot", "write_sorted_by_key",
+    "taxonomy_frame", "typed_view", "write_snapshot", "write_sorted_by_key",
 ]

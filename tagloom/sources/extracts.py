@@ -10,7 +10,7 @@ interpret quotes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.strings import java_split, strip_trailing
@@ -52,9 +52,27 @@ def read_extract(spark: SparkSession, path: str, kind_or_columns) -> DataFrame:
     return parse_lines(spark.read.text(path), columns)
 
 
-def to_lines(df: DataFrame, columns: list[str], sep: str = EXTRACT_SEP) -> DataFrame:
-    """Rows -> one ``value`` line each (nulls as empty fields)."""
-    return df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).alias("value"))
+NULL_MARK = "\\N"  # fixed value: the warehouse's null in a text export
+
+
+def typed_view(rows: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
+    """Keyed rows with the null marker as null, and named columns cast (malformed cells become null)."""
+    types = types or {}
+    cols = []
+    for c in rows.columns:
+        v = F.nullif(F.col(c), F.lit(NULL_MARK))
+        cols.append((v.try_cast(types[c]) if c in types else v).alias(c))
+    return rows.select(*cols)
+
+
+TARGET_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 200_000
+
+
+def partitions_for(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
+    """Partitions of about ``target_bytes`` by the optimizer's size of ``df``; one per core at least."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(MAX_PARTITIONS, -(-size // target_bytes)))
 
 
 def sorted_by_key(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
@@ -65,9 +83,10 @@ def sorted_by_key(df: DataFrame, key: str | None = None, partitions: int | None
     ``tie`` is a hash of the whole row: a hot key (one key holding a third
     of all rows) is spread over several partitions instead of one task, and
     the hash is deterministic, so a retried task rebuilds the same split.
+    ``partitions`` defaults to a number that follows the size of the input.
     """
     key = key or df.columns[0]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    n = partitions or partitions_for(df)
     tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie")
     return (
         df.select("*", tie)
@@ -87,3 +106,19 @@ def write_sorted_by_key(df: DataFrame, path: str, key: str | None = None, partit
 def ingest(spark: SparkSession, src: str, kind_or_columns, dest: str, partitions: int | None = None) -> str:
     """Read an extract and publish it sorted by key (one call per extract)."""
     return write_sorted_by_key(read_extract(spark, src, kind_or_columns), dest, partitions=partitions)
+
+
+def published_positions(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """``(key, position)`` of a sorted publish: the rank (from 1) of each row in file order.
+
+    Files are in key order by their part number; one small row per file gives
+    each file's offset.
+    """
+    rows = spark.read.parquet(path).select(
+        F.col(key), F.col("_metadata.file_name").alias("__f"), F.col("_metadata.row_index").alias("__i")
+    )
+    files = rows.groupBy("__f").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__f").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    offsets = files.select("__f", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    out = rows.join(F.broadcast(offsets), "__f")
+    return out.select(key, (F.col("__o") + F.col("__i") + F.lit(1)).cast("bigint").alias("position"))

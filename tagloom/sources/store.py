@@ -1,11 +1,18 @@
 """The tag store: keyed ``(userId, tagsId)`` rows kept as parquet snapshots.
 
 Spark cannot overwrite a path it is reading, so each run writes a new
-snapshot folder under the store root; readers take the newest committed one
-(``_SUCCESS`` present).  The write is fully parallel, hash-partitioned on
-``userId`` by the upsert's join, and published by Spark's commit protocol.
-Paths go through the Hadoop FileSystem API, so the root may be on any
-shared file system.
+snapshot folder under the store root; readers take the committed one
+(``_SUCCESS`` present) with the highest number.  Numbers follow the committed
+list, not a clock: a writer takes the next one and fails if another writer
+committed meanwhile, so no update is lost silently.  The write is fully
+parallel, hash-partitioned on ``userId`` by the upsert's join, and published
+by Spark's commit protocol.  Paths go through the Hadoop FileSystem API, so
+the root may be on any shared file system.
+
+Between full snapshots a run may append a delta: only its new tags, as a
+folder with the next number.  Readers apply the deltas after the newest full
+snapshot in order; ``compact`` writes them into a new full one.  A run that
+touches few users then writes few rows.
 
 Bucketed snapshots (``buckets=N``) are written with ``bucketBy(N, userId)``
 and registered as external catalog tables: the next run's upsert then scans
@@ -18,7 +25,6 @@ session can re-register the table from the files alone.
 
 from __future__ import annotations
 
-import datetime as _dt
 import hashlib
 import re
 import uuid
@@ -26,9 +32,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.operators.merge import MODES, collapse_new_tags, upsert_tags
 from tagloom.schemas import STORE_SCHEMA
 
 _PREFIX = "snapshot-"
+_DELTA = "delta-"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -46,19 +54,63 @@ def _table_name(path: str) -> str:
     return "tagloom_store_" + hashlib.sha1(path.rstrip("/").encode()).hexdigest()[:16]
 
 
-def snapshots(spark: SparkSession, root: str) -> list[str]:
-    """Committed snapshot folders under ``root``, oldest first."""
+def _number(path: str) -> int:
+    m = re.match(r"(?:snapshot|delta)-(\d{12})-", path.rstrip("/").rsplit("/", 1)[-1])
+    return int(m.group(1)) if m else -1
+
+
+def _committed(spark: SparkSession, root: str, prefixes: tuple[str, ...]) -> list[str]:
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(_PREFIX):
-            ok = st.getPath().suffix("/_SUCCESS")
-            if fs.exists(ok):
-                out.append(st.getPath().toString())
-    return sorted(out)
+        if st.isDirectory() and name.startswith(prefixes) and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append(st.getPath().toString())
+    return sorted(out, key=lambda x: (_number(x), x))
+
+
+def snapshots(spark: SparkSession, root: str) -> list[str]:
+    """Committed full snapshot folders under ``root``, oldest first."""
+    return _committed(spark, root, (_PREFIX,))
+
+
+def deltas(spark: SparkSession, root: str) -> list[str]:
+    """Committed deltas after the newest full snapshot, in order."""
+    full = snapshots(spark, root)
+    after = _number(full[-1]) if full else -1
+    return [d for d in _committed(spark, root, (_DELTA,)) if _number(d) > after]
+
+
+def version(spark: SparkSession, root: str) -> int:
+    """Number of the newest committed snapshot or delta; 0 for a new store."""
+    return max([0, *map(_number, _committed(spark, root, (_PREFIX, _DELTA)))])
+
+
+class StoreMoved(RuntimeError):
+    """Another writer committed to the store since it was read."""
+
+
+def _next_path(spark: SparkSession, root: str, prefix: str, expected: int | None) -> tuple[str, int]:
+    now = version(spark, root)
+    if expected is not None and now != expected:
+        raise StoreMoved(f"the store is at {now}, it was read at {expected}")
+    return f"{root.rstrip('/')}/{prefix}{now + 1:012d}-{uuid.uuid4().hex[:8]}", now + 1
+
+
+def _check_commit(spark: SparkSession, root: str, path: str, number: int) -> None:
+    """Two writers that took one number both see the other after their commits: the later name gives way."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    rivals = [
+        x.rsplit("/", 1)[-1]
+        for x in _committed(spark, root, (_PREFIX, _DELTA))
+        if _number(x) >= number and not x.endswith(name)
+    ]
+    if any((_number(r), r) < (number, name) or _number(r) > number for r in rivals):
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+        raise StoreMoved(f"another writer committed {min(rivals)} while {name} was written")
 
 
 def _register_bucketed(spark: SparkSession, path: str, buckets: int) -> str:
@@ -80,30 +132,59 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_store(spark: SparkSession, root: str) -> DataFrame:
-    """Newest snapshot, or an empty store if there is none."""
+    """The newest full snapshot with the deltas after it, or an empty store if there is none."""
     snaps = snapshots(spark, root)
-    if not snaps:
-        return spark.createDataFrame([], STORE_SCHEMA)
-    return read_snapshot(spark, snaps[-1])
+    out = read_snapshot(spark, snaps[-1]) if snaps else spark.createDataFrame([], STORE_SCHEMA)
+    for d in deltas(spark, root):
+        mode = "replace" if "-replace" in d.rsplit("/", 1)[-1] else "merge"
+        out = upsert_tags(out, spark.read.schema(STORE_SCHEMA).parquet(d), mode=mode)
+    return out
+
 
+def write_snapshot(df: DataFrame, root: str, buckets: int | None = None, expected: int | None = None) -> str:
+    """Write ``df`` as the next full snapshot (bucketed on ``userId`` if ``buckets``); returns its path.
 
-def write_snapshot(df: DataFrame, root: str, buckets: int | None = None) -> str:
-    """Write ``df`` as a new snapshot (bucketed on ``userId`` if ``buckets``); returns its path."""
-    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    path = f"{root.rstrip('/')}/{_PREFIX}{stamp}-{uuid.uuid4().hex[:8]}" + (f"-b{buckets}" if buckets else "")
+    ``expected``: the ``version`` at which the store was read; ``StoreMoved``
+    if it is another by now.
+    """
+    spark = df.sparkSession
+    path, number = _next_path(spark, root, _PREFIX, expected)
+    path += f"-b{buckets}" if buckets else ""
     out = df.select(F.col("userId").cast("string"), F.col("tagsId").cast("string"))
     if buckets:
         (out.write.bucketBy(buckets, "userId").sortBy("userId")
          .option("path", path).format("parquet").saveAsTable(_table_name(path)))
     else:
         out.write.parquet(path)
+    _check_commit(spark, root, path, number)
     return path
 
 
+def append_delta(new: DataFrame, root: str, mode: str = "merge", expected: int | None = None) -> str:
+    """Append a run's new tags (one row per user) as the next delta; returns its path."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    spark = new.sparkSession
+    path, number = _next_path(spark, root, _DELTA, expected)
+    path += f"-{mode}"
+    collapse_new_tags(new.where(F.col("userId").isNotNull())).write.parquet(path)
+    _check_commit(spark, root, path, number)
+    return path
+
+
+def compact(spark: SparkSession, root: str, buckets: int | None = None) -> str | None:
+    """Write the newest snapshot and its deltas as a new full snapshot; None if there is no delta."""
+    at = version(spark, root)
+    if not deltas(spark, root):
+        return None
+    return write_snapshot(read_store(spark, root), root, buckets, expected=at)
+
+
 def prune_snapshots(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
     """Retention for a frequently scheduled store: keep the newest ``keep``
-    committed snapshots; remove older ones and any uncommitted folder (a run
-    that died before its commit) older than the newest committed snapshot.
+    committed full snapshots; remove older ones, deltas that a kept snapshot
+    holds, and any uncommitted folder (a run that died before its commit) with
+    a number below the newest committed snapshot's.
     Returns the removed paths.  Readers only ever open committed snapshots,
     so removal never races with a correct reader of the newest one.
     """
@@ -120,8 +201,9 @@ def prune_snapshots(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
     for st in fs.listStatus(p):
         path = st.getPath().toString()
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(_PREFIX) and path not in committed and path < newest:
-            doomed.append(path)
+        if st.isDirectory() and name.startswith((_PREFIX, _DELTA)) and path not in committed:
+            if _number(path) < _number(newest):
+                doomed.append(path)
     jvm = spark.sparkContext._jvm
     for path in doomed:
         table = _table_name(path)

@@ -12,18 +12,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.functions.rules import SourceMeta
 
 
-def select_fields(df: DataFrame, fields: list[str]) -> DataFrame:
-    """The named fields as strings; a field the source lacks is a null column."""
+def select_fields(df: DataFrame, fields: list[str], family: str | None = None) -> DataFrame:
+    """The named fields as strings; a field the source lacks is a null column.
+
+    A column family is a struct column of that name: its fields are looked up
+    there first, then among the source's own columns (the row key).
+    """
     have = set(df.columns)
-    cols = [
-        (F.col(f"`{f}`").cast("string") if f in have else F.lit(None).cast("string")).alias(f)
-        for f in fields
-    ]
-    return df.select(*cols)
+    kind = df.schema[family].dataType if family in have else None
+    inside = set(kind.names) if isinstance(kind, T.StructType) else set()
+
+    def cell(f: str):
+        found = [F.col(f"`{family}`.`{f}`")] if f in inside else []
+        found += [F.col(f"`{f}`")] if f in have else []
+        return F.coalesce(*found) if found else F.lit(None)
+
+    return df.select(*[cell(f).cast("string").alias(f) for f in fields])
 
 
 Reader = Callable[[SparkSession, SourceMeta], DataFrame]
@@ -33,13 +42,19 @@ def _path_or_table(meta: SourceMeta) -> str:
     return meta.option("path") or meta.hbaseTable
 
 
+def _string_fields(meta: SourceMeta) -> T.StructType:
+    fields = T.StructType([T.StructField(f, T.StringType()) for f in meta.fields])
+    return T.StructType([T.StructField(meta.family, fields), *fields]) if meta.family else fields
+
+
 READERS: dict[str, Reader] = {
     "parquet": lambda s, m: s.read.parquet(_path_or_table(m)),
     "orc": lambda s, m: s.read.orc(_path_or_table(m)),
     # text formats: no inference — every field stays a string, as a wide row's cells are
     "csv": lambda s, m: s.read.option("header", m.option("header", "true")).option("inferSchema", "false")
     .option("sep", m.option("sep", ",")).csv(_path_or_table(m)),
-    "json": lambda s, m: s.read.option("primitivesAsString", "true").json(_path_or_table(m)),
+    # the fields are known: no inference job reads the files first
+    "json": lambda s, m: s.read.schema(_string_fields(m)).json(_path_or_table(m)),
     "table": lambda s, m: s.table(m.hbaseTable),
     "view": lambda s, m: s.table(m.hbaseTable),
     "jdbc": lambda s, m: s.read.format("jdbc").options(
@@ -63,4 +78,4 @@ def read_source(spark: SparkSession, meta: SourceMeta, readers: dict[str, Reader
         kind = "table"
     if kind not in table:
         raise ValueError(f"unknown inType '{meta.inType}'")
-    return select_fields(table[kind](spark, meta), meta.fields)
+    return select_fields(table[kind](spark, meta), meta.fields, meta.family)

@@ -25,7 +25,7 @@ def test_cycle_tags_prunes_and_hash_aggregates(spark):
     p = plan_of(Q.cycle_tags(spark, SF))
     assert read_schemas(p) == ["struct<o_custkey:bigint,o_orderdate:timestamp_ntz>"]
     assert "HashAggregate" in p and "SortAggregate" not in p      # numeric max
-    assert "BroadcastNestedLoopJoin" in p                          # rules broadcast
+    assert "BroadcastNestedLoopJoin" not in p and "BroadcastHashJoin" in p  # bucketed rules broadcast
     assert p.count("Exchange hashpartitioning") == 1               # only the group-by
 
 
@@ -52,3 +52,17 @@ def test_no_python_in_any_plan(spark):
     for name in ("merge_tags", "upsert_store", "tag_coverage", "rule_map", "ingest_logs", "activity_rfe"):
         p = plan_of(Q.QUERIES[name](spark, SF))
         assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF", p), name
+
+
+@pytest.mark.parametrize("q", ["cycle_tags", "merge_tags", "age_band_tags", "tag_coverage", "model_run_multi"])
+def test_range_match_is_never_a_nested_loop(spark, q):
+    assert "NestedLoop" not in plan_of(Q.QUERIES[q](spark, SF))
+
+
+def test_models_of_one_source_share_a_scan(spark):
+    p = plan_of(Q.model_run_multi(spark, SF))
+    assert not any("o_orderstatus" in s for s in read_schemas(p))  # read once, before, with the other fields
+
+
+def test_path_load_has_no_window(spark):
+    assert "Window" not in plan_of(Q.taxonomy_path_load(spark, SF))
