@@ -6,9 +6,9 @@ window of words in both directions, attention pools its states, and a linear
 layer gives the window's logit.  Every document is read whole, as overlapping
 windows; its score comes from its highest window, calibrated on documents.
 
-Training: a bounded sample of labelled documents (``TRAIN_DOCS`` of each
-label, chosen by a hash of the id, at most ``DOC_WINDOWS`` windows each,
-spread over the whole text) is gathered on the driver, where the network is
+Training: a bounded sample of labelled documents (``TRAIN_DOCS`` of
+label 1 and twice as many of label 0, chosen by a hash of the id, at most
+``DOC_WINDOWS`` windows each, spread over the whole text) is gathered on the driver, where the network is
 small.  The label is the document's: in each step the gradient goes to the
 document's highest window.  Scoring runs on all documents in tasks, which keep
 the input projections of recent words.
@@ -42,9 +42,14 @@ CHAR_DIM = 12
 HIDDEN = 8
 ATTENTION = 8
 LONGEST_WORD = 40  # bytes of a word whose n-grams are read from both ends
-TRAIN_DOCS = 1500  # sampled documents of each label
+TRAIN_DOCS = 1000  # sampled documents of label 1, and twice as many of label 0
 DOC_WINDOWS = 24  # windows of a sampled document
-EPOCHS = 8
+STEP_WINDOWS = 8  # windows of a document that one training step reads
+EPOCHS = 6
+LEAST_STEPS = 400
+EMBED = 0.05  # spread of untrained vectors: a word never seen in training says little
+DECAY = 0.05  # of the vectors that a step touches, times the rate
+DROP = 0.5  # share of a step's words read by their characters alone
 BATCH_DOCS = 32
 RATE = 0.01
 MEMORY_WORDS = 200_000  # words whose projections a worker keeps
@@ -87,8 +92,8 @@ class Network:
         d, h = WORD_DIM + CHAR_DIM, HIDDEN
         r = lambda *shape, s: rng.normal(0, s, shape).astype(np.float32)
         self.p = {
-            "ew": r(WORD_BUCKETS, WORD_DIM, s=0.1),
-            "ec": r(CHAR_BUCKETS, CHAR_DIM, s=0.3),
+            "ew": r(WORD_BUCKETS, WORD_DIM, s=EMBED),
+            "ec": r(CHAR_BUCKETS, CHAR_DIM, s=EMBED),
             "wx": r(2, d, 3 * h, s=0.5),
             "uh": r(2, h, 3 * h, s=0.3),
             "b": np.zeros((2, 3 * h), np.float32),
@@ -112,7 +117,8 @@ class Network:
 
     def project(self, x: np.ndarray) -> np.ndarray:
         """(words, 2 directions, 3 gates x hidden)."""
-        return np.einsum("nd,kdg->nkg", x, self.p["wx"]) + self.p["b"]
+        k, d, g = self.p["wx"].shape
+        return (x @ self.p["wx"].transpose(1, 0, 2).reshape(d, k * g)).reshape(len(x), k, g) + self.p["b"]
 
     def forward(self, proj: np.ndarray, idx: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logits of windows: ``idx`` (windows, places) picks rows of ``proj``; ``mask`` is 0 on padding."""
@@ -190,7 +196,7 @@ class Adam:
             at = rows.get(k, slice(None))
             self.m[k][at] = m = 0.9 * self.m[k][at] + 0.1 * g
             self.v[k][at] = v = 0.999 * self.v[k][at] + 0.001 * g * g
-            p[k][at] -= (self.rate * fix * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+            p[k][at] -= (self.rate * (fix * m / (np.sqrt(v) + 1e-8) + (DECAY * p[k][at] if k in rows else 0))).astype(np.float32)
 
 
 def windows_of(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -213,63 +219,78 @@ def windows_of(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def train(docs: list[tuple[list[bytes], int]], epochs: int = EPOCHS, seed: int = SEED) -> Network:
-    """Fit on (windows' words joined in order, label): each document is a list of windows."""
+    """Fit on (texts of windows, label) of documents; small samples get more epochs, ``LEAST_STEPS`` in all.
+
+    A step reads up to ``STEP_WINDOWS`` windows of each of its documents.
+    """
     net = Network(seed)
     rng = np.random.default_rng(seed)
     vocab: dict[bytes, int] = {}
     seqs = [[np.array([vocab.setdefault(w, len(vocab) + 1) for w in x.split()], dtype=np.int64) for x in ws] for ws, _ in docs]
     ys = np.array([y for _, y in docs], dtype=np.float32)
-    ws = list(vocab)
-    wb = np.array([0] + [word_bucket(w) for w in ws])
-    gs = [[]] + [grams(w) for w in ws]
+    ws = [b"", *vocab]  # id 0 pads
+    buckets = np.array([word_bucket(w) for w in ws])
+    bags = [grams(w) for w in ws]
+    sizes = np.array([len(b) for b in bags])
+    starts = np.concatenate(([0], sizes.cumsum()[:-1]))
+    flat = np.array([x for b in bags for x in b], dtype=np.int64)
     weight = np.where(ys > 0, 0.5 / max(ys.mean(), 1e-6), 0.5 / max(1 - ys.mean(), 1e-6))
     opt = Adam(net.p, RATE)
+    per_epoch = max(1, len(docs) // BATCH_DOCS)
+    epochs = max(epochs, -(-LEAST_STEPS // per_epoch))
     for epoch in range(epochs):
         opt.rate = RATE * (1 - epoch / epochs * 0.8)
-        for at in np.array_split(rng.permutation(len(docs)), max(1, len(docs) // BATCH_DOCS)):
-            # the windows of the batch, padded to one length
-            ids = [x for d in at for x in seqs[d]]
-            first = np.concatenate(([0], np.cumsum([len(seqs[d]) for d in at])))
-            longest = max(max(len(x) for x in ids), 1)
-            idx = np.zeros((len(ids), longest), np.int64)
-            for k, x in enumerate(ids):
-                idx[k, : len(x)] = x
-            mask = (idx > 0).astype(np.float32)
-            mask[:, 0] = 1
-            used, inv = np.unique(idx, return_inverse=True)
-            inv = inv.reshape(idx.shape)
-            bag = [gs[u] for u in used]
-            n = np.array([max(len(b), 1) for b in bag])
-            owner = np.repeat(np.arange(len(used)), [len(b) for b in bag])
-            gram = np.array([x for b in bag for x in b], dtype=np.int64)
-            x = np.zeros((len(used), WORD_DIM + CHAR_DIM), np.float32)
-            x[:, :WORD_DIM] = net.p["ew"][wb[used]]
-            np.add.at(x[:, WORD_DIM:], owner, net.p["ec"][gram] / n[owner, None])
-            x[used == 0] = 0
-            proj = net.project(x)
-            # the highest window of each document is found first and gets the gradient
-            logit = net.forward(proj, inv, mask)
-            best = np.array([a + int(np.argmax(logit[a:b])) for a, b in zip(first, first[1:], strict=False)])
-            _, kept = net.forward(proj, inv[best], mask[best], keep=True)
-            g = (sigmoid(logit[best]) - ys[at]) * weight[at] / len(at)
-            grad, dproj = net.backward(inv[best], mask[best], kept, g.astype(np.float32), len(used))
-            grad["wx"] = np.einsum("nd,nkg->kdg", x, dproj)
-            grad["b"] = dproj.sum(axis=0)
-            dx = np.einsum("nkg,kdg->nd", dproj, net.p["wx"])
-            dx[used == 0] = 0
-            touched = np.flatnonzero(np.abs(dx).sum(axis=1) > 0)
-            rows = {}
-            rows["ew"], to = np.unique(wb[used[touched]], return_inverse=True)
-            grad["ew"] = np.zeros((len(rows["ew"]), WORD_DIM), np.float32)
-            np.add.at(grad["ew"], to, dx[touched, :WORD_DIM])
-            sel = np.isin(owner, touched)
-            rows["ec"], to = np.unique(gram[sel], return_inverse=True)
-            grad["ec"] = np.zeros((len(rows["ec"]), CHAR_DIM), np.float32)
-            np.add.at(grad["ec"], to, dx[owner[sel], WORD_DIM:] / n[owner[sel], None])
-            opt.step(net.p, grad, rows)
+        for at in np.array_split(rng.permutation(len(docs)), per_epoch):
+            some = [[seqs[d][k] for k in rng.permutation(len(seqs[d]))[:STEP_WINDOWS]] for d in at]
+            _step(net, opt, rng, some, ys[at], weight[at] / len(at), buckets, flat, starts, sizes)
     return net
 
 
+def _step(net, opt, rng, some, y, weight, buckets, flat, starts, sizes) -> None:
+    """One gradient step on documents given as lists of windows (arrays of word ids)."""
+    ids = [x for windows in some for x in windows]
+    first = np.concatenate(([0], np.cumsum([len(w) for w in some])))
+    idx = np.zeros((len(ids), max(1, *(len(x) for x in ids)) if len(ids) > 1 else max(1, len(ids[0]))), np.int64)
+    for k, x in enumerate(ids):
+        idx[k, : len(x)] = x
+    mask = (idx > 0).astype(np.float32)
+    mask[:, 0] = 1
+    used, inv = np.unique(idx, return_inverse=True)
+    inv = inv.reshape(idx.shape)
+    # n-grams of the used words, one after the other
+    n = sizes[used]
+    begin = np.concatenate(([0], n.cumsum()[:-1]))
+    gram = flat[np.repeat(starts[used] - begin, n) + np.arange(n.sum())]
+    x = np.empty((len(used), WORD_DIM + CHAR_DIM), np.float32)
+    heard = rng.random(len(used)) >= DROP
+    x[:, :WORD_DIM] = net.p["ew"][buckets[used]] * heard[:, None]
+    x[:, WORD_DIM:] = np.add.reduceat(net.p["ec"][gram], begin, axis=0) / np.maximum(n, 1)[:, None]
+    x[used == 0] = 0
+    proj = net.project(x)
+    # the highest window of each document is found first and gets the gradient
+    logit = net.forward(proj, inv, mask)
+    best = np.array([a + int(np.argmax(logit[a:b])) for a, b in zip(first, first[1:], strict=False)])
+    _, kept = net.forward(proj, inv[best], mask[best], keep=True)
+    g = ((sigmoid(logit[best]) - y) * weight).astype(np.float32)
+    grad, dproj = net.backward(inv[best], mask[best], kept, g, len(used))
+    grad["wx"] = np.einsum("nd,nkg->kdg", x, dproj)
+    grad["b"] = dproj.sum(axis=0)
+    dx = np.einsum("nkg,kdg->nd", dproj, net.p["wx"])
+    dx[used == 0] = 0
+    dx[~heard, :WORD_DIM] = 0
+    touched = np.unique(inv[best])  # only words of the best windows have gradients
+    rows = {}
+    rows["ew"], to = np.unique(buckets[used[touched]], return_inverse=True)
+    grad["ew"] = np.zeros((len(rows["ew"]), WORD_DIM), np.float32)
+    np.add.at(grad["ew"], to, dx[touched, :WORD_DIM])
+    m = n[touched]
+    mine = gram[np.repeat(begin[touched] - np.concatenate(([0], m.cumsum()[:-1])), m) + np.arange(m.sum())]
+    rows["ec"], to = np.unique(mine, return_inverse=True)
+    grad["ec"] = np.zeros((len(rows["ec"]), CHAR_DIM), np.float32)
+    np.add.at(grad["ec"], to, np.repeat(dx[touched, WORD_DIM:] / np.maximum(m, 1)[:, None], m, axis=0))
+    opt.step(net.p, grad, rows)
+
+
 class Scorer:
     """Highest window logit of texts; keeps the projections of recent words."""
 
@@ -353,7 +374,7 @@ class Model:
 
 
 def training_windows(docs: DataFrame, labels: DataFrame, label_col: str, held_out: F.Column, train_docs: int):
-    """The sampled documents: up to ``train_docs`` of each label, each as its windows' texts."""
+    """The sampled documents: up to ``train_docs`` of label 1 and twice as many of label 0, as windows' texts."""
     y = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -363,7 +384,7 @@ def training_windows(docs: DataFrame, labels: DataFrame, label_col: str, held_ou
     known = y.join(ids.distinct(), "doc_id", "left_semi")
     chosen = None
     for v in (0, 1):
-        part = known.filter(F.col("y") == v).orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(train_docs)
+        part = known.filter(F.col("y") == v).orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(train_docs * (2 - v))
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("text"))
     texts = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
