@@ -283,7 +283,7 @@ def quality_scores(
     held_out = doc_bucket(F.col("doc_id"), 5) == 0 if held_out is None else held_out
     x = with_statistics(docs.select(F.col("doc_id").cast("long"), "text"))
     known = staged(x.select("doc_id", F.col(OWN + "x").alias("x")), "quality-statistics")
-    model = fit(learning_rows(known, labels, label_col, held_out))
+    model = fit(staged(learning_rows(known, labels, label_col, held_out), "quality-learning"))
     scored = _score(known, model, "x")
     return scored.select(
         "doc_id",
@@ -299,12 +299,13 @@ def _score(df: DataFrame, model: Model, x_col: str) -> DataFrame:
     def make():
         model = sent.value
 
-        def f(x):
-            return {"score": model.score(np.array(x, dtype=float).reshape(len(x), len(STATISTICS)))}
+        def f(statistics):
+            x = np.array(statistics, dtype=float).reshape(len(statistics), len(STATISTICS))
+            return {"score": model.score(x)}
 
         return f
 
-    return append_columns(df, {"x": F.col(x_col)}, "score double", make)
+    return append_columns(df, {"statistics": F.col(x_col)}, "score double", make)
 
 
 def keep_quality(
@@ -323,6 +324,6 @@ def keep_quality(
     ids = labels.filter(F.col(label_col).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(~held_out).join(ids, "doc_id", "left_semi")
     x = with_statistics(taught).select("doc_id", F.col(OWN + "x").alias("x"))
-    model = fit(learning_rows(staged(x, "quality-statistics"), labels, label_col, F.lit(False)))
+    model = fit(staged(learning_rows(x, labels, label_col, F.lit(False)), "quality-learning"))
     scored = _score(with_statistics(docs), model, OWN + "x")
     return scored.filter(F.col(OWN + "score") >= threshold).select(*docs.columns)
