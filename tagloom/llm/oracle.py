@@ -54,7 +54,41 @@ SELECT page_id, octet_length(payload) AS payload_bytes,
 FROM d
 """
 
+# exact Jaccard similarity of five-word sets; pairs are counted between classes of equal sets
+OP7 = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT r, doc_id, list_sort(list_distinct(CASE
+      WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+  FROM docs
+),
+keyed AS (SELECT r, doc_id, s, md5(array_to_string(s, chr(1))) AS k FROM sets),
+classes AS (SELECT k, count(*) AS size, min(doc_id) AS copy_id, any_value(s) AS s FROM keyed GROUP BY k),
+grams AS (SELECT k, unnest(s) AS g FROM classes),
+shared AS (SELECT a.k AS a, b.k AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.k <> b.k GROUP BY a.k, b.k),
+pairs AS (
+  SELECT a, b, y.size FROM shared JOIN classes x ON x.k = a JOIN classes y ON y.k = b
+  WHERE n >= 0.8 * (len(x.s) + len(y.s) - n) - 1e-6
+),
+links AS (SELECT a AS k, count(*) AS texts, sum(size) AS docs FROM pairs GROUP BY a),
+reach AS (
+  SELECT k AS a, k AS b FROM classes
+  UNION
+  SELECT reach.a, pairs.b FROM reach JOIN pairs ON pairs.a = reach.b
+),
+named AS (SELECT reach.a AS k, min(copy_id) AS class_id FROM reach JOIN classes ON classes.k = reach.b GROUP BY reach.a)
+SELECT doc_id, class_id, copy_id, CAST(coalesce(docs, 0) + size - 1 AS BIGINT) AS n_links,
+       CAST(size - 1 AS BIGINT) AS n_copies, CAST(coalesce(texts, 0) AS BIGINT) AS n_linked_texts
+FROM keyed JOIN classes USING (k) JOIN named USING (k) LEFT JOIN links USING (k)
+"""
+
 ORACLE = {
+    "op7_ngram_join": OP7,
     "op8_warc": OP8,
     "op3_decontamination": OP3,
 }

@@ -9,10 +9,11 @@ from tagloom.llm import quality, toxicity
 
 LABELS = "doc_id long, quality int, toxic int"
 DIR = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"
 
 
-def real(spark):
-    return spark.read.parquet(f"{DIR}/documents.parquet"), spark.read.parquet(f"{DIR}/labels.parquet")
+def real(spark, folder=DIR):
+    return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def quality_out(spark):
 
 @pytest.fixture(scope="module")
 def toxicity_out(spark):
-    d, labels = real(spark)
+    d, labels = real(spark, LARGER)  # some dozens of toxic documents are too few to learn their words
     return toxicity.toxicity_scores(d, labels).join(labels, "doc_id", "left").toPandas()
 
 
@@ -41,8 +42,7 @@ def test_quality_held_out_accuracy(quality_out):
 
 
 def test_toxicity_held_out_accuracy(toxicity_out):
-    # 34 toxic documents teach here; with thousands nearly all are told apart (README)
-    assert held_out_accuracy(toxicity_out, "toxic") >= 0.85
+    assert held_out_accuracy(toxicity_out, "toxic") >= 0.97
     h = [zlib.crc32(str(d).encode()) % 3 == 1 for d in toxicity_out["doc_id"]]
     assert (toxicity_out["held_out"] == h).all()
     assert toxicity_out["score"].between(0, 1).all() and ((toxicity_out["score"] >= 0.7) == toxicity_out["predicted"]).all()
