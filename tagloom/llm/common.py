@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -34,6 +35,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_package(df: DataFrame) -> DataFrame:
+    """``df``; Python workers started for it find this package where the driver found it.
+
+    For workers on the driver's machine, whatever their working folder.  On a
+    cluster the package is shipped (``--py-files``) and the path does nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[dict]]], schema: str | T.StructType
 ) -> DataFrame:
@@ -54,7 +69,7 @@ def map_batches(
         for cols in (finish() if finish else None) or ():
             yield to_batch(cols, arrow)
 
-    return df.mapInArrow(run, target)
+    return with_package(df).mapInArrow(run, target)
 
 
 def to_batch(cols: dict, arrow: pa.Schema) -> pa.RecordBatch:
@@ -96,7 +111,7 @@ def append_columns(
             cols += [pa.array(got[x.name], type=arrow.field(n + i).type) for i, x in enumerate(extra)]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
-    return given.mapInArrow(run, target)
+    return with_package(given).mapInArrow(run, target)
 
 
 def doc_bucket(doc_id: F.Column, m: int) -> F.Column:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import OWN, arrow_schema, map_batches, staged, text_bytes
+from tagloom.llm.common import OWN, arrow_schema, map_batches, staged, text_bytes, with_package
 from tagloom.llm.tokens import WORD_BPE, tokenizer_path, word_tokenizer
 
 CAPACITY = 2048
@@ -217,7 +217,7 @@ def _one_round(pool: DataFrame, groups: int, capacity: int, last: bool, turn: in
         cols += [pa.array(got[k]) for k in ("seq", "offset", "moved", "bound", "bins")]
         return pa.Table.from_arrays(cols, schema=arrow)
 
-    return dealt.groupBy(OWN + "group").applyInArrow(one, result)
+    return with_package(dealt).groupBy(OWN + "group").applyInArrow(one, result)
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, **kw) -> DataFrame:

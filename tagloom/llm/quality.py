@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import OWN, append_columns, doc_bucket, staged, text_bytes
+from tagloom.llm.common import OWN, append_columns, doc_bucket, staged, text_bytes, with_package
 
 FEATURES = 384  # random Fourier features
 WIDTH = 4.0  # of the kernel, in standard deviations
@@ -179,7 +179,7 @@ def _summed(df: DataFrame, make_sums, rows: int, width: int) -> np.ndarray:
         total = np.concatenate(parts).sum(axis=0).tobytes()
         return pa.table({"row": t.column(0)[:1], "sums": pa.array([total], type=pa.binary())})
 
-    parts = df.mapInArrow(run, "row int, sums binary")
+    parts = with_package(df).mapInArrow(run, "row int, sums binary")
     out = np.zeros((rows, width))
     for r in parts.groupBy("row").applyInArrow(add, "row int, sums binary").collect():
         out[r["row"]] = np.frombuffer(r["sums"])
