@@ -35,12 +35,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bytes of an Arrow batch: documents are long, and a worker holds some copies of a batch.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def with_package(df: DataFrame) -> DataFrame:
-    """``df``; Python workers started for it find this package where the driver found it.
+    """``df``, made ready for Python workers.
 
-    For workers on the driver's machine, whatever their working folder.  On a
-    cluster the package is shipped (``--py-files``) and the path does nothing.
+    Workers on the driver's machine find this package where the driver found
+    it, whatever their working folder (on a cluster the package is shipped with
+    ``--py-files`` and the path does nothing).  Batches are bounded in bytes;
+    a smaller bound of the session stays.
     """
+    conf = df.sparkSession.conf
+    now = (conf.get(_BATCH_CONF, None) or "").rstrip("bB")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        conf.set(_BATCH_CONF, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = df.sparkSession.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -68,6 +79,7 @@ def map_batches(
         finish = getattr(f, "finish", None)
         for cols in (finish() if finish else None) or ():
             yield to_batch(cols, arrow)
+        pa.default_memory_pool().release_unused()
 
     return with_package(df).mapInArrow(run, target)
 
@@ -110,6 +122,7 @@ def append_columns(
             cols = [b.column(i).cast(arrow.field(i).type) for i in range(n)]
             cols += [pa.array(got[x.name], type=arrow.field(n + i).type) for i, x in enumerate(extra)]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return with_package(given).mapInArrow(run, target)
 

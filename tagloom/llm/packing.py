@@ -143,6 +143,7 @@ def document_pieces(
                         out["ids"].append(np.frombuffer(part, dtype="<i4"))
             yield out
 
+        f.finish = t.rest
         return f
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), text_bytes(F.col("text"))), make, schema)

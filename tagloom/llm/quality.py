@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import OWN, append_columns, doc_bucket, staged, text_bytes, with_package
+from tagloom.operators.broadcast import maybe_broadcast
 
 FEATURES = 384  # random Fourier features
 WIDTH = 4.0  # of the kernel, in standard deviations
@@ -317,11 +318,12 @@ def keep_quality(
 ) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, with the columns of ``docs``.
 
-    Statistics of the learning rows are computed first (the fit reads them
-    three times); the texts are then read once more to be scored.
+    Statistics of the learning rows are computed first and written (the fit
+    reads them three times); the texts are then read once more to be scored.
     """
     held_out = doc_bucket(F.col("doc_id"), 5) == 0 if held_out is None else held_out
     ids = labels.filter(F.col(label_col).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    ids, _ = maybe_broadcast(ids)  # while their measured size fits, no text is shuffled to find them
     taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(~held_out).join(ids, "doc_id", "left_semi")
     x = with_statistics(taught).select("doc_id", F.col(OWN + "x").alias("x"))
     model = fit(staged(learning_rows(x, labels, label_col, F.lit(False)), "quality-learning"))

@@ -141,6 +141,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text
             n = [len(x) // 4 for x in t.ids_batch(b.column(3).to_pylist())]
             yield {"doc_id": b.column(0), "source": b.column(1), "lang": b.column(2), "n_tokens": n}
 
+        f.finish = t.rest
         return f
 
     given = docs.select(

@@ -18,7 +18,8 @@ import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
 SEPARATOR = "<|endoftext|>"  # a special token of the file; chunks that hold one are encoded alone
-MEMORY = 800_000  # chunks remembered; beyond that the later third is forgotten
+MEMORY = 500_000  # chunks remembered by a task; beyond that the later third is forgotten
+KEPT = 120_000  # chunks a worker keeps between tasks
 FREQUENT = 16_384  # chunks kept in a small table of their own, which stays in the processor's cache
 SAMPLE = 300_000  # chunks of a worker's first texts that choose them
 TOGETHER = 500  # chunks sent to the tokenizer in one string
@@ -98,6 +99,11 @@ class WordTokenizer:
         settle()
         return out
 
+    def rest(self) -> tuple:
+        """Forget most chunks at the end of a task: the worker may go on with other work."""
+        self.known = dict(islice(self.known.items(), KEPT))
+        return ()
+
     def _learn(self, new: set[bytes]) -> None:
         known = self.known
         stopped = [m for m in map(_STOPPED.fullmatch, new) if m and b"<|" not in m[0]]
