@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -60,6 +63,14 @@ def with_package(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: the worker may sit idle or do other work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[dict]]], schema: str | T.StructType
 ) -> DataFrame:
@@ -79,7 +90,7 @@ def map_batches(
         finish = getattr(f, "finish", None)
         for cols in (finish() if finish else None) or ():
             yield to_batch(cols, arrow)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return with_package(df).mapInArrow(run, target)
 
@@ -122,7 +133,7 @@ def append_columns(
             cols = [b.column(i).cast(arrow.field(i).type) for i in range(n)]
             cols += [pa.array(got[x.name], type=arrow.field(n + i).type) for i, x in enumerate(extra)]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return with_package(given).mapInArrow(run, target)
 

@@ -19,7 +19,7 @@ import numpy as np
 WORD_BPE = "word_bpe_49k.json"
 SEPARATOR = "<|endoftext|>"  # a special token of the file; chunks that hold one are encoded alone
 MEMORY = 500_000  # chunks remembered by a task; beyond that the later third is forgotten
-KEPT = 120_000  # chunks a worker keeps between tasks
+KEPT = 60_000  # chunks a worker keeps between tasks
 FREQUENT = 16_384  # chunks kept in a small table of their own, which stays in the processor's cache
 SAMPLE = 300_000  # chunks of a worker's first texts that choose them
 TOGETHER = 500  # chunks sent to the tokenizer in one string
