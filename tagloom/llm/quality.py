@@ -327,5 +327,17 @@ def keep_quality(
     taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(~held_out).join(ids, "doc_id", "left_semi")
     x = with_statistics(taught).select("doc_id", F.col(OWN + "x").alias("x"))
     model = fit(staged(learning_rows(x, labels, label_col, F.lit(False)), "quality-learning"))
-    scored = _score(with_statistics(docs), model, OWN + "x")
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        model = sent.value
+
+        def f(text):
+            x = np.array([statistics(t) for t in text], dtype=float).reshape(len(text), len(STATISTICS))
+            return {"score": model.score(x)}
+
+        return f
+
+    # statistics and score in one step: one Python worker for each running task
+    scored = append_columns(docs, {"text": text_bytes(F.col("text"))}, "score double", make)
     return scored.filter(F.col(OWN + "score") >= threshold).select(*docs.columns)
