@@ -14,8 +14,9 @@ document's highest window.  Scoring runs on all documents in tasks, which keep
 the input projections of recent words.
 
 Defined cases: a null or empty text has no word; its one window is empty and
-gets the network's score of it; words of any length and documents of any
-number of windows are read whole; rows without an id or label are scored and
+gets the network's score of it; words of any length (in pieces of at
+most ``LONGEST_WORD`` bytes) and documents of any number of windows are read
+whole; rows without an id or label are scored and
 teach nothing; several labels of one id count as their mean, rounded; repeated
 rows are scored each; without labels of both kinds every score is the
 smoothed share of label 1 (one half if there are none); other columns are not
@@ -41,7 +42,7 @@ WORD_DIM = 8
 CHAR_DIM = 12
 HIDDEN = 8
 ATTENTION = 8
-LONGEST_WORD = 40  # bytes of a word whose n-grams are read from both ends
+LONGEST_WORD = 40  # bytes; longer runs are read as consecutive pieces
 TRAIN_DOCS = 1000  # sampled documents of label 1, and twice as many of label 0
 DOC_WINDOWS = 24  # windows of a sampled document
 STEP_WINDOWS = 8  # windows of a document that one training step reads
@@ -60,9 +61,19 @@ SEED = 7
 # --- words ---------------------------------------------------------------------
 
 
+def read_words(text: bytes) -> list[bytes]:
+    """The words of a text; a run over ``LONGEST_WORD`` bytes (a clause without spaces, glued words) is
+    read as consecutive pieces, which share 3 bytes, so every n-gram of the run is in one of them."""
+    ws = words(text)
+    if max(map(len, ws), default=0) <= LONGEST_WORD:
+        return ws
+    step = LONGEST_WORD - 3
+    return [w[a : a + LONGEST_WORD] for w in ws for a in range(0, max(1, len(w) - 3), step)]
+
+
 def grams(word: bytes) -> list[int]:
     """Buckets of the n-grams (3 and 4 bytes) of a word with its boundaries."""
-    w = b"<" + (word if len(word) <= LONGEST_WORD else word[: LONGEST_WORD // 2] + word[-LONGEST_WORD // 2 :]) + b">"
+    w = b"<" + word + b">"
     out = [zlib.crc32(w[i : i + 3]) & (CHAR_BUCKETS - 1) for i in range(len(w) - 2)]
     out += [zlib.crc32(w[i : i + 4], 1) & (CHAR_BUCKETS - 1) for i in range(len(w) - 3)]
     return out
@@ -325,7 +336,7 @@ class Scorer:
     def __call__(self, texts: list[bytes]) -> np.ndarray:
         out, held, size = [], [], 0
         for t in texts:
-            ws = words(t)
+            ws = read_words(t)
             held.append(ws)
             size += len(ws)
             if size >= 40_000:
@@ -393,7 +404,7 @@ def training_windows(docs: DataFrame, labels: DataFrame, label_col: str, held_ou
         def f(b):
             out = {"doc_id": b.column(0), "y": b.column(1), "windows": []}
             for raw in b.column(2).to_pylist():
-                ws = words(raw)
+                ws = read_words(raw)
                 starts = window_starts(len(ws))
                 if len(starts) > DOC_WINDOWS:
                     starts = [starts[i] for i in np.linspace(0, len(starts) - 1, DOC_WINDOWS).astype(int)]

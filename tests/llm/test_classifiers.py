@@ -154,3 +154,17 @@ def test_windows_hold_every_word_and_match_single_scoring():
     together = s(texts)
     alone = [float(toxicity.Scorer(net)([t])[0]) for t in texts]
     assert np.allclose(together, alone, atol=1e-5)
+
+
+def test_long_runs_are_read_whole():
+    # a clause without spaces: every n-gram of it reaches the network, wherever it stands
+    run = "这是一个没有空格的很长的句子用来检查中间的每一个字都会被读到而不只是开头和结尾的几个字".encode()
+    for w in (run, bytes(97 + i * i % 26 for i in range(41)), b"ab" * 500, b"x" * 40):
+        parts = toxicity.read_words(w)
+        assert max(map(len, parts)) <= toxicity.LONGEST_WORD
+        for n in (3, 4):
+            assert {w[i : i + n] for i in range(len(w) - n + 1)} == {q[i : i + n] for q in parts for i in range(len(q) - n + 1)}
+    net = toxicity.Network(2)
+    net.p["ec"] *= 100
+    one, other = toxicity.Scorer(net)([b"a" * 100 + b"kill" + b"a" * 100, b"a" * 100 + b"milk" + b"a" * 100])
+    assert abs(one - other) > 1e-3
