@@ -7,11 +7,17 @@ layer gives the window's logit.  Every document is read whole, as overlapping
 windows; its score comes from its highest window, calibrated on documents.
 
 Training: a bounded sample of labelled documents (``TRAIN_DOCS`` of
-label 1 and twice as many of label 0, chosen by a hash of the id, at most
-``DOC_WINDOWS`` windows each, spread over the whole text) is gathered on the driver, where the network is
-small.  The label is the document's: in each step the gradient goes to the
-document's highest window.  Scoring runs on all documents in tasks, which keep
-the input projections of recent words.
+label 1 and twice as many of label 0, chosen by a hash of the id) is written
+as a table of whole texts, and the network, which is small, learns on the
+driver.  The label is the document's: in each step the gradient goes to the
+document's highest window.  For the first of ``ROUNDS`` rounds the driver gets
+windows spread over each text; before each later one, tasks score all windows
+of the sampled documents and send the highest of each, and others drawn from
+all: labels taught by the highest alone do not leave an early wrong choice.
+The calibrating part
+is scored whole too, so its maxima and those of scoring are over the same
+windows.  Scoring runs on all documents in tasks, which keep the input
+projections of recent words.
 
 Defined cases: a null or empty text has no word; its one window is empty and
 gets the network's score of it; words of any length (in pieces of at
@@ -31,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import doc_bucket, map_batches, text_bytes
+from tagloom.llm.common import doc_bucket, map_batches, staged, text_bytes
 from tagloom.llm.decontam import words
 
 WINDOW = 24
@@ -44,9 +50,11 @@ HIDDEN = 8
 ATTENTION = 8
 LONGEST_WORD = 40  # bytes; longer runs are read as consecutive pieces
 TRAIN_DOCS = 1000  # sampled documents of label 1, and twice as many of label 0
-DOC_WINDOWS = 24  # windows of a sampled document
-STEP_WINDOWS = 8  # windows of a document that one training step reads
+DOC_WINDOWS = 24  # windows of a sampled document in one round
+STEP_WINDOWS = 8  # windows of a document that one training step reads, and highest ones chosen for a round
 EPOCHS = 6
+ROUNDS = 6  # choices of training windows; an epoch each, or more on small samples
+SAMPLE_TASKS = 24  # tasks that score the sampled documents
 LEAST_STEPS = 400
 EMBED = 0.05  # spread of untrained vectors: a word never seen in training says little
 DECAY = 0.05  # of the vectors that a step touches, times the rate
@@ -229,31 +237,44 @@ def windows_of(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return idx, mask.astype(np.float32), first
 
 
-def train(docs: list[tuple[list[bytes], int]], epochs: int = EPOCHS, seed: int = SEED) -> Network:
+def stretches(ws: list[bytes], windows: int = 4096):
+    """Parts of a word sequence whose windows, one after the other, are those of the whole."""
+    n = len(window_starts(len(ws)))
+    for a in range(0, n, windows):
+        last = min(n, a + windows) - 1
+        yield ws[a * STRIDE : last * STRIDE + WINDOW]
+
+
+def train(docs: list[tuple[list[bytes], int]], epochs: int = EPOCHS, seed: int = SEED, choose=None) -> Network:
     """Fit on (texts of windows, label) of documents; small samples get more epochs, ``LEAST_STEPS`` in all.
 
     A step reads up to ``STEP_WINDOWS`` windows of each of its documents.
+    ``choose(network, round)`` gives the documents' windows for each round but the first.
     """
     net = Network(seed)
     rng = np.random.default_rng(seed)
-    vocab: dict[bytes, int] = {}
-    seqs = [[np.array([vocab.setdefault(w, len(vocab) + 1) for w in x.split()], dtype=np.int64) for x in ws] for ws, _ in docs]
     ys = np.array([y for _, y in docs], dtype=np.float32)
-    ws = [b"", *vocab]  # id 0 pads
-    buckets = np.array([word_bucket(w) for w in ws])
-    bags = [grams(w) for w in ws]
-    sizes = np.array([len(b) for b in bags])
-    starts = np.concatenate(([0], sizes.cumsum()[:-1]))
-    flat = np.array([x for b in bags for x in b], dtype=np.int64)
     weight = np.where(ys > 0, 0.5 / max(ys.mean(), 1e-6), 0.5 / max(1 - ys.mean(), 1e-6))
     opt = Adam(net.p, RATE)
     per_epoch = max(1, len(docs) // BATCH_DOCS)
     epochs = max(epochs, -(-LEAST_STEPS // per_epoch))
-    for epoch in range(epochs):
-        opt.rate = RATE * (1 - epoch / epochs * 0.8)
-        for at in np.array_split(rng.permutation(len(docs)), per_epoch):
-            some = [[seqs[d][k] for k in rng.permutation(len(seqs[d]))[:STEP_WINDOWS]] for d in at]
-            _step(net, opt, rng, some, ys[at], weight[at] / len(at), buckets, flat, starts, sizes)
+    windows = [ws for ws, _ in docs]
+    for turn, part in enumerate(np.array_split(np.arange(epochs), min(ROUNDS, epochs))):
+        if turn and choose:
+            windows = choose(net, turn)
+        vocab: dict[bytes, int] = {}
+        seqs = [[np.array([vocab.setdefault(w, len(vocab) + 1) for w in x.split()], dtype=np.int64) for x in ws] for ws in windows]
+        ws = [b"", *vocab]  # id 0 pads
+        buckets = np.array([word_bucket(w) for w in ws])
+        bags = [grams(w) for w in ws]
+        sizes = np.array([len(b) for b in bags])
+        starts = np.concatenate(([0], sizes.cumsum()[:-1]))
+        flat = np.array([x for b in bags for x in b], dtype=np.int64)
+        for epoch in part.tolist():
+            opt.rate = RATE * (1 - epoch / epochs * 0.8)
+            for at in np.array_split(rng.permutation(len(docs)), per_epoch):
+                some = [[seqs[d][k] for k in rng.permutation(len(seqs[d]))[:STEP_WINDOWS]] for d in at]
+                _step(net, opt, rng, some, ys[at], weight[at] / len(at), buckets, flat, starts, sizes)
     return net
 
 
@@ -346,7 +367,23 @@ class Scorer:
             out.append(self._some(held))
         return np.concatenate(out) if out else np.zeros(0)
 
+    def chosen(self, text: bytes, turn: int) -> list[bytes]:
+        """The ``STEP_WINDOWS`` windows with the highest logits of all windows of a text, highest first, and
+        some of the others, drawn anew in each turn, ``DOC_WINDOWS`` in all."""
+        ws = read_words(text)
+        logit = np.concatenate([self._logits([part])[0] for part in stretches(ws)])
+        starts = window_starts(len(ws))
+        order = np.argsort(-logit, kind="stable")
+        others = np.random.default_rng((zlib.crc32(text), turn)).permutation(order[STEP_WINDOWS:])
+        at = np.concatenate((order[:STEP_WINDOWS], others[: DOC_WINDOWS - STEP_WINDOWS])).tolist()
+        return [b" ".join(ws[starts[i] : starts[i] + WINDOW]) for i in at]
+
     def _some(self, docs: list[list[bytes]]) -> np.ndarray:
+        logit, first = self._logits(docs)
+        return np.maximum.reduceat(logit, first[:-1])
+
+    def _logits(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of all windows, and the first window of each document."""
         self._learn(set().union(*docs))
         get = self.place.__getitem__
         ids = [np.fromiter(map(get, ws), dtype=np.int64, count=len(ws)) for ws in docs]
@@ -354,7 +391,7 @@ class Scorer:
         logit = np.empty(len(idx), np.float32)
         for a in range(0, len(idx), 2048):
             logit[a : a + 2048] = self.net.forward(self.proj, idx[a : a + 2048], mask[a : a + 2048])
-        return np.maximum.reduceat(logit, first[:-1])
+        return logit, first
 
 
 def calibrate(logit: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, float]:
@@ -384,8 +421,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * logit.astype(float) + self.intercept, -40, 40)))
 
 
-def training_windows(docs: DataFrame, labels: DataFrame, label_col: str, held_out: F.Column, train_docs: int):
-    """The sampled documents: up to ``train_docs`` of label 1 and twice as many of label 0, as windows' texts."""
+def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, held_out: F.Column, train_docs: int) -> DataFrame:
+    """doc_id, y and whole text of up to ``train_docs`` documents of label 1 and twice as many of label 0."""
     y = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -398,23 +435,52 @@ def training_windows(docs: DataFrame, labels: DataFrame, label_col: str, held_ou
         part = known.filter(F.col("y") == v).orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(train_docs * (2 - v))
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("text"))
-    texts = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
+    texts = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text").dropDuplicates(["doc_id"])
+    return staged(texts.repartition(SAMPLE_TASKS, "doc_id"), "toxicity-sample")
+
+
+def spread_windows(text: bytes) -> list[bytes]:
+    """Up to ``DOC_WINDOWS`` windows, evenly over the text."""
+    ws = read_words(text)
+    starts = window_starts(len(ws))
+    if len(starts) > DOC_WINDOWS:
+        starts = [starts[i] for i in np.linspace(0, len(starts) - 1, DOC_WINDOWS).astype(int)]
+    return [b" ".join(ws[a : a + WINDOW]) for a in starts]
+
+
+def sample_windows(sample: DataFrame, net: Network | None, turn: int = 0) -> dict[int, list[bytes]]:
+    """Windows of each sampled document, chosen from all by the network; without one, spread over the text."""
+    sent = sample.sparkSession.sparkContext.broadcast(net)
+
+    def make():
+        scorer = Scorer(sent.value) if sent.value else None
+
+        def f(b):
+            ts = b.column(1).to_pylist()
+            yield {"doc_id": b.column(0), "windows": [scorer.chosen(t, turn) if scorer else spread_windows(t) for t in ts]}
+
+        return f
+
+    got = map_batches(sample.select("doc_id", "text"), make, "doc_id long, windows array<binary>").collect()
+    sent.destroy()
+    return {r["doc_id"]: [bytes(x) for x in r["windows"]] for r in got}
+
+
+def sample_logits(sample: DataFrame, net: Network) -> dict[int, float]:
+    """Highest logit over all windows of each sampled document."""
+    sent = sample.sparkSession.sparkContext.broadcast(net)
 
     def make():
+        scorer = Scorer(sent.value)
+
         def f(b):
-            out = {"doc_id": b.column(0), "y": b.column(1), "windows": []}
-            for raw in b.column(2).to_pylist():
-                ws = read_words(raw)
-                starts = window_starts(len(ws))
-                if len(starts) > DOC_WINDOWS:
-                    starts = [starts[i] for i in np.linspace(0, len(starts) - 1, DOC_WINDOWS).astype(int)]
-                out["windows"].append([b" ".join(ws[a : a + WINDOW]) for a in starts])
-            yield out
+            yield {"doc_id": b.column(0), "logit": scorer(b.column(1).to_pylist()).astype(float)}
 
         return f
 
-    got = map_batches(texts, make, "doc_id long, y int, windows array<binary>").dropDuplicates(["doc_id"])
-    return sorted(((r["doc_id"], r["y"], [bytes(x) for x in r["windows"]]) for r in got.collect()), key=lambda r: r[0])
+    got = map_batches(sample.select("doc_id", "text"), make, "doc_id long, logit double").collect()
+    sent.destroy()
+    return {r["doc_id"]: r["logit"] for r in got}
 
 
 def fit(
@@ -426,21 +492,27 @@ def fit(
     epochs: int = EPOCHS,
 ) -> Model:
     held_out = F.lit(False) if held_out is None else held_out
-    rows = training_windows(docs, labels, label_col, held_out, train_docs)
+    sample = training_sample(docs, labels, label_col, held_out, train_docs)
+    rows = sorted((r["doc_id"], r["y"]) for r in sample.select("doc_id", "y").collect())
     y = np.array([r[1] for r in rows])
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model(None, 0.0, float(np.log(share / (1 - share))))
     # one part in five calibrates
-    part = np.array([zlib.crc32(str(r[0]).encode()) % 5 for r in rows])
-    net = train([(r[2], int(r[1])) for r, k in zip(rows, part, strict=True) if k], epochs)
+    calibrates = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    part = np.array([zlib.crc32(str(d).encode()) % 5 for d, _ in rows])
+    learn = [r for r, k in zip(rows, part, strict=True) if k]
     fold = [r for r, k in zip(rows, part, strict=True) if not k]
-    if len({r[1] for r in fold}) < 2:
-        fold = rows
-    one = Scorer(net)
-    flat = one([w for r in fold for w in r[2]])
-    first = np.concatenate(([0], np.cumsum([len(r[2]) for r in fold])))[:-1]
-    slope, intercept = calibrate(np.maximum.reduceat(flat, first), np.array([r[1] for r in fold]))
+
+    def choose(net, turn):
+        got = sample_windows(sample.filter(~calibrates), net, turn)
+        return [got[d] for d, _ in learn]
+
+    net = train([(w, v) for w, (_, v) in zip(choose(None, 0), learn, strict=True)], epochs, choose=choose)
+    whole = len({v for _, v in fold}) < 2
+    got = sample_logits(sample if whole else sample.filter(calibrates), net)
+    fold = rows if whole else fold
+    slope, intercept = calibrate(np.array([got[d] for d, _ in fold]), np.array([v for _, v in fold]))
     return Model(net, slope, intercept)
 
 

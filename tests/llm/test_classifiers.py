@@ -168,3 +168,41 @@ def test_long_runs_are_read_whole():
     net.p["ec"] *= 100
     one, other = toxicity.Scorer(net)([b"a" * 100 + b"kill" + b"a" * 100, b"a" * 100 + b"milk" + b"a" * 100])
     assert abs(one - other) > 1e-3
+
+
+def test_long_training_documents_are_read_whole(spark, monkeypatch):
+    # the passage of a long toxic document is in one place of some hundred windows
+    rng = np.random.default_rng(0)
+    texts, labels = [], []
+    for i in range(60):
+        ws = ["w%d" % k for k in rng.integers(0, 300, 1500)]
+        if i % 2:
+            ws[rng.integers(0, 1500)] = "poison"
+        texts.append((i, " ".join(ws)))
+        labels.append((i, 0, i % 2))
+    d = spark.createDataFrame(texts, "doc_id long, text string")
+    seen, trained = [], []
+    calibrate, step = toxicity.calibrate, toxicity._step
+    monkeypatch.setattr(toxicity, "calibrate", lambda logit, y: (seen.append(logit), calibrate(logit, y))[1])
+    monkeypatch.setattr(toxicity, "_step", lambda net, opt, rng, some, *a: (trained.append(some), step(net, opt, rng, some, *a))[1])
+    model = toxicity.fit(d, spark.createDataFrame(labels, LABELS), epochs=1)
+    fold = [t.encode() for i, t in texts if zlib.crc32(str(i).encode()) % 5 == 0]
+    whole = toxicity.Scorer(model.net)(fold)
+    assert len(seen[0]) == len(fold) and np.allclose(seen[0], whole, atol=1e-5)
+    # the highest windows of all windows, not of some
+    text = texts[1][1].encode()
+    ws = text.split()
+    s = toxicity.Scorer(model.net)
+    all_of = [b" ".join(ws[a : a + toxicity.WINDOW]) for a in toxicity.window_starts(len(ws))]
+    best = s.chosen(text, 1)
+    assert len(best) == toxicity.DOC_WINDOWS and s([best[0]])[0] == pytest.approx(s(all_of).max(), abs=1e-5)
+    assert toxicity.sample_windows(d.select("doc_id", F.col("text").cast("binary").alias("text")), model.net)[1][0] == best[0]
+    assert all(len(w) <= toxicity.STEP_WINDOWS for some in trained for w in some)
+    assert len({w for turn in range(1, 60) for w in s.chosen(text, turn)}) > 0.9 * len(set(all_of))  # none is never drawn
+
+
+def test_stretches_hold_the_windows_of_the_whole():
+    for n in (0, 1, 24, 25, 36, 37, 100, 301):
+        ws = list(range(n))
+        parts = [p[a : a + toxicity.WINDOW] for p in toxicity.stretches(ws, 3) for a in toxicity.window_starts(len(p))]
+        assert parts == [ws[a : a + toxicity.WINDOW] for a in toxicity.window_starts(n)]
