@@ -14,8 +14,8 @@ next attempt number; almost all keep attempt 0, which needs no lookup when
 texts are rewritten.  Only the rare others reach the texts by a join.
 
 Defined cases: null and empty texts stay as they are; repeated rows are
-rewritten alike; texts of any length are rewritten whole (patterns have
-bounded repeats); an empty table gives an empty result; other columns pass
+rewritten alike; texts of any length are rewritten whole (repeats in
+patterns are bounded or possessive); an empty table gives an empty result; other columns pass
 through, whatever their names.
 """
 
@@ -39,12 +39,16 @@ NEUTRAL_TITLES = "Dr|Prof"
 
 _HEAD_SECRET = rf"(?i:{SECRET_WORDS})\s{{0,3}}[=:]\s{{0,3}}[\"']?"
 _HEAD_NAME = rf"(?:{FEMALE_TITLES}|{MALE_TITLES}|{NEUTRAL_TITLES})\.? "
-_NAME = r"\p{Lu}\p{Ll}{1,30}(?:[ -]\p{Lu}\p{Ll}{1,30}){0,2}"
+# Possessive repeats need no stack, so runs of any length are matched whole.
+_NAME_WORD = r"\p{Lu}(?:[\p{L}\p{M}]++|(?=['’]\p{L}))(?:['’](?!s(?!\p{L}))\p{L}[\p{L}\p{M}]*+)*+"
+_NAME = rf"{_NAME_WORD}(?:[ -]{_NAME_WORD})*+"
+_SECRET = r"(?=[A-Za-z0-9+/_\-]{8})[A-Za-z0-9+/_\-]++(?:[.=]++[A-Za-z0-9+/_\-]++)*+"
+_COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
 PATTERN = "|".join(
     [
-        rf"(?<![\w]){_HEAD_SECRET}[A-Za-z0-9+/_\-]{{8,128}}",
+        rf"(?<![\w]){_HEAD_SECRET}{_SECRET}",
         r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
         r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){0,8}\.[A-Za-z]{2,24}",
         r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -53,6 +57,7 @@ PATTERN = "|".join(
         r"(?<![\w.\-])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3})(?![\w\-])",
         r"(?<![\w.])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\w\-])",
         r"(?<![\w.])\+\d{1,3}(?:[ .\-]\d{2,4}){2,5}(?![\w\-])",
+        r"(?<![\w.])\+\d{8,15}(?![\w\-])",
         rf"(?<![\w]){_HEAD_NAME}{_NAME}",
     ]
 )
@@ -101,6 +106,7 @@ def head(m: Column, kind: Column) -> Column:
         F.when(kind == "secret", F.regexp_extract(m, rf"^{_HEAD_SECRET}", 0))
         .when(kind == "access_key", F.lit("AKIA"))
         .when(kind == "bank_account", F.substring(m, 1, 2))
+        .when((kind == "phone") & (digits > 10) & m.rlike(r"^\+\d+$"), F.regexp_extract(m, rf"^\+{_COUNTRY}", 0))
         .when((kind == "phone") & (digits > 10), F.regexp_extract(m, r"^\+?\d{1,3}[ .\-]?", 0))
         .when(kind.startswith("name"), F.regexp_extract(m, rf"^{_HEAD_NAME}", 0))
         .otherwise("")
@@ -112,7 +118,8 @@ def canonical(core: Column, kind: Column) -> Column:
     return (
         F.when(kind.isin("card", "phone", "social_security"), F.regexp_replace(core, r"\D", ""))
         .when(kind == "bank_account", F.regexp_replace(core, " ", ""))
-        .when((kind == "email") | kind.startswith("name"), F.lower(core))
+        .when(kind.startswith("name"), F.translate(F.lower(core), "’", "'"))
+        .when(kind == "email", F.lower(core))
         .otherwise(core)
     )
 
@@ -188,12 +195,20 @@ def _name(canon: Column, kind: Column, stream: Column) -> Column:
         parts = [_pick(stream, at + i, SYLLABLES[script]) for i in range(3)]
         return F.initcap(F.concat(*parts))
 
+    def further(script, at):
+        n = F.array(*[F.lit(x) for x in SYLLABLES[script]])
+        parts = [F.element_at(n, (F.pmod(F.xxhash64(stream, at, F.lit(i)), F.size(n)) + 1).cast("int")) for i in range(3)]
+        return F.initcap(F.concat(*parts))
+
     def whole(script):
         # one word is a last name, so distinct names are not short of surrogates
+        three = F.concat(first(script), F.lit(" "), last(script, 1), F.lit(" "), last(script, 4))
+        more = F.transform(F.sequence(F.lit(4), F.greatest(words, F.lit(4))), lambda at: further(script, at))
         return (
             F.when(words == 1, last(script, 1))
             .when(words == 2, F.concat(first(script), F.lit(" "), last(script, 1)))
-            .otherwise(F.concat(first(script), F.lit(" "), last(script, 1), F.lit(" "), last(script, 4)))
+            .when(words == 3, three)
+            .otherwise(F.concat(three, F.lit(" "), F.array_join(more, " ")))
         )
 
     return F.when(cyrillic, whole("cyrillic")).otherwise(whole("latin"))
@@ -202,14 +217,18 @@ def _name(canon: Column, kind: Column, stream: Column) -> Column:
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The canonical form of the entity's replacement."""
     seed = F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"))
-    stream = F.sha2(seed, 512)
+    held = F.struct(F.sha2(seed, 512).alias("stream"), canon.alias("canon"), (~canon.rlike("[g-zG-Z]")).alias("hex"))
+    # held in a variable, so what depends on the whole entity is found once, not for each of its letters
+    return F.get(F.transform(F.array(held), lambda v: _made(kind, v["canon"], v["stream"], v["hex"])), F.lit(0))
+
+
+def _made(kind: Column, canon: Column, stream: Column, hexadecimal: Column) -> Column:
     ip = F.concat_ws(".", *[(F.pmod(_byte(stream, F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)])
     at = F.instr(canon, "@")
     dot = F.length(canon) - F.instr(F.reverse(canon), ".") + 1  # the last dot: what follows stays
     email = F.concat(
         _letters(canon.substr(F.lit(1), dot - 1), stream, F.lit(False)), canon.substr(dot, F.length(canon))
     )
-    hexadecimal = ~canon.rlike("[g-zG-Z]")
     phone = F.concat(
         (F.pmod(_byte(stream, F.lit(40)), F.lit(8)) + 2).cast("string"),
         _letters(canon.substr(F.lit(2), F.length(canon)), stream, F.lit(False)),

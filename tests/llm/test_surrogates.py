@@ -116,3 +116,24 @@ def test_main_path_is_native(spark):
 def test_long_runs_stay_fast(spark):
     got = run(spark, ["a" * 300_000, "1" * 100_000, "a." * 50_000 + "@", "x@" + "a-" * 50_000])
     assert len(got) == 4
+
+
+def test_whole_secrets_names_and_phones_are_replaced(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P"
+    got = run(spark, [
+        "token=" + "Ab3" * 100 + ". End", f"token: {jwt}.", "Mr McDonald met Ms O'Brien and Ms O’Brien; Mr Miller's car.",
+        "Dr Juan Carlos Ramirez Ortega Vega spoke", "+15551234567 or +1 555 123 4567, +493012345678.",
+        "password=" + "a1b2c3d4." * 3_000, "Mr " + "Abcd " * 2_000,
+    ])
+    t = [got[i]["text"] for i in range(7)]
+    assert "Ab3" not in t[0] and re.fullmatch(r"token=\w{300}\. End", t[0])
+    assert not any(p in t[1] for p in jwt.split(".")) and re.fullmatch(r"token: \w+\.\w+\.[\w-]+\.", t[1])
+    a, b, c, d = re.fullmatch(r"Mr (\w+) met Ms (\w+) and Ms (\w+); Mr (\w+)'s car\.", t[2]).groups()
+    assert b == c and not {a, b, d} & {"McDonald", "Donald", "Brien", "O", "Miller"}
+    assert re.fullmatch(r"Dr \w+ \w+ \w+ \w+ \w+ spoke", t[3]) and not set(TEXT_NAMES) & set(t[3].split())
+    x, y, z = re.fullmatch(r"\+1(\d{10}) or \+1 (\d{3} \d{3} \d{4}), \+49(\d{10})\.", t[4]).groups()
+    assert x == y.replace(" ", "") != "5551234567" and z != "3012345678"
+    assert "a1b2" not in t[5] and len(t[5]) == len("password=") + 27_000 and "Abcd" not in t[6]
+
+
+TEXT_NAMES = ["Juan", "Carlos", "Ramirez", "Ortega", "Vega"]
