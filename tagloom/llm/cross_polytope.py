@@ -8,7 +8,8 @@ buckets are its candidates and are ranked by their exact cosine.
 Every row is indexed.  How many axes a query probes is measured: for a
 bounded sample of queries (``TUNE_QUERIES``, by a hash of the id) the exact
 neighbours among all rows are found, and the probes are the fewest that reach
-``TARGET_RECALL`` of them.
+``TARGET_RECALL`` of them.  Queries that find fewer than asked for are searched
+again with ``MORE_PROBES`` times the probes, and at last in all buckets.
 
 On Spark: the index (ids, vectors, bucket numbers) is a written table.
 Queries, a stated set, are sent to the tasks in blocks of bounded size; each
@@ -39,6 +40,7 @@ TARGET_RECALL = 0.97
 TUNE_QUERIES = 200
 BLOCK_QUERIES = 8192
 CHUNK_ROWS = 32_768
+MORE_PROBES = 4
 SEED = 11
 
 
@@ -281,13 +283,33 @@ def nearest(
     asked = index.filter(is_query).select("vec_id", "vector").distinct()
     asked = staged(asked.withColumn("uid", F.monotonically_increasing_id()), "ann-queries")
     probes = probes or tune_probes(index, asked, tables, k, recall)
-    n_blocks = max(1, -(-asked.count() // block_queries))
+    widest = index.agg(F.max(F.size("vector"))).first()[0] or 1
+    every = 2 << max(1, int(np.ceil(np.log2(max(widest, 2)))))  # buckets of a table
     path = scratch_path(spark, "ann-found")
-    block = F.pmod(F.xxhash64("uid"), F.lit(n_blocks))
-    for i in range(n_blocks):
-        part = asked.filter(block == i).toArrow()
-        found = search_block(index, part, tables, probes, k)
-        found.select("query", "rank", "vec_id", "score").write.mode("append").parquet(path)
-    found = spark.read.schema("query long, rank int, vec_id long, score double").parquet(path)
+    read = spark.read.schema("query long, rank int, vec_id long, score double, turn int")
+    # ids of a length, repeats counted once: a query can find at most those
+    sizes = index.groupBy(F.size("vector").alias("dim")).agg(F.countDistinct("vec_id").alias("ids"))
+    left, turn = asked, 0
+    while True:
+        n_blocks = max(1, -(-left.count() // block_queries))
+        block = F.pmod(F.xxhash64("uid"), F.lit(n_blocks))
+        for i in range(n_blocks):
+            part = left.filter(block == i).toArrow()
+            found = search_block(index, part, tables, None if probes >= every else probes, k)
+            found = found.select("query", "rank", "vec_id", "score", F.lit(turn).alias("turn"))
+            found.write.mode("append").parquet(path)
+        if probes >= every:
+            break
+        got = read.parquet(path).filter(F.col("turn") == turn).groupBy(F.col("query").alias("uid")).agg(F.count("*").alias("n"))
+        left = left.join(got, "uid", "left").withColumn("n", F.coalesce("n", F.lit(0))).filter(F.col("n") < k)
+        left = left.withColumn("dim", F.size("vector")).join(F.broadcast(sizes), "dim")
+        left = left.filter(F.col("n") < F.col("ids") - 1).select(asked.columns)  # its own id is none
+        left = staged(left, "ann-left")
+        if left.isEmpty():
+            break
+        turn, probes = turn + 1, min(every, probes * MORE_PROBES)
+    found = read.parquet(path)
+    last = found.groupBy("query").agg(F.max("turn").alias("turn"))
+    found = found.join(last, ["query", "turn"])  # a later search of a query holds what earlier ones found
     names = asked.select(F.col("uid").alias("query"), F.col("vec_id").alias("query_id"))
     return found.join(names, "query").select("query_id", "rank", "vec_id", "score")

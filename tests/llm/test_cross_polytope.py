@@ -93,3 +93,15 @@ def test_empty_table_and_few_candidates(spark):
     got = result(cp.nearest(two, F.col("vec_id") % 50 == 0))
     assert [i for i, _ in got[0]] == [1]
     assert not result(cp.nearest(two.filter("vec_id = 0"), F.col("vec_id") % 50 == 0))
+
+
+def test_queries_far_from_all_groups_find_enough(spark):
+    rng = np.random.default_rng(3)
+    centres = np.eye(32)[:2] * 10
+    x = [centres[i % 2] + 0.001 * rng.normal(size=32) for i in range(300)]
+    x[50], x[150] = -np.eye(32)[9], -np.eye(32)[20]  # their buckets hold no other row
+    rows = [(i, [float(v) for v in r], "x") for i, r in enumerate(x)] + [(1000, [1.0, 2.0, 2.0], "x"), (1001, [1.0, 0.0, 0.0], "x")]
+    got = result(cp.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, probes=1, tables=2))
+    want = brute(rows)
+    assert all(len(got[q]) == len(v) for q, v in want.items())
+    assert len(got[50]) == 5 and len(got[1000]) == 1
