@@ -180,7 +180,7 @@ def _card(canon: Column, stream: Column) -> Column:
     return F.concat(body, last.cast("string"))
 
 
-def _name(canon: Column, kind: Column, stream: Column) -> Column:
+def _name(canon: Column, kind: Column, attempt: Column, stream: Column) -> Column:
     """As many words as the name has: a first name of the gender and script, then built last names."""
     cyrillic = canon.rlike(r"\p{IsCyrillic}")
     words = F.size(F.split(canon, "[ -]"))
@@ -192,24 +192,18 @@ def _name(canon: Column, kind: Column, stream: Column) -> Column:
         return by
 
     def last(script, at):
-        parts = [_pick(stream, at + i, SYLLABLES[script]) for i in range(3)]
-        return F.initcap(F.concat(*parts))
-
-    def further(script, at):
+        # one syllable more with each attempt: the names never run out
         n = F.array(*[F.lit(x) for x in SYLLABLES[script]])
-        parts = [F.element_at(n, (F.pmod(F.xxhash64(stream, at, F.lit(i)), F.size(n)) + 1).cast("int")) for i in range(3)]
-        return F.initcap(F.concat(*parts))
+        parts = F.transform(
+            F.sequence(F.lit(1), attempt + 3),
+            lambda i: F.element_at(n, (F.pmod(F.xxhash64(stream, at, i), F.size(n)) + 1).cast("int")),
+        )
+        return F.initcap(F.array_join(parts, ""))
 
     def whole(script):
         # one word is a last name, so distinct names are not short of surrogates
-        three = F.concat(first(script), F.lit(" "), last(script, 1), F.lit(" "), last(script, 4))
-        more = F.transform(F.sequence(F.lit(4), F.greatest(words, F.lit(4))), lambda at: further(script, at))
-        return (
-            F.when(words == 1, last(script, 1))
-            .when(words == 2, F.concat(first(script), F.lit(" "), last(script, 1)))
-            .when(words == 3, three)
-            .otherwise(F.concat(three, F.lit(" "), F.array_join(more, " ")))
-        )
+        more = F.transform(F.sequence(F.lit(2), F.greatest(words, F.lit(2))), lambda at: last(script, at))
+        return F.when(words == 1, last(script, F.lit(1))).otherwise(F.concat(first(script), F.lit(" "), F.array_join(more, " ")))
 
     return F.when(cyrillic, whole("cyrillic")).otherwise(whole("latin"))
 
@@ -219,10 +213,10 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     seed = F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"))
     held = F.struct(F.sha2(seed, 512).alias("stream"), canon.alias("canon"), (~canon.rlike("[g-zG-Z]")).alias("hex"))
     # held in a variable, so what depends on the whole entity is found once, not for each of its letters
-    return F.get(F.transform(F.array(held), lambda v: _made(kind, v["canon"], v["stream"], v["hex"])), F.lit(0))
+    return F.get(F.transform(F.array(held), lambda v: _made(kind, v["canon"], attempt, v["stream"], v["hex"])), F.lit(0))
 
 
-def _made(kind: Column, canon: Column, stream: Column, hexadecimal: Column) -> Column:
+def _made(kind: Column, canon: Column, attempt: Column, stream: Column, hexadecimal: Column) -> Column:
     ip = F.concat_ws(".", *[(F.pmod(_byte(stream, F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)])
     at = F.instr(canon, "@")
     dot = F.length(canon) - F.instr(F.reverse(canon), ".") + 1  # the last dot: what follows stays
@@ -238,7 +232,7 @@ def _made(kind: Column, canon: Column, stream: Column, hexadecimal: Column) -> C
         .when((kind == "email") & (at > 0), email)
         .when(kind == "card", _card(canon, stream))
         .when(kind == "phone", phone)
-        .when(kind.startswith("name"), _name(canon, kind, stream))
+        .when(kind.startswith("name"), _name(canon, kind, attempt, stream))
         .otherwise(_letters(canon, stream, hexadecimal & (kind == "secret")))
     )
 

@@ -137,3 +137,10 @@ def test_whole_secrets_names_and_phones_are_replaced(spark):
 
 
 TEXT_NAMES = ["Juan", "Carlos", "Ramirez", "Ortega", "Vega"]
+
+
+def test_more_names_than_short_surrogates(spark, monkeypatch):
+    monkeypatch.setitem(surrogates.SYLLABLES, "latin", ["ba", "be"])  # 8 names of three syllables
+    names = ["N" + chr(97 + i // 5) + "xyzuv"[i % 5] for i in range(30)]
+    got = run(spark, [" ".join(f"Mr {n}," for n in names)])
+    assert len(set(re.findall(r"Mr (\w+),", got[0]["text"]))) == 30
