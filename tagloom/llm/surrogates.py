@@ -28,7 +28,7 @@ from tagloom.llm.common import OWN, staged, text_bytes
 from tagloom.operators.broadcast import maybe_broadcast
 
 KEY = "replace-this-key"  # parameter: the owner's secret
-AVOID_ROUNDS = 8  # attempts that also avoid the corpus's own entities
+AVOID_ROUNDS = 8  # attempts that also avoid the corpus's own entities (names always do)
 MAX_ROUNDS = 40
 
 # Key words and titles whose next word is an entity.
@@ -284,7 +284,8 @@ def attempts(found: DataFrame, key: str = KEY) -> DataFrame | None:
     state = everyone.withColumn("attempt", F.lit(0))
     moved = None
     for turn in range(MAX_ROUNDS):
-        losers = _losers(state, everyone if turn < AVOID_ROUNDS else None)
+        # names never run out, so they avoid real ones in every round
+        losers = _losers(state, everyone if turn < AVOID_ROUNDS else everyone.filter(kind.startswith("name")))
         losers = staged(losers, "pii-losers")
         if losers.isEmpty():
             return moved
@@ -295,13 +296,14 @@ def attempts(found: DataFrame, key: str = KEY) -> DataFrame | None:
     raise RuntimeError("surrogates still collide")
 
 
-def _losers(state: DataFrame, real: DataFrame | None) -> DataFrame:
-    """Entities whose surrogate is taken by another (the earlier attempt, then the smaller form, keeps
+def _losers(state: DataFrame, real: DataFrame) -> DataFrame:
+    """Entities whose surrogate, in whatever letter case for names, is taken by another (the earlier attempt, then the smaller form, keeps
     it), is a real entity, or is the entity itself."""
+    # canonical names are lower-cased, surrogates of names are not
+    state = state.withColumn("new", F.when(F.col("kind").startswith("name"), F.lower("new")).otherwise(F.col("new")))
     claims = state.select("kind", "new", F.struct("attempt", "canon").alias("who"), F.lit(False).alias("is_real"))
-    if real is not None:
-        none = F.lit(None).cast("struct<attempt:int,canon:string>")
-        claims = claims.unionByName(real.select("kind", F.col("canon").alias("new"), none.alias("who"), F.lit(True).alias("is_real")))
+    none = F.lit(None).cast("struct<attempt:int,canon:string>")
+    claims = claims.unionByName(real.select("kind", F.col("canon").alias("new"), none.alias("who"), F.lit(True).alias("is_real")))
     contested = (
         claims.groupBy("kind", "new")
         .agg(F.count("who").alias("n"), F.min("who").alias("first"), F.bool_or("is_real").alias("real"))

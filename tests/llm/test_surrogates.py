@@ -144,3 +144,13 @@ def test_more_names_than_short_surrogates(spark, monkeypatch):
     names = ["N" + chr(97 + i // 5) + "xyzuv"[i % 5] for i in range(30)]
     got = run(spark, [" ".join(f"Mr {n}," for n in names)])
     assert len(set(re.findall(r"Mr (\w+),", got[0]["text"]))) == 30
+
+
+def test_names_avoid_real_names_in_every_round(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "AVOID_ROUNDS", 0)
+    monkeypatch.setattr(
+        surrogates, "surrogate",
+        lambda kind, canon, attempt, key: F.when(attempt == 0, F.lit("Miller")).otherwise(F.concat(F.lit("Ba"), F.substring(canon, 1, 1))),
+    )
+    got = surrogates.attempts(spark.createDataFrame([("name_m", "smith"), ("name_m", "miller")], "kind string, canon string"))
+    assert sorted((r["canon"], r["attempt"]) for r in got.collect()) == [("miller", 1), ("smith", 1)]
