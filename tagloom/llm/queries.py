@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import cross_polytope, decontam, lattice, ngram_join, packing, quality, rollups, surrogates, toxicity, warc
-from tagloom.llm.common import OWN, table
+from tagloom.llm import (
+    byte_bpe,
+    cross_polytope,
+    decontam,
+    lattice,
+    ngram_join,
+    packing,
+    prefix_trie,
+    quality,
+    repair,
+    rollups,
+    surrogates,
+    toxicity,
+    warc,
+)
+from tagloom.llm.common import OWN, staged, table
 
 
 def op1_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +75,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after planted damage."""
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repair_report(rows, lambda df: staged(df, "repair-reports"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by byte-level BPE and decoded again."""
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, which share first turns within families of five ids."""
+    turns = prefix_trie.turn_digests(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt_turns(turns))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,5 +105,8 @@ QUERIES = {
         op8_warc,
         op9_toxicity,
         op10_quality,
+        op11_structure_repair,
+        op12_byte_bpe,
+        op13_prefix_trie,
     )
 }
