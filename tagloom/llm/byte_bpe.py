@@ -41,8 +41,7 @@ from tagloom.llm.common import append_columns, map_batches, text_bytes
 from tagloom.llm.tokens import tokenizer_path
 
 BYTE_BPE = "byte_bpe_50k.json"
-MEMORY = 400_000  # units of text remembered by a task; beyond that the later half is forgotten
-KEPT = 60_000  # units a worker keeps between tasks
+MEMORY = 400_000  # units of text remembered by a worker; beyond that the later half is forgotten
 PIECE = 1 << 18  # characters of a text that are split at once
 GATHERED = 1 << 22  # characters split before their new units are encoded
 ROUND_SYMBOLS = 1 << 20  # characters of one batch of merge rounds
@@ -112,6 +111,14 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
 
 
 _LOOSE = re.compile(r"(?:\A|\s) |\s\Z")
+_ASCII_LOOSE = tuple(c + " " for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f")
+
+
+def _loose(piece: str) -> bool:
+    """Whether white space stands before a space, or a space at the begin, or white space at the end."""
+    if piece.isascii():
+        return piece[0] == " " or piece[-1].isspace() or any(c in piece for c in _ASCII_LOOSE)
+    return _LOOSE.search(piece) is not None
 
 
 def units(piece: str) -> list[str]:
@@ -121,7 +128,7 @@ def units(piece: str) -> list[str]:
     unit but the first is split as its text with a space before it.
     """
     parts = piece.split(" ")
-    if _LOOSE.search(piece) is None:
+    if not _loose(piece):
         return parts
     out: list[str] = []
     held: list[str] = []
@@ -175,6 +182,7 @@ class ByteBpe:
         keys = left * self.span + right
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made
+        self.byte_ranks = self.rank(np.repeat(self.first, 256), np.tile(self.first, 256)).reshape(256, 256)
         joined = np.zeros((256, 256), dtype=bool)  # bytes that some token holds side by side
         for w in words:
             b = np.frombuffer(w, dtype=np.uint8)
@@ -197,10 +205,11 @@ class ByteBpe:
         for k, text in enumerate(texts):
             for part in self._parts(text):
                 if isinstance(part, int):
-                    waiting.append((k, None, part))
+                    waiting.append((k, part, None))
                     continue
                 for piece in pieces(part):
-                    waiting.append((k, units(piece), None))
+                    us = units(piece)
+                    waiting.append((k, us.pop(0), us))
                     held += len(piece)
                     if held > GATHERED:
                         yield from self._settle(waiting)
@@ -220,27 +229,29 @@ class ByteBpe:
     def _settle(self, waiting: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
         known, heads = self.known, self.heads
         new: set[str] = set()
-        for _, us, _ in waiting:
+        for _, _, us in waiting:
             if us is not None:
-                new.update(us[1:])
+                new.update(us)
         new.difference_update(known)
-        first = {us[0] for _, us, _ in waiting if us is not None}.difference(heads)
-        self._learn(new, first)
-        for k, us, special in waiting:
+        self._learn(new, {head for _, head, us in waiting if us is not None and head not in heads})
+        for k, head, us in waiting:
             if us is None:
-                yield k, np.array([special], dtype="<u4")
+                yield k, np.array([head], dtype="<u4")
             else:
-                got = [heads[us[0]], *map(known.__getitem__, us[1:])]
-                yield k, np.frombuffer(b"".join(got), dtype="<u4")
-        if len(known) > self.memory or len(heads) > self.memory:  # frequent units are met early
-            self.rest(self.memory // 2)
+                yield k, np.frombuffer(heads[head] + b"".join(map(known.__getitem__, us)), dtype="<u4")
+        if len(known) > self.memory or len(heads) > self.memory:
+            self.forget(self.memory // 2)
 
     def _learn(self, new: set[str], first: set[str]) -> None:
         """Encode new units: the words of all of them together."""
         tails, heads = list(new), list(first)
-        texts = [" " + u for u in tails] + heads
-        findall = self.findall_newer if self.has_newer("\n".join(texts)) else self.findall
-        split = list(map(findall, texts))
+        split = [self.plain_words(u) for u in tails] + [None] * len(heads)
+        rest = [k for k, words in enumerate(split) if words is None]
+        texts = [" " + tails[k] if k < len(tails) else heads[k - len(tails)] for k in rest]
+        together = "\n".join(texts)
+        findall = self.findall if together.isascii() or not self.has_newer(together) else self.findall_newer
+        for k, words in zip(rest, map(findall, texts), strict=True):
+            split[k] = words
         ids: dict[str, bytes] = {}
         for words in split:
             for w in words:
@@ -260,6 +271,15 @@ class ByteBpe:
         for u, words in zip(heads, split[len(tails) :], strict=True):
             self.heads[u] = b"".join([ids[w] for w in words])
 
+    @staticmethod
+    def plain_words(u: str) -> list[str] | None:
+        """The words of a unit of letters, or of letters and one common sign; None for others."""
+        if u.isalpha():
+            return [" " + u]
+        if u and u[-1] in ",.;:!?" and u[:-1].isalpha():
+            return [" " + u[:-1], u[-1]]
+        return None
+
     def _encode_words(self, words: list[str]) -> list[bytes]:
         raw = [w.encode() for w in words]
         flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
@@ -268,54 +288,65 @@ class ByteBpe:
         starts[1:] = ~self.joined[flat[:-1], flat[1:]]
         starts[0] = True
         starts[ends[:-1]] = True
-        ids, sizes = self.merge(self.first[flat], np.flatnonzero(starts))
+        ids, sizes = self.merge(self.first[flat], np.flatnonzero(starts), self.byte_ranks[flat[:-1], flat[1:]])
         # parts of a word lie side by side: a word's ids end where its last part's do
         part_end = np.append(np.flatnonzero(starts)[1:], len(flat))
         cut = np.cumsum(sizes)[np.searchsorted(part_end, ends)] * 4
         out = ids.astype("<u4").tobytes()
         return [out[a:b] for a, b in zip([0, *cut.tolist()], cut.tolist(), strict=False)]
 
-    def merge(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merge all words of a flat symbol array; returns the ids and the number of each word's."""
+    def merge(self, symbols: np.ndarray, starts: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merge all words of a flat symbol array; returns the ids and the number of each word's.
+
+        ``rank`` holds the rank of each symbol and its neighbour; a round finds those of changed pairs only.
+        """
         n = len(starts)
         word = np.repeat(np.arange(n), np.diff(np.append(starts, len(symbols))))
+        rank = np.append(rank, NONE)
+        rank[:-1][word[:-1] != word[1:]] = NONE
         done_word, done_ids = [], []
         rounds = 0
         while len(symbols):
             rounds += 1
             if rounds == ROUNDS:
                 for w in np.flatnonzero(np.bincount(word, minlength=n) > LONG_WORD):
-                    ids = self.merge_long(symbols[word == w])
+                    here = word == w
+                    ids = self.merge_long(symbols[here], rank[here])
                     done_word.append(np.full(len(ids), w))
                     done_ids.append(ids)
-                    symbols, word = symbols[word != w], word[word != w]
+                    symbols, word, rank = symbols[~here], word[~here], rank[~here]
                 if not len(symbols):
                     break
-            rank = self.rank(symbols[:-1], symbols[1:])
-            rank[word[:-1] != word[1:]] = NONE
-            rank = np.append(rank, NONE)
             first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             lowest = np.minimum.reduceat(rank, first)
             length = np.diff(np.append(first, len(word)))
-            over = np.repeat(lowest == NONE, length)
-            if over.any():  # words without a pair leave
+            none = lowest == NONE
+            if none.any():  # words without a pair leave
+                over = np.repeat(none, length)
                 done_word.append(word[over])
                 done_ids.append(symbols[over])
                 live = ~over
                 symbols, word, rank = symbols[live], word[live], rank[live]
-                lowest, length = lowest[lowest != NONE], length[lowest != NONE]
+                lowest, length = lowest[~none], length[~none]
                 if not len(symbols):
                     break
-            join = rank == np.repeat(lowest, length)
-            at = np.flatnonzero(join)
+            at = np.flatnonzero(rank == np.repeat(lowest, length))
             # of places that overlap (a a a) every second one from the left
             run = np.append(True, np.diff(at) != 1)
-            begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
-            at = at[(np.arange(len(at)) - begin) % 2 == 0]
+            place = np.arange(len(at))
+            at = at[(place - np.maximum.accumulate(np.where(run, place, 0))) % 2 == 0]
             symbols[at] = self.made[rank[at]]
             stay = np.ones(len(symbols), dtype=bool)
             stay[at + 1] = False
-            symbols, word = symbols[stay], word[stay]
+            symbols, word, rank = symbols[stay], word[stay], rank[stay]
+            at -= np.arange(len(at))  # where the joined symbols are now
+            changed = np.zeros(len(symbols) + 1, dtype=bool)
+            changed[at] = True
+            changed[at - 1] = True  # of the first symbol that is the spare place at the end
+            if changed[len(symbols) - 1]:
+                rank[-1] = NONE
+            left = np.flatnonzero(changed[: len(symbols) - 1])
+            rank[left] = np.where(word[left] == word[left + 1], self.rank(symbols[left], symbols[left + 1]), NONE)
         word = np.concatenate(done_word) if done_word else np.zeros(0, dtype=np.int64)
         ids = np.concatenate(done_ids) if done_ids else np.zeros(0, dtype=np.int64)
         return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=n)
@@ -326,12 +357,11 @@ class ByteBpe:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NONE)
 
-    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+    def merge_long(self, symbols: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """One long word: pairs from a heap, lowest rank first and then from the left."""
         from heapq import heapify, heappop, heappush
 
         n = len(symbols)
-        rank = self.rank(symbols[:-1], symbols[1:])
         at = np.flatnonzero(rank != NONE)
         heap = list(zip(rank[at].tolist(), at.tolist(), strict=True))
         heapify(heap)
@@ -382,14 +412,13 @@ class ByteBpe:
             ids = ids[(ids >= 0) & (ids < self.span)]
         return b"".join([self.token_bytes.take(ids[k : k + SLICE]) for k in range(0, len(ids), SLICE)])
 
-    def rest(self, kept: int = KEPT) -> tuple:
-        """Forget most units, at the end of a task or beyond the bound."""
+    def forget(self, kept: int) -> None:
+        """Forget all but the first units: frequent ones are met early."""
         for held in (self.known, self.heads):
             if len(held) > kept:
                 first = list(islice(held.items(), kept))
                 held.clear()
                 held.update(first)
-        return ()
 
 
 class _Table:
@@ -481,7 +510,6 @@ def round_trip(df: DataFrame, path: str | None = None) -> DataFrame:
                 "decoded_sha256": [h.hexdigest() for h in of_text],
             }
 
-        f.finish = bpe.rest
         return f
 
     return map_batches(given, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
