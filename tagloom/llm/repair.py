@@ -250,10 +250,14 @@ class _Conversation:
         self.codes = bytearray()
         self.low = self.high = None
         self.distinct = 0
+        self.before: tuple | None = None
 
-    def add(self, turn: int | None, code: int | None) -> None:
+    def add(self, turn: int | None, mark: bytes, code: int | None) -> None:
         if code is None:
             return
+        if (turn, mark) == self.before and code % 4 != BLANK:  # equal rows are neighbours and share their place
+            code = code - code % 4 + REPEATED
+        self.before = turn, mark
         self.codes.append(code)
         if turn is not None and turn != self.high:
             self.low = turn if self.low is None else self.low
@@ -312,16 +316,16 @@ def report(rows: DataFrame) -> DataFrame:
 
     def gather(stream):
         now = None
-        for conv, turn, code in stream:
+        for conv, turn, mark, code in stream:
             if now is None or conv != now.key:
                 if now is not None:
                     yield now.report()
                 now = _Conversation(conv)
-            now.add(turn, code)
+            now.add(turn, mark, code)
         if now is not None:
             yield now.report()
 
-    given = _in_order(facts(rows)).select("conv", "turn", "code")
+    given = _in_order(facts(rows)).select("conv", "turn", "mark", "code")
     return _stream(given, _schema(rows, REPORT), gather)
 
 
