@@ -30,8 +30,10 @@ class SideSize:
         return self.rows <= max_rows and self.bytes <= max_bytes
 
 
-def measure(df: DataFrame, invalid: Column | None = None, extra: dict | None = None) -> SideSize:
-    """Exact row count and an upper bound on the in-memory bytes of ``df``.
+def measure(
+    df: DataFrame, invalid: Column | None = None, extra: dict | None = None, columns: list[str] | None = None
+) -> SideSize:
+    """Exact row count and an upper bound on the in-memory bytes of ``df`` (or of ``columns`` of it).
 
     ``invalid``: optional boolean Column; rows where it holds are counted in
     the same pass (used to validate parsed rules without a second job).
@@ -40,6 +42,8 @@ def measure(df: DataFrame, invalid: Column | None = None, extra: dict | None = N
     fixed = 0
     var_cols = []
     for f in df.schema.fields:
+        if columns is not None and f.name not in columns:
+            continue
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             var_cols.append(F.coalesce(F.length(F.col(f.name)), F.lit(0)).cast("bigint"))
             fixed += 8

@@ -5,13 +5,11 @@ rule frame.  The rule frame is broadcast after its size is measured, so the
 large side is never shuffled and a hot value (say half of all users share
 one gender code) costs nothing extra.  Above the size bound the rule frame is
 shuffled instead (AQE splits skewed partitions).  A range match is an
-equi-join on value buckets for every number of rules, never a nested loop.
+equi-join on aligned intervals for any rules, never a nested loop.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,14 +71,32 @@ def exact_match(
     return joined.select(joined["__key"].alias(out_key), tag.alias(out_tag))
 
 
-def _bucket_width(mean_len: float | None) -> int:
-    """Bucket width = mean rule length: a rule of length L spans at most
-    L / width + 2 buckets, so all rules together fill at most 3 × their count
-    whatever their overlap."""
-    return max(1, math.ceil(mean_len or 1))
+TOP_LEVEL = 62  # intervals of 2^62 values: four of them hold every 64-bit number
+
 
+def dyadic_pieces(start: str, end: str) -> Column:
+    """The aligned intervals that make up ``[start, end]``, as structs (level, index).
 
-BUCKET_ROWS_PER_RULE = 3
+    Interval (k, i) holds the values from i·2^k to (i+1)·2^k - 1.  At most two
+    of each level are needed, so a range of length n has about 2·log2(n), they
+    do not overlap, and a value lies in the range if and only if one of them is
+    its own interval of that level.  Bounds are bigint; null or inverted bounds
+    have no pieces.
+    """
+    mask = "(shiftleft(1L, k) - 1)"
+    # first and last index of the whole intervals of level k inside the range
+    first = f"shiftright({start}, k) + if(({start} & {mask}) != 0, 1, 0)"
+    last = f"shiftright({end}, k) - if(({end} & {mask}) = {mask}, 0, 1)"
+    levels = f"least({TOP_LEVEL}, coalesce(length(bin(try_subtract({end}, {start}))), {TOP_LEVEL}))"  # none is longer
+    spans = f"transform(sequence(0, {levels}), k -> named_struct('k', k, 'l', {first}, 'r', {last}))"
+    # an odd first one has no parent inside the range, nor has an even last one
+    inner = (
+        "array_compact(array("
+        "if((x.l & 1L) = 1, named_struct('k', x.k, 'i', x.l), null), if((x.r & 1L) = 0, named_struct('k', x.k, 'i', x.r), null)))"
+    )
+    top = "transform(sequence(x.l, x.r), i -> named_struct('k', x.k, 'i', i))"
+    pieces = f"transform(filter({spans}, x -> x.l <= x.r), x -> if(x.k < {TOP_LEVEL}, {inner}, {top}))"
+    return F.expr(f"if({start} <= {end}, flatten({pieces}), array())")
 
 
 def range_match(
@@ -101,29 +117,37 @@ def range_match(
     with a null bound (a malformed rule text) is an error, found in the same
     pass that measures the rule frame.
 
-    One plan for every number of rules: each rule is copied into the value
-    buckets it spans and a value meets only the rules of its own bucket, by a
-    hash join.  The bucketed rules are broadcast when their measured bound
-    fits; otherwise both sides are shuffled on the bucket, where AQE splits a
-    bucket that holds a third of all values.
+    One plan for every number, width and overlap of rules: a rule is cut into
+    aligned intervals (``dyadic_pieces``), and a value looks up the interval
+    that holds it on each level that the rules use, by a hash join.  Whole
+    numbers meet exactly the rules that hold them, once each, whatever mix of
+    widths the rules have; a value is looked up at most 63 times.  (Fractions
+    are looked up by their floor and compared.)  The cut rules are broadcast
+    when their measured bound fits; otherwise both sides are shuffled on the
+    interval, where AQE splits one that holds a third of all values.
     """
     start, end = F.col(start_col), F.col(end_col)
     invalid = (start.isNull() | end.isNull()) if require_bounds else None
-    length = end.cast("double") - start.cast("double") + F.lit(1.0)
-    size = measure(rules, invalid, extra={"mean_len": F.avg(F.when(end >= start, length))})
+    cut = rules.withColumns({"__s": F.floor(start).cast("bigint"), "__e": F.floor(end).cast("bigint")})
+    cut = cut.withColumn("__p", dyadic_pieces("__s", "__e")).drop("__s", "__e")
+    levels = F.expr("bit_or(aggregate(__p, 0L, (a, x) -> a | shiftleft(1L, x.k)))")
+    extra = {"levels": levels, "pieces": F.sum(F.size("__p")), "most": F.max(F.size("__p"))}
+    size = measure(cut, invalid, extra=extra, columns=rules.columns)
     if size.invalid:
         raise ValueError(f"{size.invalid} malformed range rule(s) (expected 'start-end')")
-    w = F.lit(_bucket_width(size.extra["mean_len"])).cast("bigint")
+    mask = size.extra["levels"] or 0
+    used = [k for k in range(TOP_LEVEL + 1) if mask >> k & 1]
 
-    def bucket(c: Column) -> Column:
-        return F.floor(c / w).cast("bigint")
-
-    side = rules.where(start <= end).withColumn("__b", F.explode(F.sequence(bucket(start), bucket(end))))
-    k = BUCKET_ROWS_PER_RULE
-    if k * size.rows <= max_broadcast_rows and k * (size.bytes + 8 * size.rows) <= max_broadcast_bytes:
-        side = F.broadcast(side)
-    valued = values.withColumn("__vb", bucket(F.col(value_col)))
-    joined = valued.join(
-        side, (valued["__vb"] == side["__b"]) & F.col(value_col).between(side[start_col], side[end_col]), "inner"
+    side = cut.select(*rules.columns, F.explode("__p").alias("__p")).select(
+        *rules.columns, F.col("__p.k").alias("__k"), F.col("__p.i").alias("__i")
     )
-    return joined.drop("__vb", "__b")
+    pieces, most = size.extra["pieces"] or 0, size.extra["most"] or 0
+    if pieces <= max_broadcast_rows and most * (size.bytes + 12 * size.rows) <= max_broadcast_bytes:
+        side = F.broadcast(side)
+    # the interval of each used level that holds the value
+    probes = F.array(*[F.struct(F.lit(k).alias("k"), F.shiftright(F.floor(F.col(value_col)).cast("bigint"), k).alias("i")) for k in used])
+    none = F.array().cast("array<struct<k:int,i:bigint>>")
+    valued = values.withColumn("__v", F.explode(probes if used else none))
+    met = (valued["__v.k"] == side["__k"]) & (valued["__v.i"] == side["__i"])
+    joined = valued.join(side, met & F.col(value_col).between(side[start_col], side[end_col]), "inner")
+    return joined.drop("__v", "__k", "__i")

@@ -103,3 +103,55 @@ def test_inverted_and_missing_rules(spark):
     assert range_match(vals, none, "days").count() == 0
     rules = spark.createDataFrame([(1, 9, 2), (2, 5, 5)], "tagsId long, start int, end int")
     assert rows(range_match(vals, rules, "days"), "tagsId") == [(2,)]
+
+
+def test_dyadic_pieces_cover_exactly(spark):
+    """Every piece lies inside its range, no two overlap, and together they hold all of it."""
+    import random
+
+    from tagloom.operators.match import dyadic_pieces
+
+    rng = random.Random(0)
+    top, low = 2**63 - 1, -(2**63)
+    spans = [(0, 0), (0, 1), (1, 1), (-1, 0), (-7, 9), (5, 4), (None, 3), (3, None), (low, top), (low, low), (top, top), (0, top), (low, -1), (1, top - 1)]
+    for _ in range(300):
+        a, w = rng.randrange(-(2**40), 2**40), 2 ** rng.randrange(0, 45)
+        spans.append((a, a + rng.randrange(w)))
+    df = spark.createDataFrame(list(enumerate(spans)), "n int, b struct<s:long,e:long>").select("n", "b.*")
+    for r in df.select("s", "e", dyadic_pieces("s", "e").alias("p")).collect():
+        got = sorted((x["i"] << x["k"], ((x["i"] + 1) << x["k"]) - 1) for x in r["p"])
+        if r["s"] is None or r["e"] is None or r["s"] > r["e"]:
+            assert got == []
+            continue
+        assert got[0][0] == r["s"] and got[-1][1] == r["e"]
+        assert all(a[1] + 1 == b[0] for a, b in zip(got, got[1:]))
+        assert len(got) <= 2 * (r["e"] - r["s"] + 1).bit_length()
+
+
+@pytest.mark.parametrize("max_rows", [2_000_000, 0])
+def test_mixed_widths_meet_only_matches(spark, max_rows):
+    """A million rules of length one and one of 10^9: a value meets its matches, and looks up few intervals."""
+    narrow = spark.range(1_000_000).select(F.col("id").alias("tagsId"), (F.col("id") * 3).alias("start"), (F.col("id") * 3).alias("end"))
+    rules = narrow.unionByName(spark.createDataFrame([(10**7, -5, 10**9 - 6)], "tagsId long, start long, end long"))
+    values = spark.range(0, 2_000).select((F.col("id") * 1501 - 20).alias("v"))
+    out = range_match(values, rules, "v", max_broadcast_rows=max_rows, max_broadcast_bytes=2**33)
+    got = {r["v"]: r["n"] for r in out.groupBy("v").agg(F.count("*").alias("n")).collect()}
+    want = {v: (v % 3 == 0 and 0 <= v < 3_000_000) + (v >= -5) for v in range(-20, 2_000 * 1501 - 20, 1501)}
+    assert got == {v: n for v, n in want.items() if n}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and "NestedLoop" not in plan
+    # rows that the keys alone let through, without the comparison: exactly the matches
+    from tagloom.operators.match import dyadic_pieces
+
+    cut = rules.select(F.explode(dyadic_pieces("start", "end")).alias("p")).select("p.k", "p.i")
+    levels = [r["k"] for r in cut.select("k").distinct().collect()]
+    probes = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.shiftright("v", k).alias("i")) for k in levels]))
+    met = values.select("v", probes.alias("q")).select("v", "q.*").join(cut, ["k", "i"]).count()
+    assert len(levels) <= 63 and met == sum(want.values())
+
+
+def test_range_of_fractions_and_clashing_names(spark):
+    values = spark.createDataFrame([(1.5, "a"), (5.5, "b"), (-0.5, "c"), (float("nan"), "d"), (1e300, "e"), (5.0, "f")], "v double, k string")
+    rules = spark.createDataFrame([(1, 2, 5, "p"), (2, -1, 1, "q"), (3, 1, 9, "r")], "tagsId long, start int, end int, i string")
+    got = rows(range_match(values, rules, "v"), "k", "tagsId")
+    assert got == [("a", 3), ("b", 3), ("c", 2), ("f", 1), ("f", 3)]
