@@ -9,8 +9,8 @@ Example::
 
 The level-4 rule of ``--tag-id`` names the source (``inType`` +
 ``hbaseTable``/``path``); ``--register name=path`` exposes parquet folders
-as the tables the rules name.  The next store snapshot is written under
-``--store-root``.  Connection settings come only from the options.
+as the tables the rules name.  The store at
+``--store-root`` is updated.  Connection settings come only from the options.
 
 Ingest of a ``\\x01`` extract (one of ``logs users orders goods``)::
 
@@ -41,7 +41,6 @@ if __package__ in (None, ""):  # run as a script (spark-submit path/to/jobs.py):
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel, TagModel
 from tagloom.plans.runner import run_model
 from tagloom.session import get_session
-from tagloom.sources.store import prune_snapshots
 from tagloom.sources.taxonomy import read_taxonomy
 
 
@@ -78,8 +77,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--taxonomy-option", action="append", default=[], help="k=v, repeatable")
     p.add_argument("--register", action="append", default=[], help="table=parquet_path, repeatable")
     p.add_argument("--store-root", required=True)
-    p.add_argument("--store-buckets", type=int, help="bucket the store on userId (also sets shuffle partitions)")
-    p.add_argument("--keep", type=int, help="full snapshots to keep after the run (default: all)")
+    p.add_argument("--store-parts", type=int, help="hash partitions of a new store (default: by its size)")
     return p.parse_args(argv)
 
 
@@ -131,18 +129,15 @@ def slot_main(argv: list[str]) -> str:
     p.add_argument("--taxonomy-option", action="append", default=[])
     p.add_argument("--register", action="append", default=[])
     p.add_argument("--store-root", required=True)
-    p.add_argument("--store-buckets", type=int)
-    p.add_argument("--keep", type=int)
+    p.add_argument("--store-parts", type=int)
     a = p.parse_args(argv)
-    spark = get_session(app="tagloom-slot", shuffle_partitions=a.store_buckets if a.store_buckets else None)
+    spark = get_session(app="tagloom-slot")
     for reg in a.register:
         name, path = reg.split("=", 1)
         spark.read.parquet(path).createOrReplaceTempView(name)
     taxonomy = read_taxonomy(spark, a.taxonomy_format, **dict(kv.split("=", 1) for kv in a.taxonomy_option))
     models = [parse_model_spec(m) for m in a.model]
-    run = run_models(spark, models, taxonomy, store_root=a.store_root, write=True, buckets=a.store_buckets)
-    if a.keep:
-        prune_snapshots(spark, a.store_root, a.keep)
+    run = run_models(spark, models, taxonomy, store_root=a.store_root, write=True, parts=a.store_parts)
     print(run.path)
     return run.path
 
@@ -156,16 +151,13 @@ def main(argv: list[str] | None = None) -> str:
     if argv and argv[0] == "model":
         argv = argv[1:]
     a = parse_args(argv)
-    spark = get_session(app=f"tagloom-{a.model}-{a.tag_id}",
-                        shuffle_partitions=a.store_buckets if a.store_buckets else None)
+    spark = get_session(app=f"tagloom-{a.model}-{a.tag_id}")
     for reg in a.register:
         name, path = reg.split("=", 1)
         spark.read.parquet(path).createOrReplaceTempView(name)
     opts = dict(kv.split("=", 1) for kv in a.taxonomy_option)
     taxonomy = read_taxonomy(spark, a.taxonomy_format, **opts)
-    run = run_model(spark, build_model(a), taxonomy, store_root=a.store_root, write=True, buckets=a.store_buckets)
-    if a.keep:
-        prune_snapshots(spark, a.store_root, a.keep)
+    run = run_model(spark, build_model(a), taxonomy, store_root=a.store_root, write=True, parts=a.store_parts)
     print(run.path)
     return run.path
 

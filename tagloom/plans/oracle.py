@@ -321,6 +321,12 @@ FROM cat c LEFT JOIN models m ON m.tag_id = c.id WHERE c.level = 4"""),
         "publish_orders": _position(_ORDERS_MAPPED["id"], "orders"),
         "publish_goods": _position(_GOODS_MAPPED["id"], "lineitem"),
         "bulk_sorted_by_key": _parse_logs(False),
+        "publish_two_loads": """SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN event_type = 'signup' THEN 'signup/again' ELSE event_type END AS loc_url,
+       row_number() OVER (ORDER BY CAST(event_id AS VARCHAR)) AS position
+FROM events""",
+        "wide_row_range": _with("""s AS (SELECT id, memberId, finishTime, CAST(NULL AS VARCHAR) AS nope FROM osrc)
+SELECT * FROM s WHERE id >= '25' AND id < '6' AND memberId NOT LIKE '7%'"""),
         "activity_rfe": f"""WITH l AS (SELECT CAST(user_id AS VARCHAR) AS userId, event_type AS act,
                   CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS t FROM events WHERE event_id % 17 <> 0),
 u AS (SELECT * FROM l WHERE t < TIMESTAMP '{_AS_OF_EV} 00:00:00'),

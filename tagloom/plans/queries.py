@@ -20,10 +20,12 @@ from tagloom.operators.taxonomy import by_level, rule_options, tags_with_models
 from tagloom.plans import scenario as S
 from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel
 from tagloom.plans.runner import model_inputs, run_model, run_models
-from tagloom.schemas import EXTRACT_SEP, GOODS_COLUMNS, LOGS_COLUMNS, ORDERS_COLUMNS, USERS_COLUMNS
+from tagloom.schemas import EXTRACT_COLUMNS, EXTRACT_SEP, GOODS_COLUMNS, LOGS_COLUMNS, ORDERS_COLUMNS, USERS_COLUMNS
 from tagloom.session import materialize, scratch_path
-from tagloom.sources.extracts import NULL_MARK, published_positions, read_extract, typed_view, write_sorted_by_key
-from tagloom.sources.store import append_delta, compact, read_store, version, write_snapshot
+from tagloom.sources.extracts import NULL_MARK, ingest, published_positions, read_extract, typed_view, write_sorted_by_key
+from tagloom.sources.rowsource import register_wide_rows
+from tagloom.sources.slices import publish, publish_more, sliced_positions
+from tagloom.sources.store import read_store, update_store, write_store
 from tagloom.sources.taxonomy import read_models, read_taxonomy
 
 
@@ -187,18 +189,16 @@ def upsert_store(spark, sf_dir):
 
 
 def store_round_trip(spark, sf_dir):
-    """Snapshot written, read, upserted as a delta and as the next snapshot, compacted and read again."""
+    """The store written, updated in the partitions of new tags (merge, replace, merge), and read again."""
     c = Ctx(spark, sf_dir)
     root = scratch_path(spark, "store")
-    write_snapshot(c.stored(), root)
+    write_store(c.stored(), root)
     m = status_model("drop")
     _, rules, src = c.inputs(m)
-    append_delta(m.compute(rules, src), root, "merge", expected=version(spark, root))
-    at = version(spark, root)
+    update_store(m.compute(rules, src), root, "merge")
     new = S.status_lists(c.t["customer"])
-    write_snapshot(upsert_tags(read_store(spark, root), new, mode="replace"), root, expected=at)
-    append_delta(new, root, "merge")
-    compact(spark, root)
+    update_store(new, root, "replace")
+    update_store(new, root, "merge")
     return read_store(spark, root)
 
 
@@ -207,7 +207,7 @@ def model_run_job_merge(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     path, root = scratch_path(spark, "taxonomy"), scratch_path(spark, "store")
     c.tax.write.parquet(path)
-    write_snapshot(c.stored(), root)
+    write_store(c.stored(), root)
     model = ExactMatchModel(7, key_field="id", value_field="job")
     run = run_model(spark, model, read_taxonomy(spark, "parquet", path=path), store_root=root, readers=c.readers, write=True)
     return run.store
@@ -422,10 +422,12 @@ def typed_users(spark, sf_dir):
 
 
 def _published(spark, sf_dir, kind: str) -> tuple[str, str]:
+    """An extract's lines, written as text and published sorted by key."""
+    table, lines = EXTRACTS[kind]
+    t = S.load_tables(spark, sf_dir, (table,))
     path = scratch_path(spark, f"bulk-{kind}")
-    rows = extract_rows(spark, sf_dir, kind)
-    write_sorted_by_key(rows, path)
-    return path, rows.columns[0]
+    ingest(spark, write_extract(spark, lines(t[table]), kind), kind, path)
+    return path, EXTRACT_COLUMNS[kind][0]
 
 
 def bulk_sorted_by_key(spark, sf_dir):
@@ -445,6 +447,32 @@ def _positions(kind: str):
 publish_logs, publish_users, publish_orders, publish_goods = map(_positions, ("logs", "users", "orders", "goods"))
 
 
+def publish_two_loads(spark, sf_dir):
+    """Two loads of the logs published into one set of key ranges; every key with its file-order position.
+
+    The first load holds all events but the purchases.  The second holds the
+    purchases, and all sign-ups again with another location.
+    """
+    logs = S.logs_source(S.load_tables(spark, sf_dir, ("events",))["events"])
+    path = scratch_path(spark, "two-loads")
+    action = F.col("loc_url")
+    publish(logs.where(action != "purchase"), path)
+    moved = F.when(action == "signup", F.lit("signup/again")).otherwise(action)
+    publish_more(logs.where(action.isin("purchase", "signup")).withColumn("loc_url", moved), path)
+    return sliced_positions(spark, path, "id", "loc_url")
+
+
+def wide_row_range(spark, sf_dir):
+    """A key range of the published orders through the named wide-row source."""
+    orders = S.orders_source(S.load_tables(spark, sf_dir, ("orders",))["orders"])
+    path = scratch_path(spark, "wide-rows")
+    write_sorted_by_key(orders, path)
+    register_wide_rows(spark)
+    rows = spark.read.format("widerow").option("path", path).option("selectFields", "id,memberId,finishTime,nope")
+    rows = rows.option("keyPushdown", "true").load()  # for this query's condition alone
+    return rows.where((F.col("id") >= "25") & (F.col("id") < "6") & ~F.col("memberId").startswith("7"))
+
+
 # --- activity and age (D5–D7 H5 H6) ----------------------------------------------------
 
 def activity_model() -> ActivityModel:
@@ -525,6 +553,8 @@ QUERIES = {
     "publish_users": publish_users,
     "publish_orders": publish_orders,
     "publish_goods": publish_goods,
+    "publish_two_loads": publish_two_loads,
+    "wide_row_range": wide_row_range,
     "activity_rfe": activity_rfe,
     "age_band_tags": age_band_tags,
     "activity_clusters": activity_clusters,

@@ -1,11 +1,12 @@
 """The tagging run: taxonomy -> rule -> rules -> source -> compute -> merge -> save.
 
-``run_model`` returns the next store snapshot as a DataFrame (and writes it
-when a store root is given).  Plan shape: the level-4 rule is parsed by a
+``run_model`` returns the next store as a DataFrame (and updates the stored one
+when asked).  Plan shape: the level-4 rule is parsed by a
 Spark expression and only its small option map reaches the driver; the
 level-5 rules are a filtered taxonomy frame broadcast into the match; the
 source scan reads only the rule's fields; the merge with the store is one
-full outer join on ``userId``; the write is fully parallel.
+full outer join on ``userId``; the write touches only the store's partitions
+that the new tags fall into.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from tagloom.operators.merge import merge_tags, upsert_tags
 from tagloom.operators.taxonomy import children, level4_meta
 from tagloom.plans.models import TagModel
 from tagloom.session import materialize
-from tagloom.sources.store import read_snapshot, read_store, version, write_snapshot
+from tagloom.sources.store import read_store, update_store
 from tagloom.sources.widerow import Reader, read_source
 
 
@@ -27,7 +28,7 @@ from tagloom.sources.widerow import Reader, read_source
 class ModelRun:
     new: DataFrame      # (userId, tagsId) computed by the model
     merged: DataFrame   # new ⟕ stored, merged lists (users of this run only)
-    store: DataFrame    # next store snapshot (all users)
+    store: DataFrame    # the next store (all users)
     path: str | None = None
 
 
@@ -46,34 +47,36 @@ def run_model(
     store_root: str | None = None,
     readers: dict[str, Reader] | None = None,
     write: bool = False,
-    buckets: int | None = None,
+    parts: int | None = None,
 ) -> ModelRun:
     """Run one tag model end to end.
 
-    ``store`` (a frame) wins over ``store_root`` (newest snapshot there).
-    ``write=True`` writes the next snapshot under ``store_root``, bucketed
-    on ``userId`` into ``buckets`` when given (see ``sources.store``).
+    ``store`` is a frame, ``store_root`` a stored one.  ``write=True`` updates
+    the partitions of ``store_root`` that the new tags fall into; a new store
+    gets ``parts`` partitions (see ``sources.store``).
     """
     _, rules, source = model_inputs(spark, model, taxonomy, readers)
     new = model.compute(rules, source)
-    return _save(spark, new, model.mode, store, store_root, write, buckets)
+    return _save(spark, new, model.mode, store, store_root, write, parts)
 
 
-def _save(spark, new, mode, store, store_root, write, buckets) -> ModelRun:
-    """Merge ``new`` into the store (a frame, or the newest of ``store_root``) and write it if asked."""
-    at = version(spark, store_root) if store_root else None
+def _save(spark, new, mode, store, store_root, write, parts) -> ModelRun:
+    """Merge ``new`` into the store (a frame, or that of ``store_root``) and write it if asked.
+
+    A written run is read back: its frames hold the stored cells, not the
+    files that the write replaced.
+    """
+    if write:
+        if not store_root or store is not None:
+            raise ValueError("write=True updates the store at store_root")
+        new = materialize(new.select("userId", "tagsId"))
+        update_store(new, store_root, mode, parts)
+        now = read_store(spark, store_root)
+        return ModelRun(new=new, merged=now.join(new.select("userId"), "userId", "left_semi"), store=now, path=store_root)
     old = store if store is not None else (read_store(spark, store_root) if store_root else None)
     if old is None:
         old = spark.createDataFrame([], "userId string, tagsId string")
-    merged = merge_tags(new, old)
-    nxt = upsert_tags(old, new, mode=mode)
-    path = None
-    if write:
-        if not store_root:
-            raise ValueError("write=True needs store_root")
-        path = write_snapshot(nxt, store_root, buckets, expected=at)
-        nxt = read_snapshot(spark, path)
-    return ModelRun(new=new, merged=merged, store=nxt, path=path)
+    return ModelRun(new=new, merged=merge_tags(new, old), store=upsert_tags(old, new, mode=mode))
 
 
 def run_models(
@@ -84,7 +87,7 @@ def run_models(
     store_root: str | None = None,
     readers: dict[str, Reader] | None = None,
     write: bool = False,
-    buckets: int | None = None,
+    parts: int | None = None,
 ) -> ModelRun:
     """Several merge-mode models of one schedule slot as one job.
 
@@ -104,7 +107,7 @@ def run_models(
     new = news[0].select("userId", "tagsId")
     for n in news[1:]:
         new = new.unionByName(n.select("userId", "tagsId"))
-    return _save(spark, new, "merge", store, store_root, write, buckets)
+    return _save(spark, new, "merge", store, store_root, write, parts)
 
 
 def _by_source(spark, models, taxonomy, readers):

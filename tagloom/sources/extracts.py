@@ -10,13 +10,23 @@ interpret quotes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.strings import java_split, strip_trailing
 from tagloom.schemas import EXTRACT_COLUMNS, EXTRACT_SEP
 
 
+def line_width(line: Column, sep: str = EXTRACT_SEP) -> Column:
+    """Fields of a line without splitting it: separators left after the trailing run is stripped, + 1."""
+    stripped = strip_trailing(line, sep)
+    return (
+        F.when(line == F.lit(""), F.lit(1))
+        .when(stripped == F.lit(""), F.lit(0))
+        .otherwise(F.length(stripped) - F.length(F.replace(stripped, F.lit(sep), F.lit(""))) + F.lit(1))
+    )
+
+
 def parse_lines(lines: DataFrame, columns: list[str], line_col: str = "value", sep: str = EXTRACT_SEP) -> DataFrame:
     """Lines -> keyed rows of ``columns`` (all strings); bad widths dropped.
 
@@ -28,14 +38,7 @@ def parse_lines(lines: DataFrame, columns: list[str], line_col: str = "value", s
     n = len(columns)
     line = F.col(line_col)
     if len(sep) == 1:
-        # arity without splitting: separators left after stripping the trailing run, + 1
-        stripped = strip_trailing(line, sep)
-        width = (
-            F.when(line == F.lit(""), F.lit(1))
-            .when(stripped == F.lit(""), F.lit(0))
-            .otherwise(F.length(stripped) - F.length(F.replace(stripped, F.lit(sep), F.lit(""))) + F.lit(1))
-        )
-        kept = lines.where(width.isin(n - 1, n))
+        kept = lines.where(line_width(line, sep).isin(n - 1, n))
         parsed = kept.select(java_split(line, sep).alias("__f"))
     else:
         parsed = lines.select(java_split(line, sep).alias("__f")).where(F.size("__f").isin(n - 1, n))
@@ -45,11 +48,14 @@ def parse_lines(lines: DataFrame, columns: list[str], line_col: str = "value", s
     return parsed.select(*out)
 
 
+def _columns(kind_or_columns) -> list[str]:
+    return EXTRACT_COLUMNS[kind_or_columns] if isinstance(kind_or_columns, str) else list(kind_or_columns)
+
+
 def read_extract(spark: SparkSession, path: str, kind_or_columns) -> DataFrame:
     """Read one extract folder/file; ``kind_or_columns`` is a name in
     ``EXTRACT_COLUMNS`` or an explicit column list."""
-    columns = EXTRACT_COLUMNS[kind_or_columns] if isinstance(kind_or_columns, str) else list(kind_or_columns)
-    return parse_lines(spark.read.text(path), columns)
+    return parse_lines(spark.read.text(path), _columns(kind_or_columns))
 
 
 NULL_MARK = "\\N"  # fixed value: the warehouse's null in a text export
@@ -103,9 +109,26 @@ def write_sorted_by_key(df: DataFrame, path: str, key: str | None = None, partit
     return path
 
 
+def sorted_extract(spark: SparkSession, src: str, kind_or_columns, partitions: int | None = None) -> DataFrame:
+    """The rows of an extract, range-partitioned and sorted by key as by ``sorted_by_key``.
+
+    What is sampled, shuffled and sorted is the line: its key is the text
+    before the first separator and its tie a hash of it, so a line is split
+    into fields once, after the shuffle.
+    """
+    columns = _columns(kind_or_columns)
+    line = F.col("value")
+    given = spark.read.text(src).where(line_width(line).isin(len(columns) - 1, len(columns)))
+    n = partitions or partitions_for(given)
+    keyed = given.select(line, F.substring_index(line, EXTRACT_SEP, 1).alias("__key"), F.xxhash64(line).alias("__tie"))
+    ordered = keyed.repartitionByRange(n, "__key", "__tie").sortWithinPartitions("__key", "__tie")
+    return parse_lines(ordered.select(line), columns)
+
+
 def ingest(spark: SparkSession, src: str, kind_or_columns, dest: str, partitions: int | None = None) -> str:
     """Read an extract and publish it sorted by key (one call per extract)."""
-    return write_sorted_by_key(read_extract(spark, src, kind_or_columns), dest, partitions=partitions)
+    sorted_extract(spark, src, kind_or_columns, partitions).write.parquet(dest)
+    return dest
 
 
 def published_positions(spark: SparkSession, path: str, key: str) -> DataFrame:

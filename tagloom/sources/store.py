@@ -1,213 +1,104 @@
-"""The tag store: keyed ``(userId, tagsId)`` rows kept as parquet snapshots.
-
-Spark cannot overwrite a path it is reading, so each run writes a new
-snapshot folder under the store root; readers take the committed one
-(``_SUCCESS`` present) with the highest number.  Numbers follow the committed
-list, not a clock: a writer takes the next one and fails if another writer
-committed meanwhile, so no update is lost silently.  The write is fully
-parallel, hash-partitioned on ``userId`` by the upsert's join, and published
-by Spark's commit protocol.  Paths go through the Hadoop FileSystem API, so
-the root may be on any shared file system.
-
-Between full snapshots a run may append a delta: only its new tags, as a
-folder with the next number.  Readers apply the deltas after the newest full
-snapshot in order; ``compact`` writes them into a new full one.  A run that
-touches few users then writes few rows.
-
-Bucketed snapshots (``buckets=N``) are written with ``bucketBy(N, userId)``
-and registered as external catalog tables: the next run's upsert then scans
-the store already hash-partitioned on ``userId`` and only the new tags are
-shuffled — the store, the largest input of every run, never is.  Run with
-``spark.sql.shuffle.partitions = N`` so the new side's aggregate lands in the
-same partitioning.  The bucket count is part of the folder name, so a new
-session can re-register the table from the files alone.
+"""The tag store: keyed ``(userId, tagsId)`` rows, partitioned by a hash of the user.
+
+The store is a plain partitioned parquet folder: partition ``u<N>=<p>`` holds
+the users whose hash is ``p`` modulo ``N``, so the column's name states how
+many partitions there are and the files alone describe the store.  A run joins
+its new tags with the partitions they fall into and writes just those back, by
+Spark's dynamic partition overwrite: partitions without a new tag are neither
+read nor written.
+
+There is one writer per schedule slot.  Spark stages the new files of all
+partitions and moves them in at the job's commit, so a failed or repeated task
+leaves nothing.  A driver that dies while it commits leaves whole partitions,
+old or new; the same run done again completes it, for a merge adds no tag
+twice and a replaced cell is replaced by itself.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tagloom.operators.merge import MODES, collapse_new_tags, upsert_tags
+from tagloom.operators.merge import MODES, upsert_tags
 from tagloom.schemas import STORE_SCHEMA
+from tagloom.session import materialize
+from tagloom.sources.extracts import partitions_for
 
-_PREFIX = "snapshot-"
-_DELTA = "delta-"
+MIN_PARTS = 16
+_PART = re.compile(r"u(\d+)=\d+$")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _bucket_count(path: str) -> int | None:
-    m = re.search(r"-b(\d+)$", path.rstrip("/"))
-    return int(m.group(1)) if m else None
-
-
-def _table_name(path: str) -> str:
-    return "tagloom_store_" + hashlib.sha1(path.rstrip("/").encode()).hexdigest()[:16]
-
-
-def _number(path: str) -> int:
-    m = re.match(r"(?:snapshot|delta)-(\d{12})-", path.rstrip("/").rsplit("/", 1)[-1])
-    return int(m.group(1)) if m else -1
-
-
-def _committed(spark: SparkSession, root: str, prefixes: tuple[str, ...]) -> list[str]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefixes) and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(st.getPath().toString())
-    return sorted(out, key=lambda x: (_number(x), x))
-
-
-def snapshots(spark: SparkSession, root: str) -> list[str]:
-    """Committed full snapshot folders under ``root``, oldest first."""
-    return _committed(spark, root, (_PREFIX,))
-
-
-def deltas(spark: SparkSession, root: str) -> list[str]:
-    """Committed deltas after the newest full snapshot, in order."""
-    full = snapshots(spark, root)
-    after = _number(full[-1]) if full else -1
-    return [d for d in _committed(spark, root, (_DELTA,)) if _number(d) > after]
-
-
-def version(spark: SparkSession, root: str) -> int:
-    """Number of the newest committed snapshot or delta; 0 for a new store."""
-    return max([0, *map(_number, _committed(spark, root, (_PREFIX, _DELTA)))])
-
-
-class StoreMoved(RuntimeError):
-    """Another writer committed to the store since it was read."""
+def store_parts(spark: SparkSession, root: str) -> int | None:
+    """Number of hash partitions of the store at ``root``; None where there is none yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    found = {m[1] for st in fs.listStatus(path) if (m := _PART.match(st.getPath().getName()))}
+    if len(found) > 1:
+        raise ValueError(f"{root} holds stores of {sorted(found)} partitions")
+    return int(found.pop()) if found else None
 
 
-def _next_path(spark: SparkSession, root: str, prefix: str, expected: int | None) -> tuple[str, int]:
-    now = version(spark, root)
-    if expected is not None and now != expected:
-        raise StoreMoved(f"the store is at {now}, it was read at {expected}")
-    return f"{root.rstrip('/')}/{prefix}{now + 1:012d}-{uuid.uuid4().hex[:8]}", now + 1
+def _partitioned(df: DataFrame, parts: int) -> DataFrame:
+    part = F.pmod(F.xxhash64("userId"), F.lit(parts)).cast("int")
+    return df.select("userId", "tagsId", part.alias(f"u{parts}"))
 
 
-def _check_commit(spark: SparkSession, root: str, path: str, number: int) -> None:
-    """Two writers that took one number both see the other after their commits: the later name gives way."""
-    name = path.rstrip("/").rsplit("/", 1)[-1]
-    rivals = [
-        x.rsplit("/", 1)[-1]
-        for x in _committed(spark, root, (_PREFIX, _DELTA))
-        if _number(x) >= number and not x.endswith(name)
-    ]
-    if any((_number(r), r) < (number, name) or _number(r) > number for r in rivals):
-        fs, p = _fs(spark, path)
-        fs.delete(p, True)
-        raise StoreMoved(f"another writer committed {min(rivals)} while {name} was written")
+def _stored(spark: SparkSession, root: str, parts: int) -> DataFrame:
+    schema = T.StructType([*STORE_SCHEMA.fields, T.StructField(f"u{parts}", T.IntegerType())])
+    return spark.read.schema(schema).parquet(root)
 
 
-def _register_bucketed(spark: SparkSession, path: str, buckets: int) -> str:
-    name = _table_name(path)
-    if not spark.catalog.tableExists(name):
-        loc = path.replace("'", "\\'")
-        spark.sql(
-            f"CREATE TABLE {name} (userId STRING, tagsId STRING) USING parquet "
-            f"CLUSTERED BY (userId) SORTED BY (userId) INTO {buckets} BUCKETS LOCATION '{loc}'"
-        )
-    return name
+def read_store(spark: SparkSession, root: str) -> DataFrame:
+    """The stored tags, or an empty frame where there is no store yet."""
+    parts = store_parts(spark, root)
+    if parts is None:
+        return spark.createDataFrame([], STORE_SCHEMA)
+    return _stored(spark, root, parts).select("userId", "tagsId")
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    buckets = _bucket_count(path)
-    if buckets:
-        return spark.table(_register_bucketed(spark, path, buckets))
-    return spark.read.schema(STORE_SCHEMA).parquet(path)
+def _write(df: DataFrame, root: str, parts: int) -> None:
+    out = _partitioned(df, parts)
+    # one task per partition, more for a large one
+    out.hint("rebalance", f"u{parts}").write.partitionBy(f"u{parts}").mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(root)
 
 
-def read_store(spark: SparkSession, root: str) -> DataFrame:
-    """The newest full snapshot with the deltas after it, or an empty store if there is none."""
-    snaps = snapshots(spark, root)
-    out = read_snapshot(spark, snaps[-1]) if snaps else spark.createDataFrame([], STORE_SCHEMA)
-    for d in deltas(spark, root):
-        mode = "replace" if "-replace" in d.rsplit("/", 1)[-1] else "merge"
-        out = upsert_tags(out, spark.read.schema(STORE_SCHEMA).parquet(d), mode=mode)
-    return out
+def write_store(df: DataFrame, root: str, parts: int | None = None) -> str:
+    """Write a first store (one row per user; rows without a user are not stored)."""
+    spark = df.sparkSession
+    if store_parts(spark, root) is not None:
+        raise ValueError(f"there is a store at {root}: update it")
+    rows = df.select(F.col("userId").cast("string"), F.col("tagsId").cast("string")).where("userId IS NOT NULL")
+    _write(rows, root, parts or max(MIN_PARTS, partitions_for(rows)))
+    return root
 
 
-def write_snapshot(df: DataFrame, root: str, buckets: int | None = None, expected: int | None = None) -> str:
-    """Write ``df`` as the next full snapshot (bucketed on ``userId`` if ``buckets``); returns its path.
+def update_store(new: DataFrame, root: str, mode: str = "merge", parts: int | None = None) -> list[int]:
+    """Merge (or replace) new tags into the store; returns the partitions that were written.
 
-    ``expected``: the ``version`` at which the store was read; ``StoreMoved``
-    if it is another by now.
+    ``new`` may hold several rows per user.  It is computed once, before any
+    file of the store is replaced, so it may itself read the store.
     """
-    spark = df.sparkSession
-    path, number = _next_path(spark, root, _PREFIX, expected)
-    path += f"-b{buckets}" if buckets else ""
-    out = df.select(F.col("userId").cast("string"), F.col("tagsId").cast("string"))
-    if buckets:
-        (out.write.bucketBy(buckets, "userId").sortBy("userId")
-         .option("path", path).format("parquet").saveAsTable(_table_name(path)))
-    else:
-        out.write.parquet(path)
-    _check_commit(spark, root, path, number)
-    return path
-
-
-def append_delta(new: DataFrame, root: str, mode: str = "merge", expected: int | None = None) -> str:
-    """Append a run's new tags (one row per user) as the next delta; returns its path."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     spark = new.sparkSession
-    path, number = _next_path(spark, root, _DELTA, expected)
-    path += f"-{mode}"
-    collapse_new_tags(new.where(F.col("userId").isNotNull())).write.parquet(path)
-    _check_commit(spark, root, path, number)
-    return path
-
-
-def compact(spark: SparkSession, root: str, buckets: int | None = None) -> str | None:
-    """Write the newest snapshot and its deltas as a new full snapshot; None if there is no delta."""
-    at = version(spark, root)
-    if not deltas(spark, root):
-        return None
-    return write_snapshot(read_store(spark, root), root, buckets, expected=at)
-
-
-def prune_snapshots(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
-    """Retention for a frequently scheduled store: keep the newest ``keep``
-    committed full snapshots; remove older ones, deltas that a kept snapshot
-    holds, and any uncommitted folder (a run that died before its commit) with
-    a number below the newest committed snapshot's.
-    Returns the removed paths.  Readers only ever open committed snapshots,
-    so removal never races with a correct reader of the newest one.
-    """
-    if keep < 1:
-        raise ValueError("keep must be >= 1")
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    committed = snapshots(spark, root)
-    if not committed:
+    new = materialize(new.select(F.col("userId").cast("string"), F.col("tagsId").cast("string")).where("userId IS NOT NULL"))
+    n = store_parts(spark, root)
+    if n is not None and parts not in (None, n):
+        raise ValueError(f"the store at {root} has {n} partitions, not {parts}")
+    old = _stored(spark, root, n) if n is not None else spark.createDataFrame([], STORE_SCHEMA)
+    n = n or parts or max(MIN_PARTS, partitions_for(new))
+    name = f"u{n}"
+    touched = sorted(r[name] for r in _partitioned(new, n).select(name).distinct().collect())  # at most n numbers
+    if not touched:
         return []
-    newest = committed[-1]
-    doomed = committed[:-keep] if len(committed) > keep else []
-    for st in fs.listStatus(p):
-        path = st.getPath().toString()
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith((_PREFIX, _DELTA)) and path not in committed:
-            if _number(path) < _number(newest):
-                doomed.append(path)
-    jvm = spark.sparkContext._jvm
-    for path in doomed:
-        table = _table_name(path)
-        if spark.catalog.tableExists(table):
-            spark.sql(f"DROP TABLE IF EXISTS {table}")  # external table: files removed below
-        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
-    return sorted(doomed)
+    if name in old.columns:
+        old = old.where(F.col(name).isin(touched))
+    _write(upsert_tags(old.select("userId", "tagsId"), new, mode=mode), root, n)
+    return touched

@@ -47,6 +47,14 @@ def _string_fields(meta: SourceMeta) -> T.StructType:
     return T.StructType([T.StructField(meta.family, fields), *fields]) if meta.family else fields
 
 
+def _wide_rows(spark: SparkSession, meta: SourceMeta) -> DataFrame:
+    from tagloom.sources.rowsource import register_wide_rows
+
+    register_wide_rows(spark)
+    options = {"path": _path_or_table(meta), "selectFields": meta.selectFields, "family": meta.family, "rowKey": meta.rowKey}
+    return spark.read.format("widerow").options(**{k: v for k, v in options.items() if v}).load()
+
+
 READERS: dict[str, Reader] = {
     "parquet": lambda s, m: s.read.parquet(_path_or_table(m)),
     "orc": lambda s, m: s.read.orc(_path_or_table(m)),
@@ -55,6 +63,8 @@ READERS: dict[str, Reader] = {
     .option("sep", m.option("sep", ",")).csv(_path_or_table(m)),
     # the fields are known: no inference job reads the files first
     "json": lambda s, m: s.read.schema(_string_fields(m)).json(_path_or_table(m)),
+    # a published folder, by its named source
+    "widerow": lambda s, m: _wide_rows(s, m),
     "table": lambda s, m: s.table(m.hbaseTable),
     "view": lambda s, m: s.table(m.hbaseTable),
     "jdbc": lambda s, m: s.read.format("jdbc").options(

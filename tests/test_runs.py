@@ -1,4 +1,4 @@
-"""End-to-end tagging runs against a snapshot store; coverage."""
+"""End-to-end tagging runs against a stored store; coverage."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tagloom.operators import tag_coverage
 from tagloom.plans.models import ExactMatchModel, RecencyRangeModel
 from tagloom.plans.runner import run_model
-from tagloom.sources import read_store, snapshots, taxonomy_frame
+from tagloom.sources import read_store, taxonomy_frame
 from tests.conftest import rows
 
 USERS = "inType=table##hbaseTable=t_users##family=detail##selectFields=id,gender"
@@ -32,7 +32,7 @@ def test_two_runs_through_the_store(spark, tmp_path):
     assert rows(cyc.days(spark.table("t_orders"))) == [("1", 31), ("2", 62)]
     r2 = run_model(spark, cyc, tax, store_root=root, write=True)
     assert dict(rows(r2.store)) == {"1": "25,5", "2": "25,6", "3": "5"}
-    assert len(snapshots(spark, root)) == 2
+    assert r2.path == root and dict(rows(r2.merged)) == {"1": "25,5", "2": "25,6"}
     assert dict(rows(read_store(spark, root))) == {"1": "25,5", "2": "25,6", "3": "5"}
     cov = rows(tag_coverage(read_store(spark, root), tax))
     assert cov == [(5, "male", 2), (6, "female", 1), (25, "31-90", 2)]
@@ -68,46 +68,6 @@ def test_job_runner(spark, tmp_path):
     assert dict(rows(read_store(spark, root))) == {"1": "5", "2": "6"}
 
 
-def test_bucketed_store_upsert_shuffles_only_new(spark, tmp_path):
-    from tagloom.operators import upsert_tags
-    from tagloom.sources import read_store, write_snapshot
-
-    root = str(tmp_path / "bstore")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    store = spark.range(0, 2000).select(F.col("id").cast("string").alias("userId"), F.lit("1").alias("tagsId"))
-    write_snapshot(store, root, buckets=n)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        s = read_store(spark, root)
-        new = spark.range(1500, 2500).select(F.col("id").cast("string").alias("userId"), F.lit("2").alias("tagsId"))
-        out = upsert_tags(s, new)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "Bucketed: true" in plan
-        assert plan.count("Exchange hashpartitioning") == 1   # the new side only
-        got = dict(rows(out))
-        assert len(got) == 2500 and got["0"] == "1" and got["1600"] == "2,1" and got["2400"] == "2"
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_snapshot_retention_and_reregistration(spark, tmp_path):
-    import os
-
-    from tagloom.sources import prune_snapshots, read_store, snapshots, write_snapshot
-    from tagloom.sources.store import _table_name
-
-    root = str(tmp_path / "rstore")
-    for i in range(4):
-        write_snapshot(spark.createDataFrame([(str(i), "1")], "userId string, tagsId string"), root, buckets=2)
-    os.makedirs(tmp_path / "rstore" / "snapshot-00000000T000000000000-dead")  # a run that died before commit
-    removed = prune_snapshots(spark, root, keep=2)
-    assert len(removed) == 3 and len(snapshots(spark, root)) == 2
-    newest = snapshots(spark, root)[-1]
-    spark.sql(f"DROP TABLE IF EXISTS {_table_name(newest)}")  # as in a new session's catalog
-    assert [tuple(r) for r in read_store(spark, root).collect()] == [("3", "1")]
-
-
 def test_ingest_cli(spark, tmp_path):
     from tagloom.plans.jobs import main
     from tagloom.schemas import LOGS_COLUMNS

@@ -1,13 +1,14 @@
-"""The store: numbered snapshots, competing writers, deltas and compaction; sources by family."""
+"""The store: partial updates by user-hash partitions; sources by family; measures and dates."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions import dates
-from tagloom.sources import prune_snapshots, read_source, read_store, snapshots, write_snapshot
-from tagloom.sources.store import StoreMoved, append_delta, compact, deltas, version
+from tagloom.operators import upsert_tags
+from tagloom.sources import read_source, read_store, store_parts, update_store, write_store
 from tests.conftest import rows
 
 
@@ -15,52 +16,73 @@ def frame(spark, *data):
     return spark.createDataFrame(list(data), "userId string, tagsId string")
 
 
-def test_numbers_follow_the_committed_list(spark, tmp_path):
-    root = str(tmp_path / "s")
-    assert version(spark, root) == 0
-    for i in range(3):
-        write_snapshot(frame(spark, ("u", str(i))), root, expected=i)
-    assert version(spark, root) == 3 and rows(read_store(spark, root)) == [("u", "2")]
-    with pytest.raises(StoreMoved):
-        write_snapshot(frame(spark, ("u", "9")), root, expected=2)
-    assert rows(read_store(spark, root)) == [("u", "2")]
+def files(root):
+    return {str(f.relative_to(root)): f.stat().st_mtime_ns for f in Path(root).rglob("*.parquet")}
 
 
-def test_one_of_two_writers_fails(spark, tmp_path, monkeypatch):
+def test_update_equals_upsert(spark, tmp_path):
+    root = str(tmp_path / "s")
+    assert rows(read_store(spark, root)) == [] and store_parts(spark, root) is None
+    write_store(frame(spark, *[(str(i), "1") for i in range(50)], (None, "9")), root, parts=8)
+    assert store_parts(spark, root) == 8 and len(rows(read_store(spark, root))) == 50
+    new = frame(spark, ("3", "2"), ("3", "4"), ("60", "5"), (None, "7"), ("5", None), ("6", " "))
+    want = rows(upsert_tags(read_store(spark, root), new, "merge"))
+    update_store(new, root, "merge")
+    assert rows(read_store(spark, root)) == want and dict(want)["3"] == "2,4,1" and dict(want)["60"] == "5"
+    update_store(new, root, "merge")  # the same run again adds nothing
+    assert rows(read_store(spark, root), "userId") == [(u,) for u, _ in want]
+    update_store(frame(spark, ("3", "8")), root, "replace")
+    assert dict(rows(read_store(spark, root)))["3"] == "8"
+
+
+def test_only_partitions_of_new_tags_are_rewritten(spark, tmp_path):
+    root = str(tmp_path / "s")
+    write_store(spark.range(2000).selectExpr("CAST(id AS STRING) AS userId", "'1' AS tagsId"), root, parts=16)
+    before = files(root)
+    assert len({f.split("/")[0] for f in before}) == 16
+    touched = update_store(frame(spark, ("17", "2"), ("17", "3"), ("none yet", "4")), root)
+    after = files(root)
+    kept = {f for f, t in before.items() if after.get(f) == t}
+    assert 1 <= len(touched) <= 2
+    assert {f.split("/")[0] for f in before.keys() - kept} == {f"u16={p}" for p in touched if p in range(16)}
+    assert {f.split("/")[0] for f in after.keys() - kept} == {f"u16={p}" for p in touched}
+    assert update_store(frame(spark, (None, "2")), root) == [] and files(root) == after
+    got = dict(rows(read_store(spark, root)))
+    assert len(got) == 2001 and got["17"] == "2,3,1" and got["none yet"] == "4" and got["18"] == "1"
+
+
+def test_update_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
     from tagloom.sources import store
 
-    root = str(tmp_path / "s")
-    write_snapshot(frame(spark, ("u", "1")), root)
-    plan, ran = store._next_path, []
+    root, seen = str(tmp_path / "s"), []
+    write_store(spark.range(500).selectExpr("CAST(id AS STRING) AS userId", "'1' AS tagsId"), root, parts=16)
+    upsert = store.upsert_tags
 
-    def both(spark_, root_, prefix, expected):
-        got = plan(spark_, root_, prefix, expected)
-        if not ran:  # another writer takes the same number and commits first
-            ran.append(1)
-            monkeypatch.setattr(store, "_next_path", lambda *a: (got[0][:-8] + "00000000", got[1]))
-            write_snapshot(frame(spark, ("u", "other")), root)
-        return got
+    def watched(old, new, mode):
+        seen.append((old.inputFiles(), old._jdf.queryExecution().executedPlan().toString()))
+        return upsert(old, new, mode=mode)
 
-    monkeypatch.setattr(store, "_next_path", both)
-    with pytest.raises(StoreMoved):
-        write_snapshot(frame(spark, ("u", "mine")), root, expected=1)
-    assert rows(read_store(spark, root)) == [("u", "other")]
+    monkeypatch.setattr(store, "upsert_tags", watched)
+    touched = update_store(frame(spark, ("17", "2")), root)
+    assert len(touched) == 1 and "PartitionFilters" in seen[0][1] and "u16" in seen[0][1]
+
+
+def test_an_update_may_read_the_store(spark, tmp_path):
+    root = str(tmp_path / "s")
+    write_store(frame(spark, ("a", "1"), ("b", "2")), root, parts=4)
+    update_store(read_store(spark, root).selectExpr("userId", "'9' AS tagsId"), root)
+    assert dict(rows(read_store(spark, root))) == {"a": "9,1", "b": "9,2"}
 
 
-def test_deltas_and_compaction(spark, tmp_path):
+def test_misuse_of_the_store(spark, tmp_path):
     root = str(tmp_path / "s")
-    append_delta(frame(spark, ("a", "1"), (None, "7")), root)  # before any full snapshot
-    assert rows(read_store(spark, root)) == [("a", "1")]
-    write_snapshot(frame(spark, ("a", "1"), ("b", "2")), root)
-    append_delta(frame(spark, ("a", "3"), ("a", "1"), ("c", "4")), root)
-    append_delta(frame(spark, ("b", "9"), ("d", "5")), root, mode="replace")
-    want = [("a", "1,3"), ("b", "9"), ("c", "4"), ("d", "5")]
-    assert len(deltas(spark, root)) == 2 and rows(read_store(spark, root)) == want
-    compact(spark, root)
-    assert deltas(spark, root) == [] and rows(read_store(spark, root)) == want
-    assert compact(spark, root) is None
-    prune_snapshots(spark, root, keep=1)
-    assert len(snapshots(spark, root)) == 1 and rows(read_store(spark, root)) == want
+    write_store(frame(spark, ("a", "1")), root, parts=4)
+    with pytest.raises(ValueError, match="update"):
+        write_store(frame(spark, ("a", "1")), root)
+    with pytest.raises(ValueError, match="4 partitions"):
+        update_store(frame(spark, ("a", "1")), root, parts=8)
+    with pytest.raises(ValueError, match="mode"):
+        update_store(frame(spark, ("a", "1")), root, "add")
 
 
 def test_fields_of_a_family(spark, tmp_path):
