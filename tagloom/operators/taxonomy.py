@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.rules import SourceMeta, rule_to_map
 from tagloom.operators.broadcast import maybe_broadcast, measure
 from tagloom.operators.ids import assign_dense_ids
+from tagloom.session import materialize
 
 ROOT_PID = -1
 
@@ -159,3 +160,50 @@ def load_paths(taxonomy: DataFrame, paths: DataFrame, cols=("l1", "l2", "l3")) -
         now.alias("utime"),
     )
     return taxonomy.unionByName(added.select(*taxonomy.columns))
+
+
+CLOSURE_DEPTH = 32  # a longer chain of parents is a cycle
+_ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
+
+
+def tree_paths(taxonomy: DataFrame) -> DataFrame:
+    """``(id, path, ancestors)`` of every tag below a root: its names from the root down, and the ids
+    of itself and all its ancestors, root first.
+
+    A recursive query walks the tree one level at a time, over the taxonomy
+    alone; tags whose parents never reach a root are in no path.  Computed
+    once and kept in the shared folder.
+    """
+    spark = taxonomy.sparkSession
+    tags = taxonomy.select(F.col("id").cast("bigint").alias("id"), "name", F.col("pid").cast("bigint").alias("pid"))
+    old = spark.conf.get(_ROW_LIMIT, None)
+    spark.conf.set(_ROW_LIMIT, "-1")  # the tree's size is the bound
+    try:
+        walked = spark.sql(
+            f"""
+            WITH RECURSIVE tree(id, path, ancestors, depth) AS (
+              SELECT id, array(name), array(id), 1 FROM {{tags}} WHERE pid = {ROOT_PID}
+              UNION ALL
+              SELECT t.id, array_append(p.path, t.name), array_append(p.ancestors, t.id), p.depth + 1
+              FROM tree p JOIN {{tags}} t ON t.pid = p.id WHERE p.depth < {CLOSURE_DEPTH}
+            )
+            SELECT id, path, ancestors FROM tree
+            """,
+            tags=tags,
+        )
+        return materialize(walked)
+    finally:
+        spark.conf.unset(_ROW_LIMIT) if old is None else spark.conf.set(_ROW_LIMIT, old)
+
+
+def users_per_category(holders: DataFrame, paths: DataFrame, user: str = "userId", tag: str = "tag") -> DataFrame:
+    """``(id, users)``: distinct users of each tag, those of all its descendants included.
+
+    ``holders`` is ``(user, tag)``.  A user counts once per category: pairs are
+    made distinct before they are lifted to the ancestors and after, with
+    partial aggregates, so a category that everybody is in is no hot key.
+    """
+    side, _ = maybe_broadcast(paths.select(F.col("id").alias(tag), "ancestors"))
+    held = holders.select(F.col(user), F.col(tag).cast("bigint").alias(tag)).distinct().join(side, tag)
+    lifted = held.select(user, F.explode("ancestors").alias("id")).distinct()
+    return lifted.groupBy("id").agg(F.count(user).alias("users"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.dates import age_years, epoch_to_long, shifted_days_since
 from tagloom.functions.rules import range_rules
+from tagloom.functions.user import SumAggregate
 from tagloom.operators.aggregate import last_per_key, rfe_measures
 from tagloom.operators.broadcast import maybe_broadcast
 from tagloom.operators.match import exact_match, range_match
@@ -123,6 +124,23 @@ class AgeRangeModel(TagModel):
         return self.compute_detail(rules, source).select("userId", "tagsId")
 
 
+@dataclass
+class UserFunctionModel(TagModel):
+    """Tag = the range rule that holds what a user's own aggregate makes of a user's rows."""
+
+    key_field: str = "id"
+    aggregate: SumAggregate | None = None
+
+    def compute_detail(self, rules: DataFrame, source: DataFrame) -> DataFrame:
+        key = F.col(self.key_field).cast("string").alias("userId")
+        values = self.aggregate.per_key(source, key, "value")
+        m = range_match(values, range_rules(rules, validate=False), "value")
+        return m.select("userId", "value", F.col("tagsId").cast("string").alias("tagsId"))
+
+    def compute(self, rules: DataFrame, source: DataFrame) -> DataFrame:
+        return self.compute_detail(rules, source).select("userId", "tagsId")
+
+
 @dataclass
 class ActivityModel(TagModel):
     """Extension (declared only in the reference): R/F/E activity measures,

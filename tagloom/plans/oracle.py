@@ -232,6 +232,51 @@ _AS_OF_EV = S.AS_OF_EVENTS
 _RECENT_FROM = (_dt.date.fromisoformat(S.AS_OF_EVENTS) - _dt.timedelta(days=S.LOOKBACK_DAYS)).isoformat()
 
 
+def _segments() -> str:
+    """Lloyd's iterations over the measures of two dates, the second from the centres of the first."""
+    before = (_dt.date.fromisoformat(_AS_OF_EV) - _dt.timedelta(days=7)).isoformat()
+
+    def measured(as_of: str) -> str:
+        recent = f"DATE '{as_of}' - {S.LOOKBACK_DAYS}"
+        return f"""SELECT userId, CAST(date_diff('day', CAST(max(t) AS DATE), DATE '{as_of}') AS DOUBLE) AS r,
+       CAST(count(*) FILTER (WHERE t >= {recent}) AS DOUBLE) AS f,
+       coalesce(round(CAST(count(*) FILTER (WHERE t >= {recent} AND act = 'view') AS DOUBLE)
+                / nullif(count(*) FILTER (WHERE t >= {recent} AND act = 'click'), 0), 6), 0.0) AS e
+FROM l WHERE t < DATE '{as_of}' GROUP BY userId"""
+
+    def far(c: str) -> str:
+        return " + ".join(f"(z[{j}] - {c}[{j}]) * (z[{j}] - {c}[{j}])" for j in (1, 2, 3))
+
+    def near(points: str, centres: str, extra: str = "") -> str:
+        best = f"list_min(list_transform(range(1, 5), lambda k: {{'d': {far('c[k]')}, 'k': k}}))"
+        return f"(SELECT userId, z, c{extra}, ({best}).k AS k FROM {points}, {centres})"
+
+    def step(name: str, points: str, begin: str) -> str:
+        mean = ", ".join(f"round(avg(z[{j}]) FILTER (WHERE k = g), 9)" for j in (1, 2, 3))
+        return f"""{name} AS (
+  SELECT 0 AS i, {begin} AS c
+  UNION ALL
+  SELECT i + 1, list(CASE WHEN m[1] IS NULL THEN c[g] ELSE m END ORDER BY g)
+  FROM (SELECT i, any_value(c) AS c, g, [{mean}] AS m FROM {near(points, name, ', i')}, (SELECT unnest(range(1, 5)) AS g) WHERE i < 10 GROUP BY i, g)
+  GROUP BY i
+)"""
+
+    z = "[(r - ar) / sr, (f - af) / sf, (e - ae) / se]"
+    start = "[[-t, t, t] FOR t IN [1.5, 0.5, -0.5, -1.5]]"
+    return f"""WITH RECURSIVE l AS (SELECT CAST(user_id AS VARCHAR) AS userId, event_type AS act,
+                  CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS t FROM events WHERE event_id % 17 <> 0),
+one AS ({measured(before)}), two AS ({measured(_AS_OF_EV)}),
+u AS (SELECT avg(r) AS ar, avg(f) AS af, avg(e) AS ae, coalesce(nullif(stddev_samp(r), 0), 1) AS sr,
+             coalesce(nullif(stddev_samp(f), 0), 1) AS sf, coalesce(nullif(stddev_samp(e), 0), 1) AS se FROM one),
+p1 AS (SELECT userId, {z} AS z FROM one, u), p2 AS (SELECT userId, {z} AS z FROM two, u),
+{step('c1', 'p1', f'CAST({start} AS DOUBLE[][])')},
+{step('c2', 'p2', '(SELECT c FROM c1 WHERE i = 10)')},
+last AS (SELECT c FROM c2 WHERE i = 10)
+SELECT userId, CAST(k - 1 AS INTEGER) AS rank, round(c[k][1] * sr + ar, 6) AS c_recency, round(c[k][2] * sf + af, 6) AS c_frequency,
+       round(c[k][3] * se + ae, 6) AS c_engagement
+FROM {near('p2', 'last')}, u"""
+
+
 def oracle_sql() -> dict[str, str]:
     status = lambda join: _with(f"""st AS (SELECT CAST(max(id) AS VARCHAR) AS tag, rule FROM tax WHERE pid = 30 GROUP BY rule)
 SELECT o.memberId AS userId, st.tag AS tagsId FROM osrc o {join} st ON o.orderstatus = st.rule""")
@@ -339,6 +384,45 @@ SELECT userId, CAST(date_diff('day', CAST(last_t AS DATE), DATE '{_AS_OF_EV}') A
        CAST(frequency AS BIGINT) AS frequency,
        round(CAST(views AS DOUBLE) / nullif(clicks, 0), 6) AS engagement
 FROM a""",
+        "ingest_outcomes": f"""WITH lines AS (SELECT {_logs_line(True)} AS line FROM events),
+stripped AS (SELECT line, regexp_replace(line, chr(1) || '+$', '') AS s FROM lines),
+widths AS (SELECT line, CASE WHEN line = '' THEN 1 WHEN s = '' THEN 0 ELSE len(string_split(s, chr(1))) END AS w FROM stripped),
+named AS (SELECT CASE WHEN w = {len(LOGS_COLUMNS)} THEN 'kept' WHEN w = {len(LOGS_COLUMNS) - 1} THEN 'repaired' WHEN line = '' THEN 'empty'
+                      WHEN w < {len(LOGS_COLUMNS)} THEN 'short' ELSE 'long' END AS outcome FROM widths)
+SELECT o.outcome, count(n.outcome) AS observed, count(n.outcome) AS written
+FROM (VALUES ('kept'), ('repaired'), ('empty'), ('short'), ('long')) AS o(outcome) LEFT JOIN named n USING (outcome) GROUP BY o.outcome""",
+        "category_users": _with(_catalog_ctes() + """,
+tree AS (SELECT id, [id] AS up, [name] AS path FROM cat WHERE pid = -1
+         UNION ALL SELECT c.id, list_append(t.up, c.id), list_append(t.path, c.name) FROM tree t JOIN cat c ON c.pid = t.id),
+named AS (SELECT p_partkey, [p_type, string_split(p_name, ' ')[1], string_split(p_name, ' ')[2], p_brand] AS l FROM part),
+cut AS (SELECT p_partkey, l[1:coalesce(list_position(list_transform(l, lambda x: coalesce(x = '', TRUE)), TRUE), 5) - 1] AS path FROM named),
+held AS (SELECT DISTINCT o_custkey AS u, unnest(t.up) AS id
+         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN cut ON p_partkey = l_partkey JOIN tree t ON t.path = cut.path)
+SELECT cat.id, cat.name, CAST(cat.level AS INTEGER) AS level, count(*) AS users FROM held JOIN cat ON cat.id = held.id GROUP BY ALL""").replace("WITH ", "WITH RECURSIVE ", 1),
+        "audience_sets": _with("""st AS (SELECT CAST(max(id) AS VARCHAR) AS tag, rule FROM tax WHERE pid = 30 GROUP BY rule),
+lists2 AS (SELECT userId, tagsId FROM stored UNION ALL SELECT o.memberId, st.tag FROM osrc o JOIN st ON o.orderstatus = st.rule),
+held AS (SELECT DISTINCT userId, t FROM (SELECT userId, TRY_CAST(trim(unnest(string_split(tagsId, ','))) AS BIGINT) AS t FROM lists2) WHERE t IS NOT NULL),
+pairs AS (SELECT g.a, tax.id AS b FROM (VALUES (5), (6)) AS g(a), tax WHERE tax.pid IN (7, 30))
+SELECT CAST(t AS VARCHAR) AS audience, count(*) AS users FROM held GROUP BY t
+UNION ALL
+SELECT CAST(p.a AS VARCHAR) || '+' || CAST(p.b AS VARCHAR), count(y.userId)
+FROM pairs p LEFT JOIN held x ON x.t = p.a LEFT JOIN held y ON y.t = p.b AND y.userId = x.userId GROUP BY p.a, p.b"""),
+        "activity_rfe_incremental": f"""WITH l AS (SELECT CAST(user_id AS VARCHAR) AS userId, event_type AS act,
+                  CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS t FROM events WHERE event_id % 17 <> 0),
+d AS (SELECT CAST(unnest(generate_series(DATE '{_AS_OF_EV}' - 6, DATE '{_AS_OF_EV}', INTERVAL 1 DAY)) AS DATE) AS as_of),
+a AS (SELECT as_of, userId, max(t) AS last_t, count(*) FILTER (WHERE t >= as_of - {S.LOOKBACK_DAYS}) AS frequency,
+             count(*) FILTER (WHERE t >= as_of - {S.LOOKBACK_DAYS} AND act = 'view') AS views,
+             count(*) FILTER (WHERE t >= as_of - {S.LOOKBACK_DAYS} AND act = 'click') AS clicks
+      FROM d JOIN l ON t < as_of GROUP BY as_of, userId)
+SELECT as_of, userId, CAST(date_diff('day', CAST(last_t AS DATE), as_of) AS INTEGER) AS recency, frequency,
+       round(CAST(views AS DOUBLE) / nullif(clicks, 0), 6) AS engagement FROM a""",
+        "activity_segments": _segments(),
+        "visit_hour_tags": """WITH l AS (SELECT CAST(user_id AS VARCHAR) AS userId,
+                  (date_part('hour', ts) * 3600 + date_part('minute', ts) * 60 + floor(date_part('second', ts))) * (2 * pi() / 86400) AS a
+           FROM events WHERE event_id % 17 <> 0),
+h AS (SELECT userId, (atan2(sum(sin(a)), sum(cos(a))) * (12 / pi()) + 24) AS r FROM l GROUP BY userId),
+v AS (SELECT userId, CAST(floor(round(r - 24 * floor(r / 24), 6) % 24) AS BIGINT) AS value FROM h)
+SELECT userId, value, CAST(91 + value // 6 AS VARCHAR) AS tagsId FROM v""",
         "activity_clusters": f"""SELECT DISTINCT CAST(user_id AS VARCHAR) AS userId, CAST(1 AS BIGINT) AS n_tags,
        TRUE AS ranked, TRUE AS ranks_ordered
 FROM events WHERE event_id % 17 <> 0 AND ts < TIMESTAMP '{_AS_OF_EV} 00:00:00'""",

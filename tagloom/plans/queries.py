@@ -7,22 +7,40 @@ them, or are themselves derived from the tables).
 
 from __future__ import annotations
 
+import dataclasses
+import datetime as dt
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.sql import register_sql_functions
 from tagloom.functions.tags import canonical_tags
+from tagloom.functions.user import SumAggregate
 from tagloom.operators.aggregate import last_per_key, tag_coverage
+from tagloom.operators.audience import audience_sets, merge_sets, users_per_audience, users_per_tag
 from tagloom.operators.broadcast import maybe_broadcast
+from tagloom.operators.cluster import assign, centres, fit_segments, read_segments, write_segments
 from tagloom.operators.match import exact_rules
 from tagloom.operators.merge import merge_tags, upsert_tags
-from tagloom.operators.taxonomy import by_level, rule_options, tags_with_models
+from tagloom.operators.rolling import advance, day_partials, first_state, state_measures, write_days
+from tagloom.operators.taxonomy import by_level, rule_options, tags_with_models, tree_paths, users_per_category
 from tagloom.plans import scenario as S
-from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel
+from tagloom.plans.models import ActivityModel, AgeRangeModel, ExactMatchModel, RecencyRangeModel, UserFunctionModel
 from tagloom.plans.runner import model_inputs, run_model, run_models
 from tagloom.schemas import EXTRACT_COLUMNS, EXTRACT_SEP, GOODS_COLUMNS, LOGS_COLUMNS, ORDERS_COLUMNS, USERS_COLUMNS
 from tagloom.session import materialize, scratch_path
-from tagloom.sources.extracts import NULL_MARK, ingest, published_positions, read_extract, typed_view, write_sorted_by_key
+from tagloom.sources.extracts import (
+    NULL_MARK,
+    ingest,
+    ingest_observed,
+    published_positions,
+    read_extract,
+    typed_view,
+    write_sorted_by_key,
+)
 from tagloom.sources.rowsource import register_wide_rows
 from tagloom.sources.slices import publish, publish_more, sliced_positions
 from tagloom.sources.store import read_store, update_store, write_store
@@ -509,6 +527,123 @@ def activity_clusters(spark, sf_dir):
     )
 
 
+SLOTS = 7  # consecutive dates of the incremental measures, the last one that of the others
+
+
+def activity_rfe_incremental(spark, sf_dir):
+    """R/F/E of seven dates in sequence: each from the state before, the entering and the leaving day."""
+    m = activity_model()
+    _, _, src = Ctx(spark, sf_dir).inputs(m)
+    days = write_days(day_partials(src, m.key_field, m.time_field, m.action_field), scratch_path(spark, "days"))
+    partials = spark.read.parquet(days)
+    dates = [dt.date.fromisoformat(S.AS_OF_EVENTS) - dt.timedelta(days=k) for k in reversed(range(SLOTS))]
+    state, out = None, None
+    for date in dates:
+        state = first_state(partials, date, m.lookback_days) if state is None else advance(state, partials, date, m.lookback_days)
+        path = scratch_path(spark, "rfe-state")
+        state.write.parquet(path)  # what the next slot reads
+        state = spark.read.parquet(path)
+        measured = state_measures(state, date).select(F.lit(date).alias("as_of"), "*")
+        out = measured if out is None else out.unionByName(measured)
+    return out
+
+
+HOUR_RULES = [(91, "0-5"), (92, "6-11"), (93, "12-17"), (94, "18-23")]  # fixed values: bands of the day
+
+
+def _angle(t: pa.Array) -> np.ndarray:
+    """Angle of the time of day of ``yyyy-MM-dd HH:mm:ss`` texts; others are no time."""
+    ts = pc.strptime(t, format="%Y-%m-%d %H:%M:%S", unit="s", error_is_null=True)
+    seconds = pc.fill_null(ts.cast(pa.int64()).cast(pa.float64()), np.nan)
+    return np.asarray(seconds) % 86_400 * (2 * np.pi / 86_400)
+
+
+def _hour_x(t: pa.Array) -> pa.Array:
+    return pa.array(np.cos(_angle(t)), from_pandas=True)
+
+
+def _hour_y(t: pa.Array) -> pa.Array:
+    return pa.array(np.sin(_angle(t)), from_pandas=True)
+
+
+def _hour_of(x: pa.Array, y: pa.Array) -> pa.Array:
+    x, y = (np.asarray(a.cast(pa.float64()).to_numpy(zero_copy_only=False)) for a in (x, y))
+    hours = np.round(np.arctan2(y, x) * (12 / np.pi) % 24, 6) % 24
+    return pa.array(np.floor(hours), from_pandas=True).cast(pa.int64())
+
+
+def typical_hour() -> SumAggregate:
+    """The hour of the circular mean of a user's times of day."""
+    return SumAggregate({"x": _hour_x, "y": _hour_y}, _hour_of, "bigint", ["log_time"])
+
+
+def visit_hour_tags(spark, sf_dir):
+    """A tag model with a user's own aggregate: the typical hour of a user's visits, by bands of the day."""
+    _, _, src = Ctx(spark, sf_dir).inputs(activity_model())
+    rules = spark.createDataFrame(HOUR_RULES, "id long, rule string")
+    m = UserFunctionModel(90, key_field="global_user_id", aggregate=typical_hour())
+    return m.compute_detail(rules, src)
+
+
+def activity_segments(spark, sf_dir):
+    """Every user's segment by a stored model: fitted a week before, read back, refined, with the centre it is nearest to."""
+    m = activity_model()
+    _, _, src = Ctx(spark, sf_dir).inputs(m)
+    before = (dt.date.fromisoformat(S.AS_OF_EVENTS) - dt.timedelta(days=7)).isoformat()
+    first = fit_segments(dataclasses.replace(m, as_of=before).measures(src), m.k)
+    stored = read_segments(spark, write_segments(spark, first, scratch_path(spark, "segments")))
+    now = m.measures(src)
+    model = fit_segments(now, start=stored)
+    return assign(now, model).join(F.broadcast(centres(spark, model)), "rank").select(
+        "userId", "rank", "c_recency", "c_frequency", "c_engagement"
+    )
+
+
+def audience_sets_q(spark, sf_dir):
+    """Users per tag and per pair of tags from sets of two days: the stored tags, and a day's status tags."""
+    c = Ctx(spark, sf_dir)
+    m = status_model("drop")
+    _, rules, src = c.inputs(m)
+    root = scratch_path(spark, "audience")
+    for day, store in (("1", c.stored()), ("2", m.compute(rules, src))):
+        audience_sets(store).write.parquet(f"{root}/day={day}")
+    sets = materialize(merge_sets(spark.read.parquet(root)))
+    single = users_per_tag(sets).select(F.col("tag").cast("string").alias("audience"), "users")
+    others = c.tax.where(F.col("pid").isin(7, 30)).select(F.col("id").alias("b"))  # jobs and states
+    pairs = others.select("b", F.explode(F.array(F.lit(5), F.lit(6))).alias("a"))  # with each gender
+    named = pairs.select(F.concat_ws("+", "a", "b").alias("audience"), F.explode(F.array(F.col("a").cast("bigint"), "b")).alias("tag"))
+    return single.unionByName(users_per_audience(sets, named))
+
+
+def category_users(spark, sf_dir):
+    """Buyers of every tag of the catalog taxonomy, those of all its descendants included."""
+    c = Ctx(spark, sf_dir)
+    catalog = materialize(c.catalog())
+    paths = tree_paths(catalog)
+    of_part = c.t["part"].select("p_partkey", "p_type", "p_name", "p_brand")
+    words = F.split("p_name", " ")
+    names = F.array("p_type", F.get(words, F.lit(0)), F.get(words, F.lit(1)), "p_brand")
+    # a path ends before a blank
+    end = F.array_position(F.transform(names, lambda x: F.coalesce(x == "", F.lit(True))), True)
+    path = F.when(end > 0, F.slice(names, F.lit(1), end - 1)).otherwise(names)
+    tagged = of_part.select("p_partkey", path.alias("path")).join(paths.select("path", F.col("id").alias("tag")), "path")
+    side, _ = maybe_broadcast(tagged.select(F.col("p_partkey").alias("l_partkey"), "tag"))
+    bought = c.t["lineitem"].select("l_orderkey", "l_partkey").join(side, "l_partkey").select("l_orderkey", "tag").distinct()
+    buyers = c.t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("userId"))
+    users = users_per_category(bought.join(buyers, "l_orderkey"), paths)
+    return users.join(catalog.select("id", "name", "level"), "id").select("id", "name", "level", "users")
+
+
+def ingest_outcomes(spark, sf_dir):
+    """Lines of a logs extract by what becomes of them: observed while they were written, and as written."""
+    t = S.load_tables(spark, sf_dir, ("events",))
+    dest = scratch_path(spark, "observed")
+    seen = ingest_observed(spark, write_extract(spark, logs_lines(t["events"], arity_cases=True), "logs-observed"), "logs", dest)
+    observed = spark.createDataFrame(sorted(seen.items()), "outcome string, observed long")
+    written = spark.read.parquet(dest).groupBy("outcome").agg(F.count(F.lit(1)).alias("written"))
+    return observed.join(written, "outcome", "left").select("outcome", "observed", F.coalesce("written", F.lit(0)).cast("bigint").alias("written"))
+
+
 def age_band_tags(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     m = AgeRangeModel(14, key_field="id", birthday_field="birthday", as_of=S.AS_OF_ORDERS)
@@ -555,7 +690,13 @@ QUERIES = {
     "publish_goods": publish_goods,
     "publish_two_loads": publish_two_loads,
     "wide_row_range": wide_row_range,
+    "ingest_outcomes": ingest_outcomes,
+    "category_users": category_users,
+    "audience_sets": audience_sets_q,
     "activity_rfe": activity_rfe,
+    "activity_segments": activity_segments,
+    "activity_rfe_incremental": activity_rfe_incremental,
+    "visit_hour_tags": visit_hour_tags,
     "age_band_tags": age_band_tags,
     "activity_clusters": activity_clusters,
 }

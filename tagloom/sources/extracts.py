@@ -10,7 +10,7 @@ interpret quotes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.strings import java_split, strip_trailing
@@ -71,6 +71,52 @@ def typed_view(rows: DataFrame, types: dict[str, str] | None = None) -> DataFram
     return rows.select(*cols)
 
 
+# What becomes of a line: a row, a row whose missing last field was added, or a reason to leave it out.
+ROWS = ("kept", "repaired")
+REJECTED = ("empty", "short", "long")
+OUTCOMES = ROWS + REJECTED
+
+
+def line_outcome(line: Column, n: int, sep: str = EXTRACT_SEP) -> Column:
+    """One of ``OUTCOMES`` for a line that should have ``n`` fields."""
+    width = line_width(line, sep)
+    return (
+        F.when(width == n, "kept").when(width == n - 1, "repaired").when(line == "", "empty").when(width < n, "short").otherwise("long")
+    )
+
+
+def ingest_observed(spark: SparkSession, src: str, kind_or_columns, dest: str) -> dict[str, int]:
+    """Write an extract's rows and, aside by reason, the lines that are none; returns the lines per outcome.
+
+    One pass: the counts are observed while the lines are written into
+    ``dest/outcome=<outcome>``.  ``ingested`` and ``rejected`` read them back.
+    """
+    columns = _columns(kind_or_columns)
+    n = len(columns)
+    line, outcome = F.col("value"), F.col("outcome")
+    given = spark.read.text(src).select(line, line_outcome(line, n).alias("outcome"))
+    seen = Observation()
+    counts = [F.count_if(outcome == o).alias(o) for o in OUTCOMES]
+    watched = given.observe(seen, *counts)
+    good = outcome.isin(*ROWS)
+    split = watched.select("outcome", F.when(good, java_split(line, EXTRACT_SEP)).alias("__f"), F.when(~good, line).alias("__line"))
+    f = F.col("__f")
+    out = [F.get(f, F.lit(i)).alias(c) for i, c in enumerate(columns[:-1])]
+    out.append(F.when(good, F.coalesce(F.get(f, F.lit(n - 1)), F.lit(""))).alias(columns[-1]))
+    split.select(*out, "__line", "outcome").write.partitionBy("outcome").parquet(dest)
+    return {o: int(seen.get[o]) for o in OUTCOMES}
+
+
+def ingested(spark: SparkSession, dest: str, kind_or_columns) -> DataFrame:
+    """The rows of ``ingest_observed``."""
+    return spark.read.parquet(dest).where(F.col("outcome").isin(*ROWS)).select(*_columns(kind_or_columns))
+
+
+def rejected(spark: SparkSession, dest: str) -> DataFrame:
+    """``(outcome, line)`` of the lines that gave no row."""
+    return spark.read.parquet(dest).where(F.col("outcome").isin(*REJECTED)).select("outcome", F.col("__line").alias("line"))
+
+
 TARGET_BYTES = 256 * 1024 * 1024
 MAX_PARTITIONS = 200_000
 
