@@ -11,7 +11,11 @@ and for names gender and script.
 Surrogates are checked: within a type, no two entities may share one, and none
 may be an entity of the corpus.  An entity that loses tries again with the
 next attempt number; almost all keep attempt 0, which needs no lookup when
-texts are rewritten.  Only the rare others reach the texts by a join.
+texts are rewritten.  Only the rare others reach the texts by a join.  A format
+may hold no free value (all one-digit mailboxes are taken, say), so after GROW
+attempts a surrogate gets longer by a sign with each (an address becomes one of
+the longer kind): there is always a free one, and both checks hold in every
+round.
 
 Defined cases: null and empty texts stay as they are; repeated rows are
 rewritten alike; texts of any length are rewritten whole (repeats in
@@ -28,8 +32,7 @@ from tagloom.llm.common import OWN, staged, text_bytes
 from tagloom.operators.broadcast import maybe_broadcast
 
 KEY = "replace-this-key"  # parameter: the owner's secret
-AVOID_ROUNDS = 8  # attempts that also avoid the corpus's own entities (names always do)
-MAX_ROUNDS = 40
+GROW = 6  # attempts within an entity's own format; each one after them makes the surrogate a sign longer
 
 # Key words and titles whose next word is an entity.
 SECRET_WORDS = "password|passwd|pwd|secret|token|api_key|apikey"
@@ -171,10 +174,9 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(ds, value), F.lit(0), lambda a, x: a + x)
 
 
-def _card(canon: Column, stream: Column) -> Column:
-    """Issuer digit and length stay; a card number that passes its check digit gets one that does."""
+def _card(canon: Column, stream: Column, valid: Column) -> Column:
+    """Issuer digit and length stay; a ``valid`` card number (its check digit is right) gets a right check digit."""
     body = F.concat(F.substring(canon, 1, 1), _letters(canon.substr(F.lit(2), F.length(canon) - 2), stream, F.lit(False)))
-    valid = F.pmod(_luhn_sum(canon), F.lit(10)) == 0
     check = F.pmod(F.lit(10) - F.pmod(_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10))
     last = F.when(valid, check).otherwise(F.pmod(check + 1 + F.pmod(_byte(stream, F.lit(63)), F.lit(9)), F.lit(10)))
     return F.concat(body, last.cast("string"))
@@ -211,13 +213,42 @@ def _name(canon: Column, kind: Column, attempt: Column, stream: Column) -> Colum
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The canonical form of the entity's replacement."""
     seed = F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"))
-    held = F.struct(F.sha2(seed, 512).alias("stream"), canon.alias("canon"), (~canon.rlike("[g-zG-Z]")).alias("hex"))
+    held = F.struct(
+        F.sha2(seed, 512).alias("stream"),
+        grown(canon, kind, attempt).alias("canon"),
+        (~canon.rlike("[g-zG-Z]")).alias("hex"),
+        F.when(kind == "card", F.pmod(_luhn_sum(canon), F.lit(10)) == 0).alias("valid"),
+    )
     # held in a variable, so what depends on the whole entity is found once, not for each of its letters
-    return F.get(F.transform(F.array(held), lambda v: _made(kind, v["canon"], attempt, v["stream"], v["hex"])), F.lit(0))
+    return F.get(
+        F.transform(F.array(held), lambda v: _made(kind, v["canon"], attempt, v["stream"], v["hex"], v["valid"])), F.lit(0)
+    )
+
+
+def grown(canon: Column, kind: Column, attempt: Column) -> Column:
+    """The form whose signs are replaced: longer by one with each attempt after the first GROW."""
+    more = F.greatest(attempt - (GROW - 1), F.lit(0))
+    digits, letters = F.repeat(F.lit("0"), more), F.repeat(F.lit("a"), more)
+    at = F.instr(canon, "@")
+
+    def within(place: Column, extra: Column) -> Column:
+        return F.concat(canon.substr(F.lit(1), place), extra, canon.substr(place + 1, F.length(canon)))
+
+    longer = (
+        F.when(kind == "email", within(at - 1, letters))
+        .when(kind == "card", within(F.length(canon) - 1, digits))  # the check digit stays last
+        .when(kind.isin("phone", "social_security"), F.concat(canon, digits))
+        .when(kind.isin("bank_account", "access_key"), F.concat(canon, F.upper(letters)))
+        .when(kind == "secret", F.concat(canon, letters))
+        .otherwise(canon)
+    )
+    return F.when(attempt < GROW, canon).otherwise(longer)
 
 
-def _made(kind: Column, canon: Column, attempt: Column, stream: Column, hexadecimal: Column) -> Column:
-    ip = F.concat_ws(".", *[(F.pmod(_byte(stream, F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)])
+def _made(kind: Column, canon: Column, attempt: Column, stream: Column, hexadecimal: Column, valid: Column) -> Column:
+    short_ip = F.concat_ws(".", *[(F.pmod(_byte(stream, F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)])
+    long_ip = F.concat_ws(":", F.lit("2001:db8"), *[F.substring(stream, 1 + 4 * i, 4) for i in range(6)])  # fixed value: for documents
+    ip = F.when(attempt < GROW, short_ip).otherwise(long_ip)
     at = F.instr(canon, "@")
     dot = F.length(canon) - F.instr(F.reverse(canon), ".") + 1  # the last dot: what follows stays
     email = F.concat(
@@ -230,7 +261,7 @@ def _made(kind: Column, canon: Column, attempt: Column, stream: Column, hexadeci
     return (
         F.when(kind == "ip", ip)
         .when((kind == "email") & (at > 0), email)
-        .when(kind == "card", _card(canon, stream))
+        .when(kind == "card", _card(canon, stream, valid))
         .when(kind == "phone", phone)
         .when(kind.startswith("name"), _name(canon, kind, attempt, stream))
         .otherwise(_letters(canon, stream, hexadecimal & (kind == "secret")))
@@ -248,13 +279,14 @@ def render(core: Column, kind: Column, new: Column) -> Column:
         before = F.length(F.regexp_replace(core.substr(F.lit(1), i), "[^0-9A-Za-z]", ""))
         return F.when(c.rlike("^[0-9A-Za-z]$"), F.substring(new, before + 1, F.lit(1))).otherwise(c)
 
-    spaced = F.when(place == F.length(core), new).otherwise(F.array_join(F.transform(chars, put), ""))
+    rest = new.substr(place + 1, F.length(new))  # of a surrogate that is longer than the mention
+    spaced = F.when(place == F.length(core), new).otherwise(F.concat(F.array_join(F.transform(chars, put), ""), rest))
 
     def same_case(c, i):
         n = F.substring(new, i + 1, F.lit(1))
         return F.when(c.rlike("^[A-Z]$"), F.upper(n)).otherwise(n)
 
-    cased = F.when(core == F.lower(core), new).otherwise(F.array_join(F.transform(chars, same_case), ""))
+    cased = F.when((core == F.lower(core)) | (F.length(core) != F.length(new)), new).otherwise(F.array_join(F.transform(chars, same_case), ""))
     return F.when(plain, spaced).when(kind == "email", cased).otherwise(new)
 
 
@@ -283,17 +315,16 @@ def attempts(found: DataFrame, key: str = KEY) -> DataFrame | None:
     everyone = staged(found.withColumn("new", surrogate(kind, canon, F.lit(0), key)), "pii-entities")
     state = everyone.withColumn("attempt", F.lit(0))
     moved = None
-    for turn in range(MAX_ROUNDS):
-        # names never run out, so they avoid real ones in every round
-        losers = _losers(state, everyone if turn < AVOID_ROUNDS else everyone.filter(kind.startswith("name")))
-        losers = staged(losers, "pii-losers")
+    turn = 0
+    while True:  # surrogates grow, so every entity finds a free one
+        losers = staged(_losers(state, everyone), "pii-losers")
         if losers.isEmpty():
             return moved
         again = losers.select("kind", "canon", surrogate(kind, canon, F.lit(turn + 1), key).alias("new"), F.lit(turn + 1).alias("attempt"))
         kept = state.join(losers.select("kind", "canon"), ["kind", "canon"], "left_anti")
         state = staged(kept.unionByName(again), "pii-attempts")
         moved = state.filter("attempt > 0").select("kind", "canon", "attempt")
-    raise RuntimeError("surrogates still collide")
+        turn += 1
 
 
 def _losers(state: DataFrame, real: DataFrame) -> DataFrame:
@@ -371,6 +402,5 @@ def _with_attempts(docs: DataFrame, moved: DataFrame, text_col: str) -> DataFram
         .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canon").alias("key"), "attempt"))).alias(OWN + "moved"))
     )
     held = staged(held.select(F.col("k1").alias(OWN + "k1"), F.col("k2").alias(OWN + "k2"), OWN + "moved"), "pii-moved")
-    rows = held.count()
-    held = F.broadcast(held) if rows <= 100_000 else held
+    held, _ = maybe_broadcast(held)
     return docs.join(held, (k1 == F.col(OWN + "k1")) & (k2 == F.col(OWN + "k2")), "left").drop(OWN + "k1", OWN + "k2")

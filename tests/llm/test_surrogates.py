@@ -147,10 +147,37 @@ def test_more_names_than_short_surrogates(spark, monkeypatch):
 
 
 def test_names_avoid_real_names_in_every_round(spark, monkeypatch):
-    monkeypatch.setattr(surrogates, "AVOID_ROUNDS", 0)
     monkeypatch.setattr(
         surrogates, "surrogate",
         lambda kind, canon, attempt, key: F.when(attempt == 0, F.lit("Miller")).otherwise(F.concat(F.lit("Ba"), F.substring(canon, 1, 1))),
     )
     got = surrogates.attempts(spark.createDataFrame([("name_m", "smith"), ("name_m", "miller")], "kind string, canon string"))
     assert sorted((r["canon"], r["attempt"]) for r in got.collect()) == [("miller", 1), ("smith", 1)]
+
+
+def test_full_formats_grow(spark):
+    """Every value of a format is a real entity: surrogates get longer, stay distinct and are no real one."""
+    mails = [f"{a}@{b}.com" for a in range(10) for b in range(10)]
+    cards = [f"{n:013d}" for n in range(4_000_000_000_000, 4_000_000_000_030)]
+    got = run(spark, [*mails, "A0@0.com", *[f"card {c}" for c in cards]])
+    new = [got[i]["text"] for i in range(100)]
+    assert len(set(new)) == 100 and not set(new) & set(mails)
+    assert all(re.fullmatch(r"[0-9][a-z]*@[0-9]\.com", x) for x in new)
+    assert all(re.fullmatch(r"card 4\d{12}", got[101 + i]["text"]) for i in range(30))
+
+
+def test_grown_forms(spark):
+    rows = [("phone", "5551234567"), ("card", "4111111111111111"), ("card", "4111111111111112"), ("social_security", "123456789"),
+            ("ip", "10.0.0.7"), ("email", "a@b.co"), ("secret", "abc12345"), ("bank_account", "89370400440532013000"), ("access_key", "ABCD" * 4)]
+    df = spark.createDataFrame(rows, "kind string, canon string")
+    made = df.select("kind", "canon", *[surrogates.surrogate(F.col("kind"), F.col("canon"), F.lit(t), "k").alias(f"s{t}") for t in (0, 5, 6, 8)])
+    for r in made.collect():
+        n = [len(r[f"s{t}"]) for t in (0, 5, 6, 8)]
+        if r["kind"] == "ip":
+            assert r["s6"].startswith("2001:db8:") and r["s6"] != r["s8"]
+            continue
+        assert n[0] == n[1] == len(r["canon"]) and n[2] == n[0] + 1 and n[3] == n[0] + 3
+        if r["kind"] == "card":
+            assert all(luhn(r[f"s{t}"]) == luhn(r["canon"]) for t in (0, 6, 8))
+    shown = df.select(surrogates.render(F.lit("988-555-2485"), F.lit("phone"), F.lit("77123456789")).alias("x")).first()["x"]
+    assert shown == "771-234-56789"
