@@ -41,6 +41,7 @@ TUNE_QUERIES = 200
 BLOCK_QUERIES = 8192
 CHUNK_ROWS = 32_768
 MORE_PROBES = 4
+TIE = 1e-9  # scores of the matrix product differ from the exact ones by less
 SEED = 11
 
 
@@ -141,6 +142,18 @@ def search_rows(ids, x, b, block: dict, probes: int | None, k: int):
     u, ub = unit(x[first].astype(float)), b[first]
     qu, qid, order_q, rank_q = block["unit"], block["id"], block["order"], block["rank"]
     best = Best(len(qid), k + 4)  # more than k: near ties are settled by the exact scores below
+
+    def near(q: int) -> np.ndarray:
+        """The candidates of a query that may be among its k best by the exact scores."""
+        s, rows = best.score[q], best.row[q]
+        rows = rows[np.isfinite(s)]
+        if len(rows) < k + 4 or s[k + 3] < s[k - 1] - TIE:
+            return rows
+        # as many as were kept tie with the k-th: all candidates are looked at again
+        met = np.ones(len(u), bool) if probes is None else (rank_q[q, np.arange(ub.shape[1]), ub] < probes).any(axis=1)
+        at = np.flatnonzero(met)
+        return at[u[at] @ qu[q] >= s[k - 1] - TIE]
+
     everything = np.arange(len(qid))
     if probes is None:
         best.add(everything, np.arange(len(u)), qu @ u.T)
@@ -155,12 +168,15 @@ def search_rows(ids, x, b, block: dict, probes: int | None, k: int):
                     best.add(q, rows, qu[q] @ u[rows].T)
     out_q, out_id, out_s, out_p = [], [], [], []
     for q in everything.tolist():
-        rows = best.row[q][np.isfinite(best.score[q])] if best.score.shape[1] else []
+        rows = near(q) if best.score.shape[1] else []
         if not len(rows):
             continue
         s = np.minimum((u[rows] * qu[q]).sum(axis=1), 1.0)
         need = np.array([rank_q[q, np.arange(ub.shape[1]), ub[r]].min() + 1 for r in rows])
         got = []
+        if len(rows) > k + 4:  # the best k + 1 by score and smallest id hold the answer: one may be the query
+            keep = np.lexsort((ids[by[start[rows]]], -s))[: k + 1]
+            rows, s, need = rows[keep], s[keep], need[keep]
         for r, score, p in zip(rows.tolist(), s.tolist(), need.tolist(), strict=True):
             mine = by[start[r] : min(end[r], start[r] + k + 1)]
             got += [(-score, int(ids[m]), p) for m in mine if ids[m] != qid[q]]

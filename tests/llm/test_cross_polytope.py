@@ -105,3 +105,19 @@ def test_queries_far_from_all_groups_find_enough(spark):
     want = brute(rows)
     assert all(len(got[q]) == len(v) for q, v in want.items())
     assert len(got[50]) == 5 and len(got[1000]) == 1
+
+
+def test_many_ties_go_to_the_smallest_ids(spark):
+    """Scaled copies and axis-aligned vectors: any number of distinct vectors of one score."""
+    x = np.random.default_rng(4).normal(size=16)
+    rows = [(0, [float(v) for v in x], "q")] + [(101 + i, [float(v * 2.0 ** (i % 30 - 15)) for v in x], "x") for i in np.random.default_rng(1).permutation(60).tolist()]
+    axes = np.eye(16)
+    rows += [(1000 + 50 * i, [float(v) for v in axes[i % 16] * (1 + i // 16)], "a") for i in range(64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string").repartition(2)
+    for probes in (10_000, 3):
+        got = result(cp.nearest(df, F.col("vec_id") % 50 == 0, probes=probes, tables=4))
+        assert [i for i, _ in got[0]] == [101, 102, 103, 104, 105]
+        assert [i for i, _ in got[1000]][:3] == [1800, 2600, 3400]  # its own axis
+    exact = brute(rows)
+    got = result(cp.nearest(df, F.col("vec_id") % 50 == 0, probes=10_000, tables=4))
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in exact.items()}
