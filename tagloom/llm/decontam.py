@@ -13,7 +13,9 @@ after lower-casing A-Z.
 
 An automaton is sent to every task, so its size is bounded: items are dealt
 to blocks of at most BLOCK_WORDS words, and the documents pass the blocks one
-after the other, each pass adding the spans it finds, without a shuffle.
+after the other, each pass adding the spans it finds, without a shuffle; what a
+pass found is written to the shared folder, so one automaton is held at a time.
+The result does not depend on the blocks.
 
 Defined cases: null or empty texts have no words, no hits and are kept;
 every row of the input gives one row, repeated rows too; items without words
@@ -25,12 +27,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import OWN, append_columns, text_bytes
+from tagloom.llm.common import OWN, append_columns, staged, text_bytes
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -210,6 +213,7 @@ def find_spans(
     spark = docs.sparkSession
     out = None
     for block in blocks(items, block_words=block_words):
+        out = None if out is None else staged(out, "decontam-spans")
         sent = spark.sparkContext.broadcast(Automaton(block, window))
 
         def make(sent=sent):
@@ -294,39 +298,19 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without the matched spans, and without rows matched for more than ``max_coverage``.
 
-    Cutting a span may join words into a new match, so a text passes a
-    block's automaton again until it matches nothing there.  ``length_col``,
+    Cutting the spans of all items may join words into a new match, so texts
+    that were cut are looked at again until they match nothing.  ``length_col``,
     where present, is set to the new number of characters of changed texts.
     Other rows are unchanged.
     """
-    spark, names, out = docs.sparkSession, docs.columns, docs
-    own = {k: F.col(OWN + "old_" + k) for k in ("cut", "n_words", "n_cut")}
-    for block in blocks(items, block_words=block_words):
-        sent = spark.sparkContext.broadcast(Automaton(block, window))
-
-        def make(sent=sent):
-            sam = sent.value
-
-            def f(text, cut=None, n_words=None, n_cut=None):
-                got = {"cut": [], "n_words": [], "n_cut": []}
-                for k, t in enumerate(text):
-                    old = cut[k] if cut else None
-                    new, removed = clean(t if old is None else old.encode(), sam)
-                    got["cut"].append(new.decode() if removed else old)
-                    got["n_words"].append(n_words[k] if n_words else len(words(t)))
-                    got["n_cut"].append(removed + (n_cut[k] if n_cut else 0))
-                return got
-
-            return f
-
-        inputs = {"text": text_bytes(F.col(text_col))}
-        if out is not docs:
-            out = out.select(*names, *[F.col(OWN + k).alias(OWN + "old_" + k) for k in own])
-            inputs |= own
-        out = append_columns(out, inputs, "cut string, n_words long, n_cut long", make)
-        out = out.select(*names, *[OWN + k for k in own])
-    if out is docs:
+    names = docs.columns
+    two = list(islice(blocks(items, block_words=block_words), 2))
+    if not two:
         return docs
+    if len(two) == 1:
+        out = _cut_in_place(docs, text_col, Automaton(two[0], window))
+    else:
+        out = _cut_in_rounds(docs, items, text_col, window, block_words)
     out = out.filter(F.col(OWN + "n_cut") <= F.col(OWN + "n_words") * max_coverage)
     new = F.col(OWN + "cut")
     cols = []
@@ -341,6 +325,72 @@ def decontaminate(
     return out.select(*cols)
 
 
+_STATE = "cut string, n_words long, n_cut long"
+
+
+def _cut_in_place(docs: DataFrame, text_col: str, sam: Automaton) -> DataFrame:
+    """OWN-prefixed cut (null: unchanged), n_words and n_cut by one automaton of all items."""
+    sent = docs.sparkSession.sparkContext.broadcast(sam)
+
+    def make():
+        def f(text):
+            got = [clean(t, sent.value) for t in text]
+            return {
+                "cut": [new.decode() if n else None for new, n in got],
+                "n_words": [len(words(t)) for t in text],
+                "n_cut": [n for _, n in got],
+            }
+
+        return f
+
+    return append_columns(docs, {"text": text_bytes(F.col(text_col))}, _STATE, make)
+
+
+def _cut_in_rounds(docs: DataFrame, items: DataFrame, text_col: str, window: int, block_words: int) -> DataFrame:
+    """The same over several blocks: a round finds the spans of all of them, then cuts; cut texts go another round."""
+    names = docs.columns
+    state = {"cut": F.lit(None).cast("string"), "n_words": F.lit(None).cast("long"), "n_cut": F.lit(0).cast("long")}
+    left = docs.select(*names, *[c.alias(OWN + "s_" + k) for k, c in state.items()])
+    done: list[DataFrame] = []
+
+    def make():
+        def f(text, in_spans, in_words, first, in_cut, in_sum):
+            got = {"cut": [], "n_words": [], "n_cut": []}
+            for t, s, n, before, old, sum_ in zip(text, in_spans, in_words, first, in_cut, in_sum, strict=True):
+                pairs = list(zip(s[::2], s[1::2], strict=True))
+                got["cut"].append(cut(t, pairs).decode() if pairs else old)
+                got["n_words"].append(n if before is None else before)
+                got["n_cut"].append(sum_ + sum(b - a for a, b in pairs))
+            return got
+
+        return f
+
+    while True:
+        now = text_bytes(F.coalesce(F.col(OWN + "s_cut"), F.col(text_col)))
+        found = find_spans(left.withColumn(OWN + "now", now.cast("string")), items, OWN + "now", window, block_words)
+        inputs = {
+            "text": text_bytes(F.col(OWN + "now")), "in_spans": F.col(OWN + "spans"), "in_words": F.col(OWN + "n_words"),
+            "first": F.col(OWN + "s_n_words"), "in_cut": F.col(OWN + "s_cut"), "in_sum": F.col(OWN + "s_n_cut"),
+        }
+        after = append_columns(found, inputs, "r_cut string, r_n_words long, r_n_cut long", lambda: _renamed(make()))
+        after = after.select(
+            *names, *[F.col(f"{OWN}r_{k}").alias(OWN + k) for k in state], (F.size(OWN + "spans") > 0).alias(OWN + "again")
+        )
+        after = staged(after, "decontam-round")
+        done.append(after.filter(~F.col(OWN + "again")).drop(OWN + "again"))
+        left = after.filter(OWN + "again").select(*names, *[F.col(OWN + k).alias(OWN + "s_" + k) for k in state])
+        if left.isEmpty():
+            break
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def _renamed(f):
+    return lambda **kw: {"r_" + k: v for k, v in f(**kw).items()}
+
+
 def clean(text: bytes, sam: Automaton) -> tuple[bytes, int]:
     """``text`` without matches, and the number of words removed."""
     removed = 0

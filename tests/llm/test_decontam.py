@@ -69,8 +69,9 @@ def test_removal_leaves_no_match_and_clean_rows_alone(spark, block_words):
     out = decontam.decontaminate(given, spark.createDataFrame(items, ITEMS), window=6, block_words=block_words)
     assert out.columns == given.columns
     left = [(x["doc_id"], x["text"]) for x in out.collect()]
-    if block_words == 1000:
-        assert not any(h for _, _, h, *_ in brute(left, items, 6))
+    assert not any(h for _, _, h, *_ in brute(left, items, 6))
+    whole = decontam.decontaminate(given, spark.createDataFrame(items, ITEMS), window=6)
+    assert bag(out) == bag(whole)
     clean = {(d, t) for (d, t, *_), (*_, hit) in zip(sorted(r, key=repr), [x[5:] for x in brute(r, items, 6)], strict=False) if not hit}
     hits = {x[0] for x in brute(r, items, 6) if x[5]}
     clean = [(d, t) for d, t, *_ in r if d not in hits]
@@ -100,3 +101,13 @@ def test_cutting_joins_words_into_a_new_match():
     sam = decontam.Automaton([("i", b"a b c d"), ("j", b"p q r s")], window=4)
     text, removed = decontam.clean(b"x p q a b c d r s y", sam)
     assert text.split() == [b"x", b"y"] and removed == 8
+
+
+@pytest.mark.parametrize("block_words", [10, 1000])
+def test_cuts_that_join_matches_of_other_blocks(spark, block_words):
+    a, b = [f"w{i}" for i in range(10)], [f"x{i}" for i in range(10)]
+    text = " ".join([*a[:5], *b, *a[5:]])
+    given = spark.createDataFrame([(1, f"{'p ' * 30}{text} end", None, None, 0), (2, text, None, None, 0)], SCHEMA)
+    items = spark.createDataFrame([("a", " ".join(a)), ("b", " ".join(b))], "item_id string, text string")
+    out = decontam.decontaminate(given, items, block_words=block_words)
+    assert [(r["doc_id"], r["text"].split(), r["n_chars"]) for r in out.collect()] == [(1, ["p"] * 30 + ["end"], len("p " * 30 + " end"))]
