@@ -46,7 +46,7 @@ from tagloom.llm.common import doc_bucket, map_batches, staged, text_bytes
 from tagloom.llm.tokens import tokenizer_path
 
 PIECES = "piece_bpe_32k.model"
-LONGEST = 8  # bytes of the longest piece used
+LONGEST = 8  # bytes of a span that is looked up in the packed table; longer pieces are edges of their own
 MAX_LABELS = 8  # the largest labels are classes of their own, the rest share one
 SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,")
 MANY_SIGNS = 0.05  # share of a text's bytes
@@ -76,6 +76,8 @@ class PieceTable:
         self.none = len(entries) + 1
         self.id = np.full(size, self.none, np.int32)
         for i, p in enumerate(entries):
+            if not p:  # no entry
+                continue
             k = np.array([int.from_bytes(p, "little")], np.uint64)
             at = int(self.slot(k, len(p))[0])
             while self.length[at]:
@@ -117,7 +119,30 @@ class Pieces:
         self.eow = len(entries)
         self.none = self.eow + 1
         self.first = np.array([p[:1] == MARK for p in entries] + [False])
-        self.table = PieceTable(entries)
+        self.table = PieceTable([p if len(p) <= LONGEST else b"" for p in entries])
+        # longer pieces by their first bytes
+        self.long: dict[int, list[tuple[bytes, int]]] = {}
+        for i, p in enumerate(entries):
+            if len(p) > LONGEST:
+                self.long.setdefault(int.from_bytes(p[:LONGEST], "little"), []).append((p, i))
+        self.long_heads = np.array(sorted(self.long), dtype=np.uint64)
+
+    def long_edges(self, words: list[bytes]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Spans of equally long words that are longer pieces: (start, end, rows, ids), by start and end."""
+        n = len(words[0])
+        if n <= LONGEST or not len(self.long_heads):
+            return []
+        chars = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), n).astype(np.uint64)
+        key = np.zeros((len(words), n - LONGEST), np.uint64)
+        for i in range(LONGEST):
+            key |= chars[:, i : i + n - LONGEST] << np.uint64(8 * i)
+        at = np.minimum(np.searchsorted(self.long_heads, key), len(self.long_heads) - 1)
+        found: dict[tuple[int, int], list] = {}
+        for row, a in np.argwhere(self.long_heads[at] == key).tolist():
+            for p, i in self.long[int(key[row, a])]:
+                if words[row].startswith(p, a):
+                    found.setdefault((a, a + len(p)), []).append((row, i))
+        return [(a, b, *np.array(x).T) for (a, b), x in sorted(found.items())]
 
     def start(self) -> np.ndarray:
         """Scores by the vocabulary's own order, normalised in both distributions."""
@@ -135,8 +160,8 @@ class Pieces:
         return np.log(out)
 
 
-def load_pieces(path: str | None = None, longest: int = LONGEST) -> Pieces:
-    """Pieces of a public vocabulary file in its order, with every single byte and the bare mark."""
+def load_pieces(path: str | None = None) -> Pieces:
+    """Pieces of a public vocabulary file in its order, of every length, with every single byte and the bare mark."""
     import sentencepiece
 
     m = sentencepiece.SentencePieceProcessor(model_file=path or tokenizer_path(PIECES))
@@ -145,7 +170,7 @@ def load_pieces(path: str | None = None, longest: int = LONGEST) -> Pieces:
         if m.is_control(i) or m.is_unknown(i) or m.is_byte(i):
             continue
         p = m.id_to_piece(i).replace("▁", " ").encode()
-        if len(p) <= longest and p.rfind(MARK) <= 0:
+        if p.rfind(MARK) <= 0:
             seen[p] = None
     for b in [MARK] + [bytes([c]) for c in range(256)]:
         seen.setdefault(b)
@@ -178,25 +203,38 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
         return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def forward(edge: np.ndarray, length: int, longest: int = LONGEST) -> list[np.ndarray]:
-    """Log of the summed weight of all paths to each place; ``edge``: (spans, ...) log scores."""
+def forward(edge: np.ndarray, length: int, longest: int = LONGEST, long: list = ()) -> list[np.ndarray]:
+    """Log of the summed weight of all paths to each place; ``edge``: (spans, ...) log scores.
+
+    ``long``: further edges (start, end, rows, scores of those rows).
+    """
     alpha = [np.zeros(edge.shape[1:])]
+    into: dict[int, list] = {}
+    for a, b, rows, s in long:
+        into.setdefault(b, []).append((a, rows, s))
     at = 0
     for b in range(1, length + 1):
         a0 = max(0, b - longest)
         alpha.append(log_sum(np.stack(alpha[a0:b]) + edge[at : at + b - a0], 0))
         at += b - a0
+        for a, rows, s in into.get(b, ()):  # a row has one piece from a to b
+            alpha[b][rows] = np.logaddexp(alpha[b][rows], alpha[a][rows] + s)
     return alpha
 
 
-def backward(edge: np.ndarray, length: int, longest: int = LONGEST) -> list[np.ndarray]:
+def backward(edge: np.ndarray, length: int, longest: int = LONGEST, long: list = ()) -> list[np.ndarray]:
     """Log of the summed weight of all paths from each place to the end."""
+    out_of: dict[int, list] = {}
+    for a, b, rows, s in long:
+        out_of.setdefault(a, []).append((b, rows, s))
     start = np.cumsum([0] + [b - max(0, b - longest) for b in range(1, length + 1)])
     beta: list = [None] * length + [np.zeros(edge.shape[1:])]
     for a in range(length - 1, -1, -1):
         ends = range(a + 1, min(length, a + longest) + 1)
         rows = [start[b - 1] + a - max(0, b - longest) for b in ends]
         beta[a] = log_sum(np.stack([beta[b] for b in ends]) + edge[rows], 0)
+        for b, some, s in out_of.get(a, ()):
+            beta[a][some] = np.logaddexp(beta[a][some], beta[b][some] + s)
     return beta
 
 
@@ -217,8 +255,9 @@ def spell(words: list[bytes], pieces: Pieces, score: np.ndarray, longest: int =
     wide = np.concatenate([score.T, np.full((1, score.shape[0]), -np.inf)])
     marked = [MARK + w for w in words]
     for n, ks in by_length(marked):
-        ids = lattice_ids([marked[k] for k in ks], pieces, longest)
-        out[ks] = forward(wide[ids.T], n, longest)[n] + score[:, pieces.eow]
+        ws = [marked[k] for k in ks]
+        long = [(a, b, rows, wide[i]) for a, b, rows, i in pieces.long_edges(ws)]
+        out[ks] = forward(wide[lattice_ids(ws, pieces, longest).T], n, longest, long)[n] + score[:, pieces.eow]
     return out
 
 
@@ -232,13 +271,19 @@ def expected_counts(
     marked = [MARK + w for w in words]
     for n, ks in by_length(marked):
         c = cls[ks]
-        ids = lattice_ids([marked[k] for k in ks], pieces, longest).T
+        ws = [marked[k] for k in ks]
+        ids = lattice_ids(ws, pieces, longest).T
         edge = wide[c[None, :], ids]
-        alpha, beta = np.stack(forward(edge, n, longest)), np.stack(backward(edge, n, longest))
+        far = pieces.long_edges(ws)
+        long = [(a, b, rows, wide[c[rows], i]) for a, b, rows, i in far]
+        alpha, beta = np.stack(forward(edge, n, longest, long)), np.stack(backward(edge, n, longest, long))
         starts, ends = map(list, zip(*spans_of(n, longest), strict=True))
         use = np.exp(alpha[starts] + edge + beta[ends] - alpha[n])
         some = use > 1e-12
         got += np.bincount((c * (size + 1) + ids)[some], weights=use[some], minlength=len(got))
+        for (a, b, rows, i), (*_, s) in zip(far, long, strict=True):
+            use = np.exp(alpha[a, rows] + s + beta[b, rows] - alpha[n, rows])
+            got += np.bincount(c[rows] * (size + 1) + i, weights=use, minlength=len(got))
     got = got.reshape(classes, size + 1)[:, :size]
     got[:, pieces.eow] += np.bincount(cls, minlength=classes)
     return got
@@ -410,13 +455,13 @@ def score_words(words: DataFrame, classes: int, pieces: Pieces, score: np.ndarra
             c = np.stack([b.column(2 + k).to_numpy() for k in range(classes)], axis=1).astype(float)
             p = totals.log_prob(c, spell(ws, pieces, score) + share)
             yield {"word": b.column(0), "n": b.column(1), "c": c.sum(axis=1).astype(np.int64)} | {
-                f"p{k}": p[:, k].astype(np.float32) for k in range(classes)
+                f"p{k}": p[:, k] for k in range(classes)
             }
 
         return f
 
     given = words.select("word", "n", *[f"c{k}" for k in range(classes)])
-    return map_batches(given, make, "word binary, n long, c long, " + ", ".join(f"p{k} float" for k in range(classes)))
+    return map_batches(given, make, "word binary, n long, c long, " + ", ".join(f"p{k} double" for k in range(classes)))
 
 
 class Places(dict):
@@ -526,7 +571,7 @@ def lattice_scores(
         .agg(
             F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))).alias("k"),
             F.sum(F.col("n") * F.log10((F.col("c") + 1) / F.lit(float(size)))).alias("b"),
-            *[F.sum(F.col("n") * F.col("w" + p).cast("double")).alias("s" + p) for p in ps],
+            *[F.sum(F.col("n") * F.col("w" + p)).alias("s" + p) for p in ps],
         )
     )
     docs_rows = parts.filter(F.col("word").isNull()).join(joined, "uid", "left")

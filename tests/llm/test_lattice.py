@@ -130,3 +130,39 @@ def test_empty_and_all_held_out(spark):
 def test_without_a_class_column(spark):
     d = spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string")
     assert lattice.lattice_scores(d).count() == 2
+
+
+def test_pieces_of_any_length_are_in_the_lattice():
+    """A small vocabulary with long pieces, overlapping and of one beginning, against all paths."""
+    p = lattice.Pieces(
+        [b" ", b" a", b"a", b"b", b"abababab", b"ababababa", b"ababababab", b" abababab", b" babababababab", b"bbbbbbbbbbbbbbbbbbbb", b"ab"]
+    )
+    rng = np.random.default_rng(3)
+    score = p.normal(rng.uniform(0.1, 1, (2, p.eow + 1)), 0.0)
+    words = [b"ab" * 7, b"ba" * 7 + b"b", b"b" * 22, b"a" + b"b" * 25, b"abababa", b"ab" * 12]
+    got = lattice.spell(words, p, score)
+    for i, w in enumerate(words):
+        for k in (0, 1):
+            assert got[i, k] == pytest.approx(math.log(all_paths(w, p, score[k])))
+    eps = 1e-5
+    uses = lattice.expected_counts(words, np.zeros(len(words), int), p, score[:1])[0]
+    for k in range(p.eow + 1):
+        up, down = score[:1].copy(), score[:1].copy()
+        up[0, k] += eps
+        down[0, k] -= eps
+        slope = (lattice.spell(words, p, up).sum() - lattice.spell(words, p, down).sum()) / (2 * eps)
+        assert uses[k] == pytest.approx(slope, abs=1e-3)
+
+
+def test_every_piece_changes_the_score_of_a_word_that_holds_it():
+    """Each piece of the vocabulary file, whatever its length, as a word of its own (with a letter after it)."""
+    p = lattice.load_pieces()
+    assert max(map(len, p.entries)) > 2 * lattice.LONGEST
+    score = p.start()[None, :]
+    words = [x[1:] + b"q" if x[:1] == lattice.MARK else b"q" + x + b"q" for x in p.entries]
+    before = lattice.spell(words, p, score)[:, 0]
+    for part in range(4):  # a quarter of the pieces at a time: all others keep their scores
+        without = score.copy()
+        without[0, part : p.eow : 4] -= 3.0
+        changed = lattice.spell(words, p, without)[:, 0] < before - 1e-12
+        assert changed[part :: 4].all()
