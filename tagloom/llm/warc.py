@@ -10,8 +10,11 @@ A task writes bundles from its own partition, without a shuffle.  File names
 hold a fresh identifier, so a task that is tried again writes new files, and
 the index holds only those of the attempt that succeeded.
 
-Defined cases: a null html is an empty payload; null urls are written as
-empty; a null id is a record like others (ids compare with null smallest).
+Records are WARC/1.1: responses and revisits hold an HTTP response block with
+all mandatory fields, so other readers take them.
+
+Defined cases: a null html is an empty payload; null urls are read back as
+empty (their target URI is the record's own identifier); a null id is a record like others (ids compare with null smallest).
 Of fully equal rows (id, url and payload) one is the response.  Columns other
 than id, url and payload are not read.  An empty table gives no bundle and an
 empty index.
@@ -20,6 +23,7 @@ empty index.
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
 import io
 import struct
@@ -53,25 +57,51 @@ READ_SCHEMA = (
 # --- one record --------------------------------------------------------------
 
 
-def record_bytes(page_id, url, payload: bytes, digest: str, refers_to=None, revisit=False, rid="") -> bytes:
-    """A WARC/1.1 record; a revisit keeps the payload's digest and length but not its bytes."""
+def response_id(page_id, url, digest: str) -> str:
+    """Identifier of the response of a payload: revisits name it without looking for it."""
+    return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}\n{url}\n{digest}"))
+
+
+def _uri(url: str | None, rid: str) -> str:
+    """A target URI; a page without a url is named by its record."""
+    return "".join(c if "!" <= c <= "~" else "".join(f"%{b:02X}" for b in c.encode()) for c in url) if url else f"urn:uuid:{rid}"
+
+
+def record_bytes(page_id, url, payload: bytes, digest: str, refers_to=None, revisit=False, rid="", date="", refers_url=None) -> bytes:
+    """A WARC/1.1 record whose block is an HTTP response.
+
+    A revisit has the response's HTTP header but not its payload, and names the
+    record, the URI and the date of what it repeats.  Ids and the url as given
+    travel in extension fields.
+    """
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <urn:uuid:{rid}>",
-        f"WARC-Target-URI: {(url or '').replace(chr(13), '%0D').replace(chr(10), '%0A')}",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {_uri(url, rid)}",
+        "Content-Type: application/http;msgtype=response",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {len(payload)}",
     ]
+    if url:
+        head.append(f"X-URL: {base64.b64encode(url.encode()).decode()}")
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if revisit:
-        head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
+        first = response_id(refers_to, refers_url, digest)
+        head += [
+            "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+            f"WARC-Refers-To: <urn:uuid:{first}>",
+            f"WARC-Refers-To-Target-URI: {_uri(refers_url, first)}",
+            f"WARC-Refers-To-Date: {date}",
+        ]
         if refers_to is not None:
             head.append(f"X-Refers-To-Page-ID: {refers_to}")
-    body = b"" if revisit else payload
-    head.append(f"Content-Length: {len(body)}")
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    block = http if revisit else http + payload
+    head.append(f"Content-Length: {len(block)}")
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def parse_record(raw: bytes) -> dict:
@@ -80,11 +110,14 @@ def parse_record(raw: bytes) -> dict:
     lines = head.decode().split("\r\n")
     if lines[0] != "WARC/1.1":
         raise ValueError("not a WARC record")
-    h = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
+    h = dict(x.split(": ", 1) for x in lines[1:])
     n = int(h["Content-Length"])
-    body = rest[:n]
-    if len(body) != n or rest[n:] != b"\r\n\r\n":
+    block = rest[:n]
+    if len(block) != n or rest[n:] != b"\r\n\r\n":
         raise ValueError("record cut short")
+    http, _, body = block.partition(b"\r\n\r\n")
+    if not http.startswith(b"HTTP/1.1 "):
+        raise ValueError("not an HTTP response")
     kind, digest = h["WARC-Type"], h["WARC-Payload-Digest"].removeprefix("sha1:")
     if kind == "response" and digest != payload_digest(body):
         raise ValueError("payload digest differs")
@@ -92,7 +125,7 @@ def parse_record(raw: bytes) -> dict:
     return {
         "record_id": h["WARC-Record-ID"][10:-1],
         "page_id": num("X-Page-ID"),
-        "url": h["WARC-Target-URI"],
+        "url": base64.b64decode(h.get("X-URL", "")).decode(),
         "record_type": kind,
         "refers_to": num("X-Refers-To-Page-ID"),
         "payload_bytes": num("X-Payload-Length"),
@@ -220,7 +253,7 @@ class BundleReader:
 
 
 def record_types(pages: DataFrame, id_col="page_id", url_col="url", payload_col="html", min_bytes: int = 0) -> DataFrame:
-    """Rows to write: page_id, url, payload, revisit, refers_to.
+    """Rows to write: page_id, url, payload, revisit, refers_to and refers_url (of the response).
 
     Rows with equal payloads of ``min_bytes`` or more share one response, the
     one with the largest (id, url).  Only payloads that occur more than once
@@ -247,7 +280,8 @@ def record_types(pages: DataFrame, id_col="page_id", url_col="url", payload_col=
     is_top = F.col("page_id").eqNullSafe(F.col("top.page_id")) & F.col("url").eqNullSafe(F.col("top.url"))
     j = j.withColumn("is_top", F.col("top").isNull() | is_top)
     plain = j.filter(~F.col("is_top") | F.col("top").isNull() | (F.col("top.n") == 1)).select(
-        "page_id", "url", "payload", (~F.col("is_top")).alias("revisit"), F.when(~F.col("is_top"), F.col("top.page_id")).alias("refers_to")
+        "page_id", "url", "payload", (~F.col("is_top")).alias("revisit"), F.when(~F.col("is_top"), F.col("top.page_id")).alias("refers_to"),
+        F.when(~F.col("is_top"), F.col("top.url")).alias("refers_url"),
     )
     if several.filter("top.n > 1").isEmpty():
         return plain
@@ -257,13 +291,22 @@ def record_types(pages: DataFrame, id_col="page_id", url_col="url", payload_col=
         .groupBy("sha", "page_id", "url")
         .agg(F.first("payload").alias("payload"), F.count("*").alias("n"))
         .select("page_id", "url", "payload", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("k"))
-        .select("page_id", "url", "payload", (F.col("k") > 1).alias("revisit"), F.when(F.col("k") > 1, F.col("page_id")).alias("refers_to"))
+        .select("page_id", "url", "payload", (F.col("k") > 1).alias("revisit"), F.when(F.col("k") > 1, F.col("page_id")).alias("refers_to"),
+                F.when(F.col("k") > 1, F.col("url")).alias("refers_url"))
     )
     return plain.unionByName(equal)
 
 
-def write_bundles(records: DataFrame, root: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
-    """Write the rows of ``record_types`` as bundles below ``root``; lazy index of INDEX_SCHEMA."""
+def write_bundles(
+    records: DataFrame, root: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES,
+    date: str | None = None, min_bytes: int = 0,
+) -> DataFrame:
+    """Write the rows of ``record_types`` as bundles below ``root``; lazy index of INDEX_SCHEMA.
+
+    ``date`` is the records' WARC-Date (default: now), one for the whole run;
+    ``min_bytes`` is that of ``record_types``: shorter payloads share no response.
+    """
+    date = date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def make():
         w = BundleWriter(root, frame_bytes, bundle_bytes)
@@ -275,9 +318,10 @@ def write_bundles(records: DataFrame, root: str, frame_bytes: int = FRAME_BYTES,
                 yield dict(zip(names, map(list, zip(*rows, strict=True)), strict=True))
 
         def f(b):
-            for p, u, raw, rev, ref in zip(*[b.column(i).to_pylist() for i in range(5)], strict=True):
-                rid = str(uuid.uuid4())
-                w.add(rid, p, record_bytes(p, u, raw, payload_digest(raw), ref, rev, rid))
+            for p, u, raw, rev, ref, ref_url in zip(*[b.column(i).to_pylist() for i in range(6)], strict=True):
+                digest = payload_digest(raw)
+                rid = str(uuid.uuid4()) if rev or len(raw) < min_bytes else response_id(p, u, digest)
+                w.add(rid, p, record_bytes(p, u, raw, digest, ref, rev, rid, date, ref_url))
             yield from drain()
 
         def finish():
@@ -287,7 +331,7 @@ def write_bundles(records: DataFrame, root: str, frame_bytes: int = FRAME_BYTES,
         f.finish = finish
         return f
 
-    return map_batches(records.select("page_id", "url", "payload", "revisit", "refers_to"), make, INDEX_SCHEMA)
+    return map_batches(records.select("page_id", "url", "payload", "revisit", "refers_to", "refers_url"), make, INDEX_SCHEMA)
 
 
 def read_records(index: DataFrame, payload: bool = True) -> DataFrame:
@@ -327,5 +371,5 @@ def warc_round_trip(spark: SparkSession, pages: DataFrame, root: str | None = No
     root = root.replace("file:///", "file:/").replace("file:/", "file:///")
     open_fs, path = open_shared(root)
     open_fs.create_dir(path, recursive=True)
-    index = staged(write_bundles(record_types(pages, min_bytes=min_bytes), root), "warc-index")
+    index = staged(write_bundles(record_types(pages, min_bytes=min_bytes), root, min_bytes=min_bytes), "warc-index")
     return read_records(index, payload=False)

@@ -67,3 +67,50 @@ def test_bundles_frames_and_index(spark, tmp_path):
 
 def test_empty_table(spark):
     assert warc.warc_round_trip(spark, spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_records_are_valid_warc(spark, tmp_path):
+    """Read as another program would: records one after the other, by their lengths alone."""
+    import re
+    from urllib.parse import urlparse
+
+    import zstandard
+
+    df = spark.createDataFrame(pages() + [(200, "http://e/a b/ü?q=1", "unicode url", "x"), (201, "", "no url", "x")], PAGES).repartition(2)
+    warc.write_bundles(warc.record_types(df), f"file://{tmp_path}", frame_bytes=2000).collect()
+    found = []
+    for path in sorted(tmp_path.glob("*.zst")):
+        raw = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(path.read_bytes()), read_across_frames=True).read()
+        while raw:
+            head, _, rest = raw.partition(b"\r\n\r\n")
+            version, *lines = head.decode("ascii").split("\r\n")
+            h = dict(x.split(": ", 1) for x in lines)
+            n = int(h["Content-Length"])
+            assert version == "WARC/1.1" and rest[n : n + 4] == b"\r\n\r\n" and len(h) == len(lines)
+            found.append((h, rest[:n]))
+            raw = rest[n + 4 :]
+    by_id = {h["WARC-Record-ID"]: (h, block) for h, block in found}
+    assert len(by_id) == len(found) == len(pages()) + 2
+    for h, block in found:
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", h["WARC-Record-ID"])
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["WARC-Date"]) and h["Content-Type"] == "application/http;msgtype=response"
+        assert h["WARC-Target-URI"] and urlparse(h["WARC-Target-URI"]) and not re.search(r"\s", h["WARC-Target-URI"])
+        http, _, body = block.partition(b"\r\n\r\n")
+        status, *fields = http.decode("ascii").split("\r\n")
+        fields = dict(x.split(": ", 1) for x in fields)
+        assert status == "HTTP/1.1 200 OK" and fields["Content-Type"].startswith("text/html")
+        if h["WARC-Type"] == "response":
+            assert int(fields["Content-Length"]) == len(body)
+            assert h["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+        else:
+            first, whole = by_id[h["WARC-Refers-To"]]
+            assert first["WARC-Type"] == "response" and first["WARC-Payload-Digest"] == h["WARC-Payload-Digest"] and body == b""
+            assert (h["WARC-Refers-To-Target-URI"], h["WARC-Refers-To-Date"]) == (first["WARC-Target-URI"], first["WARC-Date"])
+            assert int(fields["Content-Length"]) == len(whole.partition(b"\r\n\r\n")[2]) and h["WARC-Profile"].endswith("identical-payload-digest")
+
+
+def test_urls_come_back(spark):
+    urls = {1: "http://e/a b/ü?q=%20", 2: "u\r\nX: y", 3: "", 4: None, 5: "http://e/5"}
+    df = spark.createDataFrame([(i, u, f"page {i}", "x") for i, u in urls.items()], PAGES)
+    got = warc.warc_round_trip(spark, df).collect()
+    assert {r["page_id"]: r["url"] for r in got} == {i: u or "" for i, u in urls.items()}
