@@ -38,6 +38,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# A key is hot when it has more than one in HOT_KEYS of the rows: there are always fewer of them than that.
+HOT_KEYS = 1000
+
+
+def join_hot(big: DataFrame, one: DataFrame, keys: list[str], count: str, total: int | None = None) -> DataFrame:
+    """Inner join of ``big`` with ``one``, which has one row per key, however many rows of ``big`` a key has.
+
+    ``count`` is a column of ``one``, at least the key's number of rows in
+    ``big``; ``total``, its sum, is read from ``one`` where it is not given.
+    The rows of hot keys stay where they are and meet the fewer than HOT_KEYS
+    rows of ``one`` that are broadcast; all others are shuffled on the key.
+    Null keys meet nothing.
+    """
+    if total is None:
+        total = one.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) * HOT_KEYS > F.lit(int(total))
+    hot = F.broadcast(one.filter(is_hot))
+    usual = big.join(hot.select(*keys), keys, "left_anti").join(one.filter(~is_hot), keys)
+    return usual.unionByName(big.join(hot, keys))
+
+
 # Bytes of an Arrow batch: documents are long, and a worker holds some copies of a batch.
 BATCH_BYTES = 8 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"

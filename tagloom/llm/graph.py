@@ -1,11 +1,16 @@
-"""Connected components of an edge table by alternating star steps."""
+"""Connected components of an edge table by alternating star steps.
+
+Defined cases: edges with a null end are left out; an edge from a node to
+itself and repeated edges add nothing (a node with no other edge is in no
+component); an empty table gives an empty result; other columns are not read.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import staged
+from tagloom.llm.common import join_hot, staged
 
 MAX_ROUNDS = 60
 
@@ -16,17 +21,20 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     The component is its smallest node.  Each round links the larger
     neighbours of every node to its smallest one, then the smaller ones; the
     number of rounds grows with the logarithm of the longest chain.  Every
-    round is a written table.
+    round is a written table.  The rows of a hub are not brought together.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     e = staged(e, name)
     mark = _mark(e)
     for _ in range(MAX_ROUNDS):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        low = low.select("u", F.least("u", "m").alias("m"), "n")
+        total = 2 * mark[0]  # rows of both, and no fewer than the larger neighbours
+        large = join_hot(both.filter("v > u"), low, ["u"], "n", total)
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_hot(large, low, ["u"], "n", total).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = staged(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)
         now = _mark(e)
         if now == mark:

@@ -2,7 +2,9 @@
 
 A store holds, for every committed batch, the signed rows of single documents
 (the ledger) and their sums by source, language and tokenizer version (the
-deltas).  Totals are the sum of the deltas, so a batch costs what it changes.
+deltas).  Totals are the sum of the deltas.  The ledger lies in partitions by
+a hash of the document, and a batch reads those that its deletes and revisions
+fall into, so a small batch costs what it changes.
 
 A batch of changes inserts, deletes or revises documents under a tokenizer
 version.  Deletes and revisions look up the live ledger rows of their
@@ -29,15 +31,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import map_batches, staged, text_bytes
+from tagloom.llm.common import join_hot, map_batches, staged, text_bytes
 from tagloom.llm.tokens import WORD_BPE, tokenizer_path, word_tokenizer
 from tagloom.session import scratch_path
 
 KEYS = ("source", "lang", "tokenizer_version")
 LEDGER = "doc_id long, source string, lang string, tokenizer_version string, n_tokens long, sign long"
+PART = "_part"
+PARTS = 64  # ledger partitions; part of the stored layout
 DELTAS = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
 
 
+def part_of(doc_id: F.Column) -> F.Column:
+    """The ledger partition of a document."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(PARTS)).cast("int")
+
+
 class RollupStore:
     """Batches, their markers and totals below one folder that all executors share."""
 
@@ -77,13 +86,15 @@ class RollupStore:
         return True
 
     def _read(self, part: str, schema: str) -> DataFrame:
-        paths = [f"{self.root}/batches/{f}/{part}" for f in self.committed().values()]
+        paths = [f"{self.root}/{part}/attempt={f}" for f in self.committed().values()]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*sorted(paths))
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{part}").parquet(*sorted(paths))
 
-    def ledger(self) -> DataFrame:
-        return self._read("ledger", LEDGER)
+    def ledger(self, parts: list[int] | None = None) -> DataFrame:
+        """Signed rows of all batches, or those of some partitions (see ``part_of``)."""
+        rows = self._read("ledger", f"{LEDGER}, {PART} int")
+        return (rows if parts is None else rows.filter(F.col(PART).isin(parts))).drop(PART)
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer_version, n_docs, n_tokens; groups without live documents are left out."""
@@ -114,19 +125,23 @@ class RollupStore:
         out = changes.filter(F.col("op").isin("insert", "revise")).drop("op").withColumn("sign", F.lit(1).cast("long"))
         if not old.isEmpty():
             keys = old.select(F.col("doc_id").alias("d"), F.col("tokenizer_version").alias("v")).distinct()
-            ledger = self.ledger()
+            parts = [r[0] for r in keys.select(part_of(F.col("d"))).distinct().collect()]  # at most PARTS numbers
+            ledger = self.ledger(parts)
             mine = ledger.join(
                 keys, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("tokenizer_version").eqNullSafe(F.col("v")), "left_semi"
             )
             live = mine.groupBy("doc_id", *KEYS, "n_tokens").agg((-F.sum("sign")).alias("sign")).filter("sign != 0")
             out = out.unionByName(live)
         folder = uuid.uuid4().hex
-        path = f"{self.root}/batches/{folder}"
-        out.write.parquet(f"{path}/ledger")
-        rows = self.spark.read.schema(LEDGER).parquet(f"{path}/ledger")
+        ledger, deltas = (f"{self.root}/{part}/attempt={folder}" for part in ("ledger", "deltas"))
+        # a document's rows are few; null ids share a partition and are dealt over several files of it
+        out = out.withColumn(PART, part_of(F.col("doc_id")))
+        spread = F.when(F.col("doc_id").isNull(), F.xxhash64(*KEYS, "n_tokens"))
+        out.repartition(PART, F.pmod(F.coalesce(spread, F.lit(0)), F.lit(8))).write.partitionBy(PART).parquet(ledger)
+        rows = self.spark.read.schema(LEDGER).parquet(ledger)
         rows.groupBy(*KEYS).agg(
             F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens")
-        ).write.parquet(f"{path}/deltas")
+        ).write.parquet(deltas)
         return self._commit(batch_id, folder)
 
 
@@ -174,8 +189,10 @@ def corpus_history(spark: SparkSession, docs: DataFrame, root: str | None = None
 
     def copies():
         rows = docs.select("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(17), "text").alias("b"))
+        rows = staged(rows, "rollup-texts")
         first = rows.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-        gone = rows.join(first, ["a", "b"]).filter("doc_id > first").select("doc_id").distinct()
+        first = staged(first, "rollup-copies")
+        gone = join_hot(rows, first, ["a", "b"], "n").filter("doc_id > first").select("doc_id").distinct()
         none = F.lit(None).cast("string")
         return both(gone.select("doc_id", none.alias("source"), none.alias("lang"), F.lit(0).alias("n_tokens")), "delete")
 

@@ -117,3 +117,28 @@ def test_corpus_history(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert rollups.corpus_history(spark, empty(spark), f"file://{tmp_path}/e").totals().count() == 0
+
+
+def test_a_small_batch_reads_its_partitions(spark, tmp_path):
+    store = rollups.RollupStore(spark, f"file://{tmp_path}/s")
+    apply(spark, store, "a", [("insert", i, "s", "en", "v1", i) for i in range(500)])
+    read = []
+    ledger = store.ledger
+    store.ledger = lambda parts=None: read.append(ledger(parts)) or read[-1]
+    apply(spark, store, "b", [("delete", 7, None, None, "v1", None), ("revise", 8, "t", "en", "v1", 1)])
+    assert 1 <= len({f.split("_part=")[1].split("/")[0] for f in read[0].inputFiles()}) and read[0].count() < 60
+    assert totals(store) == {("s", "en", "v1"): (498, sum(range(500)) - 15), ("t", "en", "v1"): (1, 1)}
+    assert ledger().count() == 503
+
+
+def test_hot_keys_meet_by_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from tagloom.llm.common import join_hot
+
+    big = spark.range(6000).select(F.when(F.col("id") < 3000, 0).when(F.col("id") < 5990, F.col("id")).alias("k"), "id")
+    one = big.groupBy("k").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+    got = join_hot(big, one, ["k"], "n")
+    assert got.count() == 5990 and got.filter("k = 0 and low = 0").count() == 3000
+    assert got.filter("k > 0 and low != id").count() == 0
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
