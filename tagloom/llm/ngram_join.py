@@ -4,9 +4,10 @@ A text is the set of its word n-grams (a shorter text is one n-gram).  Band
 and row counts are chosen so that a pair at the threshold meets in some band
 with the target recall.  Texts with equal sets are one class of copies and
 only one of them goes on.  The others are shuffled on their band hashes; the
-members of buckets form candidate groups, and every pair of a candidate group
-is verified on full sets, inside tasks: groups of up to ``BLOCK`` texts whole,
-larger ones as pairs of blocks, so that no task holds more than two blocks.
+members of buckets form candidate groups, whose texts are verified on full
+sets, inside tasks: groups of up to ``BLOCK`` texts whole, larger ones as pairs
+of blocks that meet in some band (``candidate_units``), so that no unit holds
+much more than two blocks.
 Tasks hand on, per text, its number of links and one link to the texts before
 it; pairs are never written out.
 
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import map_batches, staged, text_bytes
+from tagloom.llm.common import join_hot, map_batches, staged, text_bytes
 from tagloom.llm.graph import components
 from tagloom.operators.broadcast import maybe_broadcast
 
@@ -209,43 +210,73 @@ def signatures(docs: DataFrame, n: int, hasher: MinHash) -> DataFrame:
     return map_batches(given, make, "doc_id long, k1 long, k2 long, s1 long, s2 long, bands array<long>")
 
 
-def candidate_groups(reps: DataFrame) -> DataFrame:
-    """(rid, grp) of the texts that meet another in some band; a group holds all their meetings."""
+def candidate_units(reps: DataFrame, block: int) -> DataFrame:
+    """The units of verification: rid, c1, b1, c2, b2, side.
+
+    Texts that meet in bands form candidate groups.  A group of up to
+    ``block`` texts is one unit.  A text of a larger group has its home in the
+    largest bucket it is in; homes are cut into blocks of about ``block`` texts,
+    and two blocks are a unit where a band brings texts of their homes together.
+    So a long chain of texts costs its meetings, not the square of its length.
+    """
     band = reps.select("rid", F.explode("bands").alias("band"))
-    bucket = band.groupBy("band").agg(F.count("*").alias("n"), F.min("rid").alias("low")).filter("n > 1")
-    edges = band.join(bucket, "band").select(F.col("rid").alias("a"), F.col("low").alias("b"))
-    return components(edges, "ngram-candidates").select(F.col("node").alias("rid"), F.col("component").alias("grp"))
+    bucket = staged(band.groupBy("band").agg(F.count("*").alias("n"), F.min("rid").alias("low")).filter("n > 1"), "ngram-buckets")
+    meets = staged(join_hot(band, bucket, ["band"], "n"), "ngram-meetings")
+    groups = components(meets.select(F.col("rid").alias("a"), F.col("low").alias("b")), "ngram-candidates")
+    groups = staged(groups.select(F.col("node").alias("rid"), F.col("component").alias("grp")), "ngram-groups")
+    count = staged(groups.groupBy("grp").agg(F.count("*").alias("m")), "ngram-group-sizes")
+    zero = F.lit(0)
+    whole = join_hot(groups, count, ["grp"], "m").filter(F.col("m") <= block)
+    whole = whole.select("rid", F.col("grp").alias("c1"), zero.alias("b1"), F.col("grp").alias("c2"), zero.alias("b2"), zero.alias("side"))
+    large = count.filter(F.col("m") > block)
+    if large.isEmpty():
+        return whole
+    inside = join_hot(groups, large, ["grp"], "m").select("rid")
+    home = meets.join(inside, "rid").groupBy("rid").agg(F.max(F.struct("n", "band")).getField("band").alias("home"))
+    home = staged(home, "ngram-homes")
+    size = staged(home.groupBy("home").agg(F.count("*").alias("texts")), "ngram-home-sizes")
+    blocks = F.ceil(F.col("texts") / F.lit(float(block))).cast("int")
+    dealt = join_hot(home, size, ["home"], "texts").withColumn("blk", F.pmod(F.xxhash64("rid"), blocks).cast("int"))
+    at = meets.join(home, "rid").groupBy("band", "home").agg(F.count("*").alias("k"))
+    at = staged(at.select("band", "home"), "ngram-homes-of-bands")
+    # no more rows than meetings: each pair of homes of a band stands for a pair of texts that meet in it
+    pairs = at.join(at.select("band", F.col("home").alias("other")), "band").select("home", "other").distinct()
+    parts = size.select("home", F.explode(F.sequence(zero, blocks - 1)).alias("blk"))
+    cells = pairs.join(parts, "home").join(parts.select(F.col("home").alias("other"), F.col("blk").alias("j")), "other")
+    units = dealt.select("rid", "home", "blk").join(cells, ["home", "blk"])
+    mine, its = F.struct(F.col("home"), F.col("blk")), F.struct(F.col("other").alias("home"), F.col("j").alias("blk"))
+    low, high = F.least(mine, its), F.greatest(mine, its)
+    return whole.unionByName(
+        units.select(
+            "rid",
+            low.getField("home").alias("c1"),
+            low.getField("blk").alias("b1"),
+            high.getField("home").alias("c2"),
+            high.getField("blk").alias("b2"),
+            (mine > its).cast("int").alias("side"),
+        )
+    )
+
 
+UNIT = ("c1", "b1", "c2", "b2")
 
-def verify_groups(members: DataFrame, n: int, threshold: float, block: int) -> DataFrame:
-    """Verified links of candidate groups: rid, links, texts, to (one linked text or null).
 
-    ``members``: rid, grp, size (copies of the text), text.
+def verify_units(members: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Verified links of the units: rid, links, texts, to (one linked text or null).
+
+    ``members``: UNIT, side, rid, size (copies of the text), text.
     """
-    count = members.groupBy("grp").agg(F.count("*").alias("m"))
-    blocks = F.ceil(F.col("m") / F.lit(float(block))).cast("int")
-    m = members.join(count, "grp").withColumn("blocks", blocks)
-    m = m.withColumn("blk", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    units = m.select(
-        "grp",
-        F.least("blk", "other").alias("i"),
-        F.greatest("blk", "other").alias("j"),
-        (F.col("blk") > F.col("other")).cast("int").alias("side"),
-        "rid",
-        "size",
-        "text",
-    )
+    units = members.select(*UNIT, "side", "rid", "size", "text")
 
     def make():
         held: list[tuple] = []
 
         def work(rows):
-            cross = rows[0][1] != rows[0][2]
-            sets = [ngram_hashes(r[6], n) for r in rows]
-            side, sizes = np.array([r[3] for r in rows]), np.array([r[5] for r in rows], dtype=np.int64)
+            cross = rows[0][:2] != rows[0][2:4]
+            sets = [ngram_hashes(r[7], n) for r in rows]
+            side, sizes = np.array([r[4] for r in rows]), np.array([r[6] for r in rows], dtype=np.int64)
             links, texts, forest = verify(sets, sizes, side, threshold, cross)
-            rid = np.array([r[4] for r in rows], dtype=np.int64)
+            rid = np.array([r[5] for r in rows], dtype=np.int64)
             at = np.flatnonzero(links)
             out = {"rid": rid[at].tolist(), "links": links[at].tolist(), "texts": texts[at].tolist(), "to": [None] * len(at)}
             place = {int(p): k for k, p in enumerate(at)}
@@ -262,7 +293,7 @@ def verify_groups(members: DataFrame, n: int, threshold: float, block: int) -> D
         def f(b):
             cols = [c.to_pylist() for c in b.columns]
             for row in zip(*cols, strict=True):
-                if held and held[0][:3] != row[:3]:
+                if held and held[0][:4] != row[:4]:
                     yield work(held)
                     held.clear()
                 held.append(row)
@@ -270,7 +301,7 @@ def verify_groups(members: DataFrame, n: int, threshold: float, block: int) -> D
         f.finish = lambda: [work(held)] if held else ()
         return f
 
-    dealt = units.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
+    dealt = units.repartition(*UNIT).sortWithinPartitions(*UNIT)
     return map_batches(dealt, make, "rid long, links long, texts long, to long")
 
 
@@ -298,10 +329,9 @@ def ngram_join(
         F.first("bands").alias("bands"),
     )
     reps = staged(classes.withColumn("rid", F.monotonically_increasing_id()), "ngram-classes")
-    groups = staged(candidate_groups(reps.filter(F.col("bands").isNotNull())), "ngram-groups")
-    wanted = staged(
-        groups.join(reps, "rid").select("rid", "grp", "size", F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")), "ngram-wanted"
-    )
+    units = staged(candidate_units(reps.filter(F.col("bands").isNotNull()), block), "ngram-units")
+    wanted = units.select("rid").distinct().join(reps, "rid")
+    wanted = staged(wanted.select("rid", "size", F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")), "ngram-wanted")
     side, _ = maybe_broadcast(wanted.select("k1", "k2"))
     texts = (
         docs.select(*text_keys(F.col("text")), text_bytes(F.col("text")).alias("text"))
@@ -309,18 +339,19 @@ def ngram_join(
         .groupBy("k1", "k2")
         .agg(F.first("text").alias("text"))
     )
-    members = wanted.join(texts, ["k1", "k2"]).select("rid", "grp", "size", "text")
-    found = staged(verify_groups(members, n, threshold, block), "ngram-links")
+    members = wanted.join(texts, ["k1", "k2"]).join(units, "rid")
+    found = staged(verify_units(members, n, threshold), "ngram-links")
     linked = components(found.filter("to is not null").select(F.col("rid").alias("a"), F.col("to").alias("b")), "ngram-linked")
     per = found.groupBy("rid").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     per = reps.select("s1", "s2", "rid", "size", "copy_id").join(per, "rid", "left").join(
         linked.withColumnRenamed("node", "rid"), "rid", "left"
     )
     per = per.withColumn("component", F.coalesce("component", "rid"))
-    name = per.groupBy("component").agg(F.min("copy_id").alias("class_id"))
-    per = staged(per.join(name, "component"), "ngram-rows")
+    per = staged(per, "ngram-components")
+    name = staged(per.groupBy("component").agg(F.min("copy_id").alias("class_id"), F.count("*").alias("n")), "ngram-names")
+    per = staged(join_hot(per, name, ["component"], "n").drop("n"), "ngram-rows")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    out = sig.join(per, ["s1", "s2"]).select(
+    out = join_hot(sig, per, ["s1", "s2"], "size").select(
         "doc_id",
         "class_id",
         "copy_id",
@@ -338,9 +369,9 @@ def keep_one(docs: DataFrame, **kw) -> DataFrame:
 
     rows = staged(ngram_join(docs, keep_keys=True, **kw), "ngram-classes-of-rows")
     who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")
-    first = rows.groupBy("component").agg(F.min(who).alias("first"))
+    first = staged(rows.groupBy("component").agg(F.min(who).alias("first"), F.count("*").alias("rows")), "ngram-first")
     same = F.col("first") == who
-    judged = rows.join(first, "component").groupBy("doc_id", "k1", "k2").agg(
+    judged = join_hot(rows, first, ["component"], "rows").groupBy("doc_id", "k1", "k2").agg(
         F.count("*").alias("n"), F.bool_or(same).alias("stays")
     )
     # rows that go, and rows that stay but stand more than once

@@ -113,3 +113,21 @@ def test_components(spark):
             parent[y] = x
     assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_chain_costs_its_meetings(spark):
+    """Each text is like its neighbours only: the group is one, verified pairs grow with its length."""
+    steps, width = 1200, 60
+    ws = [f"w{i}" for i in range(steps * 4 + width)]
+    given = [(i, " ".join(ws[4 * i : 4 * i + width]), "en", "a", 1) for i in range(steps)]
+    df = spark.createDataFrame(given, SCHEMA).repartition(4)
+    hasher = ngram_join.MinHash(*ngram_join.band_counts(0.8, 0.999))
+    reps = ngram_join.staged(ngram_join.signatures(df, 5, hasher).withColumnRenamed("doc_id", "rid"), "test-chain")
+    units = ngram_join.candidate_units(reps, 64)
+    sizes = units.groupBy("c1", "b1", "c2", "b2").count().collect()
+    assert sum(r["count"] for r in sizes) < 60 * steps  # all pairs of blocks would be steps**2 / 64 texts, and grow so
+    assert sum(r["count"] ** 2 for r in sizes) < steps * steps
+    got = ngram_join.ngram_join(df, block=64).collect()
+    links = {r["doc_id"]: r["n_links"] for r in got}
+    assert {r["class_id"] for r in got} == {0} and links[0] == links[steps - 1] == 1
+    assert all(links[i] == 2 for i in range(1, steps - 1))
