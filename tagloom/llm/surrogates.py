@@ -8,6 +8,14 @@ in whatever format, gets the same one; it keeps the format of the mention:
 separators, letter case, country code, card issuer digit, key prefix, title,
 and for names gender and script.
 
+A name is keyed on itself, not on its title: its last word has one surrogate
+wherever it stands, so ``Mr Smith``, ``Dr Smith`` and ``Dr Kim Smith`` share
+it, and the words before it have one by the whole name.  A name of several
+words that a title has introduced is also replaced where it stands without
+one, later or earlier in that text (a last word alone is not, as it may be a common
+word).  Given names fit the gender of the title, or else of the name's other
+titles in that text.  Scripts: Latin, Cyrillic and Greek; others get Latin.
+
 Surrogates are checked: within a type, no two entities may share one, and none
 may be an entity of the corpus.  An entity that loses tries again with the
 next attempt number; almost all keep attempt 0, which needs no lookup when
@@ -72,12 +80,17 @@ FIRST_NAMES = {
     ("n", "latin"): "Alex Andrea Charlie Chris Eden Jamie Jordan Kim Morgan Noa Robin Sam Sasha Taylor Toni Yuri".split(),
     ("f", "cyrillic"): "Анна Вера Дарья Елена Ирина Лидия Мария Нина Ольга Полина Раиса София".split(),
     ("m", "cyrillic"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Максим Николай Олег Павел".split(),
-    ("n", "cyrillic"): "Саша Женя Валя Слава Шура Паша".split(),
-}
+    ("n", "cyrillic"): "Саша Женя Валя Слава Шура Паша Мика Ника Тони Робин Алекс Крис".split(),
+    ("f", "greek"): "Άννα Ελένη Μαρία Σοφία Ειρήνη Κατερίνα Δήμητρα Βασιλική".split(),
+    ("m", "greek"): "Γιώργος Νίκος Κώστας Γιάννης Δημήτρης Πέτρος Παύλος Αντώνης".split(),
+    ("n", "greek"): "Άλεξ Σάσα Ρόμπιν Κιμ Τζο Μπίλι Σάμι Κρις".split(),
+}  # of one script, lists are disjoint and equally long: a place in them tells names apart whatever the gender
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ha he ka ke ko la le lo ma me mo na ne no pa pe ra re ro sa se so ta te to va ve".split(),
     "cyrillic": "ба бе бо ва ве га го да де до жа за зо ка ке ко ла ле ло ма ме мо на не но па пе ра ре ро са се со та те".split(),
+    "greek": "βα βε βο γα γο δα δε δο ζα κα κε κο λα λε λο μα με μο να νε νο πα πε πο ρα ρε ρο σα σε σο τα τε το".split(),
 }
+SCRIPTS = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}  # all others: latin
 
 
 # --- what a match is ----------------------------------------------------------------
@@ -182,47 +195,99 @@ def _card(canon: Column, stream: Column, valid: Column) -> Column:
     return F.concat(body, last.cast("string"))
 
 
-def _name(canon: Column, kind: Column, attempt: Column, stream: Column) -> Column:
-    """As many words as the name has: a first name of the gender and script, then built last names."""
-    cyrillic = canon.rlike(r"\p{IsCyrillic}")
-    words = F.size(F.split(canon, "[ -]"))
+def _by_script(text: Column, made) -> Column:
+    """``made(script)`` of the script of a text."""
+    out = made("latin")
+    for script, sign in SCRIPTS.items():
+        out = F.when(text.rlike(sign), made(script)).otherwise(out)
+    return out
+
 
-    def first(script):
-        by = F.lit("")
-        for g in "fmn":
-            by = F.when(kind == f"name_{g}", _pick(stream, 0, FIRST_NAMES[g, script])).otherwise(by)
-        return by
+def _last_name(canon: Column, attempt: Column, stream: Column) -> Column:
+    """A built name of the script, a syllable longer with each attempt: the names never run out."""
 
-    def last(script, at):
-        # one syllable more with each attempt: the names never run out
+    def made(script):
         n = F.array(*[F.lit(x) for x in SYLLABLES[script]])
         parts = F.transform(
             F.sequence(F.lit(1), attempt + 3),
-            lambda i: F.element_at(n, (F.pmod(F.xxhash64(stream, at, i), F.size(n)) + 1).cast("int")),
+            lambda i: F.element_at(n, (F.pmod(F.xxhash64(stream, i), F.size(n)) + 1).cast("int")),
         )
         return F.initcap(F.array_join(parts, ""))
 
-    def whole(script):
-        # one word is a last name, so distinct names are not short of surrogates
-        more = F.transform(F.sequence(F.lit(2), F.greatest(words, F.lit(2))), lambda at: last(script, at))
-        return F.when(words == 1, last(script, F.lit(1))).otherwise(F.concat(first(script), F.lit(" "), F.array_join(more, " ")))
+    return _by_script(canon, made)
+
+
+def _given_places(canon: Column, attempt: Column, stream: Column) -> Column:
+    """``last name|places``: for each given word the places of its names in the lists, one more with each attempt.
+
+    Places that would show a given word of the entity itself give ``canon``, which is a real entity, so they lose.
+    """
+    given = F.substring_index(canon, "|", -1)
+    words = F.split(given, " ")
+
+    def made(script):
+        size = len(FIRST_NAMES["n", script])
+        one = lambda at, i: F.pmod(F.xxhash64(stream, at, i), F.lit(size)).cast("string")
+        word = lambda w, at: F.array_join(F.transform(F.sequence(F.lit(0), attempt), lambda i: one(at, i)), "-")
+        # held in a variable: it is looked at four times
+        places = F.array(F.array_join(F.transform(words, word), " "))
+        own = F.split(given, "[ -]")
+
+        def checked(p):
+            shown = F.concat_ws(" ", *[_shown(script, p, g) for g in "fmn"])
+            return F.when(F.arrays_overlap(F.split(F.lower(shown), "[ -]"), own), canon).otherwise(
+                F.concat(F.substring_index(canon, "|", 1), F.lit("|"), p)
+            )
+
+        return F.get(F.transform(places, checked), F.lit(0))
 
-    return F.when(cyrillic, whole("cyrillic")).otherwise(whole("latin"))
+    return _by_script(given, made)
+
+
+def _shown(script: str, places: Column, gender: str) -> Column:
+    n = F.array(*[F.lit(x) for x in FIRST_NAMES[gender, script]])
+    word = lambda w: F.array_join(F.transform(F.split(w, "-"), lambda x: F.element_at(n, x.cast("int") + 1)), "-")
+    return F.array_join(F.transform(F.split(places, " "), word), " ")
+
+
+def given_names(canon: Column, new: Column, gender: Column) -> Column:
+    """The given names that ``new`` (see ``_given_places``) stands for."""
+
+    def held(v):
+        def made(script):
+            f, m, n = (_shown(script, v["places"], g) for g in "fmn")
+            return F.when(v["gender"] == "f", f).when(v["gender"] == "m", m).otherwise(n)
+
+        return _by_script(F.substring_index(canon, "|", -1), made)
+
+    places = F.substring_index(new, "|", -1)
+    return F.get(F.transform(F.array(F.struct(places.alias("places"), gender.alias("gender"))), held), F.lit(0))
 
 
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """The canonical form of the entity's replacement."""
-    seed = F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string"))
+    """The canonical form of the entity's replacement (``last name|places`` for given names)."""
     held = F.struct(
-        F.sha2(seed, 512).alias("stream"),
+        _seeded(kind, canon, attempt, key).alias("stream"),
         grown(canon, kind, attempt).alias("canon"),
         (~canon.rlike("[g-zG-Z]")).alias("hex"),
         F.when(kind == "card", F.pmod(_luhn_sum(canon), F.lit(10)) == 0).alias("valid"),
     )
     # held in a variable, so what depends on the whole entity is found once, not for each of its letters
-    return F.get(
+    return F.when(kind.startswith("name"), name_surrogate(kind, canon, attempt, key)).otherwise(F.get(
         F.transform(F.array(held), lambda v: _made(kind, v["canon"], attempt, v["stream"], v["hex"], v["valid"])), F.lit(0)
     )
+    )
+
+
+def name_surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
+    """``surrogate`` of kinds name (a last name) and name_given."""
+    return F.get(F.transform(F.array(_seeded(kind, canon, attempt, key)), lambda stream: (
+        F.when(kind == "name_given", _given_places(canon, attempt, stream)).otherwise(_last_name(canon, attempt, stream))
+    )), F.lit(0))
+
+
+def _seeded(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string")), 512)
 
 
 def grown(canon: Column, kind: Column, attempt: Column) -> Column:
@@ -263,7 +328,6 @@ def _made(kind: Column, canon: Column, attempt: Column, stream: Column, hexadeci
         .when((kind == "email") & (at > 0), email)
         .when(kind == "card", _card(canon, stream, valid))
         .when(kind == "phone", phone)
-        .when(kind.startswith("name"), _name(canon, kind, attempt, stream))
         .otherwise(_letters(canon, stream, hexadecimal & (kind == "secret")))
     )
 
@@ -301,12 +365,43 @@ def _described(m: Column) -> Column:
     return F.struct(kind.alias("kind"), h.alias("head"), core.alias("core"), canonical(core, kind).alias("canon"))
 
 
+def _given(d: Column) -> Column:
+    """What stands before the last word of a name, null for a name of one word."""
+    return F.when(d["canon"].contains(" "), F.regexp_replace(d["canon"], " [^ ]*$", ""))
+
+
+def _parts(d: Column) -> Column:
+    """The entities of a mention, as (kind, canon): a name has its last word, and the whole of its words if there are more."""
+
+    def part(kind, canon):
+        return F.struct(kind.alias("kind"), canon.alias("canon"))
+
+    last = F.substring_index(d["canon"], " ", -1)
+    return (
+        F.when(~d["kind"].startswith("name"), F.array(part(d["kind"], d["canon"])))
+        .when(_given(d).isNull(), F.array(part(F.lit("name"), last)))
+        .otherwise(F.array(part(F.lit("name"), last), part(F.lit("name_given"), F.concat(last, F.lit("|"), _given(d)))))
+    )
+
+
+def _introduced(d: Column) -> Column:
+    """Distinct names of several words among the mentions of a text, longest first."""
+    names = F.filter(d, lambda x: x["kind"].startswith("name") & x["canon"].contains(" "))
+    return F.array_sort(
+        F.array_distinct(F.transform(names, lambda x: x["core"])), lambda a, b: F.length(b) - F.length(a)
+    )
+
+
+def _titled(d: Column, kind: str) -> Column:
+    return F.array_distinct(F.transform(F.filter(d, lambda x: (x["kind"] == kind) & x["canon"].contains(" ")), lambda x: x["canon"]))
+
+
 def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Distinct (kind, canon) of all texts."""
     m = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(PATTERN), F.lit(0)))).alias("m"))
     m = m.distinct()
     d = m.select(_described(F.col("m")).alias("d"))
-    return d.select("d.kind", "d.canon").distinct()
+    return d.select(F.explode(_parts(F.col("d"))).alias("e")).select("e.kind", "e.canon").distinct()
 
 
 def attempts(found: DataFrame, key: str = KEY) -> DataFrame | None:
@@ -354,20 +449,41 @@ def replace_entities(docs: DataFrame, text_col: str = "text", length_col: str |
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     out = docs.withColumn(OWN + "m", F.coalesce(found, F.array().cast("array<string>")))
+    # texts that introduce names of several words are searched once more, for these names too
+    out = out.withColumn(OWN + "names", _introduced(F.transform(F.col(OWN + "m"), _described)))
+    more = F.size(OWN + "names") > 0
+    bare = F.concat(F.lit(rf"{PATTERN}|(?<![\p{{L}}\p{{M}}])(?:"), F.array_join(OWN + "names", "|"), F.lit(r")(?!-?[\p{L}\p{M}])"))
+    out = out.withColumn(OWN + "bare", F.when(more, bare))
+    out = out.withColumn(OWN + "m", F.when(more, F.regexp_extract_all(text, F.col(OWN + "bare"), F.lit(0))).otherwise(F.col(OWN + "m")))
     if moved is not None:
         out = _with_attempts(out, moved, text_col)
     out = out.withColumn(OWN + "d", F.transform(F.col(OWN + "m"), _described))
+    for g in "fm":
+        out = out.withColumn(f"{OWN}titled_{g}", _titled(F.col(OWN + "d"), f"name_{g}"))
 
-    def put(d):
+    def made(kind, canon):
         attempt = F.lit(0)
         if moved is not None:
-            attempt = F.coalesce(F.element_at(F.col(OWN + "moved"), F.concat_ws("|", d["kind"], d["canon"])), F.lit(0))
-        return F.concat(d["head"], render(d["core"], d["kind"], surrogate(d["kind"], d["canon"], attempt, key)))
+            attempt = F.coalesce(F.element_at(F.col(OWN + "moved"), F.concat_ws("|", kind, canon)), F.lit(0))
+        return surrogate(kind, canon, attempt, key)
+
+    def gender(d):
+        f, m = (F.array_contains(F.col(f"{OWN}titled_{g}"), d["canon"]) for g in "fm")
+        own = F.when(d["kind"] == "name_f", "f").when(d["kind"] == "name_m", "m")
+        return F.coalesce(own, F.when(f & ~m, "f").when(m & ~f, "m"), F.lit("n"))
+
+    def put(d):
+        last = F.substring_index(d["canon"], " ", -1)
+        whole = F.concat(last, F.lit("|"), _given(d))
+        given = F.concat(given_names(whole, made(F.lit("name_given"), whole), gender(d)), F.lit(" "))
+        name = F.concat(F.coalesce(given, F.lit("")), made(F.lit("name"), last))
+        new = F.when(d["kind"].startswith("name"), name).otherwise(render(d["core"], d["kind"], made(d["kind"], d["canon"])))
+        return F.concat(d["head"], new)
 
     some = F.size(F.col(OWN + "m")) > 0
     new = F.transform(F.col(OWN + "d"), put)
     out = out.withColumn(OWN + "new", F.when(some, new))
-    parts = F.split(text, PATTERN, -1)
+    parts = F.when(F.col(OWN + "bare").isNull(), F.split(text, PATTERN, -1)).otherwise(F.split(text, F.col(OWN + "bare"), -1))
     joined = F.array_join(
         F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(F.col(OWN + "new"), i), F.lit("")))), ""
     )
@@ -394,7 +510,7 @@ def _with_attempts(docs: DataFrame, moved: DataFrame, text_col: str) -> DataFram
     k1, k2 = F.xxhash64(t), F.xxhash64(F.lit(17), t)
     d = F.transform(F.col(OWN + "m"), _described)
     mentions = docs.select(k1.alias("k1"), k2.alias("k2"), F.explode(F.array_distinct(d)).alias("d"))
-    mentions = mentions.select("k1", "k2", "d.kind", "d.canon")
+    mentions = mentions.select("k1", "k2", F.explode(_parts(F.col("d"))).alias("e")).select("k1", "k2", "e.kind", "e.canon")
     side, _ = maybe_broadcast(moved)
     held = (
         mentions.join(side, ["kind", "canon"])

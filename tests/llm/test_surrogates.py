@@ -181,3 +181,37 @@ def test_grown_forms(spark):
             assert all(luhn(r[f"s{t}"]) == luhn(r["canon"]) for t in (0, 6, 8))
     shown = df.select(surrogates.render(F.lit("988-555-2485"), F.lit("phone"), F.lit("77123456789")).alias("x")).first()["x"]
     assert shown == "771-234-56789"
+
+
+def test_one_person_has_one_surrogate(spark):
+    got = run(spark, [
+        "Dr Kim Lee came. Kim Lee spoke; Dr. Lee left. Kim Lee's talk, Kim Leeds, McKim Lee.",
+        "Mr Smith and Dr Smith, Prof. Smith.", "Kim Lee alone.", "Mrs Eva Stone and Dr Eva Stone and Eva Stone.",
+        "Dr Νίκος Παππάς και Νίκος Παππάς, Mr Παππάς.", "Dr Kim Lee again. г-н Иван Петров, Иван Петров.",
+    ])
+    t = [got[i]["text"] for i in range(6)]
+    full, last, rest = re.fullmatch(r"Dr (\w+ \w+) came\. \1 spoke; Dr\. (\w+) left\. \1's talk, (.*)", t[0]).groups()
+    assert full.split()[1] == last != "Lee" and rest == "Kim Leeds, McKim Lee." and "Kim" not in full
+    assert re.fullmatch(r"Mr (\w+) and Dr \1, Prof\. \1\.", t[1]) and "Smith" not in t[1]
+    assert t[2] == "Kim Lee alone."
+    eva = re.fullmatch(r"Mrs ((\w+) \w+) and Dr \1 and \1\.", t[3])
+    assert eva[2] in surrogates.FIRST_NAMES["f", "latin"]
+    greek = re.fullmatch(r"Dr ((\w+) (\w+)) και \1, Mr \3\.", t[4])
+    assert re.fullmatch("[Α-Ωα-ωΆ-ώ ]+", greek[1]) and greek[3] != "Παππάς" and greek[2] in surrogates.FIRST_NAMES["n", "greek"]
+    assert t[5].startswith(f"Dr {full} again.")
+    ivan = re.search(r"г-н ((\w+) \w+), \1\.", t[5])
+    assert ivan[2] in surrogates.FIRST_NAMES["m", "cyrillic"]
+
+
+def test_relatives_stay_distinct(spark):
+    """More given names of one last name than the lists hold: every whole name has its own surrogate."""
+    names = [f"{a}{b} Lee" for a in ("Kim", "Ana", "Eva", "Leo", "Max", "Tom") for b in "abcdefg"]
+    got = run(spark, [" ".join(f"Dr {n}, {n};" for n in names)])
+    seen = re.findall(r"Dr ([\w-]+ \w+), \1;", got[0]["text"])
+    assert len(seen) == len(set(seen)) == 42 and len({n.split()[1] for n in seen}) == 1
+
+
+def test_name_lists():
+    for script in ("latin", "cyrillic", "greek"):
+        lists = [surrogates.FIRST_NAMES[g, script] for g in "fmn"]
+        assert len({len(x) for x in lists}) == 1 and len({n for x in lists for n in x}) == 3 * len(lists[0])
