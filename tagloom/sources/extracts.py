@@ -121,6 +121,17 @@ TARGET_BYTES = 256 * 1024 * 1024
 MAX_PARTITIONS = 200_000
 
 
+# What a byte of a compressed text file is taken to hold; only the number of partitions follows it.
+COMPRESSED_SUFFIXES = (".gz", ".deflate", ".bz2", ".lz4", ".snappy", ".zst")
+COMPRESSED_FACTOR = 8
+
+
+def partitions_for_text(lines: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
+    """``partitions_for`` of lines of text files, by the size of the text where the files are compressed."""
+    compressed = any(f.endswith(COMPRESSED_SUFFIXES) for f in lines.inputFiles())
+    return partitions_for(lines, target_bytes // COMPRESSED_FACTOR if compressed else target_bytes)
+
+
 def partitions_for(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
     """Partitions of about ``target_bytes`` by the optimizer's size of ``df``; one per core at least."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -160,20 +171,22 @@ def sorted_extract(spark: SparkSession, src: str, kind_or_columns, partitions: i
 
     What is sampled, shuffled and sorted is the line: its key is the text
     before the first separator and its tie a hash of it, so a line is split
-    into fields once, after the shuffle.
+    into fields once, after the shuffle.  Only the line is shuffled; key and
+    tie are made again where it arrives.
     """
     columns = _columns(kind_or_columns)
     line = F.col("value")
     given = spark.read.text(src).where(line_width(line).isin(len(columns) - 1, len(columns)))
-    n = partitions or partitions_for(given)
-    keyed = given.select(line, F.substring_index(line, EXTRACT_SEP, 1).alias("__key"), F.xxhash64(line).alias("__tie"))
-    ordered = keyed.repartitionByRange(n, "__key", "__tie").sortWithinPartitions("__key", "__tie")
+    n = partitions or partitions_for_text(given)
+    key, tie = F.substring_index(line, EXTRACT_SEP, 1), F.xxhash64(line)
+    dealt = given.repartitionByRange(n, key, tie)
+    ordered = dealt.select(line, key.alias("__key"), tie.alias("__tie")).sortWithinPartitions("__key", "__tie")
     return parse_lines(ordered.select(line), columns)
 
 
 def ingest(spark: SparkSession, src: str, kind_or_columns, dest: str, partitions: int | None = None) -> str:
     """Read an extract and publish it sorted by key (one call per extract)."""
-    sorted_extract(spark, src, kind_or_columns, partitions).write.parquet(dest)
+    sorted_extract(spark, src, kind_or_columns, partitions).write.option("compression", "zstd").parquet(dest)
     return dest
 
 

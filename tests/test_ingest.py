@@ -65,3 +65,54 @@ def test_hot_key_is_split_and_order_kept(spark):
     assert sum(1 for r in per_part if r["hot"] > 0) >= 2      # the hot key spans partitions
     keys = [r["id"] for r in out.collect()]                   # collect keeps partition order
     assert keys == sorted(keys) and len(keys) == 6000
+
+
+def wide_lines(spark, n, columns):
+    fields = [F.concat(F.lit(f"{c}:"), (F.col("id") * 7 % n).cast("string")) for c in columns[1:]]
+    return spark.range(0, n, numPartitions=2).select(F.concat_ws(SEP, (F.col("id") * 7 % n).cast("string"), *fields).alias("value"))
+
+
+def test_extract_files_are_compressed_and_small(spark, monkeypatch):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from tagloom.plans import queries
+
+    monkeypatch.setattr(queries, "EXTRACT_FILE_LINES", 300, raising=False)
+    lines = wide_lines(spark, 2000, EXTRACT_COLUMNS["goods"])
+    path = queries.write_extract(spark, lines, "test-compressed")
+    files = [Path(urlparse(f).path) for f in spark.read.text(path).inputFiles()]
+    plain = lines.agg(F.sum(F.length("value") + 1)).first()[0]
+    assert sum(f.stat().st_size for f in files) < plain / 3
+    assert len(files) >= 6  # no file holds more lines than one task should read
+    assert spark.read.text(path).exceptAll(lines).isEmpty() and spark.read.text(path).count() == 2000
+
+
+def test_publish_of_compressed_lines(spark, tmp_path, monkeypatch):
+    from tagloom.sources import extracts
+
+    columns = EXTRACT_COLUMNS["goods"]
+    lines = wide_lines(spark, 2000, columns)
+    lines.write.option("compression", "gzip").text(str(tmp_path / "gz"))
+    lines.write.text(str(tmp_path / "plain"))
+    given = [spark.read.text(str(tmp_path / x)) for x in ("gz", "plain")]
+    # partitions follow the size of the text, not of its compressed files
+    gz, plain = (extracts.partitions_for_text(df, 100_000) for df in given)
+    assert gz >= plain / 2
+    frames = [extracts.sorted_extract(spark, str(tmp_path / x), "goods", 5) for x in ("gz", "plain")]
+    rows = [[tuple(r) for r in df.collect()] for df in frames]
+    assert rows[0] == rows[1] and [r[0] for r in rows[0]] == sorted(r[0] for r in rows[0]) and len(rows[0]) == 2000
+    dest = extracts.ingest(spark, str(tmp_path / "gz"), "goods", str(tmp_path / "out"), 5)
+    names = sorted(p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("part-"))
+    assert names and all(".zstd." in n for n in names)
+    back = [r["id"] for n in names for r in spark.read.parquet(f"{dest}/{n}").select("id").collect()]
+    assert back == [r[0] for r in rows[0]]
+
+
+def test_only_the_line_is_shuffled(spark, tmp_path):
+    from tagloom.sources import extracts
+
+    wide_lines(spark, 100, EXTRACT_COLUMNS["goods"]).write.text(str(tmp_path / "lines"))
+    df = extracts.sorted_extract(spark, str(tmp_path / "lines"), "goods", 3)
+    plan = df._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression", 1)[1]
+    assert "__key" not in plan and "__tie" not in plan
