@@ -2,8 +2,10 @@ import random
 
 import pytest
 from cases import SCHEMA, clashing, docs, empty, rows, words
+from pyspark.sql import functions as F
 
 from tagloom.llm import graph, ngram_join
+from tagloom.llm.common import join_hot
 
 
 def grams(text, n=5):
@@ -131,3 +133,41 @@ def test_a_chain_costs_its_meetings(spark):
     links = {r["doc_id"]: r["n_links"] for r in got}
     assert {r["class_id"] for r in got} == {0} and links[0] == links[steps - 1] == 1
     assert all(links[i] == 2 for i in range(1, steps - 1))
+
+
+def joins_of_written_steps(monkeypatch, edges):
+    """Joins in the plan of each table that components() writes."""
+    found = []
+
+    def watched(df, name):
+        found.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return staged(df, name)
+
+    staged = graph.staged
+    monkeypatch.setattr(graph, "staged", watched)
+    got = {r["node"]: r["component"] for r in graph.components(edges).collect()}
+    return found, got
+
+
+def test_components_are_found_by_small_plans(spark, monkeypatch):
+    """Large plans filled the driver: a step is one join in parts, and none where no node is a hub."""
+    groups = spark.range(0, 10_000).filter("id % 10 > 0").select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
+    found, got = joins_of_written_steps(monkeypatch, groups)
+    assert not any(found) and got == {i: i - i % 10 for i in range(10_000)}
+
+
+def test_components_of_a_hub_are_found_by_small_plans(spark, monkeypatch):
+    hub = spark.range(1, 3000).select(F.col("id").alias("a"), F.lit(3000).cast("long").alias("b"))
+    found, got = joins_of_written_steps(monkeypatch, hub)
+    assert max(found) <= 4 and got == {i: 1 for i in range(1, 3001)}
+
+
+def test_join_of_usual_keys_is_plain(spark):
+    big = spark.range(0, 9000).select((F.col("id") % 3000).alias("k"), "id")
+    one = big.groupBy("k").agg(F.count("*").alias("n"))
+    df = join_hot(big, one, ["k"], "n")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert df.count() == 9000
+    hot = big.withColumn("k", F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("k"))).union(spark.range(5).selectExpr("null", "id"))
+    one = hot.groupBy("k").agg(F.count("*").alias("n"))
+    assert join_hot(hot, one, ["k"], "n").count() == 9000
