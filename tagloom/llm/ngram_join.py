@@ -7,7 +7,10 @@ only one of them goes on.  The others are shuffled on their band hashes; the
 members of buckets form candidate groups, whose texts are verified on full
 sets, inside tasks: groups of up to ``BLOCK`` texts whole, larger ones as pairs
 of blocks that meet in some band (``candidate_units``), so that no unit holds
-much more than two blocks.
+much more than two blocks.  Texts are cut into at most ``PARTS`` blocks per home,
+so the rows sent to units grow with the texts of a group and not with their
+square, until a block would hold more than ``BLOCK_GRAMS`` n-grams; comparing the
+texts of a unit, which is quadratic by nature, goes on in tiles of ``TILE`` texts.
 Tasks hand on, per text, its number of links and one link to the texts before
 it; pairs are never written out.
 
@@ -37,6 +40,11 @@ THRESHOLD = 0.8
 RECALL = 0.999
 MAX_HASHES = 256
 BLOCK = 256
+# Enough pairs of blocks to keep some hundred tasks busy with one home.
+PARTS = 24
+# 64-bit hashes: 32 MB for a block, twice that for a unit.
+BLOCK_GRAMS = 4 << 20
+TILE = 256
 SEED = 5
 
 
@@ -140,45 +148,45 @@ def shared(sets_a: list[np.ndarray], sets_b: list[np.ndarray] | None) -> np.ndar
 def verify(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, threshold: float, cross: bool):
     """Links among texts of a unit: (links weighted by copies, linked texts, links that join all linked texts).
 
-    ``cross``: only pairs of different sides count.
+    ``cross``: only pairs of different sides count.  Memory beside the sets is that of a pair of tiles.
     """
     n = len(sets)
     size = np.array([len(s) for s in sets], dtype=float)
     links, texts = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    a = np.flatnonzero(side == 0)
-    b = np.flatnonzero(side == 1) if cross else a
-    if not len(a) or not len(b):
-        return links, texts, []
-    both = shared([sets[i] for i in a], [sets[i] for i in b] if cross else None)
-    ok = both >= threshold * (size[a][:, None] + size[b][None, :] - both) - 1e-6
-    if not cross:
-        np.fill_diagonal(ok, False)
-    links[a] += ok @ sizes[b]
-    texts[a] += ok.sum(axis=1)
-    if cross:
-        links[b] += ok.T @ sizes[a]
-        texts[b] += ok.sum(axis=0)
-    return links, texts, _forest(a, b, ok)
-
-
-def _forest(a: np.ndarray, b: np.ndarray, ok: np.ndarray) -> list[tuple[int, int]]:
+    forest = Forest(n)
+    tiles = lambda at: [at[i : i + TILE] for i in range(0, len(at), TILE)]
+    left = tiles(np.flatnonzero(side == 0))
+    right = tiles(np.flatnonzero(side == 1)) if cross else left
+    for i, a in enumerate(left):
+        for b in right if cross else right[i:]:
+            same = a is b
+            both = shared([sets[k] for k in a], None if same else [sets[k] for k in b])
+            ok = both >= threshold * (size[a][:, None] + size[b][None, :] - both) - 1e-6
+            if same:
+                np.fill_diagonal(ok, False)
+            links[a] += ok @ sizes[b]
+            texts[a] += ok.sum(axis=1)
+            if not same:
+                links[b] += ok.T @ sizes[a]
+                texts[b] += ok.sum(axis=0)
+            forest.add(a, b, ok)
+    return links, texts, forest.links
+
+
+class Forest:
     """Links that join all linked texts, at most one fewer than texts."""
-    parent: dict[int, int] = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for i in range(len(a)):
-        for j in np.flatnonzero(ok[i]).tolist():
-            x, y = root(int(a[i])), root(int(b[j]))
-            if x != y:
-                parent[x] = y
-                out.append((int(a[i]), int(b[j])))
-    return out
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+        self.links: list[tuple[int, int]] = []
+
+    def add(self, a: np.ndarray, b: np.ndarray, ok: np.ndarray) -> None:
+        for i, mine in enumerate(a):
+            to = b[ok[i]]
+            for other in to[self.label[to] != self.label[mine]]:
+                if self.label[other] != self.label[mine]:
+                    self.label[self.label == self.label[other]] = self.label[mine]
+                    self.links.append((int(mine), int(other)))
 
 
 # --- on Spark ------------------------------------------------------------------
@@ -191,7 +199,7 @@ def text_keys(text: F.Column) -> list[F.Column]:
 
 
 def signatures(docs: DataFrame, n: int, hasher: MinHash) -> DataFrame:
-    """doc_id, k1, k2 (text), s1, s2 (n-gram set) and bands of every row."""
+    """doc_id, k1, k2 (text), s1, s2 and grams (n-gram set and its size) and bands of every row."""
 
     def make():
         def f(b):
@@ -201,25 +209,29 @@ def signatures(docs: DataFrame, n: int, hasher: MinHash) -> DataFrame:
             bands = hasher.band_hashes(sets)
             yield {
                 "doc_id": b.column(0), "k1": b.column(1), "k2": b.column(2),
-                "s1": key[:, 0], "s2": key[:, 1], "bands": bands,
+                "s1": key[:, 0], "s2": key[:, 1], "grams": [len(s) for s in sets], "bands": bands,
             }
 
         return f
 
     given = docs.select(F.col("doc_id").cast("long"), *text_keys(F.col("text")), text_bytes(F.col("text")))
-    return map_batches(given, make, "doc_id long, k1 long, k2 long, s1 long, s2 long, bands array<long>")
+    return map_batches(given, make, "doc_id long, k1 long, k2 long, s1 long, s2 long, grams long, bands array<long>")
 
 
 def candidate_units(reps: DataFrame, block: int) -> DataFrame:
     """The units of verification: rid, c1, b1, c2, b2, side.
 
     Texts that meet in bands form candidate groups.  A group of up to
-    ``block`` texts is one unit.  A text of a larger group has its home in the
-    largest bucket it is in; homes are cut into blocks of about ``block`` texts,
-    and two blocks are a unit where a band brings texts of their homes together.
-    So a long chain of texts costs its meetings, not the square of its length.
+    ``block`` texts is one unit.  A text of a larger group has its home with the
+    smallest text of the largest bucket it is in.  Homes are cut into blocks of a
+    quarter of ``block`` texts or more (see ``PARTS``), and those of fewer texts
+    are put together, with others that meet the same larger home; two blocks
+    are a unit where a band brings texts of their homes together.  So a long
+    chain of texts costs its meetings, not the square of its length, and a text
+    of a dense group is sent to a number of units that does not grow with the
+    group.
     """
-    band = reps.select("rid", F.explode("bands").alias("band"))
+    band = reps.select("rid", "grams", F.explode("bands").alias("band"))
     bucket = staged(band.groupBy("band").agg(F.count("*").alias("n"), F.min("rid").alias("low")).filter("n > 1"), "ngram-buckets")
     meets = staged(join_hot(band, bucket, ["band"], "n"), "ngram-meetings")
     groups = components(meets.select(F.col("rid").alias("a"), F.col("low").alias("b")), "ngram-candidates")
@@ -232,27 +244,45 @@ def candidate_units(reps: DataFrame, block: int) -> DataFrame:
     if large.isEmpty():
         return whole
     inside = join_hot(groups, large, ["grp"], "m").select("rid")
-    home = meets.join(inside, "rid").groupBy("rid").agg(F.max(F.struct("n", "band")).getField("band").alias("home"))
-    home = staged(home, "ngram-homes")
-    size = staged(home.groupBy("home").agg(F.count("*").alias("texts")), "ngram-home-sizes")
-    blocks = F.ceil(F.col("texts") / F.lit(float(block))).cast("int")
-    dealt = join_hot(home, size, ["home"], "texts").withColumn("blk", F.pmod(F.xxhash64("rid"), blocks).cast("int"))
-    at = meets.join(home, "rid").groupBy("band", "home").agg(F.count("*").alias("k"))
-    at = staged(at.select("band", "home"), "ngram-homes-of-bands")
+    largest = F.max(F.struct("n", (-F.col("low")).alias("low"))).getField("low")
+    text = meets.groupBy("rid").agg((-largest).alias("home"), F.first("grams").alias("grams"), F.collect_set("band").alias("bands"))
+    home = staged(text.join(inside, "rid"), "ngram-homes")
+    size = home.groupBy("home").agg(F.count("*").alias("texts"), F.sum("grams").alias("grams"))
+    size = staged(size, "ngram-home-sizes")
+    at = staged(home.select("home", F.explode("bands").alias("band")).distinct(), "ngram-homes-of-bands")
     # no more rows than meetings: each pair of homes of a band stands for a pair of texts that meet in it
     pairs = at.join(at.select("band", F.col("home").alias("other")), "band").select("home", "other").distinct()
-    parts = size.select("home", F.explode(F.sequence(zero, blocks - 1)).alias("blk"))
-    cells = pairs.join(parts, "home").join(parts.select(F.col("home").alias("other"), F.col("blk").alias("j")), "other")
-    units = dealt.select("rid", "home", "blk").join(cells, ["home", "blk"])
-    mine, its = F.struct(F.col("home"), F.col("blk")), F.struct(F.col("other").alias("home"), F.col("j").alias("blk"))
+    pairs = staged(pairs, "ngram-home-pairs")
+    cut = max(1, block // 4)
+    by_texts, by_grams = F.ceil(F.col("texts") / F.lit(float(cut))), F.ceil(F.col("grams") / F.lit(float(BLOCK_GRAMS)))
+    small = size.filter(F.col("texts") < cut)
+    other = size.select(F.col("home").alias("other"), F.col("texts").alias("its"))
+    host = F.max(F.struct("its", (-F.col("other")).alias("other"))).getField("other")
+    guests = pairs.join(small, "home").join(other, "other").groupBy("home", "texts", "grams").agg((-host).alias("c"))
+    guests = staged(guests, "ngram-guests")
+    packs = guests.groupBy("c").agg(F.sum("texts").alias("texts"), F.sum("grams").alias("grams"))
+    packs = staged(packs.select("c", "texts", F.greatest(by_texts, by_grams).alias("packs")), "ngram-packs")
+    pack = (-1 - F.pmod(F.xxhash64("home"), F.col("packs"))).cast("int")
+    guests = join_hot(guests.select("home", "c"), packs, ["c"], "texts").select("home", "c", pack.alias("b"))
+    blocks = F.greatest(F.least(by_texts, F.lit(PARTS)), by_grams).cast("int")
+    cells = size.filter(F.col("texts") >= cut).select("home", F.col("home").alias("c"), F.sequence(zero, blocks - 1).alias("bs"))
+    cells = staged(cells.unionByName(guests.select("home", "c", F.array("b").alias("bs"))), "ngram-cells")
+    dealt = join_hot(home.select("rid", "home"), cells.join(size.select("home", "texts"), "home"), ["home"], "texts")
+    mine = F.element_at("bs", F.pmod(F.xxhash64("rid"), F.size("bs")).cast("int") + 1)
+    dealt = dealt.select("rid", "c", mine.alias("b"))
+    parts = cells.select("home", "c", F.explode("bs").alias("b"))
+    its = parts.select(F.col("home").alias("other"), F.col("c").alias("oc"), F.col("b").alias("ob"))
+    meet = pairs.join(parts, "home").join(its, "other").select("c", "b", "oc", "ob").distinct()
+    units = dealt.join(meet, ["c", "b"])
+    mine, its = F.struct(F.col("c"), F.col("b")), F.struct(F.col("oc").alias("c"), F.col("ob").alias("b"))
     low, high = F.least(mine, its), F.greatest(mine, its)
     return whole.unionByName(
         units.select(
             "rid",
-            low.getField("home").alias("c1"),
-            low.getField("blk").alias("b1"),
-            high.getField("home").alias("c2"),
-            high.getField("blk").alias("b2"),
+            low.getField("c").alias("c1"),
+            low.getField("b").alias("b1"),
+            high.getField("c").alias("c2"),
+            high.getField("b").alias("b2"),
             (mine > its).cast("int").alias("side"),
         )
     )
@@ -273,7 +303,7 @@ def verify_units(members: DataFrame, n: int, threshold: float) -> DataFrame:
 
         def work(rows):
             cross = rows[0][:2] != rows[0][2:4]
-            sets = [ngram_hashes(r[7], n) for r in rows]
+            sets = [r[7] for r in rows]
             side, sizes = np.array([r[4] for r in rows]), np.array([r[6] for r in rows], dtype=np.int64)
             links, texts, forest = verify(sets, sizes, side, threshold, cross)
             rid = np.array([r[5] for r in rows], dtype=np.int64)
@@ -296,7 +326,7 @@ def verify_units(members: DataFrame, n: int, threshold: float) -> DataFrame:
                 if held and held[0][:4] != row[:4]:
                     yield work(held)
                     held.clear()
-                held.append(row)
+                held.append((*row[:7], ngram_hashes(row[7], n)))
 
         f.finish = lambda: [work(held)] if held else ()
         return f
@@ -326,6 +356,7 @@ def ngram_join(
         F.count("*").alias("size"),
         F.min("doc_id").alias("copy_id"),
         F.min(F.struct("k1", "k2")).alias("k"),
+        F.first("grams").alias("grams"),
         F.first("bands").alias("bands"),
     )
     reps = staged(classes.withColumn("rid", F.monotonically_increasing_id()), "ngram-classes")

@@ -171,3 +171,52 @@ def test_join_of_usual_keys_is_plain(spark):
     hot = big.withColumn("k", F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("k"))).union(spark.range(5).selectExpr("null", "id"))
     one = hot.groupBy("k").agg(F.count("*").alias("n"))
     assert join_hot(hot, one, ["k"], "n").count() == 9000
+
+
+def dense_units(spark, texts, block):
+    """Units of one group of near copies: everybody meets everybody in some band."""
+    base = [f"w{i}" for i in range(100)]
+    given = [(i, " ".join([*base[: i % 100], f"x{i}", *base[i % 100 + 1 :]]), "en", "a", 1) for i in range(texts)]
+    df = spark.createDataFrame(given, SCHEMA).repartition(4)
+    hasher = ngram_join.MinHash(*ngram_join.band_counts(0.8, 0.999))
+    reps = ngram_join.staged(ngram_join.signatures(df, 5, hasher).withColumnRenamed("doc_id", "rid"), "test-dense")
+    return ngram_join.staged(ngram_join.candidate_units(reps, block), "test-dense-units")
+
+
+def test_a_dense_group_is_sent_in_proportion(spark):
+    """Rows sent to units grew with the square of a group's texts."""
+    few, many = dense_units(spark, 600, 64).count(), dense_units(spark, 2400, 64).count()
+    assert many < 6 * few  # 4 times the texts; 16 times the rows before
+
+
+def test_a_dense_group_is_verified_whole(spark):
+    units = dense_units(spark, 600, 64)
+    mine, its = units.alias("x"), units.alias("y")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ngram_join.UNIT]
+    crossing = (F.col("x.c1") != F.col("x.c2")) | (F.col("x.b1") != F.col("x.b2"))
+    sides = (F.col("x.side") < F.col("y.side")) | (~crossing & (F.col("x.rid") < F.col("y.rid")))
+    pairs = mine.join(its, [*same, sides]).select(
+        F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")
+    )
+    assert pairs.count() == pairs.distinct().count() == 600 * 599 // 2  # each pair once
+
+
+def test_long_texts_are_cut_by_their_size(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PARTS", 2)
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 96 * 50)
+    units = dense_units(spark, 600, 64)
+    assert units.groupBy(*ngram_join.UNIT).count().agg(F.max("count")).first()[0] <= 2 * 100
+
+
+@pytest.mark.parametrize("cross", [False, True])
+def test_verification_in_tiles(monkeypatch, cross):
+    rng = random.Random(3)
+    sets = [ngram_join.ngram_hashes(r[1].encode()) for r in near_rows(2) if r[1]]
+    sets = [s for s in sets if len(s)]
+    sizes = ngram_join.np.array([rng.randint(1, 3) for _ in sets])
+    side = ngram_join.np.array([rng.randrange(2) if cross else 0 for _ in sets])
+    whole = ngram_join.verify(sets, sizes, side, 0.8, cross)
+    monkeypatch.setattr(ngram_join, "TILE", 7)
+    tiled = ngram_join.verify(sets, sizes, side, 0.8, cross)
+    assert whole[0].tolist() == tiled[0].tolist() and whole[1].tolist() == tiled[1].tolist()
+    assert whole[0].any() and len(whole[2]) == len(tiled[2])
