@@ -88,6 +88,25 @@ def test_extract_files_are_compressed_and_small(spark, monkeypatch):
     assert spark.read.text(path).exceptAll(lines).isEmpty() and spark.read.text(path).count() == 2000
 
 
+def test_extract_files_are_smaller_than_gzip(spark, tmp_path):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from tagloom.plans import queries
+    from tagloom.sources import extracts
+
+    lines = wide_lines(spark, 20_000, EXTRACT_COLUMNS["goods"])
+    path = queries.write_extract(spark, lines, "test-smaller")
+    lines.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(str(tmp_path / "gz"))
+    files = [[Path(urlparse(f).path) for f in spark.read.text(p).inputFiles()] for p in (path, str(tmp_path / "gz"))]
+    small, gz = (sum(f.stat().st_size for f in x) for x in files)
+    assert small < 0.8 * gz
+    assert all(f.name.endswith(extracts.COMPRESSED_SUFFIXES) for f in files[0])  # counted as compressed text
+    odd = spark.createDataFrame([("a\x01é\x01",), ("",), ("\x01",), ("a\x01é\x01",)], "value string")
+    back = spark.read.text(queries.write_extract(spark, odd, "test-odd"))
+    assert sorted(r.value for r in back.collect()) == sorted(r.value for r in odd.collect())
+
+
 def test_publish_of_compressed_lines(spark, tmp_path, monkeypatch):
     from tagloom.sources import extracts
 
