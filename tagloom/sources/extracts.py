@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.strings import java_split, strip_trailing
 from tagloom.schemas import EXTRACT_COLUMNS, EXTRACT_SEP
+from tagloom.sources.packed import dealt_by_range
 
 
 def line_width(line: Column, sep: str = EXTRACT_SEP) -> Column:
@@ -126,16 +127,29 @@ COMPRESSED_SUFFIXES = (".gz", ".deflate", ".bz2", ".lz4", ".snappy", ".zst", ".z
 COMPRESSED_FACTOR = 8
 
 
+def text_size(lines: DataFrame) -> int:
+    """About the bytes of lines of text files, compressed or not."""
+    compressed = any(f.endswith(COMPRESSED_SUFFIXES) for f in lines.inputFiles())
+    return plan_size(lines) * (COMPRESSED_FACTOR if compressed else 1)
+
+
 def partitions_for_text(lines: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
     """``partitions_for`` of lines of text files, by the size of the text where the files are compressed."""
-    compressed = any(f.endswith(COMPRESSED_SUFFIXES) for f in lines.inputFiles())
-    return partitions_for(lines, target_bytes // COMPRESSED_FACTOR if compressed else target_bytes)
+    return _partitions(lines, text_size(lines), target_bytes)
+
+
+def plan_size(df: DataFrame) -> int:
+    """The optimizer's size of ``df`` in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _partitions(df: DataFrame, size: int, target_bytes: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(MAX_PARTITIONS, -(-size // target_bytes)))
 
 
 def partitions_for(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
     """Partitions of about ``target_bytes`` by the optimizer's size of ``df``; one per core at least."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(df.sparkSession.sparkContext.defaultParallelism, min(MAX_PARTITIONS, -(-size // target_bytes)))
+    return _partitions(df, plan_size(df), target_bytes)
 
 
 def sorted_by_key(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
@@ -171,22 +185,29 @@ def sorted_extract(spark: SparkSession, src: str, kind_or_columns, partitions: i
 
     What is sampled, shuffled and sorted is the line: its key is the text
     before the first separator and its tie a hash of it, so a line is split
-    into fields once, after the shuffle.  Only the line is shuffled; key and
-    tie are made again where it arrives.
+    into fields once, after the shuffle.  The bounds are sampled at once, the
+    lines are shuffled in compressed blocks (``sources/packed.py``); key and
+    tie are made again where they arrive.
     """
     columns = _columns(kind_or_columns)
     line = F.col("value")
     given = spark.read.text(src).where(line_width(line).isin(len(columns) - 1, len(columns)))
     n = partitions or partitions_for_text(given)
     key, tie = F.substring_index(line, EXTRACT_SEP, 1), F.xxhash64(line)
-    dealt = given.repartitionByRange(n, key, tie)
+    dealt = dealt_by_range(given, key, tie, n, text_size(given))
     ordered = dealt.select(line, key.alias("__key"), tie.alias("__tie")).sortWithinPartitions("__key", "__tie")
     return parse_lines(ordered.select(line), columns)
 
 
+# Version 2 pages hold of a text only what differs from the one before, and rows are in key order; a
+# dictionary pays only while it is small.
+PUBLISH_OPTIONS = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0", "parquet.dictionary.page.size": 64 * 1024}
+
+
 def ingest(spark: SparkSession, src: str, kind_or_columns, dest: str, partitions: int | None = None) -> str:
     """Read an extract and publish it sorted by key (one call per extract)."""
-    sorted_extract(spark, src, kind_or_columns, partitions).write.option("compression", "zstd").parquet(dest)
+    rows = sorted_extract(spark, src, kind_or_columns, partitions)
+    rows.write.options(**PUBLISH_OPTIONS).parquet(dest)
     return dest
 
 
