@@ -107,6 +107,26 @@ def test_extract_files_are_smaller_than_gzip(spark, tmp_path):
     assert sorted(r.value for r in back.collect()) == sorted(r.value for r in odd.collect())
 
 
+def test_extract_files_are_not_split(spark, tmp_path):
+    from tagloom.plans import queries
+    from tagloom.sources import extracts
+
+    columns = EXTRACT_COLUMNS["goods"]
+    path = queries.write_extract(spark, wide_lines(spark, 2000, columns), "test-split")
+    small = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        got = [read_extract(spark, path, "goods"), extracts.sorted_extract(spark, path, "goods", 3)]
+        assert all(sorted(int(r.id) for r in df.select("id").collect()) == list(range(2000)) for df in got)
+        dest = str(tmp_path / "observed")
+        assert extracts.ingest_observed(spark, path, "goods", dest)["kept"] == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_publish_of_compressed_lines(spark, tmp_path, monkeypatch):
     from tagloom.sources import extracts
 
